@@ -1,0 +1,62 @@
+"""DuckDB SQL oracles, one per registered query, written independently of the
+Spark code (closed forms, windows, unrolled iterations)."""
+
+from __future__ import annotations
+
+from .common import sql_emb, sql_rnd
+
+ORACLES: dict[str, str] = {}
+
+
+def oracle(name: str):
+    def deco(fn):
+        ORACLES[name] = fn()
+        return fn
+    return deco
+
+
+def _softmax_pick(scores_cte: str) -> str:
+    """From (vec_id, label, cls, s): argmax class (lowest on ties) and its probability."""
+    return f"""
+    ranked AS (
+      SELECT vec_id, label, cls, s,
+             row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, cls) AS rn,
+             max(s) OVER (PARTITION BY vec_id) AS smax
+      FROM {scores_cte}),
+    norm AS (SELECT vec_id, sum(exp(s - smax)) AS z FROM ranked GROUP BY vec_id)
+    SELECT r.vec_id, r.label, r.cls AS prediction, {sql_rnd('1.0 / n.z')} AS probability
+    FROM ranked r JOIN norm n USING (vec_id) WHERE r.rn = 1"""
+
+
+@oracle("g5_gaussian_nb")
+def _g5():
+    p = 4
+    stats = ", ".join(f"avg(x{i}) AS t{i}, var_pop(x{i}) + 1e-9 AS v{i}" for i in range(1, p + 1))
+    ll = " + ".join(f"ln(2 * pi() * v{i}) + (x{i} - t{i}) ^ 2 / v{i}" for i in range(1, p + 1))
+    return f"""
+    WITH {sql_emb(p)},
+    stats AS (SELECT label AS cls, count(*) AS n, {stats} FROM emb GROUP BY label),
+    pri AS (SELECT *, n / sum(n) OVER () AS prior FROM stats),
+    scores AS (SELECT e.vec_id, e.label, p.cls, ln(p.prior) - 0.5 * ({ll}) AS s
+               FROM emb e CROSS JOIN pri p),
+    {_softmax_pick('scores')}"""
+
+
+@oracle("g6_lda")
+def _g6():
+    # 2x2 pooled covariance, inverted in closed form
+    return f"""
+    WITH {sql_emb(2)},
+    cls AS (SELECT label AS cls, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2,
+                   covar_samp(x1, x1) AS c11, covar_samp(x1, x2) AS c12,
+                   covar_samp(x2, x2) AS c22 FROM emb GROUP BY label),
+    pri AS (SELECT *, n / sum(n) OVER () AS prior FROM cls),
+    pooled AS (SELECT sum(prior * c11) AS a, sum(prior * c12) AS b, sum(prior * c22) AS d FROM pri),
+    inv AS (SELECT d / (a * d - b * b) AS i11, -b / (a * d - b * b) AS i12,
+                   a / (a * d - b * b) AS i22 FROM pooled),
+    coef AS (SELECT cls, prior, i11 * m1 + i12 * m2 AS w1, i12 * m1 + i22 * m2 AS w2, m1, m2
+             FROM pri CROSS JOIN inv),
+    model AS (SELECT cls, w1, w2, -0.5 * (w1 * m1 + w2 * m2) + ln(prior) AS b FROM coef),
+    scores AS (SELECT e.vec_id, e.label, m.cls, e.x1 * m.w1 + e.x2 * m.w2 + m.b AS s
+               FROM emb e CROSS JOIN model m),
+    {_softmax_pick('scores')}"""

@@ -1,0 +1,43 @@
+"""Registered queries: one per operator of the inventory, over whole tables.
+
+Each callable takes ``(spark, sf_dir)`` and returns a DataFrame whose columns
+match the SQL oracle of the same name in :mod:`tablelearn.plans.oracles`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..sources.tables import embedding_view
+from .bayes import GaussianNB, LinearDiscriminantAnalysis
+from .common import rnd, xs
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(name: str):
+    def deco(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+    return deco
+
+
+# ---------------------------------------------------------------- G5 / G6
+@query("g5_gaussian_nb")
+def g5_gaussian_nb(spark, sf_dir):
+    df = embedding_view(spark, sf_dir, 4)
+    model = GaussianNB().fit(df, xs(4), "label")
+    return model.transform(df).select("vec_id", "label", "prediction",
+                                      rnd("probability").alias("probability"))
+
+
+@query("g6_lda")
+def g6_lda(spark, sf_dir):
+    df = embedding_view(spark, sf_dir, 2)
+    model = LinearDiscriminantAnalysis().fit(df, xs(2), "label")
+    return model.transform(df).select("vec_id", "label", "prediction",
+                                      rnd("probability").alias("probability"))

@@ -1,21 +1,14 @@
-"""DuckDB SQL oracles, one per registered query, written independently of the
-Spark code (closed forms, windows, unrolled iterations)."""
+"""G5 naive Bayes, G6 LDA."""
 
 from __future__ import annotations
 
-from .common import sql_emb, sql_rnd
+from ...sources.tables import embedding_view
+from ..bayes import GaussianNB, LinearDiscriminantAnalysis
+from ..common import rnd, sql_emb, sql_rnd, xs
+from ..registry import query
 
-ORACLES: dict[str, str] = {}
 
-
-def oracle(name: str):
-    def deco(fn):
-        ORACLES[name] = fn()
-        return fn
-    return deco
-
-
-def _softmax_pick(scores_cte: str) -> str:
+def softmax_pick_sql(scores_cte: str) -> str:
     """From (vec_id, label, cls, s): argmax class (lowest on ties) and its probability."""
     return f"""
     ranked AS (
@@ -28,9 +21,7 @@ def _softmax_pick(scores_cte: str) -> str:
     FROM ranked r JOIN norm n USING (vec_id) WHERE r.rn = 1"""
 
 
-@oracle("g5_gaussian_nb")
-def _g5():
-    p = 4
+def _nb_sql(p: int = 4) -> str:
     stats = ", ".join(f"avg(x{i}) AS t{i}, var_pop(x{i}) + 1e-9 AS v{i}" for i in range(1, p + 1))
     ll = " + ".join(f"ln(2 * pi() * v{i}) + (x{i} - t{i}) ^ 2 / v{i}" for i in range(1, p + 1))
     return f"""
@@ -39,13 +30,18 @@ def _g5():
     pri AS (SELECT *, n / sum(n) OVER () AS prior FROM stats),
     scores AS (SELECT e.vec_id, e.label, p.cls, ln(p.prior) - 0.5 * ({ll}) AS s
                FROM emb e CROSS JOIN pri p),
-    {_softmax_pick('scores')}"""
+    {softmax_pick_sql('scores')}"""
 
 
-@oracle("g6_lda")
-def _g6():
-    # 2x2 pooled covariance, inverted in closed form
-    return f"""
+@query("g5_gaussian_nb", _nb_sql())
+def g5_gaussian_nb(spark, sf_dir):
+    df = embedding_view(spark, sf_dir, 4)
+    model = GaussianNB().fit(df, xs(4), "label")
+    return model.transform(df).select("vec_id", "label", "prediction",
+                                      rnd("probability").alias("probability"))
+
+
+LDA_SQL = f"""
     WITH {sql_emb(2)},
     cls AS (SELECT label AS cls, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2,
                    covar_samp(x1, x1) AS c11, covar_samp(x1, x2) AS c12,
@@ -59,4 +55,12 @@ def _g6():
     model AS (SELECT cls, w1, w2, -0.5 * (w1 * m1 + w2 * m2) + ln(prior) AS b FROM coef),
     scores AS (SELECT e.vec_id, e.label, m.cls, e.x1 * m.w1 + e.x2 * m.w2 + m.b AS s
                FROM emb e CROSS JOIN model m),
-    {_softmax_pick('scores')}"""
+    {softmax_pick_sql('scores')}"""
+
+
+@query("g6_lda", LDA_SQL)
+def g6_lda(spark, sf_dir):
+    df = embedding_view(spark, sf_dir, 2)
+    model = LinearDiscriminantAnalysis().fit(df, xs(2), "label")
+    return model.transform(df).select("vec_id", "label", "prediction",
+                                      rnd("probability").alias("probability"))

@@ -48,7 +48,9 @@ def gram_table(df: DataFrame, cols: Sequence[str], by: str | None = None) -> Dat
     return _arrow_gram(df, cols, by)
 
 
-def _arrow_gram(df: DataFrame, cols: Sequence[str], by: str | None) -> DataFrame:
+def _arrow_gram(df: DataFrame, cols: Sequence[str], by: str | None,
+                centre: dict | None = None) -> DataFrame:
+    """Per-partition X^T X in NumPy; ``centre`` maps group -> mean subtracted first."""
     import pyarrow as pa
 
     p = len(cols)
@@ -67,8 +69,12 @@ def _arrow_gram(df: DataFrame, cols: Sequence[str], by: str | None) -> DataFrame
                 keys = batch.column(by).to_numpy(zero_copy_only=False)
                 for k in np.unique(keys):
                     xs = x[keys == k]
+                    if centre is not None:
+                        xs = xs - centre[k]
                     acc[k] = acc.get(k, 0) + xs.T @ xs
             else:
+                if centre is not None:
+                    x = x - centre[None]
                 acc[None] = acc.get(None, 0) + x.T @ x
         for k, g in acc.items():
             data = {"i": pa.array(iu, pa.int32()), "j": pa.array(ju, pa.int32()),
@@ -102,21 +108,22 @@ def covariance_table(df: DataFrame, cols: Sequence[str], by: str | None = None,
 
 
 def _centred_arrow_cov(df, cols, by, ddof):
+    """Two scans: means per group (collected, bounded), then the Gram of the
+    centred rows, centring inside the Arrow task (no join)."""
     keys = [by] if by else []
-    means = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                  *[F.avg(c).alias(f"_m{k}") for k, c in enumerate(cols)])
+    mean_rows = _bounded(df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m{k}") for k, c in enumerate(cols)]),
+        "covariance groups").collect()
+    p = len(cols)
+    means = {(r[by] if by else None): np.array([r[f"_m{k}"] for k in range(p)]) for r in mean_rows}
+    counts = {(r[by] if by else None): r["_n"] for r in mean_rows}
+    g = _arrow_gram(df, cols, by, centre=means)
+    scale = F.lit(1.0) / (F.lit(float(counts[None])) - F.lit(ddof)) if not by else None
     if by:
-        # one row per group, bounded by MAX_GROUPS: safe to broadcast
-        means = F.broadcast(_bounded(means, "covariance groups"))
-        centred = df.join(means, by)
-    else:
-        centred = df.crossJoin(F.broadcast(means))  # one-row side
-    centred = centred.select(*keys, *[(F.col(c) - F.col(f"_m{k}")).alias(f"_c{k}")
-                                      for k, c in enumerate(cols)])
-    g = _arrow_gram(centred, [f"_c{k}" for k in range(len(cols))], by)
-    counts = means.select(*keys, "_n")
-    g = g.join(counts, by) if by else g.crossJoin(counts)
-    return g.select(*keys, "i", "j", (F.col("value") / (F.col("_n") - ddof)).alias("value"))
+        # per-group denominators enter as a literal map (bounded by the group count)
+        denom = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(float(n - ddof)))])
+        return g.select(by, "i", "j", (F.col("value") / denom[F.col(by)]).alias("value"))
+    return g.select("i", "j", (F.col("value") * scale).alias("value"))
 
 
 def _bounded(df: DataFrame, what: str, limit: int = MAX_GROUPS) -> DataFrame:

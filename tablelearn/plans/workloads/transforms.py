@@ -16,11 +16,11 @@ SEED = 42
 
 
 @query("a2_validate", """
-    SELECT count(*) AS n_rows, count_if(embedding IS NULL) AS n_null_vectors,
+    SELECT count(*) AS n_rows, count_if(embedding IS NULL)::BIGINT AS n_null_vectors,
            coalesce(sum(len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x)))), 0)::BIGINT
              AS n_bad_values,
            min(len(embedding))::BIGINT AS min_width, max(len(embedding))::BIGINT AS max_width,
-           count_if(label IS NULL) AS n_null_labels
+           count_if(label IS NULL)::BIGINT AS n_null_labels
     FROM embeddings""")
 def a2_validate(spark, sf_dir):
     emb = read_table(spark, sf_dir, "embeddings")

@@ -117,6 +117,39 @@ def _arrow_point_values(df: DataFrame, key: str, cols: Sequence[str], pts: np.nd
     return df.select(key, *cols).mapInArrow(per_batch, schema)
 
 
+def wide_point_values(df: DataFrame, keep: Sequence[str], cols: Sequence[str], points: np.ndarray,
+                      fn: str = "distance", prefix: str = "k", degree: int = 3,
+                      gamma: float = 1.0) -> DataFrame:
+    """``keep`` columns plus one value column per point (``k0..k{m-1}``), map-only.
+
+    Used for kernel features: expressions for narrow inputs, Arrow for wide.
+    """
+    import pyarrow as pa
+
+    pts = _check_points(points)
+    m = pts.shape[0]
+    names = [f"{prefix}{j}" for j in range(m)]
+    if len(cols) * m <= MAX_GENERATED_TERMS:
+        vals = point_values(cols, pts, fn, degree=degree, gamma=gamma)
+        return df.select(*keep, *[v.alias(n) for v, n in zip(vals, names)])
+    keep = list(keep)
+    schema = ", ".join([f"{c} {df.schema[c].dataType.simpleString()}" for c in keep]
+                       + [f"{n} double" for n in names])
+
+    def per_batch(batches):
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
+                                 for c in cols])
+            vals = _np_point_values(x, pts, fn, degree, gamma)
+            data = {c: b.column(c) for c in keep}
+            data.update({n: pa.array(vals[:, j]) for j, n in enumerate(names)})
+            yield pa.RecordBatch.from_pydict(data)
+
+    return df.select(*dict.fromkeys(keep + list(cols))).mapInArrow(per_batch, schema)
+
+
 def nearest_point_frame(df: DataFrame, key: str, cols: Sequence[str], points: np.ndarray,
                         out: str = "nearest") -> DataFrame:
     """D6 as ``(key, index)``: expression form for narrow inputs, Arrow for wide."""

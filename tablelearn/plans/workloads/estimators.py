@@ -64,3 +64,28 @@ def g6_lda(spark, sf_dir):
     model = LinearDiscriminantAnalysis().fit(df, xs(2), "label")
     return model.transform(df).select("vec_id", "label", "prediction",
                                       rnd("probability").alias("probability"))
+
+
+@query("a5_model_roundtrip", _nb_sql())
+def a5_model_roundtrip(spark, sf_dir):
+    """Fit naive Bayes, write the model table to the shared checkpoint folder,
+    read it back and score with the loaded parameters."""
+    import uuid
+
+    import numpy as np
+
+    from ...session import scratch_path
+    from ..base import ModelTable
+
+    df = embedding_view(spark, sf_dir, 4)
+    fitted = GaussianNB().fit(df, xs(4), "label")
+    path = scratch_path(spark, f"models/gaussian_nb-{uuid.uuid4().hex}")
+    fitted.model_table().save(spark, path)
+    loaded = ModelTable.load(spark, path)
+    model = GaussianNB()
+    model.features = loaded.meta["features"]
+    model.theta, model.var = loaded.params["theta"], loaded.params["var"]
+    model.class_prior = loaded.params["prior"]
+    model.classes = [int(c) for c in np.asarray(loaded.params["classes"])]
+    return model.transform(df).select("vec_id", "label", "prediction",
+                                      rnd("probability").alias("probability"))

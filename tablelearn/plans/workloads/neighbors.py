@@ -128,6 +128,13 @@ def g8_knn_classifier(spark, sf_dir):
     return emb.select("vec_id", "label").join(pred, "vec_id")
 
 
+@query("e13_knn_vote", KNN_PRED_SQL + " SELECT vec_id, prediction FROM scored")
+def e13_knn_vote(spark, sf_dir):
+    """Majority label of the k neighbours (ties to the smallest label)."""
+    emb, pairs = _knn(spark, sf_dir)
+    return pairwise.knn_vote(pairs, "vec_id", emb, "vec_id", "label")
+
+
 @query("f4_accuracy", KNN_PRED_SQL + f"""
     SELECT {sql_rnd('avg((label = prediction)::DOUBLE)')} AS accuracy, count(*) AS n FROM scored""")
 def f4_accuracy(spark, sf_dir):

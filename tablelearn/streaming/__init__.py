@@ -1 +1 @@
-"""streaming."""
+"""Scoring fitted models over Structured Streaming sources."""

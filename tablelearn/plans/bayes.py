@@ -41,13 +41,17 @@ class _ClassScorer:
     def transform(self, df: DataFrame, prediction: str = "prediction",
                   probability: str | None = "probability") -> DataFrame:
         """Append the predicted class (lowest class wins ties) and its probability."""
-        jll = self.joint_log_likelihood()
-        idx = argmax_index(jll)
-        out = df.withColumn(prediction, pick(self.classes, idx))
+        # class scores are projected once; argmax and softmax then read columns
+        k = len(self.classes)
+        names = [f"_jll{j}" for j in range(k)]
+        scored = df.select("*", *[c.alias(n) for c, n in zip(self.joint_log_likelihood(), names)])
+        jll = [F.col(n) for n in names]
+        out = scored.withColumn(prediction, pick(self.classes, argmax_index(jll)))
         if probability:
-            logp = log_softmax(jll)
-            out = out.withColumn(probability, F.exp(F.array_max(F.array(*logp))))
-        return out
+            # the top class has probability 1 / Σ exp(s_j - max s)
+            mx = F.greatest(*jll) if k > 1 else jll[0]
+            out = out.withColumn(probability, F.lit(1.0) / total([F.exp(c - mx) for c in jll]))
+        return out.drop(*names)
 
     def probability_columns(self, prefix: str = "p_") -> list[Column]:
         return [F.exp(c).alias(f"{prefix}{k}") for k, c in zip(self.classes,
@@ -81,8 +85,10 @@ class GaussianNB(_ClassScorer):
         for k in range(len(self.classes)):
             const = math.log(self.class_prior[k]) - 0.5 * float(
                 np.sum(np.log(2.0 * math.pi * self.var[k])))
-            terms = [((F.col(c) - F.lit(float(self.theta[k, i]))) ** 2) * F.lit(-0.5 / float(self.var[k, i]))
-                     for i, c in enumerate(self.features)]
+            terms = []
+            for i, c in enumerate(self.features):
+                d = F.col(c) - F.lit(float(self.theta[k, i]))
+                terms.append(d * d * F.lit(-0.5 / float(self.var[k, i])))
             out.append(total(terms) + F.lit(const))
         return out
 

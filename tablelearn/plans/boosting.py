@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.activations import log_softmax
+from ..functions.activations import log_softmax, logsumexp
 from ..functions.linalg import argmax_index, pick
 from ..session import ensure_checkpoint_dir
 from .trees import NewtonGain, TreeGrower, TreeModel
@@ -31,6 +31,9 @@ def boosted_tree(df: DataFrame, features: Sequence[str], grads: Sequence[str], h
                       min_impurity=min_impurity, **kw).fit(df, features)
 
 
+TIE_DIGITS = 10
+
+
 class GradientBoostingClassifier:
     def __init__(self, n_estimators: int = 200, learning_rate: float = 1e-3, max_depth: int = 2,
                  min_samples_split: int = 2, min_impurity: float = 1e-7, checkpoint_interval: int = 5):
@@ -52,11 +55,14 @@ class GradientBoostingClassifier:
         self.loss_ = []
         try:
             for r in range(self.n_estimators):
-                logp = log_softmax([F.col(f"_z{j}") for j in range(k)])
-                gh = data.select(*self.features, *[f"_y{j}" for j in range(k)], *[f"_z{j}" for j in range(k)],
-                                 *[(F.exp(logp[j]) - F.col(f"_y{j}")).alias(f"_g{j}") for j in range(k)],
-                                 *[(F.exp(logp[j]) * (F.lit(1.0) - F.exp(logp[j]))).alias(f"_h{j}")
-                                   for j in range(k)])
+                # softmax staged: log-sum-exp once, then p_j, then gradient / hessian
+                zs = [F.col(f"_z{j}") for j in range(k)]
+                with_lse = data.withColumn("_lse", logsumexp(zs))
+                with_p = with_lse.select("*", *[F.exp(z - F.col("_lse")).alias(f"_p{j}") for j, z in enumerate(zs)])
+                gh = with_p.select(*self.features,
+                                   *[(F.col(f"_p{j}") - F.col(f"_y{j}")).alias(f"_g{j}") for j in range(k)],
+                                   *[(F.col(f"_p{j}") * (F.lit(1.0) - F.col(f"_p{j}"))).alias(f"_h{j}")
+                                     for j in range(k)])
                 tree = boosted_tree(gh, self.features, [f"_g{j}" for j in range(k)],
                                     [f"_h{j}" for j in range(k)], self.max_depth, self.min_split,
                                     self.min_impurity, checkpoint_interval=0)
@@ -94,9 +100,14 @@ class GradientBoostingClassifier:
             out.append(z)
         return out
 
-    def predict_col(self) -> Column:
-        """Softmax is monotone, so the class is the argmax of the logits."""
-        return pick(self.classes, argmax_index(self.logit_cols()))
+    def predict_col(self, tie_digits: int = TIE_DIGITS) -> Column:
+        """Softmax is monotone, so the class is the argmax of the logits.
+
+        Logits are compared after rounding: classes with equal gradient sums
+        get mathematically equal logits, and the lowest class must win such a
+        tie rather than the last bit of a floating-point sum.
+        """
+        return pick(self.classes, argmax_index([F.round(z, tie_digits) for z in self.logit_cols()]))
 
     def probability_cols(self) -> list[Column]:
         return [F.exp(c) for c in log_softmax(self.logit_cols())]

@@ -244,3 +244,16 @@ class GaussianMixture:
         jll = self.joint_log_likelihood()
         resp = [F.exp(c) for c in log_softmax(jll)]
         return argmax_index(jll), logsumexp(jll), resp
+
+    def transform(self, df: DataFrame, component: str = "component",
+                  log_likelihood: str = "log_likelihood", prob_prefix: str = "resp_") -> DataFrame:
+        """Component scores are projected once, then argmax / log-sum-exp read columns."""
+        k = len(self.weights_)
+        names = [f"_jll{j}" for j in range(k)]
+        staged = df.select("*", *[c.alias(n) for c, n in zip(self.joint_log_likelihood(), names)])
+        jll = [F.col(n) for n in names]
+        staged = staged.withColumn(log_likelihood, logsumexp(jll))
+        out = staged.select("*", argmax_index(jll).alias(component),
+                            *[F.exp(c - F.col(log_likelihood)).alias(f"{prob_prefix}{j}")
+                              for j, c in enumerate(jll)])
+        return out.drop(*names)

@@ -186,51 +186,46 @@ class TreeGrower:
         model = TreeModel(feats)
         stale: list[DataFrame] = []
         try:
+            # root totals: one aggregate (it also materialises the persisted rows);
+            # every later node's totals come from its parent's winning split
+            root = data.agg(*[F.sum(s).alias(s) for s in stat_names]).first()
+            if root is None or root[stat_names[0]] is None:
+                raise ValueError("cannot grow a tree on an empty table")
+            totals = {1: np.array([root[s] for s in stat_names], dtype=float)}
             for depth in range(self.max_depth + 1):
                 lo, hi = 2 ** depth, 2 ** (depth + 1)
-                level = data.filter((F.col("_node") >= lo) & (F.col("_node") < hi))
                 last = depth == self.max_depth
-                if last:
-                    # leaves only: node totals straight from the rows
-                    stats = None
-                    totals_rows = level.groupBy("_node").agg(*[F.sum(s).alias(s) for s in stat_names]).collect()
-                else:
-                    long = level.select("_node", F.inline(F.array(*[
-                        F.struct(F.lit(k).alias("_f"), F.col(c).cast("double").alias("_v"))
-                        for k, c in enumerate(feats)])), *stat_names)
-                    stats = (long.groupBy("_node", "_f", "_v").agg(*[F.sum(s).alias(s) for s in stat_names])
-                             .persist(StorageLevel.MEMORY_AND_DISK))
-                    # this job also materialises the persisted rows of this level
-                    totals_rows = (stats.filter(F.col("_f") == 0).groupBy("_node")
-                                   .agg(*[F.sum(s).alias(s) for s in stat_names]).collect())
-                for old in stale:
-                    old.unpersist()
-                stale = []
-                if not totals_rows:
-                    break
-                totals = {r["_node"]: np.array([r[s] for s in stat_names], dtype=float)
-                          for r in totals_rows}
                 counts = {i: self._count(t) for i, t in totals.items()}
                 eligible = [i for i in totals if not last and counts[i] >= self.min_split]
                 best = {}
                 if eligible:
+                    level = data.filter((F.col("_node") >= lo) & (F.col("_node") < hi)
+                                        & F.col("_node").isin(eligible))
+                    long = level.select("_node", F.inline(F.array(*[
+                        F.struct(F.lit(k).alias("_f"), F.col(c).cast("double").alias("_v"))
+                        for k, c in enumerate(feats)])), *stat_names)
+                    stats = long.groupBy("_node", "_f", "_v").agg(*[F.sum(s).alias(s) for s in stat_names])
                     # distinct values per (node, feature) are bounded by the node's row count
                     bound = int(max(counts[i] for i in eligible))
                     best = self._best_splits(stats, stat_names, totals, eligible, bound)
-                if stats is not None:
-                    stats.unpersist()
-                splits = {}
+                for old in stale:
+                    old.unpersist()
+                stale = []
+                splits, children = {}, {}
                 for i, t in totals.items():
                     b = best.get(i)
                     if b is not None and b[2] > self.min_impurity:
                         model.nodes[i] = {"feature": b[0], "cutoff": b[1]}
                         splits[i] = b
+                        children[2 * i] = b[3]
+                        children[2 * i + 1] = t - b[3]
                     else:
                         model.nodes[i] = {"value": self.crit.leaf(t)}
                 if not splits:
                     break
                 if len(splits) > MAX_BROADCAST_NODES:
                     raise ValueError("too many nodes in one level to route by broadcast")
+                totals = children
                 split_df = spark.createDataFrame(
                     [(int(i), int(b[0]), float(b[1])) for i, b in splits.items()],
                     "_node bigint, _sf int, _sc double")
@@ -241,11 +236,16 @@ class TreeGrower:
                              F.col("_node") * 2 + F.when(F.element_at(arr, F.col("_sf") + 1) >= F.col("_sc"),
                                                          F.lit(0)).otherwise(F.lit(1))))
                          .drop("_sf", "_sc"))
+                if depth + 1 >= self.max_depth:
+                    # children at the last level are leaves: their totals are known already
+                    stale.append(data)
+                    data = moved
+                    continue
                 if self.checkpoint_interval and (depth + 1) % self.checkpoint_interval == 0:
                     moved = moved.checkpoint(eager=True)
                 else:
-                    # materialised by the next level's first job; the old copy is
-                    # released only after that, so nothing is recomputed
+                    # materialised by the next level's job; the old copy is released
+                    # only after that, so nothing is recomputed
                     moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
                 stale.append(data)
                 data = moved
@@ -277,10 +277,14 @@ class TreeGrower:
         rgt = [tc - lc for tc, lc in zip(t, lft)]
         gain = self.crit.gain(t, lft, rgt)
         nonempty = self._right_nonempty(t, lft)
-        scored = j.filter(nonempty).select("_node", "_f", "_v", F.round(gain, GAIN_DIGITS).alias("_g"))
+        scored = j.filter(nonempty).select("_node", "_f", "_v", F.round(gain, GAIN_DIGITS).alias("_g"),
+                                           *[F.col(f"_l{s}") for s in stat_names])
         key = F.struct(F.col("_g"), (-F.col("_f")).alias("nf"), (-F.col("_v")).alias("nv"))
-        best = scored.groupBy("_node").agg(F.max_by(F.struct("_f", "_v", "_g"), key).alias("b"))
-        return {r["_node"]: (r["b"]["_f"], r["b"]["_v"], r["b"]["_g"]) for r in best.collect()}
+        best = scored.groupBy("_node").agg(F.max_by(F.struct("_f", "_v", "_g", *[f"_l{s}" for s in stat_names]),
+                                                    key).alias("b"))
+        return {r["_node"]: (r["b"]["_f"], r["b"]["_v"], r["b"]["_g"],
+                             np.array([r["b"][f"_l{s}"] for s in stat_names], dtype=float))
+                for r in best.collect()}
 
     def _right_nonempty(self, t, lft) -> Column:
         if isinstance(self.crit, Entropy):

@@ -109,9 +109,9 @@ def _gmm(spark, sf_dir):
     WHERE rn = 1"""))
 def g19_gmm(spark, sf_dir):
     df, model = _gmm(spark, sf_dir)
-    comp, _, resp = model.predict_cols()
-    return df.select("vec_id", comp.alias("component"),
-                     rnd(F.array_max(F.array(*resp))).alias("probability"))
+    out = model.transform(df)
+    resp = F.greatest(*[F.col(f"resp_{j}") for j in range(GM["k"])])
+    return out.select("vec_id", "component", rnd(resp).alias("probability"))
 
 
 @query("e12_gmm_mstep", _gmm_sql(

@@ -182,7 +182,7 @@ def _boost_sql(tail: str) -> str:
 
 @query("g12_boosting_one_round", _boost_sql("""
     SELECT zl.rid AS vec_id, c.label AS prediction FROM (
-      SELECT *, row_number() OVER (PARTITION BY rid ORDER BY z DESC, j) AS rn FROM zl) zl
+      SELECT *, row_number() OVER (PARTITION BY rid ORDER BY round(z, 10) DESC, j) AS rn FROM zl) zl
     JOIN {ranked} c ON c.i = zl.j WHERE zl.rn = 1"""))
 def g12_boosting_one_round(spark, sf_dir):
     df = embedding_view(spark, sf_dir, 2)

@@ -186,12 +186,15 @@ def _blocks(n: int, block_rows: int) -> int:
 
 
 def knn_pairs(queries: DataFrame, train: DataFrame, qid: str, tid: str, features: str, k: int,
-              exclude_self: bool = False, block_rows: int = 2048) -> DataFrame:
+              exclude_self: bool = False, block_rows: int = 2048,
+              carry: str | None = None) -> DataFrame:
     """Exact k nearest train rows for every query row.
 
     ``features`` is an ARRAY<DOUBLE> column on both sides. Returns
-    ``(qid, rank, neighbor, distance)``, ranks 1..k ordered by (distance,
-    neighbor id). Work per task is bounded by block_rows² distances.
+    ``(qid, rank, neighbor, distance[, carry])``, ranks 1..k ordered by
+    (distance, neighbor id). Work per task is bounded by block_rows²
+    distances. ``carry`` (e.g. the train label, integral) travels with the
+    train rows so that consumers need no join back to the train table.
     """
     if k < 1:
         raise ValueError("k must be positive")
@@ -201,6 +204,7 @@ def knn_pairs(queries: DataFrame, train: DataFrame, qid: str, tid: str, features
                        F.pmod(F.xxhash64(qid), F.lit(bq)).alias("qb"))
     q = q.withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(bt - 1)).cast("array<bigint>")))
     t = train.select(F.col(tid).alias("_t"), F.col(features).alias("_tv"),
+                     (F.col(carry).cast("bigint") if carry else F.lit(0).cast("bigint")).alias("_c"),
                      F.pmod(F.xxhash64(tid), F.lit(bt)).alias("tb"))
     t = t.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)).cast("array<bigint>")))
 
@@ -208,11 +212,13 @@ def knn_pairs(queries: DataFrame, train: DataFrame, qid: str, tid: str, features
         import pandas as pd
 
         if qpdf.empty or tpdf.empty:
-            return pd.DataFrame({"q": [], "t": [], "d": []})
+            return pd.DataFrame({"q": np.array([], np.int64), "t": np.array([], np.int64),
+                                 "d": np.array([], np.float64), "c": np.array([], np.int64)})
         qx = np.stack(qpdf["_qv"].to_numpy()).astype(np.float64)
         tx = np.stack(tpdf["_tv"].to_numpy()).astype(np.float64)
         qids = qpdf["_q"].to_numpy()
         tids = tpdf["_t"].to_numpy()
+        tcar = dict(zip(tids.tolist(), tpdf["_c"].to_numpy().tolist()))
         out_q, out_t, out_d = [], [], []
         step = max(1, 4_000_000 // max(1, tx.shape[0] * tx.shape[1]))
         for s in range(0, qx.shape[0], step):
@@ -235,24 +241,28 @@ def knn_pairs(queries: DataFrame, train: DataFrame, qid: str, tid: str, features
                 out_t.extend(ids[order].tolist())
                 out_d.extend(row[order].tolist())
         return pd.DataFrame({"q": np.array(out_q, dtype=np.int64), "t": np.array(out_t, dtype=np.int64),
-                             "d": np.array(out_d, dtype=np.float64)})
+                             "d": np.array(out_d, dtype=np.float64),
+                             "c": np.array([tcar[x] for x in out_t], dtype=np.int64)})
 
     cand = (q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb"))
-            .applyInPandas(lambda a, b: block_topk(a, b), "q bigint, t bigint, d double"))
+            .applyInPandas(lambda a, b: block_topk(a, b), "q bigint, t bigint, d double, c bigint"))
     # each query has at most k candidates per train block; keep the global k best
     w = Window.partitionBy("q").orderBy("d", "t")
     cand = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return cand.select(F.col("q").alias(qid), F.col("rank").cast("bigint").alias("rank"),
-                       F.col("t").alias("neighbor"), F.col("d").alias("distance"))
+    out = [F.col("q").alias(qid), F.col("rank").cast("bigint").alias("rank"),
+           F.col("t").alias("neighbor"), F.col("d").alias("distance")]
+    if carry:
+        out.append(F.col("c").cast(train.schema[carry].dataType).alias(carry))
+    return cand.select(*out)
 
 
-def knn_vote(pairs: DataFrame, qid: str, train_labels: DataFrame, tid: str, label: str) -> DataFrame:
+def knn_vote(pairs: DataFrame, qid: str, label: str) -> DataFrame:
     """Majority label among the neighbours; ties go to the smallest label.
 
-    The label lookup is an equi-join on the train id (sized by Spark/AQE, not
-    forced to broadcast: the train table grows with the data).
+    ``pairs`` carries the neighbour label (``knn_pairs(..., carry=label)``),
+    so the vote is two small aggregates keyed by the query id; a popular
+    neighbour ("hub") cannot skew a join because there is none.
     """
-    lab = train_labels.select(F.col(tid).alias("neighbor"), F.col(label).alias("_lab"))
-    votes = pairs.join(lab, "neighbor").groupBy(qid, "_lab").agg(F.count(F.lit(1)).alias("_c"))
-    key = F.struct((-F.col("_c")).alias("nc"), F.col("_lab").alias("v"))
-    return votes.groupBy(qid).agg(F.min_by("_lab", key).alias("prediction"))
+    votes = pairs.groupBy(qid, label).agg(F.count(F.lit(1)).alias("_c"))
+    key = F.struct((-F.col("_c")).alias("nc"), F.col(label).alias("v"))
+    return votes.groupBy(qid).agg(F.min_by(label, key).alias("prediction"))

@@ -100,7 +100,8 @@ KNN_PAIRS_SQL = f"""
 
 def _knn(spark, sf_dir):
     emb = embedding_array_view(spark, sf_dir)
-    pairs = pairwise.knn_pairs(emb, emb, "vec_id", "vec_id", "features", K_NN, exclude_self=True)
+    pairs = pairwise.knn_pairs(emb, emb, "vec_id", "vec_id", "features", K_NN, exclude_self=True,
+                               carry="label")
     return emb, pairs
 
 
@@ -109,7 +110,7 @@ def _knn(spark, sf_dir):
     SELECT vec_id, rank::BIGINT AS rank, neighbor, {sql_rnd('d')} AS distance FROM top""")
 def d7_knn_topk(spark, sf_dir):
     _, pairs = _knn(spark, sf_dir)
-    return pairs.select("vec_id", "rank", "neighbor", rnd("distance").alias("distance"))
+    return pairs.select("vec_id", "rank", "neighbor", rnd("distance").alias("distance"))  # label dropped
 
 
 KNN_PRED_SQL = f"""
@@ -124,7 +125,7 @@ KNN_PRED_SQL = f"""
 @query("g8_knn_classifier", KNN_PRED_SQL + " SELECT * FROM scored")
 def g8_knn_classifier(spark, sf_dir):
     emb, pairs = _knn(spark, sf_dir)
-    pred = pairwise.knn_vote(pairs, "vec_id", emb, "vec_id", "label")
+    pred = pairwise.knn_vote(pairs, "vec_id", "label")
     return emb.select("vec_id", "label").join(pred, "vec_id")
 
 
@@ -132,7 +133,7 @@ def g8_knn_classifier(spark, sf_dir):
 def e13_knn_vote(spark, sf_dir):
     """Majority label of the k neighbours (ties to the smallest label)."""
     emb, pairs = _knn(spark, sf_dir)
-    return pairwise.knn_vote(pairs, "vec_id", emb, "vec_id", "label")
+    return pairwise.knn_vote(pairs, "vec_id", "label")
 
 
 @query("f4_accuracy", KNN_PRED_SQL + f"""

@@ -265,6 +265,18 @@ class TreeGrower:
     def _best_splits(self, stats: DataFrame, stat_names, totals, eligible, bound: int) -> dict:
         spark = stats.sparkSession
         cand = stats.filter(F.col("_node").isin(eligible))
+        two_level = bound > self.target_rows
+        if two_level:
+            # the ranged path reads the statistics three times (bounds, windows, range totals)
+            cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._search(cand, stat_names, totals, eligible, bound)
+        finally:
+            if two_level:
+                cand.unpersist()
+
+    def _search(self, cand: DataFrame, stat_names, totals, eligible, bound: int) -> dict:
+        spark = cand.sparkSession
         left = suffix_sums(cand, ["_node", "_f"], "_v", stat_names, prefix="_l",
                            target_rows=self.target_rows,
                            max_group_rows=bound if bound <= self.target_rows else None)

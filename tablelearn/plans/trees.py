@@ -35,20 +35,40 @@ MAX_BROADCAST_NODES = 1_000_000
 GAIN_DIGITS = 12
 
 
-def _xlnx(c: Column) -> Column:
-    return F.when(c > 0, c * F.log(c)).otherwise(F.lit(0.0))
+def sql_double(x: float) -> str:
+    """An exact DOUBLE literal for generated Spark SQL (repr round-trips)."""
+    x = float(x)
+    if x != x or x in (float("inf"), float("-inf")):
+        return f"CAST('{x}' AS DOUBLE)"
+    return f"{x!r}D"
+
+
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _xlnx(c: str) -> str:
+    return f"(CASE WHEN {c} > 0 THEN {c} * ln({c}) ELSE 0D END)"
+
+
+def _sum(terms: Sequence[str]) -> str:
+    return "(" + " + ".join(terms) + ")"
 
 
 class Criterion:
     """Additive per-row statistics, a split gain over (total, left, right)
-    statistic columns, and a leaf value from the total statistics."""
+    statistics, and a leaf value from the total statistics.
+
+    Gains are generated as one Spark SQL expression over statistic columns
+    (a single ``F.expr`` call instead of hundreds of Column constructions).
+    """
 
     n_stats: int
 
     def row_stats(self) -> list[Column]:
         raise NotImplementedError
 
-    def gain(self, t: list[Column], l: list[Column], r: list[Column]) -> Column:
+    def gain(self, t: list[str], l: list[str], r: list[str]) -> str:
         raise NotImplementedError
 
     def leaf(self, t: np.ndarray):
@@ -66,18 +86,15 @@ class Entropy(Criterion):
         return [(F.col(self.label) == F.lit(c)).cast("double") for c in self.classes]
 
     @staticmethod
-    def _h(cs: list[Column]) -> tuple[Column, Column]:
-        n = cs[0]
-        s = _xlnx(cs[0])
-        for c in cs[1:]:
-            n, s = n + c, s + _xlnx(c)
-        return n, F.log(n) - s / n
+    def _h(cs: list[str]) -> tuple[str, str]:
+        n = _sum(cs)
+        return n, f"(ln({n}) - {_sum([_xlnx(c) for c in cs])} / {n})"
 
     def gain(self, t, l, r):
         nt, ht = self._h(t)
         nl, hl = self._h(l)
         nr, hr = self._h(r)
-        return ht - nl / nt * hl - nr / nt * hr
+        return f"{ht} - {nl} / {nt} * {hl} - {nr} / {nt} * {hr}"
 
     def leaf(self, t):
         return self.classes[int(np.argmax(t))]
@@ -95,13 +112,12 @@ class VarianceReduction(Criterion):
 
     def gain(self, t, l, r):
         nl, nr = l[0], r[0]
-        n = nl + nr
-        out = None
+        w = f"{nl} * {nr} / (({nl} + {nr}) * ({nl} + {nr}))"
+        terms = []
         for k in range(1, self.n_stats):
-            d = l[k] / nl - r[k] / nr
-            term = nl * nr / (n * n) * d * d
-            out = term if out is None else out + term
-        return out
+            d = f"({l[k]} / {nl} - {r[k]} / {nr})"
+            terms.append(f"{w} * {d} * {d}")
+        return _sum(terms)
 
     def leaf(self, t):
         vals = [float(t[k] / t[0]) for k in range(1, self.n_stats)]
@@ -120,12 +136,11 @@ class NewtonGain(Criterion):
         return [F.col(c) for c in self.grads] + [F.col(c) for c in self.hess] + [F.lit(1.0)]
 
     def gain(self, t, l, r):
-        out = None
+        terms = []
         for j in range(self.k):
             g, h = j, self.k + j
-            term = l[g] * l[g] / l[h] + r[g] * r[g] / r[h] - t[g] * t[g] / t[h]
-            out = term if out is None else out + term
-        return F.lit(0.5) * out
+            terms.append(f"{l[g]} * {l[g]} / {l[h]} + {r[g]} * {r[g]} / {r[h]} - {t[g]} * {t[g]} / {t[h]}")
+        return f"0.5D * {_sum(terms)}"
 
     def leaf(self, t):
         return [float(t[j] / t[self.k + j]) if t[self.k + j] != 0 else 0.0 for j in range(self.k)]
@@ -139,21 +154,30 @@ class TreeModel:
     def is_leaf(self, i: int) -> bool:
         return "value" in self.nodes[i]
 
-    def _route(self, i: int, leaf_expr) -> Column:
+    def _route_sql(self, i: int, leaf_sql) -> str:
         nd = self.nodes[i]
         if "value" in nd:
-            return leaf_expr(i, nd["value"])
-        x = F.col(self.features[nd["feature"]])
-        return F.when(x >= F.lit(nd["cutoff"]), self._route(2 * i, leaf_expr)).otherwise(
-            self._route(2 * i + 1, leaf_expr))
+            return leaf_sql(i, nd["value"])
+        x = _q(self.features[nd["feature"]])
+        return (f"CASE WHEN {x} >= {sql_double(nd['cutoff'])} THEN {self._route_sql(2 * i, leaf_sql)} "
+                f"ELSE {self._route_sql(2 * i + 1, leaf_sql)} END")
 
     def leaf_id_col(self) -> Column:
         """The heap id of the leaf each row falls into (nested CASE)."""
-        return self._route(1, lambda i, v: F.lit(i))
+        return F.expr(self._route_sql(1, lambda i, v: f"{int(i)}L"))
 
     def value_col(self, index: int | None = None) -> Column:
         """Leaf value (or its ``index``-th component for vector leaves)."""
-        return self._route(1, lambda i, v: F.lit(v if index is None else v[index]))
+        def leaf(i, v):
+            v = v if index is None else v[index]
+            if isinstance(v, (bool, np.bool_)):
+                return "true" if v else "false"
+            if isinstance(v, (int, np.integer)):
+                return f"{int(v)}"
+            if isinstance(v, str):
+                return "'" + v.replace("'", "''") + "'"
+            return sql_double(v)
+        return F.expr(self._route_sql(1, leaf))
 
     def table(self) -> list[tuple]:
         """Node table rows: (node, feature, cutoff, is_leaf, value as text)."""
@@ -284,11 +308,11 @@ class TreeGrower:
             [(int(i), *map(float, totals[i])) for i in eligible],
             "_node bigint, " + ", ".join(f"_t{s} double" for s in stat_names))
         j = left.join(F.broadcast(tot_df), "_node")
-        t = [F.col(f"_t{s}") for s in stat_names]
-        lft = [F.col(f"_l{s}") for s in stat_names]
-        rgt = [tc - lc for tc, lc in zip(t, lft)]
-        gain = self.crit.gain(t, lft, rgt)
-        nonempty = self._right_nonempty(t, lft)
+        t = [_q(f"_t{s}") for s in stat_names]
+        lft = [_q(f"_l{s}") for s in stat_names]
+        rgt = [f"({tc} - {lc})" for tc, lc in zip(t, lft)]
+        gain = F.expr(self.crit.gain(t, lft, rgt))
+        nonempty = F.expr(self._right_nonempty(t, lft))
         scored = j.filter(nonempty).select("_node", "_f", "_v", F.round(gain, GAIN_DIGITS).alias("_g"),
                                            *[F.col(f"_l{s}") for s in stat_names])
         key = F.struct(F.col("_g"), (-F.col("_f")).alias("nf"), (-F.col("_v")).alias("nv"))
@@ -298,16 +322,13 @@ class TreeGrower:
                              np.array([r["b"][f"_l{s}"] for s in stat_names], dtype=float))
                 for r in best.collect()}
 
-    def _right_nonempty(self, t, lft) -> Column:
+    def _right_nonempty(self, t: list[str], lft: list[str]) -> str:
         if isinstance(self.crit, Entropy):
-            tn, ln = t[0], lft[0]
-            for a, b in zip(t[1:], lft[1:]):
-                tn, ln = tn + a, ln + b
-            return tn - ln > F.lit(0.5)
+            return f"{_sum(t)} - {_sum(lft)} > 0.5D"
         if isinstance(self.crit, VarianceReduction):
-            return t[0] - lft[0] > F.lit(0.5)
-        # Newton: the last statistic is a row count appended by the caller
-        return t[-1] - lft[-1] > F.lit(0.5)
+            return f"{t[0]} - {lft[0]} > 0.5D"
+        # Newton: the last statistic counts rows
+        return f"{t[-1]} - {lft[-1]} > 0.5D"
 
 
 class DecisionTreeClassifier:

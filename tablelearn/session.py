@@ -26,6 +26,9 @@ def get_session(master: str | None = None, app: str = "tablelearn",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # model parameters enter plans as literal expressions built from Python;
+        # per-call stack capture for error context costs more than the job itself
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions:
         defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -26,12 +26,30 @@ def total(terms: Sequence[Column]) -> Column:
     return reduce(add, terms)
 
 
+def sql_double(x: float) -> str:
+    """An exact DOUBLE literal for generated Spark SQL (``repr`` round-trips)."""
+    x = float(x)
+    if x != x or x in (float("inf"), float("-inf")):
+        return f"CAST('{x}' AS DOUBLE)"
+    return f"{x!r}D"
+
+
+def _names(cols) -> bool:
+    return all(isinstance(c, str) for c in cols)
+
+
 def dot(cols: Sequence[str | Column], weights: Sequence[float], bias: float = 0.0) -> Column:
-    """X·w + b as one generated sum."""
-    cols = col_list(cols)
+    """X·w + b as one generated sum.
+
+    With named columns the sum is emitted as one SQL expression (one JVM call
+    however many weights) — the same plan as composing Columns.
+    """
     if len(cols) != len(weights):
         raise ValueError(f"width mismatch: {len(cols)} features vs {len(weights)} weights")
-    terms = [c * F.lit(float(w)) for c, w in zip(cols, weights)]
+    if _names(cols):
+        terms = [f"`{c}` * {sql_double(w)}" for c, w in zip(cols, weights)] or ["0D"]
+        return F.expr(f"(({' + '.join(terms)}) + {sql_double(bias)})")
+    terms = [c * F.lit(float(w)) for c, w in zip(col_list(cols), weights)]
     return total(terms) + F.lit(float(bias))
 
 
@@ -44,6 +62,9 @@ def col_dot(a: Sequence[str | Column], b: Sequence[str | Column]) -> Column:
 
 def sq_dist(cols: Sequence[str | Column], center: Sequence[float | Column]) -> Column:
     """Squared Euclidean distance from a row to a fixed point (or paired columns)."""
+    if len(cols) == len(center) and _names(cols) and not any(isinstance(m, Column) for m in center):
+        terms = [f"(`{c}` - {sql_double(m)}) * (`{c}` - {sql_double(m)})" for c, m in zip(cols, center)]
+        return F.expr("(" + (" + ".join(terms) or "0D") + ")")
     cols = col_list(cols)
     if len(cols) != len(center):
         raise ValueError(f"width mismatch: {len(cols)} vs {len(center)}")

@@ -126,6 +126,31 @@ def _centred_arrow_cov(df, cols, by, ddof):
     return g.select("i", "j", (F.col("value") * scale).alias("value"))
 
 
+def covariance_matrix(df: DataFrame, cols: Sequence[str], ddof: int = 1) -> tuple[int, np.ndarray, np.ndarray]:
+    """(n, mean, covariance) collected for a driver-side eigen / solve; O(p²).
+
+    Narrow: one aggregate of ``count``, ``avg`` and ``covar_samp``. Wide: the
+    means pass, then the centred Arrow Gram (two scans, no join).
+    """
+    p = len(cols)
+    cov = np.zeros((p, p))
+    if p <= SCALAR_MAX_P:
+        fn = F.covar_samp if ddof == 1 else F.covar_pop
+        row = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{k}") for k, c in enumerate(cols)],
+                     *[fn(cols[i], cols[j]).alias(f"c_{i}_{j}") for i, j in _pairs(p)]).first()
+        for i, j in _pairs(p):
+            cov[i, j] = cov[j, i] = row[f"c_{i}_{j}"] if row[f"c_{i}_{j}"] is not None else np.nan
+        return row["n"], np.array([row[f"m{k}"] for k in range(p)], dtype=float), cov
+    stats = df.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m{k}") for k, c in enumerate(cols)]).first()
+    n = stats["_n"]
+    mean = np.array([stats[f"_m{k}"] for k in range(p)], dtype=float)
+    if n - ddof <= 0:
+        return n, mean, np.full((p, p), np.nan)
+    for r in _arrow_gram(df, cols, None, centre={None: mean}).collect():
+        cov[r["i"], r["j"]] = cov[r["j"], r["i"]] = r["value"] / (n - ddof)
+    return n, mean, cov
+
+
 def _bounded(df: DataFrame, what: str, limit: int = MAX_GROUPS) -> DataFrame:
     n = df.count()
     if n > limit:

@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.linalg import dot
-from ..operators.moments import covariance_table
-from .base import collect_bounded
+from ..operators.moments import covariance_matrix
 
 
 class PCA:
@@ -30,17 +29,12 @@ class PCA:
         k = p if self.n_components is None else self.n_components
         if not 0 < k <= p:
             raise ValueError(f"n_components={k} must be between 1 and {p}")
-        stats = df.agg(F.count(F.lit(1)).alias("n"),
-                       *[F.avg(c).alias(f"m{i}") for i, c in enumerate(self.features)]).first()
-        n = stats["n"]
+        n, mean, cov = covariance_matrix(df, self.features)
         if n < 2:
             raise ValueError("PCA needs at least two rows")
         if k > n:
             raise ValueError(f"n_components={k} exceeds the row count {n}")
-        self.mean_ = np.array([stats[f"m{i}"] for i in range(p)])
-        cov = np.zeros((p, p))
-        for r in collect_bounded(covariance_table(df, self.features), "covariance", p * (p + 1)):
-            cov[r["i"], r["j"]] = cov[r["j"], r["i"]] = r["value"]
+        self.mean_ = mean
         vals, vecs = np.linalg.eigh(cov)
         order = np.argsort(vals)[::-1]
         vals, vecs = np.clip(vals[order], 0.0, None), vecs[:, order].T

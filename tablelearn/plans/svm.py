@@ -18,7 +18,15 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.linalg import dot
+from ..functions.linalg import dot, sql_double
+
+
+def _sql_value(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    if isinstance(v, (int, np.integer)):
+        return str(int(v))
+    return sql_double(v)
 from ..operators.split import hinge_active
 
 
@@ -225,14 +233,16 @@ class OneVsRestSVM:
             old = None
             self.n_iter_ = 0
             for _ in range(self.max_iter):
+                # all K problems in one aggregate, generated as SQL expressions
                 aggs = [F.count(F.lit(1)).alias("n")]
                 for c, cls in enumerate(self.classes):
-                    y = F.when(F.col("_lab") == F.lit(cls), F.lit(1.0)).otherwise(F.lit(-1.0))
-                    s = dot(self.features, w[c, 1:], float(w[c, 0]))
-                    act = y * s < F.lit(1.0)
-                    aggs.append(F.avg(F.greatest(F.lit(0.0), F.lit(1.0) - y * s)).alias(f"h{c}"))
-                    aggs.append(F.sum(F.when(act, y).otherwise(F.lit(0.0))).alias(f"g{c}_0"))
-                    aggs += [F.sum(F.when(act, y * F.col(f)).otherwise(F.lit(0.0))).alias(f"g{c}_{j + 1}")
+                    y = f"(CASE WHEN `_lab` = {_sql_value(cls)} THEN 1D ELSE -1D END)"
+                    terms = [f"`{f}` * {sql_double(w[c, j + 1])}" for j, f in enumerate(self.features)]
+                    s_ = f"({sql_double(w[c, 0])} + {' + '.join(terms)})"
+                    act = f"{y} * {s_} < 1D"
+                    aggs.append(F.expr(f"avg(greatest(0D, 1D - {y} * {s_}))").alias(f"h{c}"))
+                    aggs.append(F.expr(f"sum(CASE WHEN {act} THEN {y} ELSE 0D END)").alias(f"g{c}_0"))
+                    aggs += [F.expr(f"sum(CASE WHEN {act} THEN {y} * `{f}` ELSE 0D END)").alias(f"g{c}_{j + 1}")
                              for j, f in enumerate(self.features)]
                 row = data.agg(*aggs).first()
                 n = row["n"]

@@ -145,3 +145,25 @@ def test_stream_scoring(spark, tmp_path):
     assert got.count() == static.count()
     expect = {r.vec_id: r.prediction for r in model.transform(static).collect()}
     assert all(expect[r.vec_id] == r.prediction for r in got.collect())
+
+
+def test_knn_classifier_matches_brute_force(spark):
+    from tablelearn.plans.neighbors import KNNClassifier
+
+    emb = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    rows = emb.collect()
+    train = emb.filter(F.col("vec_id") % 3 != 0)
+    test = emb.filter(F.col("vec_id") % 3 == 0)
+    model = KNNClassifier(n_neighbors=5, block_rows=100).fit(train, "vec_id", "embedding", "label")
+    got = {r.vec_id: r.prediction for r in model.predict(test).collect()}
+    tr = [(r.vec_id, np.array(r.embedding, dtype=float), r.label) for r in rows if r.vec_id % 3 != 0]
+    for r in rows:
+        if r.vec_id % 3:
+            continue
+        x = np.array(r.embedding, dtype=float)
+        d = sorted((float(np.sqrt(((x - v) ** 2).sum())), i, lab) for i, v, lab in tr)[:5]
+        votes = {}
+        for _, _, lab in d:
+            votes[lab] = votes.get(lab, 0) + 1
+        best = min(votes, key=lambda lab: (-votes[lab], lab))
+        assert got[r.vec_id] == best

@@ -61,7 +61,7 @@ def point_values(cols: Sequence[str | Column], points: np.ndarray, fn: str = "di
 
 # above this many (dims x points) terms, generated expressions outgrow the JVM's
 # 64 KB method limit; the Arrow form computes the same values with NumPy.
-MAX_GENERATED_TERMS = 160
+from ..functions.arrow_scores import MAX_GENERATED_TERMS  # noqa: E402
 
 
 def _np_point_values(x: np.ndarray, pts: np.ndarray, fn: str, degree: int, gamma: float) -> np.ndarray:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.activations import log_softmax
+from ..functions.arrow_scores import append_scores, is_wide
 from ..functions.linalg import argmax_index, dot, pick, total
 from ..operators import moments
 from .base import ModelTable, collect_bounded
@@ -44,7 +45,10 @@ class _ClassScorer:
         # class scores are projected once; argmax and softmax then read columns
         k = len(self.classes)
         names = [f"_jll{j}" for j in range(k)]
-        scored = df.select("*", *[c.alias(n) for c, n in zip(self.joint_log_likelihood(), names)])
+        if is_wide(len(self.features), k):
+            scored = append_scores(df, self.features, names, self.np_joint_log_likelihood)
+        else:
+            scored = df.select("*", *[c.alias(n) for c, n in zip(self.joint_log_likelihood(), names)])
         jll = [F.col(n) for n in names]
         out = scored.withColumn(prediction, pick(self.classes, argmax_index(jll)))
         if probability:
@@ -80,6 +84,14 @@ class GaussianNB(_ClassScorer):
                             else _check_priors(self.priors, len(rows)))
         return self
 
+    def np_joint_log_likelihood(self, x: np.ndarray) -> np.ndarray:
+        const = np.log(self.class_prior) - 0.5 * np.log(2.0 * math.pi * self.var).sum(axis=1)
+        out = np.empty((x.shape[0], len(self.classes)))
+        for k in range(len(self.classes)):
+            d = x - self.theta[k]
+            out[:, k] = const[k] - 0.5 * (d * d / self.var[k]).sum(axis=1)
+        return out
+
     def joint_log_likelihood(self) -> list[Column]:
         out = []
         for k in range(len(self.classes)):
@@ -141,6 +153,9 @@ class LinearDiscriminantAnalysis(_ClassScorer):
 
     decision_function = joint_log_likelihood
 
+    def np_joint_log_likelihood(self, x: np.ndarray) -> np.ndarray:
+        return x @ self.coef.T + self.intercept
+
     def model_table(self) -> ModelTable:
         return ModelTable("lda", {"coef": self.coef, "intercept": self.intercept,
                                   "classes": np.array(self.classes, dtype=float)},

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.activations import log_softmax, logsumexp
+from ..functions.arrow_scores import append_scores, is_wide
 from ..functions.gaussian import gaussian_logpdf
 from ..functions.linalg import argmax_index
 from ..operators import pairwise, sampling
@@ -234,6 +235,17 @@ class GaussianMixture:
                 + sr[:, None, None] * np.outer(shift, shift)[None])
         return n, sr, srx, srxx, ll
 
+    def np_joint_log_likelihood(self, x: np.ndarray) -> np.ndarray:
+        k, p = self.means_.shape
+        prec = np.linalg.inv(self.covariances_)
+        logdet = np.linalg.slogdet(self.covariances_)[1]
+        out = np.empty((x.shape[0], k))
+        for j in range(k):
+            d = x - self.means_[j]
+            out[:, j] = (np.log(self.weights_[j]) - 0.5 * (p * np.log(2 * np.pi) + logdet[j])
+                         - 0.5 * np.einsum("ij,jk,ik->i", d, prec[j], d))
+        return out
+
     def joint_log_likelihood(self) -> list[Column]:
         """log π_k + log N(x; μ_k, Σ_k) per component (expressions, narrow inputs)."""
         return [F.lit(float(np.log(w))) + gaussian_logpdf(self.features, m, c)
@@ -250,7 +262,11 @@ class GaussianMixture:
         """Component scores are projected once, then argmax / log-sum-exp read columns."""
         k = len(self.weights_)
         names = [f"_jll{j}" for j in range(k)]
-        staged = df.select("*", *[c.alias(n) for c, n in zip(self.joint_log_likelihood(), names)])
+        p = len(self.features)
+        if is_wide(p * p, k):
+            staged = append_scores(df, self.features, names, self.np_joint_log_likelihood)
+        else:
+            staged = df.select("*", *[c.alias(n) for c, n in zip(self.joint_log_likelihood(), names)])
         jll = [F.col(n) for n in names]
         staged = staged.withColumn(log_likelihood, logsumexp(jll))
         out = staged.select("*", argmax_index(jll).alias(component),

@@ -167,3 +167,28 @@ def test_knn_classifier_matches_brute_force(spark):
             votes[lab] = votes.get(lab, 0) + 1
         best = min(votes, key=lambda lab: (-votes[lab], lab))
         assert got[r.vec_id] == best
+
+
+@pytest.mark.parametrize("kind", ["nb", "lda", "gmm"])
+def test_arrow_scoring_matches_expressions(spark, kind):
+    from tablelearn.functions import arrow_scores
+    from tablelearn.plans.bayes import GaussianNB, LinearDiscriminantAnalysis
+
+    df = embedding_view(spark, SF001, 3)
+    if kind == "gmm":
+        model = GaussianMixture(2, max_iter=3, tol=0.0, seed=2).fit(df, xs(3), "vec_id")
+        run = lambda: {r.vec_id: (r.component, r.log_likelihood) for r in model.transform(df).collect()}
+    else:
+        model = (GaussianNB() if kind == "nb" else LinearDiscriminantAnalysis()).fit(df, xs(3), "label")
+        run = lambda: {r.vec_id: (r.prediction, r.probability) for r in model.transform(df).collect()}
+    expr = run()
+    saved = arrow_scores.MAX_GENERATED_TERMS
+    arrow_scores.MAX_GENERATED_TERMS = 0
+    try:
+        arrow = run()
+    finally:
+        arrow_scores.MAX_GENERATED_TERMS = saved
+    assert expr.keys() == arrow.keys()
+    for k in expr:
+        assert expr[k][0] == arrow[k][0]
+        assert expr[k][1] == pytest.approx(arrow[k][1], rel=1e-9)

@@ -136,12 +136,20 @@ def covariance_matrix(df: DataFrame, cols: Sequence[str], ddof: int = 1) -> tupl
     cov = np.zeros((p, p))
     if p <= SCALAR_MAX_P:
         fn = F.covar_samp if ddof == 1 else F.covar_pop
-        row = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{k}") for k, c in enumerate(cols)],
+        from ..sources.validate import count_invalid, raise_if_invalid
+
+        row = df.agg(F.count(F.lit(1)).alias("n"), count_invalid(cols),
+                     *[F.avg(c).alias(f"m{k}") for k, c in enumerate(cols)],
                      *[fn(cols[i], cols[j]).alias(f"c_{i}_{j}") for i, j in _pairs(p)]).first()
+        raise_if_invalid(row["_invalid"])
         for i, j in _pairs(p):
             cov[i, j] = cov[j, i] = row[f"c_{i}_{j}"] if row[f"c_{i}_{j}"] is not None else np.nan
         return row["n"], np.array([row[f"m{k}"] for k in range(p)], dtype=float), cov
-    stats = df.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m{k}") for k, c in enumerate(cols)]).first()
+    from ..sources.validate import count_invalid, raise_if_invalid
+
+    stats = df.agg(F.count(F.lit(1)).alias("_n"), count_invalid(cols),
+                   *[F.avg(c).alias(f"_m{k}") for k, c in enumerate(cols)]).first()
+    raise_if_invalid(stats["_invalid"])
     n = stats["_n"]
     mean = np.array([stats[f"_m{k}"] for k in range(p)], dtype=float)
     if n - ddof <= 0:
@@ -163,8 +171,10 @@ def moment_matrices(df: DataFrame, cols: Sequence[str], y: str | None = None) ->
 
     The collected size is O(p²), independent of the row count.
     """
+    from ..sources.validate import count_invalid, raise_if_invalid
+
     p = len(cols)
-    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs = [F.count(F.lit(1)).alias("n"), count_invalid(cols, y)]
     aggs += [F.sum(c).alias(f"s_{k}") for k, c in enumerate(cols)]
     if y is not None:
         aggs += [F.sum(F.col(c) * F.col(y)).alias(f"xy_{k}") for k, c in enumerate(cols)]
@@ -180,6 +190,7 @@ def moment_matrices(df: DataFrame, cols: Sequence[str], y: str | None = None) ->
         g = np.zeros((p, p))
         for r in _arrow_gram(df, cols, None).collect():
             g[r["i"], r["j"]] = g[r["j"], r["i"]] = r["value"]
+    raise_if_invalid(row["_invalid"])
     out = {"n": row["n"], "sx": np.array([row[f"s_{k}"] or 0.0 for k in range(p)]), "xtx": g}
     if y is not None:
         out["xty"] = np.array([row[f"xy_{k}"] or 0.0 for k in range(p)])
@@ -205,7 +216,9 @@ def class_priors(df: DataFrame, label: str) -> DataFrame:
 def class_gaussian_params(df: DataFrame, cols: Sequence[str], label: str,
                           var_smoothing: float = 1e-9) -> DataFrame:
     """Per class n, mean and population variance (+ smoothing) of each feature."""
-    aggs = [F.count(F.lit(1)).alias("n")]
+    from ..sources.validate import count_invalid
+
+    aggs = [F.count(F.lit(1)).alias("n"), count_invalid(cols, label)]
     for k, c in enumerate(cols):
         aggs += [F.avg(c).alias(f"theta_{k}"),
                  (F.var_pop(c) + F.lit(var_smoothing)).alias(f"var_{k}")]
@@ -214,7 +227,9 @@ def class_gaussian_params(df: DataFrame, cols: Sequence[str], label: str,
 
 def class_means(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """Per class (or cluster) mean of each feature."""
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"),
+    from ..sources.validate import count_invalid
+
+    return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), count_invalid(cols, label),
                                  *[F.avg(c).alias(f"mean_{k}") for k, c in enumerate(cols)])
 
 

@@ -18,6 +18,7 @@ from ..functions.activations import log_softmax
 from ..functions.arrow_scores import append_scores, is_wide
 from ..functions.linalg import argmax_index, dot, pick, total
 from ..operators import moments
+from ..sources.validate import raise_if_invalid
 from .base import ModelTable, collect_bounded
 
 
@@ -72,7 +73,9 @@ class GaussianNB(_ClassScorer):
     def fit(self, df: DataFrame, features: Sequence[str], label: str) -> "GaussianNB":
         self.features = list(features)
         stats = moments.class_gaussian_params(df, self.features, label, self.var_smoothing)
-        rows = sorted(collect_bounded(stats, "naive Bayes classes"), key=lambda r: r[label])
+        rows = collect_bounded(stats, "naive Bayes classes")
+        raise_if_invalid(sum(r["_invalid"] for r in rows))
+        rows = sorted(rows, key=lambda r: r[label])
         if not rows:
             raise ValueError("cannot fit on an empty table")
         p = len(self.features)
@@ -126,8 +129,9 @@ class LinearDiscriminantAnalysis(_ClassScorer):
     def fit(self, df: DataFrame, features: Sequence[str], label: str) -> "LinearDiscriminantAnalysis":
         self.features = list(features)
         p = len(self.features)
-        means = sorted(collect_bounded(moments.class_means(df, self.features, label), "LDA classes"),
-                       key=lambda r: r[label])
+        means = collect_bounded(moments.class_means(df, self.features, label), "LDA classes")
+        raise_if_invalid(sum(r["_invalid"] for r in means))
+        means = sorted(means, key=lambda r: r[label])
         if not means:
             raise ValueError("cannot fit on an empty table")
         self.classes = [r[label] for r in means]

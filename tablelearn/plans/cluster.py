@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.validate import assert_finite
 from ..functions.activations import log_softmax, logsumexp
 from ..functions.arrow_scores import append_scores, is_wide
 from ..functions.gaussian import gaussian_logpdf
@@ -57,6 +58,7 @@ class KMeans:
         p = len(self.features)
         data = df.select(id_col, *self.features).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            assert_finite(data, self.features, None)
             cent = (np.asarray(self.init, dtype=float) if self.init is not None
                     else _initial_rows(data, id_col, self.features, self.k, self.seed))
             if cent.shape != (self.k, p):
@@ -153,6 +155,7 @@ class GaussianMixture:
         p, k = len(self.features), self.k
         data = df.select(id_col, *self.features).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            assert_finite(data, self.features, None)
             if self.init_means is not None:
                 means = np.asarray(self.init_means, dtype=float)
             elif self.init_params == "kmeans":

@@ -17,6 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.validate import assert_finite
 from ..functions.activations import sigmoid
 from ..functions.linalg import dot
 from ..operators.moments import moment_matrices
@@ -171,6 +172,7 @@ class LogisticRegression:
         p = len(self.features) + (1 if self.fit_intercept else 0)
         data = df.select(*self.features, F.col(label).cast("double").alias("_y")).persist()
         try:
+            assert_finite(data, self.features, "_y")
             w = np.zeros(p) if self.init is None else np.asarray(self.init, dtype=float).copy()
             lam = 1.0 / self.C if self.penalty == "l2" else 0.0
             self.n_iter_ = 0

@@ -28,6 +28,7 @@ def _sql_value(v) -> str:
         return str(int(v))
     return sql_double(v)
 from ..operators.split import hinge_active
+from ..sources.validate import count_invalid, raise_if_invalid
 
 
 class LinearSVM:
@@ -73,8 +74,10 @@ class LinearSVM:
         data = df.select(*self.features, F.col(label).cast("double").alias("_y")).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
-            bad = data.filter(~F.col("_y").isin(-1.0, 1.0)).limit(1).count()
-            if bad:
+            r = data.agg(count_invalid(self.features, "_y"),
+                          F.count_if(~F.col("_y").isin(-1.0, 1.0)).alias("_badlab")).first()
+            raise_if_invalid(r["_invalid"])
+            if r["_badlab"]:
                 raise ValueError("labels must be -1 or +1")
             w = np.zeros(p)
             mask = self._reg_mask(p)

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.prefix import suffix_sums
+from ..sources.validate import count_invalid, raise_if_invalid
 from ..session import ensure_checkpoint_dir
 
 MAX_BROADCAST_NODES = 1_000_000
@@ -212,7 +213,9 @@ class TreeGrower:
         try:
             # root totals: one aggregate (it also materialises the persisted rows);
             # every later node's totals come from its parent's winning split
-            root = data.agg(*[F.sum(s).alias(s) for s in stat_names]).first()
+            root = data.agg(*[F.sum(s).alias(s) for s in stat_names],
+                            count_invalid(feats + stat_names)).first()
+            raise_if_invalid(root["_invalid"])
             if root is None or root[stat_names[0]] is None:
                 raise ValueError("cannot grow a tree on an empty table")
             totals = {1: np.array([root[s] for s in stat_names], dtype=float)}

@@ -44,3 +44,33 @@ def assert_valid(report: DataFrame) -> None:
         problems.append("ragged widths")
     if problems:
         raise ValueError(f"invalid feature table: {problems} in {r}")
+
+
+def invalid_row(cols: Sequence[str], label: str | None = None):
+    """Boolean column: the row has a NULL / NaN / ±inf feature (or a NULL label)."""
+    bad = None
+    for c in cols:
+        b = F.col(c).isNull() | F.isnan(c) | (F.abs(F.col(c)) == F.lit(float("inf")))
+        bad = b if bad is None else bad | b
+    if label is not None:
+        lb = F.col(label).isNull()
+        bad = lb if bad is None else bad | lb
+    return F.coalesce(bad, F.lit(True)) if bad is not None else F.lit(False)
+
+
+def count_invalid(cols: Sequence[str], label: str | None = None, name: str = "_invalid"):
+    """Aggregate counting invalid rows; add it to an existing ``agg`` so the
+    check rides on a pass the fit makes anyway."""
+    return F.count_if(invalid_row(cols, label)).alias(name)
+
+
+def raise_if_invalid(n_invalid, what: str = "feature table") -> None:
+    if n_invalid:
+        raise ValueError(f"{what}: {n_invalid} rows have NULL, NaN or infinite values")
+
+
+def assert_finite(df: DataFrame, cols: Sequence[str], label: str | None = None) -> int:
+    """One aggregate pass: raise on invalid rows, return the row count."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), count_invalid(cols, label)).first()
+    raise_if_invalid(r["_invalid"])
+    return r["n"]

@@ -193,3 +193,29 @@ def test_empty_input_raises(spark):
     df = spark.createDataFrame([], "x double, y int")
     with pytest.raises(ValueError):
         GaussianNB().fit(df, ["x"], "y")
+
+
+@pytest.mark.parametrize("fit", ["ols", "nb", "lda", "kmeans", "tree", "pca", "logit", "svm"])
+def test_nan_or_null_feature_rejected(spark, fit):
+    from tablelearn.plans.bayes import GaussianNB
+    from tablelearn.plans.cluster import KMeans
+    from tablelearn.plans.decompose import PCA
+    from tablelearn.plans.linear import LinearRegression, LogisticRegression
+    from tablelearn.plans.svm import LinearSVM
+    from tablelearn.plans.trees import DecisionTreeClassifier
+
+    rows = [(1, 0.0, 1.0, 1), (2, 1.0, float("nan"), -1), (3, 2.0, 0.5, 1), (4, None, 0.1, -1),
+            (5, 0.3, 0.2, 1), (6, 0.7, 0.9, -1)]
+    df = spark.createDataFrame(rows, "id int, x1 double, x2 double, y int")
+    fits = {
+        "ols": lambda: LinearRegression().fit(df, ["x1", "x2"], "y"),
+        "nb": lambda: GaussianNB().fit(df, ["x1", "x2"], "y"),
+        "lda": lambda: LinearDiscriminantAnalysis().fit(df, ["x1", "x2"], "y"),
+        "kmeans": lambda: KMeans(2, max_iter=2).fit(df, ["x1", "x2"], "id"),
+        "tree": lambda: DecisionTreeClassifier(max_depth=2).fit(df, ["x1", "x2"], "y"),
+        "pca": lambda: PCA(2).fit(df, ["x1", "x2"]),
+        "logit": lambda: LogisticRegression(max_iter=2).fit(df, ["x1", "x2"], "y"),
+        "svm": lambda: LinearSVM(max_iter=2).fit(df, ["x1", "x2"], "y"),
+    }
+    with pytest.raises(ValueError, match="NULL, NaN or infinite"):
+        fits[fit]()

@@ -41,3 +41,40 @@ def append_scores(df: DataFrame, features: Sequence[str], names: Sequence[str],
             yield pa.RecordBatch.from_arrays(cols, names=list(b.schema.names) + names)
 
     return df.mapInArrow(per_batch, schema)
+
+
+MAX_GENERATED_AGGREGATES = 256
+
+
+def too_many_aggregates(n: int) -> bool:
+    """More aggregate expressions than one generated aggregate should hold."""
+    return n > MAX_GENERATED_AGGREGATES
+
+
+def arrow_sums(df: DataFrame, columns: Sequence[str], size: int,
+               batch_fn: Callable[[dict], np.ndarray]) -> np.ndarray:
+    """Σ over all rows of ``batch_fn(batch) -> vector[size]``, computed per Arrow
+    batch with NumPy, summed per partition, emitted as ``size`` long rows per
+    partition and merged by ``groupBy(slot).sum``: a map-side-combined
+    aggregate for statistics too wide for generated expressions (gradients
+    of many features or classes)."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    columns = list(columns)
+
+    def per_partition(batches):
+        acc = np.zeros(size)
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in columns}
+            acc += np.asarray(batch_fn(cols), dtype=np.float64).reshape(size)
+        yield pa.RecordBatch.from_pydict({"slot": np.arange(size, dtype=np.int32), "value": acc})
+
+    rows = (df.select(*columns).mapInArrow(per_partition, "slot int, value double")
+            .groupBy("slot").agg(F.sum("value").alias("value")).collect())
+    out = np.zeros(size)
+    for r in rows:
+        out[r["slot"]] = r["value"]
+    return out

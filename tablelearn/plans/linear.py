@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..sources.validate import assert_finite
 from ..functions.activations import sigmoid
+from ..functions.arrow_scores import arrow_sums, too_many_aggregates
 from ..functions.linalg import dot
 from ..operators.moments import moment_matrices
 
@@ -176,13 +177,9 @@ class LogisticRegression:
             w = np.zeros(p) if self.init is None else np.asarray(self.init, dtype=float).copy()
             lam = 1.0 / self.C if self.penalty == "l2" else 0.0
             self.n_iter_ = 0
+            wide = too_many_aggregates(len(self.features) + 1)
             for _ in range(self.max_iter):
-                r = F.col("_y") - sigmoid(self._score(w))
-                terms = ([F.sum(r).alias("g0")] if self.fit_intercept else [])
-                terms += [F.sum(r * F.col(c)).alias(f"g{k + 1}") for k, c in enumerate(self.features)]
-                row = data.agg(*terms).first()
-                keys = (["g0"] if self.fit_intercept else []) + [f"g{k + 1}" for k in range(len(self.features))]
-                grad = np.array([row[k] or 0.0 for k in keys])
+                grad = self._arrow_gradient(data, w) if wide else self._sql_gradient(data, w)
                 reg = lam * w
                 if self.fit_intercept:
                     reg[0] = 0.0
@@ -197,6 +194,25 @@ class LogisticRegression:
         self.coef_ = w
         return self
 
+    def _sql_gradient(self, data: DataFrame, w: np.ndarray) -> np.ndarray:
+        r = F.col("_y") - sigmoid(self._score(w))
+        terms = ([F.sum(r).alias("g0")] if self.fit_intercept else [])
+        terms += [F.sum(r * F.col(c)).alias(f"g{k + 1}") for k, c in enumerate(self.features)]
+        row = data.agg(*terms).first()
+        keys = (["g0"] if self.fit_intercept else []) + [f"g{k + 1}" for k in range(len(self.features))]
+        return np.array([row[k] or 0.0 for k in keys])
+
+    def _arrow_gradient(self, data: DataFrame, w: np.ndarray) -> np.ndarray:
+        feats, icpt = self.features, self.fit_intercept
+
+        def batch(cols):
+            x = np.column_stack([cols[c].astype(np.float64) for c in feats])
+            if icpt:
+                x = np.column_stack([np.ones(len(x)), x])
+            z = x @ w
+            return x.T @ (cols["_y"].astype(np.float64) - 1.0 / (1.0 + np.exp(-z)))
+        return arrow_sums(data, feats + ["_y"], len(w), batch)
+
     def decision_col(self) -> Column:
         return self._score(self.coef_)
 

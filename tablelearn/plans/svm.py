@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrow_scores import arrow_sums, too_many_aggregates
 from ..functions.linalg import dot, sql_double
 
 
@@ -51,6 +52,8 @@ class LinearSVM:
 
     def _pass(self, data: DataFrame, w: np.ndarray):
         """One aggregate: hinge loss and Σ y·x over margin violators."""
+        if too_many_aggregates(len(self.features) + 2):
+            return self._arrow_pass(data, w)
         s = self._score(w)
         act = hinge_active(F.col("_y"), s)
         yx = [F.col("_y")] if self.fit_intercept else []
@@ -62,6 +65,21 @@ class LinearSVM:
         g = np.array([row[f"g{k}"] or 0.0 for k in range(len(yx))])
         return row["hinge"], row["n"], g
 
+    def _arrow_pass(self, data: DataFrame, w: np.ndarray):
+        feats, icpt = self.features, self.fit_intercept
+
+        def batch(cols):
+            x = np.column_stack([cols[c].astype(np.float64) for c in feats])
+            if icpt:
+                x = np.column_stack([np.ones(len(x)), x])
+            y = cols["_y"].astype(np.float64)
+            margin = y * (x @ w)
+            act = margin < 1.0
+            return np.concatenate([[np.maximum(0.0, 1.0 - margin).sum(), len(y)], x[act].T @ y[act]])
+        v = arrow_sums(data, feats + ["_y"], 2 + len(w), batch)
+        n = int(v[1])
+        return (v[0] / n if n else 0.0), n, v[2:]
+
     def _reg_mask(self, p: int) -> np.ndarray:
         m = np.ones(p)
         if self.fit_intercept and not self.penalize_bias:
@@ -235,7 +253,17 @@ class OneVsRestSVM:
             w = np.zeros((k, p))
             old = None
             self.n_iter_ = 0
+            wide = too_many_aggregates(k * (p + 1))
             for _ in range(self.max_iter):
+                if wide:
+                    n, hinge, g = self._arrow_pass(data, w)
+                    obj = float(sum(0.5 * w[c] @ w[c] + self.C * hinge[c] for c in range(k)))
+                    if old is not None and old != 0 and abs(old - obj) / abs(old) < self.tol:
+                        break
+                    old = obj
+                    w = w - self.lr * (w - self.C * g / n)
+                    self.n_iter_ += 1
+                    continue
                 # all K problems in one aggregate, generated as SQL expressions
                 aggs = [F.count(F.lit(1)).alias("n")]
                 for c, cls in enumerate(self.classes):
@@ -261,6 +289,23 @@ class OneVsRestSVM:
         self.coef_ = w
         return self
 
+    def _arrow_pass(self, data: DataFrame, w: np.ndarray):
+        """(n, mean hinge per class, K x (p+1) subgradient sums) in one Arrow pass."""
+        feats, classes = self.features, list(self.classes)
+        k, p1 = w.shape
+
+        def batch(cols):
+            x = np.column_stack([np.ones(len(cols["_lab"]))] + [cols[c].astype(np.float64) for c in feats])
+            lab = cols["_lab"]
+            y = np.where(lab[:, None] == np.array(classes, dtype=object)[None, :], 1.0, -1.0)
+            margin = y * (x @ w.T)
+            act = (margin < 1.0) * y
+            return np.concatenate([[len(lab)], np.maximum(0.0, 1.0 - margin).sum(axis=0),
+                                   (act.T @ x).reshape(-1)])
+        v = arrow_sums(data, feats + ["_lab"], 1 + k + k * p1, batch)
+        n = v[0]
+        return n, v[1:1 + k] / n, v[1 + k:].reshape(k, p1)
+
     def decision_cols(self) -> list[Column]:
         return [dot(self.features, self.coef_[c, 1:], float(self.coef_[c, 0]))
                 for c in range(len(self.classes))]

@@ -192,3 +192,27 @@ def test_arrow_scoring_matches_expressions(spark, kind):
     for k in expr:
         assert expr[k][0] == arrow[k][0]
         assert expr[k][1] == pytest.approx(arrow[k][1], rel=1e-9)
+
+
+@pytest.mark.parametrize("kind", ["logit", "svm", "pegasos", "ovr"])
+def test_arrow_gradients_match_sql(spark, kind):
+    from tablelearn.functions import arrow_scores
+    from tablelearn.plans.linear import LogisticRegression
+    from tablelearn.plans.svm import LinearSVM, OneVsRestSVM, PegasosSVM
+
+    df = embedding_view(spark, SF001, 3).withColumn("yb", (F.col("label") < 5).cast("int")).withColumn(
+        "ypm", F.when(F.col("label") < 5, 1).otherwise(-1))
+    make = {
+        "logit": lambda: LogisticRegression(learning_rate=0.05, max_iter=4, tol=0.0).fit(df, xs(3), "yb").coef_,
+        "svm": lambda: LinearSVM(learning_rate=0.1, max_iter=4, tol=0.0).fit(df, xs(3), "ypm").coef_,
+        "pegasos": lambda: PegasosSVM(C=1.0, max_iter=4, tol=0.0).fit(df, xs(3), "ypm").coef_,
+        "ovr": lambda: OneVsRestSVM(learning_rate=0.1, max_iter=3, tol=0.0).fit(df, xs(3), "label").coef_,
+    }[kind]
+    sql = make()
+    saved = arrow_scores.MAX_GENERATED_AGGREGATES
+    arrow_scores.MAX_GENERATED_AGGREGATES = 0
+    try:
+        arrow = make()
+    finally:
+        arrow_scores.MAX_GENERATED_AGGREGATES = saved
+    np.testing.assert_allclose(arrow, sql, rtol=1e-9, atol=1e-12)

@@ -216,3 +216,37 @@ def test_arrow_gradients_match_sql(spark, kind):
     finally:
         arrow_scores.MAX_GENERATED_AGGREGATES = saved
     np.testing.assert_allclose(arrow, sql, rtol=1e-9, atol=1e-12)
+
+
+def test_stopping_rules(spark):
+    """H1-H5: every loop stops early once its criterion is met."""
+    from tablelearn.plans.linear import LinearRegression, LogisticRegression
+    from tablelearn.plans.svm import LinearSVM, PegasosSVM
+    from tablelearn.sources.tables import document_xy, lineitem_xy
+
+    li = lineitem_xy(spark, SF001, standardized=True)
+    gd = LinearRegression(closed_form=False, learning_rate=0.5, max_iter=5000, tol=1e-8).fit(li, ["x1", "x2"], "y")
+    assert gd.n_iter_ < 5000  # H1 on the collected Gram
+    docs = document_xy(spark, SF001, "quality")
+    logit = LogisticRegression(learning_rate=0.1, max_iter=2000, tol=1e-4).fit(docs, ["x1"], "y")
+    assert logit.n_iter_ < 2000  # H1
+    km = KMeans(3, max_iter=100, tol=0.0, seed=1).fit(embedding_view(spark, SF001, 2), xs(2), "vec_id")
+    assert km.n_iter_ < 100  # H2: exact fixed point reached
+    gmm = GaussianMixture(2, max_iter=100, tol=1e-2, seed=1).fit(embedding_view(spark, SF001, 2), xs(2), "vec_id")
+    assert gmm.n_iter_ < 100  # H3
+    toxic = document_xy(spark, SF001, "toxic")
+    svm = LinearSVM(learning_rate=0.1, max_iter=500, tol=1e-3).fit(toxic, ["x1"], "y")
+    assert svm.n_iter_ < 500  # H4
+    peg = PegasosSVM(C=1.0, max_iter=500, tol=0.5).fit(toxic, ["x1"], "y")
+    assert peg.n_iter_ < 500  # H5
+
+
+def test_ridge_gradient_descent_reaches_closed_form(spark):
+    from tablelearn.plans.linear import Ridge
+    from tablelearn.sources.tables import lineitem_xy
+
+    li = lineitem_xy(spark, SF001, standardized=True)
+    closed = Ridge(alpha=0.1).fit(li, ["x1", "x2", "x3"], "y").coef_
+    gd = Ridge(alpha=0.1, closed_form=False, learning_rate=0.5, max_iter=20000, tol=1e-13).fit(
+        li, ["x1", "x2", "x3"], "y").coef_
+    np.testing.assert_allclose(gd, closed, atol=1e-8)

@@ -63,11 +63,36 @@ def e11_centroid_update(spark, sf_dir):
     return out.select("cluster", *[rnd(f"c{i}").alias(f"c{i}") for i in range(1, KM["p"] + 1)])
 
 
-@query("g17_kmeans_wide")
+KW = dict(k=10, iters=20)
+
+
+def _kmeans_wide_sql() -> str:
+    k, iters = KW["k"], KW["iters"]
+    ctes = ["e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)",
+            """ev AS (SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS i,
+                      unnest(embedding)::DOUBLE AS x FROM embeddings)""",
+            f"""c0 AS (SELECT (row_number() OVER (ORDER BY md5(vec_id::VARCHAR || '#{SEED}'), vec_id) - 1)::BIGINT
+                       AS cid, embedding::DOUBLE[] AS cv
+                FROM embeddings ORDER BY md5(vec_id::VARCHAR || '#{SEED}'), vec_id LIMIT {k})"""]
+    for t in range(iters + 1):
+        ctes.append(f"""a{t} AS (SELECT vec_id, cid FROM (
+              SELECT e.vec_id, c.cid, row_number() OVER (PARTITION BY e.vec_id
+                ORDER BY list_sum(list_transform(list_zip(e.v, c.cv), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c.cid) AS rn
+              FROM e CROSS JOIN c{t} c) WHERE rn = 1)""")
+        if t == iters:
+            break
+        ctes.append(f"""m{t} AS (SELECT a.cid, ev.i, avg(ev.x) AS m FROM a{t} a JOIN ev USING (vec_id)
+                                 GROUP BY a.cid, ev.i)""")
+        ctes.append(f"n{t} AS (SELECT cid, list(m ORDER BY i) AS cv FROM m{t} GROUP BY cid)")
+        ctes.append(f"c{t + 1} AS (SELECT c.cid, coalesce(n.cv, c.cv) AS cv FROM c{t} c LEFT JOIN n{t} n USING (cid))")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT vec_id, cid AS cluster FROM a{iters}"
+
+
+@query("g17_kmeans_wide", _kmeans_wide_sql())
 def g17_kmeans_wide(spark, sf_dir):
-    """k-means over all 64 dims (Arrow partial sums); rows-only check."""
+    """k-means over all 64 dims (Arrow partial sums), 20 Lloyd steps at most."""
     df, cols = wide_features(spark, sf_dir)
-    model = KMeans(10, max_iter=20, tol=1e-8, seed=SEED).fit(df, cols, "vec_id")
+    model = KMeans(KW["k"], max_iter=KW["iters"], tol=1e-8, seed=SEED).fit(df, cols, "vec_id")
     return model.predict(df, "vec_id").select("vec_id", F.col("cluster").cast("bigint").alias("cluster"))
 
 

@@ -36,7 +36,9 @@ TIE_DIGITS = 10
 
 class GradientBoostingClassifier:
     def __init__(self, n_estimators: int = 200, learning_rate: float = 1e-3, max_depth: int = 2,
-                 min_samples_split: int = 2, min_impurity: float = 1e-7, checkpoint_interval: int = 5):
+                 min_samples_split: int = 2, min_impurity: float = 1e-7, checkpoint_interval: int = 5,
+                 max_bins: int | None = None):
+        self.max_bins = max_bins
         self.n_estimators, self.lr, self.max_depth = n_estimators, learning_rate, max_depth
         self.min_split, self.min_impurity = min_samples_split, min_impurity
         self.checkpoint_interval = checkpoint_interval
@@ -65,7 +67,7 @@ class GradientBoostingClassifier:
                                      for j in range(k)])
                 tree = boosted_tree(gh, self.features, [f"_g{j}" for j in range(k)],
                                     [f"_h{j}" for j in range(k)], self.max_depth, self.min_split,
-                                    self.min_impurity, checkpoint_interval=0)
+                                    self.min_impurity, checkpoint_interval=0, max_bins=self.max_bins)
                 if getattr(self, "_pending", None) is not None:
                     self._pending.unpersist()  # the tree fit above materialised `data`
                     self._pending = None

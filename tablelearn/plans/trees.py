@@ -193,12 +193,39 @@ class TreeModel:
 class TreeGrower:
     def __init__(self, criterion: Criterion, max_depth: int = 10, min_samples_split: int = 2,
                  min_impurity: float = 1e-7, checkpoint_interval: int = 4,
-                 target_window_rows: int = 200_000):
+                 target_window_rows: int = 200_000, max_bins: int | None = None):
         if max_depth is None or max_depth == float("inf"):
             raise ValueError("max_depth must be finite: the tree is grown one job per level")
         self.crit, self.max_depth = criterion, int(max_depth)
         self.min_split, self.min_impurity = min_samples_split, min_impurity
         self.checkpoint_interval, self.target_rows = checkpoint_interval, target_window_rows
+        self.max_bins = max_bins
+
+    def _binned(self, df: DataFrame, feats: list[str]) -> DataFrame:
+        """Optional histogram mode: snap every value to the lower edge of its
+        approximate-quantile bin (one ``percentile_approx`` aggregate, edges
+        collected: features x bins). Candidate cutoffs become the edges, so the
+        per-level statistics table is bounded by nodes x features x bins; since
+        an edge e satisfies ``edge(x) >= e`` exactly when ``x >= e``, the learned
+        cutoffs route raw values identically. ``max_bins=None`` keeps the exact
+        search over every distinct value."""
+        from pyspark.ml.feature import Bucketizer
+
+        qs = [i / self.max_bins for i in range(self.max_bins)]
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), qs, max(10_000, 10 * self.max_bins))
+                       .alias(f"_q{k}") for k, c in enumerate(feats)]).first()
+        out = df
+        for k, c in enumerate(feats):
+            edges = sorted(set(float(e) for e in (row[f"_q{k}"] or []) if e is not None))
+            if not edges:
+                continue
+            splits = [float("-inf")] + edges + [float("inf")]
+            out = Bucketizer(splits=splits, inputCol=c, outputCol=f"_b{k}", handleInvalid="keep").transform(out)
+            # bucket 0 holds values below the first edge (only possible with approximate
+            # quantiles): they keep the first edge as their representative
+            lower = F.array(*[F.lit(e) for e in [edges[0]] + edges])
+            out = out.withColumn(c, F.element_at(lower, F.col(f"_b{k}").cast("int") + 1)).drop(f"_b{k}")
+        return out
 
     def fit(self, df: DataFrame, features: Sequence[str]) -> TreeModel:
         feats = list(features)
@@ -207,7 +234,10 @@ class TreeGrower:
         spark = df.sparkSession
         ensure_checkpoint_dir(spark)
         data = df.select(*feats, *[c.alias(n) for c, n in zip(self.crit.row_stats(), stat_names)],
-                         F.lit(1).cast("bigint").alias("_node")).persist(StorageLevel.MEMORY_AND_DISK)
+                         F.lit(1).cast("bigint").alias("_node"))
+        if self.max_bins:
+            data = self._binned(data, feats)
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
         model = TreeModel(feats)
         stale: list[DataFrame] = []
         try:

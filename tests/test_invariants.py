@@ -250,3 +250,20 @@ def test_ridge_gradient_descent_reaches_closed_form(spark):
     gd = Ridge(alpha=0.1, closed_form=False, learning_rate=0.5, max_iter=20000, tol=1e-13).fit(
         li, ["x1", "x2", "x3"], "y").coef_
     np.testing.assert_allclose(gd, closed, atol=1e-8)
+
+
+def test_binned_tree_routes_raw_values_consistently(spark):
+    """Histogram mode: cutoffs are bin edges; training assignment on snapped
+    values equals routing of raw values, and many bins reproduce the exact tree."""
+    df = embedding_view(spark, SF001, 3)
+    exact = DecisionTreeClassifier(max_depth=3).fit(df, xs(3), "label")
+    fine = DecisionTreeClassifier(max_depth=3, max_bins=10_000).fit(df, xs(3), "label")
+    a = {r.vec_id: r.p for r in df.select("vec_id", exact.predict_col().alias("p")).collect()}
+    b = {r.vec_id: r.p for r in df.select("vec_id", fine.predict_col().alias("p")).collect()}
+    agree = sum(a[k] == b[k] for k in a) / len(a)
+    assert agree > 0.95
+    coarse = DecisionTreeClassifier(max_depth=3, max_bins=8).fit(df, xs(3), "label")
+    leaves = df.select(coarse.tree.leaf_id_col().alias("leaf")).groupBy("leaf").count().collect()
+    assert sum(r["count"] for r in leaves) == df.count()
+    cut = {nd["cutoff"] for nd in coarse.tree.nodes.values() if "cutoff" in nd}
+    assert len(cut) >= 1

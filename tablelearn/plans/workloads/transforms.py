@@ -7,14 +7,34 @@ from pyspark.sql import functions as F
 
 from ...functions.activations import sigmoid, sigmoid_gradient
 from ...operators import features, impurity, sampling, split
-from ...sources.tables import read_table, standardize
+from ...sources.tables import embedding_view, read_table, standardize
 from ...sources.validate import validate_array_features
-from ..common import rnd, sql_rnd
+from ..common import rnd, sql_emb, sql_rnd
 from ..registry import query
 
 SEED = 42
 
 
+@query("a1_feature_view", f"""
+    WITH {sql_emb(4)}
+    SELECT vec_id, label, {', '.join(f"{sql_rnd(f'x{i}', 8)} AS x{i}" for i in range(1, 5))} FROM emb""")
+def a1_feature_view(spark, sf_dir):
+    """A1: read the table and assemble DOUBLE feature columns (pruned scan)."""
+    df = embedding_view(spark, sf_dir, 4)
+    return df.select("vec_id", "label", *[rnd(f"x{i}", 8).alias(f"x{i}") for i in range(1, 5)])
+
+
+@query("c2_class_rows", f"""
+    WITH {sql_emb(2)}
+    SELECT label, count(*) AS n, {sql_rnd('sum(x1)')} AS sum_x1, {sql_rnd('sum(x2)')} AS sum_x2
+    FROM emb GROUP BY label""")
+def c2_class_rows(spark, sf_dir):
+    """The rows of each class, as one grouped pass (never K filters)."""
+    df = embedding_view(spark, sf_dir, 2)
+    return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("x1")).alias("sum_x1"),
+                                   rnd(F.sum("x2")).alias("sum_x2"))
+
+
 @query("a2_validate", """
     SELECT count(*) AS n_rows, count_if(embedding IS NULL)::BIGINT AS n_null_vectors,
            coalesce(sum(len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x)))), 0)::BIGINT

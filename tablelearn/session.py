@@ -29,6 +29,9 @@ def get_session(master: str | None = None, app: str = "tablelearn",
         # model parameters enter plans as literal expressions built from Python;
         # per-call stack capture for error context costs more than the job itself
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # tree levels, boosting rounds and A3 write checkpoints; drop them once
+        # the checkpointed DataFrame is garbage collected
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

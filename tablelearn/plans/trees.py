@@ -340,6 +340,8 @@ class TreeGrower:
         tot_df = spark.createDataFrame(
             [(int(i), *map(float, totals[i])) for i in eligible],
             "_node bigint, " + ", ".join(f"_t{s} double" for s in stat_names))
+        if len(eligible) > MAX_BROADCAST_NODES:
+            raise ValueError("too many nodes in one level to broadcast their totals")
         j = left.join(F.broadcast(tot_df), "_node")
         t = [_q(f"_t{s}") for s in stat_names]
         lft = [_q(f"_l{s}") for s in stat_names]

@@ -237,13 +237,17 @@ def pooled_covariance_table(df: DataFrame, cols: Sequence[str], label: str) -> D
     """Σ_k prior_k · Cov_k with Cov_k the n_k-1 sample covariance.
 
     The per-class covariances form a K·p² table; the weighted sum is a second,
-    tiny aggregate. A class with one row has an undefined covariance: raise.
+    tiny aggregate. A class with one row has an undefined covariance: the
+    pooled value raises at evaluation (``raise_error``), so no extra job is
+    spent on the check.
     """
     per_class = covariance_table(df, cols, by=label)
     priors = class_priors(df, label)
     joined = per_class.join(priors, label)
-    bad = joined.filter(F.col("value").isNull() | F.isnan("value")).limit(1).count()
-    if bad:
-        raise ValueError("a class has fewer than two rows: its covariance is undefined")
-    return (joined.groupBy("i", "j")
-            .agg(F.sum(F.col("prior") * F.col("value")).alias("value")))
+    undefined = F.col("value").isNull() | F.isnan("value")
+    pooled = (joined.groupBy("i", "j")
+              .agg(F.sum(F.col("prior") * F.col("value")).alias("value"),
+                   F.count_if(undefined).alias("_undefined")))
+    return pooled.select("i", "j", F.when(F.col("_undefined") > 0, F.raise_error(F.lit(
+        "a class has fewer than two rows: its covariance is undefined"))).otherwise(F.col("value"))
+        .cast("double").alias("value"))

@@ -140,8 +140,14 @@ class LinearDiscriminantAnalysis(_ClassScorer):
             raise ValueError("every class needs at least two rows for its covariance")
         mu = np.array([[r[f"mean_{i}"] for i in range(p)] for r in means])
         cov = np.zeros((p, p))
-        for r in collect_bounded(moments.pooled_covariance_table(df, self.features, label),
-                                 "pooled covariance", limit=p * p):
+        try:
+            pooled = collect_bounded(moments.pooled_covariance_table(df, self.features, label),
+                                     "pooled covariance", limit=p * p)
+        except Exception as e:  # raise_error surfaces as a JVM exception
+            if "fewer than two rows" in str(e):
+                raise ValueError("every class needs at least two rows for its covariance") from None
+            raise
+        for r in pooled:
             cov[r["i"], r["j"]] = cov[r["j"], r["i"]] = r["value"]
         self.class_prior = (counts / counts.sum() if self.priors is None
                             else _check_priors(self.priors, len(means)))

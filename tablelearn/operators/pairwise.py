@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
-from ..functions.linalg import argmin_index, col_dot, euclidean, sq_dist
+from ..functions.linalg import argmin_index, euclidean, sq_dist
 
 MAX_LITERAL_POINTS = 100_000  # rows x dims entered into the plan as literals
 

@@ -3,8 +3,6 @@ G18 PCA with B8/B10/B11/E15."""
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import functions as F
 
 from ...operators import metrics
 from ...sources.tables import document_xy, embedding_view, lineitem_xy

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ...functions.activations import logsumexp
 from ...functions.gaussian import gaussian_logpdf
-from ...functions.linalg import argmax_index, euclidean, pick
+from ...functions.linalg import argmax_index, pick
 from ...operators import metrics, moments, pairwise, sampling
-from ...sources.tables import embedding_array_view, embedding_view, read_table
+from ...sources.tables import embedding_array_view, embedding_view
 from ..base import collect_bounded
 from ..common import rnd, sql_emb, sql_rnd, xs
 from ..registry import query

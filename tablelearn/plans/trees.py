@@ -180,6 +180,46 @@ class TreeModel:
             return sql_double(v)
         return F.expr(self._route_sql(1, leaf))
 
+    def route(self, df: DataFrame, out: str = "leaf", max_case_nodes: int = 4095) -> DataFrame:
+        """B12 for any tree size: ``df`` plus the leaf id of every row.
+
+        Up to ``max_case_nodes`` nodes this is the nested CASE projection. A
+        larger tree would make one enormous expression, so rows are instead
+        moved one level per step through a join with that level's split table
+        (broadcast, bounded by the nodes of one level) — the same step as in
+        training. The nested CASE and the joins give identical leaves.
+        """
+        if len(self.nodes) <= max_case_nodes:
+            return df.withColumn(out, self.leaf_id_col())
+        spark = df.sparkSession
+        arr = F.array(*[F.col(c).cast("double") for c in self.features])
+        cur = df.withColumn(out, F.lit(1).cast("bigint"))
+        depth = max(int(i).bit_length() for i in self.nodes)
+        for level in range(depth):
+            lo, hi = 2 ** level, 2 ** (level + 1)
+            splits = [(int(i), int(nd["feature"]), float(nd["cutoff"])) for i, nd in self.nodes.items()
+                      if lo <= i < hi and "value" not in nd]
+            if not splits:
+                break
+            if len(splits) > MAX_BROADCAST_NODES:
+                raise ValueError("too many nodes in one level to route by broadcast")
+            table = spark.createDataFrame(splits, f"{out} bigint, _sf int, _sc double")
+            cur = (cur.join(F.broadcast(table), out, "left")
+                   .withColumn(out, F.when(F.col("_sf").isNull(), F.col(out)).otherwise(
+                       F.col(out) * 2 + F.when(F.element_at(arr, F.col("_sf") + 1) >= F.col("_sc"),
+                                               F.lit(0)).otherwise(F.lit(1))))
+                   .drop("_sf", "_sc"))
+        return cur
+
+    def leaf_value_table(self, spark, index: int | None = None) -> DataFrame:
+        """(leaf, value) for joining routed rows to leaf values (large trees)."""
+        rows = []
+        for i, nd in self.nodes.items():
+            if "value" in nd:
+                v = nd["value"] if index is None else nd["value"][index]
+                rows.append((int(i), float(v)))
+        return spark.createDataFrame(rows, "leaf bigint, value double")
+
     def table(self) -> list[tuple]:
         """Node table rows: (node, feature, cutoff, is_leaf, value as text)."""
         out = []

@@ -267,3 +267,11 @@ def test_binned_tree_routes_raw_values_consistently(spark):
     assert sum(r["count"] for r in leaves) == df.count()
     cut = {nd["cutoff"] for nd in coarse.tree.nodes.values() if "cutoff" in nd}
     assert len(cut) >= 1
+
+
+def test_join_routing_matches_nested_case(spark):
+    df = embedding_view(spark, SF001, 4)
+    tree = DecisionTreeClassifier(max_depth=4).fit(df, xs(4), "label").tree
+    case = {r.vec_id: r.leaf for r in tree.route(df).collect()}
+    joins = {r.vec_id: r.leaf for r in tree.route(df, max_case_nodes=0).collect()}
+    assert case == joins

@@ -89,15 +89,25 @@ def _arrow_gram(df: DataFrame, cols: Sequence[str], by: str | None,
 
 
 def covariance_table(df: DataFrame, cols: Sequence[str], by: str | None = None,
-                     ddof: int = 1) -> DataFrame:
+                     ddof: int = 1, centered: bool = False) -> DataFrame:
     """Covariance as ``([by,] i, j, value)`` for i <= j.
 
     ``covar_samp`` / ``covar_pop`` merge partial (n, mean, co-moment) states,
-    which avoids the cancellation of Σxx^T - n·μμ^T.
+    which avoids the cancellation of Σxx^T - n·μμ^T. ``centered=True`` means
+    the caller's data are already centred: the result is XᵀX / (n - ddof).
     """
     fn = F.covar_samp if ddof == 1 else F.covar_pop
     p = len(cols)
     keys = [by] if by else []
+    if centered:
+        # row counts per group are model-sized: they enter as literals, no join
+        counts = {(r[by] if by else None): r["_n"] for r in
+                  _bounded(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "covariance groups").collect()}
+        g = gram_table(df, cols, by)
+        if by:
+            denom = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(float(n - ddof)))])
+            return g.select(by, "i", "j", (F.col("value") / denom[F.col(by)]).alias("value"))
+        return g.select("i", "j", (F.col("value") / F.lit(float(counts.get(None, 0) - ddof))).alias("value"))
     if p > SCALAR_MAX_P:
         return _centred_arrow_cov(df, cols, by, ddof)
     aggs = [fn(cols[i], cols[j]).alias(f"c_{i}_{j}") for i, j in _pairs(p)]

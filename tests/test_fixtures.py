@@ -219,3 +219,13 @@ def test_nan_or_null_feature_rejected(spark, fit):
     }
     with pytest.raises(ValueError, match="NULL, NaN or infinite"):
         fits[fit]()
+
+
+def test_covariance_centered_flag(spark):
+    df = spark.createDataFrame([(1, -2.0, 1.0), (2, 0.0, 0.0), (3, 2.0, -1.0)], "id int, x1 double, x2 double")
+    vals = {(r["i"], r["j"]): r["value"] for r in moments.covariance_table(df, ["x1", "x2"], centered=True).collect()}
+    assert vals == {(0, 0): 4.0, (0, 1): -2.0, (1, 1): 1.0}
+    # uncentred data: the flag skips centring, as documented
+    df2 = spark.createDataFrame([(1, 1.0, 2.0), (2, 3.0, 4.0), (3, 5.0, 6.0)], "id int, x1 double, x2 double")
+    raw = {(r["i"], r["j"]): r["value"] for r in moments.covariance_table(df2, ["x1", "x2"], centered=True).collect()}
+    assert raw[(0, 0)] == pytest.approx((1 + 9 + 25) / 2)

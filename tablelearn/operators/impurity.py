@@ -19,7 +19,12 @@ def entropy(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
     tot = counts.groupBy(*by).agg(F.sum("c").alias("n"),
                                   F.sum(F.col("c") * F.log("c")).alias("clnc"))
     # H = ln n - Σ c ln c / n
-    return tot.select(*by, "n", (F.log("n") - F.col("clnc") / F.col("n")).alias("entropy"))
+    h = F.log("n") - F.col("clnc") / F.col("n")
+    if not by:
+        # the ungrouped aggregate of an empty column is one NULL row: an error, not a value
+        h = F.when(F.col("n").isNull(), F.raise_error(F.lit("entropy of an empty column"))).otherwise(h)
+        return tot.select(F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"), h.cast("double").alias("entropy"))
+    return tot.select(*by, "n", h.alias("entropy"))
 
 
 def _xlnx(c: Column) -> Column:

@@ -229,3 +229,9 @@ def test_covariance_centered_flag(spark):
     df2 = spark.createDataFrame([(1, 1.0, 2.0), (2, 3.0, 4.0), (3, 5.0, 6.0)], "id int, x1 double, x2 double")
     raw = {(r["i"], r["j"]): r["value"] for r in moments.covariance_table(df2, ["x1", "x2"], centered=True).collect()}
     assert raw[(0, 0)] == pytest.approx((1 + 9 + 25) / 2)
+
+
+def test_entropy_empty_raises(spark):
+    df = spark.createDataFrame([], "y int")
+    with pytest.raises(Exception, match="empty column"):
+        impurity.entropy(df, "y").collect()

@@ -128,6 +128,10 @@ class KMeans:
         """D6 with the fitted centroids."""
         return pairwise.nearest_point_frame(df, key, self.features, self.centroids_, out=out)
 
+    def fit_predict(self, df: DataFrame, features: Sequence[str], id_col: str,
+                    out: str = "cluster") -> DataFrame:
+        return self.fit(df, features, id_col).predict(df, id_col, out)
+
     def inertia(self, df: DataFrame) -> float:
         """Σ squared distance to the nearest centroid (one aggregate)."""
         d = pairwise.point_values(self.features, self.centroids_, "sqdistance")
@@ -238,6 +242,9 @@ class GaussianMixture:
                 + sr[:, None, None] * np.outer(shift, shift)[None])
         return n, sr, srx, srxx, ll
 
+    def fit_predict(self, df: DataFrame, features: Sequence[str], id_col: str) -> DataFrame:
+        return self.fit(df, features, id_col).transform(df)
+
     def np_joint_log_likelihood(self, x: np.ndarray) -> np.ndarray:
         k, p = self.means_.shape
         prec = np.linalg.inv(self.covariances_)

@@ -48,6 +48,12 @@ class PCA:
         self.covariance_ = cov
         return self
 
+    def fit_transform(self, df: DataFrame, features: Sequence[str], prefix: str = "z") -> DataFrame:
+        return self.fit(df, features).transform(df, prefix)
+
+    def inverse_transform(self, df: DataFrame, zcols: Sequence[str], prefix: str = "r") -> DataFrame:
+        return df.select("*", *self.reconstruct_cols(zcols, prefix))
+
     def center_cols(self) -> list[Column]:
         """X - mean."""
         return [F.col(c) - F.lit(float(m)) for c, m in zip(self.features, self.mean_)]

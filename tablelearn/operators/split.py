@@ -19,9 +19,20 @@ def bisect_mask(df: DataFrame, feature: str, cutoff) -> Column:
 
 
 def bisect(df: DataFrame, feature: str, cutoff) -> tuple[DataFrame, DataFrame]:
-    """Both sides as filtered DataFrames (filters push down to the scan)."""
-    m = bisect_mask(df, feature, cutoff)
-    return df.filter(m), df.filter(~m)
+    """Both sides as filtered DataFrames.
+
+    The sides are written as plain comparisons (``x >= c`` and
+    ``x IS NULL OR x < c``; ``=`` / ``!=`` for non-numeric features) rather than
+    the coalesced mask, so Parquet receives them as pushed filters; NULL goes
+    right, exactly as with the mask.
+    """
+    dtype = df.schema[feature].dataType
+    x, c = F.col(feature), F.lit(cutoff)
+    if isinstance(dtype, NumericType):
+        left, right = x >= c, x.isNull() | (x < c)
+    else:
+        left, right = x == c, x.isNull() | (x != c)
+    return df.filter(left), df.filter(right)
 
 
 def hinge_active(y: str | Column, score: str | Column) -> Column:

@@ -11,7 +11,7 @@ from .conftest import SF001
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
-ROWS_ONLY = {"g18_pca_wide", "g15_linear_svc", "g12_boosting"}
+ROWS_ONLY = {"g18_pca_wide", "g15_linear_svc"}
 
 
 @pytest.fixture(scope="module")

@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.validate import assert_finite
+from ..sources.validate import count_invalid, raise_if_invalid
 from ..functions.activations import log_softmax, logsumexp
 from ..functions.arrow_scores import append_scores, is_wide
 from ..functions.gaussian import gaussian_logpdf
@@ -58,14 +58,14 @@ class KMeans:
         p = len(self.features)
         data = df.select(id_col, *self.features).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            assert_finite(data, self.features, None)
             cent = (np.asarray(self.init, dtype=float) if self.init is not None
                     else _initial_rows(data, id_col, self.features, self.k, self.seed))
             if cent.shape != (self.k, p):
                 raise ValueError(f"initial centroids must be {self.k} x {p}")
             self.n_iter_ = 0
-            for _ in range(self.max_iter):
-                sums, counts = self._update_stats(data, cent)
+            for it in range(self.max_iter):
+                # the first update also counts invalid rows (no extra scan)
+                sums, counts = self._update_stats(data, cent, validate=it == 0)
                 new = cent.copy()
                 nz = counts > 0
                 new[nz] = sums[nz] / counts[nz, None]
@@ -79,20 +79,23 @@ class KMeans:
         self.centroids_ = cent
         return self
 
-    def _update_stats(self, data: DataFrame, cent: np.ndarray):
+    def _update_stats(self, data: DataFrame, cent: np.ndarray, validate: bool = False):
         k, p = cent.shape
         if p * k <= pairwise.MAX_GENERATED_TERMS:
             assigned = data.withColumn("_c", pairwise.nearest_point(self.features, cent))
-            rows = assigned.groupBy("_c").agg(F.count(F.lit(1)).alias("n"),
+            extra = [count_invalid(self.features)] if validate else []
+            rows = assigned.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), *extra,
                                               *[F.sum(c).alias(f"s{j}") for j, c in enumerate(self.features)]).collect()
+            if validate:
+                raise_if_invalid(sum(r["_invalid"] for r in rows))
             sums, counts = np.zeros((k, p)), np.zeros(k)
             for r in rows:
                 counts[r["_c"]] = r["n"]
                 sums[r["_c"]] = [r[f"s{j}"] for j in range(p)]
             return sums, counts
-        return self._arrow_stats(data, cent)
+        return self._arrow_stats(data, cent, validate)
 
-    def _arrow_stats(self, data: DataFrame, cent: np.ndarray):
+    def _arrow_stats(self, data: DataFrame, cent: np.ndarray, validate: bool = False):
         import pyarrow as pa
 
         k, p = cent.shape
@@ -100,24 +103,30 @@ class KMeans:
 
         def per_partition(batches):
             sums, counts = np.zeros((k, p)), np.zeros(k)
+            bad = 0
             for b in batches:
                 if b.num_rows == 0:
                     continue
                 x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                                      for c in cols])
+                bad += int((~np.isfinite(x)).any(axis=1).sum())
                 d2 = np.stack([np.einsum("ij,ij->i", x - cent[j], x - cent[j]) for j in range(k)], axis=1)
                 lab = np.argmin(d2, axis=1)
                 np.add.at(sums, lab, x)
                 counts += np.bincount(lab, minlength=k)
-            comp = np.repeat(np.arange(k), p + 1).astype(np.int32)
-            slot = np.tile(np.arange(p + 1), k).astype(np.int32)
-            vals = np.concatenate([counts[:, None], sums], axis=1).reshape(-1)
+            comp = np.append(np.repeat(np.arange(k), p + 1), -1).astype(np.int32)
+            slot = np.append(np.tile(np.arange(p + 1), k), 0).astype(np.int32)
+            vals = np.append(np.concatenate([counts[:, None], sums], axis=1).reshape(-1), bad)
             yield pa.RecordBatch.from_pydict({"comp": comp, "slot": slot, "value": vals})
 
         rows = (data.select(*cols).mapInArrow(per_partition, _partial_sums_schema())
                 .groupBy("comp", "slot").agg(F.sum("value").alias("value")).collect())
         sums, counts = np.zeros((k, p)), np.zeros(k)
+        if validate:
+            raise_if_invalid(int(sum(r["value"] for r in rows if r["comp"] == -1)))
         for r in rows:
+            if r["comp"] == -1:
+                continue
             if r["slot"] == 0:
                 counts[r["comp"]] = r["value"]
             else:
@@ -159,7 +168,6 @@ class GaussianMixture:
         p, k = len(self.features), self.k
         data = df.select(id_col, *self.features).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            assert_finite(data, self.features, None)
             if self.init_means is not None:
                 means = np.asarray(self.init_means, dtype=float)
             elif self.init_params == "kmeans":
@@ -170,8 +178,10 @@ class GaussianMixture:
             weights = np.full(k, 1.0 / k)
             self.n_iter_ = 0
             self.log_likelihood_ = []
-            for _ in range(self.max_iter):
-                n, sr, srx, srxx, ll = self._em_sums(data, weights, means, covs)
+            for it in range(self.max_iter):
+                n, sr, srx, srxx, ll, bad = self._em_sums(data, weights, means, covs)
+                if it == 0:
+                    raise_if_invalid(int(bad))  # checked on the first E-step's scan
                 old = weights
                 weights = sr / n
                 safe = np.where(sr > 0, sr, 1.0)
@@ -203,12 +213,14 @@ class GaussianMixture:
         def per_partition(batches):
             n = 0.0
             ll = 0.0
+            bad = 0.0
             sr, srx, srxx = np.zeros(k), np.zeros((k, p)), np.zeros((k, p, p))
             for b in batches:
                 if b.num_rows == 0:
                     continue
                 x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                                      for c in cols])
+                bad += float((~np.isfinite(x)).any(axis=1).sum())
                 s = np.empty((x.shape[0], k))
                 for j in range(k):
                     d = x - means[j]
@@ -222,25 +234,25 @@ class GaussianMixture:
                 sr += r.sum(axis=0)
                 srx += r.T @ xc
                 srxx += np.einsum("ik,ip,iq->kpq", r, xc, xc)
-            vals = np.concatenate([[n, ll], sr, srx.reshape(-1), srxx.reshape(-1)])
+            vals = np.concatenate([[n, ll], sr, srx.reshape(-1), srxx.reshape(-1), [bad]])
             yield pa.RecordBatch.from_pydict({"comp": np.zeros(len(vals), np.int32),
                                               "slot": np.arange(len(vals), dtype=np.int32),
                                               "value": vals})
 
         rows = (data.select(*cols).mapInArrow(per_partition, _partial_sums_schema())
                 .groupBy("slot").agg(F.sum("value").alias("value")).collect())
-        v = np.zeros(2 + k + k * p + k * p * p)
+        v = np.zeros(2 + k + k * p + k * p * p + 1)
         for r in rows:
             v[r["slot"]] = r["value"]
-        n, ll = v[0], v[1]
+        n, ll, bad = v[0], v[1], v[-1]
         sr = v[2:2 + k]
         srx_c = v[2 + k:2 + k + k * p].reshape(k, p)
-        srxx_c = v[2 + k + k * p:].reshape(k, p, p)
+        srxx_c = v[2 + k + k * p:-1].reshape(k, p, p)
         # undo the shift: Σr x = Σr xc + sr·shift ; Σr x xᵀ = Σr xc xcᵀ + shift⊗Σr xc + Σr xc⊗shift + sr·shift shiftᵀ
         srx = srx_c + sr[:, None] * shift
         srxx = (srxx_c + np.einsum("kp,q->kpq", srx_c, shift) + np.einsum("p,kq->kpq", shift, srx_c)
                 + sr[:, None, None] * np.outer(shift, shift)[None])
-        return n, sr, srx, srxx, ll
+        return n, sr, srx, srxx, ll, bad
 
     def fit_predict(self, df: DataFrame, features: Sequence[str], id_col: str) -> DataFrame:
         return self.fit(df, features, id_col).transform(df)

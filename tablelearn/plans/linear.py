@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.validate import assert_finite
+from ..sources.validate import assert_finite, count_invalid, raise_if_invalid
 from ..functions.activations import sigmoid
 from ..functions.arrow_scores import arrow_sums, too_many_aggregates
 from ..functions.linalg import dot
@@ -173,13 +173,15 @@ class LogisticRegression:
         p = len(self.features) + (1 if self.fit_intercept else 0)
         data = df.select(*self.features, F.col(label).cast("double").alias("_y")).persist()
         try:
-            assert_finite(data, self.features, "_y")
             w = np.zeros(p) if self.init is None else np.asarray(self.init, dtype=float).copy()
             lam = 1.0 / self.C if self.penalty == "l2" else 0.0
             self.n_iter_ = 0
             wide = too_many_aggregates(len(self.features) + 1)
-            for _ in range(self.max_iter):
-                grad = self._arrow_gradient(data, w) if wide else self._sql_gradient(data, w)
+            if wide:
+                assert_finite(data, self.features, "_y")
+            for it in range(self.max_iter):
+                # the first iteration's aggregate also counts invalid rows (no extra scan)
+                grad = self._arrow_gradient(data, w) if wide else self._sql_gradient(data, w, it == 0)
                 reg = lam * w
                 if self.fit_intercept:
                     reg[0] = 0.0
@@ -194,11 +196,15 @@ class LogisticRegression:
         self.coef_ = w
         return self
 
-    def _sql_gradient(self, data: DataFrame, w: np.ndarray) -> np.ndarray:
+    def _sql_gradient(self, data: DataFrame, w: np.ndarray, validate: bool = False) -> np.ndarray:
         r = F.col("_y") - sigmoid(self._score(w))
         terms = ([F.sum(r).alias("g0")] if self.fit_intercept else [])
         terms += [F.sum(r * F.col(c)).alias(f"g{k + 1}") for k, c in enumerate(self.features)]
+        if validate:
+            terms.append(count_invalid(self.features, "_y"))
         row = data.agg(*terms).first()
+        if validate:
+            raise_if_invalid(row["_invalid"])
         keys = (["g0"] if self.fit_intercept else []) + [f"g{k + 1}" for k in range(len(self.features))]
         return np.array([row[k] or 0.0 for k in keys])
 

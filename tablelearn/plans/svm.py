@@ -50,9 +50,14 @@ class LinearSVM:
             return dot(self.features, w[1:], float(w[0]))
         return dot(self.features, w)
 
-    def _pass(self, data: DataFrame, w: np.ndarray):
-        """One aggregate: hinge loss and Σ y·x over margin violators."""
+    def _pass(self, data: DataFrame, w: np.ndarray, validate: bool = False):
+        """One aggregate: hinge loss and Σ y·x over margin violators.
+
+        With ``validate`` the same aggregate counts invalid rows and labels
+        other than ±1 (the first iteration's check rides on its scan)."""
         if too_many_aggregates(len(self.features) + 2):
+            if validate:
+                self._validate(data)
             return self._arrow_pass(data, w)
         s = self._score(w)
         act = hinge_active(F.col("_y"), s)
@@ -61,10 +66,25 @@ class LinearSVM:
         aggs = [F.avg(F.greatest(F.lit(0.0), F.lit(1.0) - F.col("_y") * s)).alias("hinge"),
                 F.count(F.lit(1)).alias("n")]
         aggs += [F.sum(F.when(act, e).otherwise(F.lit(0.0))).alias(f"g{k}") for k, e in enumerate(yx)]
+        if validate:
+            aggs += [count_invalid(self.features, "_y"),
+                     F.count_if(~F.col("_y").isin(-1.0, 1.0)).alias("_badlab")]
         row = data.agg(*aggs).first()
+        if validate:
+            self._raise_bad(row)
         g = np.array([row[f"g{k}"] or 0.0 for k in range(len(yx))])
         return row["hinge"], row["n"], g
 
+    @staticmethod
+    def _raise_bad(row) -> None:
+        raise_if_invalid(row["_invalid"])
+        if row["_badlab"]:
+            raise ValueError("labels must be -1 or +1")
+
+    def _validate(self, data: DataFrame) -> None:
+        self._raise_bad(data.agg(count_invalid(self.features, "_y"),
+                                 F.count_if(~F.col("_y").isin(-1.0, 1.0)).alias("_badlab")).first())
+
     def _arrow_pass(self, data: DataFrame, w: np.ndarray):
         feats, icpt = self.features, self.fit_intercept
 
@@ -92,17 +112,12 @@ class LinearSVM:
         data = df.select(*self.features, F.col(label).cast("double").alias("_y")).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
-            r = data.agg(count_invalid(self.features, "_y"),
-                          F.count_if(~F.col("_y").isin(-1.0, 1.0)).alias("_badlab")).first()
-            raise_if_invalid(r["_invalid"])
-            if r["_badlab"]:
-                raise ValueError("labels must be -1 or +1")
             w = np.zeros(p)
             mask = self._reg_mask(p)
             old = None
             self.n_iter_, self.objective_ = 0, []
-            for _ in range(self.max_iter):
-                hinge, n, g = self._pass(data, w)
+            for it in range(self.max_iter):
+                hinge, n, g = self._pass(data, w, validate=it == 0)
                 obj = 0.5 * float((mask * w) @ w) + self.C * hinge
                 self.objective_.append(obj)
                 if old is not None and old != 0 and abs(old - obj) / abs(old) < self.tol:
@@ -147,7 +162,7 @@ class PegasosSVM(LinearSVM):
             self.n_iter_ = 0
             lam = self.lam
             for t in range(1, self.max_iter + 1):
-                _, n, g = self._pass(data, w)
+                _, n, g = self._pass(data, w, validate=t == 1)
                 if lam is None:
                     lam = 1.0 / (self.C * n)
                 eta = 1.0 / (lam * t)

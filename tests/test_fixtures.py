@@ -235,3 +235,20 @@ def test_entropy_empty_raises(spark):
     df = spark.createDataFrame([], "y int")
     with pytest.raises(Exception, match="empty column"):
         impurity.entropy(df, "y").collect()
+
+
+def test_gmm_and_wide_kmeans_reject_nan(spark):
+    from tablelearn.operators import pairwise as pw
+    from tablelearn.plans.cluster import GaussianMixture, KMeans
+
+    rows = [(1, 0.0, 1.0), (2, 1.0, float("nan")), (3, 2.0, 0.5), (4, 0.3, 0.2), (5, 0.7, 0.9)]
+    df = spark.createDataFrame(rows, "id int, x1 double, x2 double")
+    with pytest.raises(ValueError, match="NULL, NaN or infinite"):
+        GaussianMixture(2, max_iter=2, init_means=[[0.0, 0.0], [1.0, 1.0]]).fit(df, ["x1", "x2"], "id")
+    saved = pw.MAX_GENERATED_TERMS
+    pw.MAX_GENERATED_TERMS = 0
+    try:
+        with pytest.raises(ValueError, match="NULL, NaN or infinite"):
+            KMeans(2, max_iter=2, init=[[0.0, 0.0], [1.0, 1.0]]).fit(df, ["x1", "x2"], "id")
+    finally:
+        pw.MAX_GENERATED_TERMS = saved

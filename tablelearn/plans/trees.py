@@ -6,10 +6,13 @@ maximum in feature, then cutoff order). Instead of re-scanning rows per
 candidate, one level costs one pass:
 
 1. rows -> (node, feature, value) with additive statistics (class counts;
-   n, Σy, Σy²; or gradient/hessian sums), grouped: ``groupBy(node, f, v)``;
+   n and Σy per target; or gradient/hessian sums and n), grouped:
+   ``groupBy(node, f, v)``;
 2. suffix sums over values (bounded windows, :mod:`..operators.prefix`) give
    the left-side statistics of every candidate, node totals give the right;
-3. the gain is a column expression; ``max_by`` per node picks the split.
+3. the gain is one generated SQL expression; ``max_by`` per node picks the
+   split and returns its left statistics, so the children's totals are known
+   without another pass (only the root needs a totals aggregate).
 
 Only one row per node reaches the driver. Rows move to children through a
 join with the level's split table, broadcast because its size is bounded by

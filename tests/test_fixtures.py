@@ -1,6 +1,5 @@
 """Micro fixtures from FIXTURES.md §1 (corrected expected values)."""
 
-import math
 
 import numpy as np
 import pytest

@@ -15,6 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrow_scores import append_scores, is_wide
 from ..functions.linalg import dot
 from ..operators.moments import covariance_matrix
 
@@ -64,6 +65,13 @@ class PCA:
         return [dot(centred, v).alias(f"{prefix}{i + 1}") for i, v in enumerate(self.components_)]
 
     def transform(self, df: DataFrame, prefix: str = "z") -> DataFrame:
+        """B10 as columns z1..zk: generated dot products while small, one NumPy
+        matrix product per Arrow batch for wide inputs (many features x components)."""
+        k = len(self.components_)
+        if is_wide(len(self.features), k):
+            mean, comps = self.mean_, self.components_
+            return append_scores(df, self.features, [f"{prefix}{i + 1}" for i in range(k)],
+                                 lambda x: (x - mean) @ comps.T)
         return df.select("*", *self.project_cols(prefix))
 
     def reconstruct_cols(self, zcols: Sequence[str], prefix: str = "r") -> list[Column]:

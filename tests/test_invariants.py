@@ -275,3 +275,19 @@ def test_join_routing_matches_nested_case(spark):
     case = {r.vec_id: r.leaf for r in tree.route(df).collect()}
     joins = {r.vec_id: r.leaf for r in tree.route(df, max_case_nodes=0).collect()}
     assert case == joins
+
+
+def test_pca_arrow_projection_matches_expressions(spark):
+    from tablelearn.functions import arrow_scores
+
+    df = embedding_view(spark, SF001, 4)
+    m = PCA(n_components=3).fit(df, xs(4))
+    expr = {r.vec_id: (r.z1, r.z2, r.z3) for r in m.transform(df).collect()}
+    saved = arrow_scores.MAX_GENERATED_TERMS
+    arrow_scores.MAX_GENERATED_TERMS = 0
+    try:
+        arrow = {r.vec_id: (r.z1, r.z2, r.z3) for r in m.transform(df).collect()}
+    finally:
+        arrow_scores.MAX_GENERATED_TERMS = saved
+    for k in expr:
+        np.testing.assert_allclose(arrow[k], expr[k], rtol=1e-9, atol=1e-12)

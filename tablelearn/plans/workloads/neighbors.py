@@ -201,3 +201,20 @@ def e14_mixture_likelihood(spark, sf_dir):
     labels = [k for k, *_ in comps]
     return df.select("vec_id", rnd(logsumexp(joint)).alias("log_likelihood"),
                      pick(labels, argmax_index(joint)).alias("best_component"))
+
+
+@query("e14_total_log_likelihood", f"""
+    WITH {GAUSS_SQL},
+    j AS (SELECT vec_id, ln(w) + ld AS s FROM dens),
+    m AS (SELECT vec_id, max(s) AS mx FROM j GROUP BY vec_id),
+    ll AS (SELECT j.vec_id, any_value(m.mx) + ln(sum(exp(j.s - m.mx))) AS ll FROM j JOIN m USING (vec_id)
+           GROUP BY j.vec_id)
+    SELECT count(*) AS n, {sql_rnd('sum(ll)', 4)} AS total_log_likelihood FROM ll""")
+def e14_total_log_likelihood(spark, sf_dir):
+    """E14 reduction: Σ_rows log Σ_k π_k N(x; μ_k, Σ_k), one aggregate over the scored rows."""
+    df, cols, comps = _components(spark, sf_dir)
+    joint = [F.lit(float(np.log(w))) + gaussian_logpdf(cols, mu, cov) for _, w, mu, cov in comps]
+    names = [f"_j{i}" for i in range(len(joint))]
+    staged = df.select(*[c.alias(n) for c, n in zip(joint, names)])
+    ll = staged.select(logsumexp([F.col(n) for n in names]).alias("ll"))
+    return ll.agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("ll"), 4).alias("total_log_likelihood"))

@@ -9,8 +9,10 @@ from tablelearn.sources.tables import TABLES
 
 from .conftest import SF001
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from tablelearn.plans.registry import ORACLES as CORE_ORACLES, QUERIES as CORE_QUERIES
+
+QUERIES = {k: v for k, v in entry.queries().items() if k in CORE_QUERIES}
+ORACLES = {k: v for k, v in entry.oracle_sql().items() if k in CORE_ORACLES}
 ROWS_ONLY = {"g18_pca_wide", "g15_linear_svc"}
 
 

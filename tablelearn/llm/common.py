@@ -76,3 +76,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+class Shared:
+    """A broadcast model, pickled by value so that executors need no copy of the package."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        from pyspark import cloudpickle
+
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        from pyspark import cloudpickle
+
+        return cloudpickle.loads(self._bytes.value)

@@ -5,28 +5,65 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablelearn.sources.tables import read_table
 
-from . import linededup, quality
+from . import decontaminate, htmltree, linededup, mixing, pii, quality, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_pii_semi_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(read_table(spark, sf_dir, "documents")))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"),
+                                    read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages")).drop("html", "url")
+
+
+def op6_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return m.select("doc_id", "source", "lang", "mix.topic", "mix.tokens",
+                    F.round("mix.weight", 6).alias("weight"),
+                    F.round("mix.probability", 6).alias("probability"), "mix.sampled")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return linededup.drop_boilerplate(docs, count_col="n_dropped")
 
 
+def op9_html_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltree.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_pii_semi_markov": op1_pii_semi_markov,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op5_warc_normaliser": op5_warc_normaliser,
+    "op6_mixing_weights": op6_mixing_weights,
     "op7_line_dedup": op7_line_dedup,
+    "op9_html_style_tree": op9_html_style_tree,
+    "op10_toxicity_fm": op10_toxicity_fm,
 }
 ORACLES: dict[str, str] = {
     "op4_quality_rules": quality.SQL,
+    "op6_mixing_weights": mixing.SQL,
     "op7_line_dedup": linededup.SQL,
 }

@@ -48,16 +48,9 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(n) for n, c in cols.items()])
 
 
-def per_row(df: DataFrame, schema: str, fn: Callable[[pd.DataFrame], pd.DataFrame | None]) -> DataFrame:
-    """mapInPandas where ``fn`` turns one batch into one batch (None: nothing)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = fn(b)
-            if out is not None and len(out):
-                yield out
-
-    return df.mapInPandas(run, schema)
+def keyed(df: DataFrame, key: str, **cols: str) -> DataFrame:
+    """``pick`` with the key as text: pandas would turn a nullable integer into a float."""
+    return pick(df, **{key: cols.pop(key)}, **cols).withColumn(key, F.col(key).cast("string"))
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -91,3 +84,48 @@ class Shared:
         from pyspark import cloudpickle
 
         return cloudpickle.loads(self._bytes.value)
+
+
+def spill(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared checkpoint folder as Parquet and read it back: a
+    lineage cut that stays column-pruned and compressed."""
+    import uuid
+
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class WordCache(dict):
+    """word -> value of ``fn``, remembering a bounded number of words."""
+
+    def __init__(self, fn: Callable, limit: int = 300_000):
+        super().__init__()
+        self.fn, self.limit = fn, limit
+
+    def __missing__(self, word: str):
+        if len(self) >= self.limit:
+            self.clear()
+        v = self[word] = self.fn(word)
+        return v
+
+
+def count_words(docs: DataFrame, text_col: str, limit: int = 400_000) -> DataFrame:
+    """word, n over the lower-cased (A-Z) words of all rows. Tasks add up their own words
+    first (at most ``limit`` at a time), so a frequent word is one row a task."""
+    from collections import Counter
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+        for b in batches:
+            for t in b["text"]:
+                seen.update(words(lower_az(t)))
+                if len(seen) >= limit:
+                    yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+                    seen.clear()
+        if seen:
+            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+
+    text_bytes_conf(docs.sparkSession)
+    d = docs.select(F.col(f"`{text_col}`").alias("text"))
+    return d.mapInPandas(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, pick, text_bytes_conf
+from .common import Shared, keyed, pick, text_bytes_conf
 
 _TOKEN = re.compile(r"\w+")
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -156,10 +156,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_score: flo
     stretch) for every leaked pair."""
     spark = docs.sparkSession
     text_bytes_conf(spark)
-    d = pick(docs, doc_id=id_col, text=text_col)
+    d = keyed(docs, "doc_id", doc_id=id_col, text=text_col)
     b = pick(benchmark, item_id=item_col, text=item_text_col).where(F.col("text").isNotNull())
-    types = dict(d.dtypes)["doc_id"], dict(b.dtypes)["item_id"]
-    schema = (f"doc_id {types[0]}, item_id {types[1]}, score double, item_words bigint, "
+    kind = docs.schema[id_col].dataType
+    schema = (f"doc_id string, item_id {dict(b.dtypes)['item_id']}, score double, item_words bigint, "
               "first_word bigint, last_word bigint")
     total = b.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-int(total) // (2 * BLOCK_WORDS)))
@@ -169,7 +169,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_score: flo
         items = Items(sorted(((r["item_id"], r["text"]) for r in rows), key=repr), n)
         if items.words:
             out = out.unionByName(_search(spark, d, items, min_score, schema))
-    return out
+    return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def _search(spark, d: DataFrame, items: Items, min_score: float, schema: str) -> DataFrame:

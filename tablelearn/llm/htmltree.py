@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, pick, text_bytes_conf
+from .common import keyed, materialise, text_bytes_conf
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg math select object canvas title".split())
@@ -227,7 +227,7 @@ def extract(pages: DataFrame, min_importance: float = 0.2, min_pages: int = 8, i
     """id, url, text, n_chars for every row. Branches on fewer than ``min_pages``
     different pages of a host are never cut by statistics."""
     text_bytes_conf(pages.sparkSession)
-    d = pick(pages, page_id=id_col, url=url_col, html=html_col).withColumn("host", host_of(F.col("url")))
+    d = keyed(pages, "page_id", page_id=id_col, url=url_col, html=html_col).withColumn("host", host_of(F.col("url")))
     low = node_importance(d.select("host", "html")).where(
         (F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
     cut = materialise(low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("cut")))
@@ -239,9 +239,8 @@ def extract(pages: DataFrame, min_importance: float = 0.2, min_pages: int = 8, i
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = [main_text(t, frozenset(() if c is None else c)) for t, c in zip(b["html"], b["cut"])]
-            yield pd.DataFrame({"page_id": b["page_id"].astype(object), "url": b["url"], "text": texts})
+            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts})
 
-    types = dict(d.dtypes)
-    out = d.mapInPandas(run, f"page_id {types['page_id']}, url {types['url']}, text string")
-    return out.select(F.col("page_id").alias(id_col), F.col("url").alias(url_col), "text",
+    out = d.mapInPandas(run, "page_id string, url string, text string")
+    return out.select(F.col("page_id").cast(pages.schema[id_col].dataType).alias(id_col), F.col("url").alias(url_col), "text",
                       F.length("text").cast("bigint").alias("n_chars"))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, pick, text_bytes_conf
+from .common import Shared, keyed, text_bytes_conf
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -317,10 +317,10 @@ def find(docs: DataFrame, field: SemiMarkov | None = None, id_col: str = "doc_id
     """One row per input row: id, base_spans and spans as arrays of
     (kind, start, end, text). Map-only."""
     field = field or train(docs, id_col, text_col)
-    d = pick(docs, doc_id=id_col, text=text_col)
+    d = keyed(docs, "doc_id", doc_id=id_col, text=text_col)
     weights = Shared(docs.sparkSession, field.w)
     one = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
-    schema = f"doc_id {dict(d.dtypes)['doc_id']}, base_spans {one}, spans {one}"
+    schema = f"doc_id string, base_spans {one}, spans {one}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = SemiMarkov(weights.value)
@@ -333,10 +333,11 @@ def find(docs: DataFrame, field: SemiMarkov | None = None, id_col: str = "doc_id
                     spans = all_spans(t, base, own)
                 for col, found in ((base_col, base), (span_col, spans)):
                     col.append([{"kind": k, "start": x, "end": y, "value": t[x:y]} for k, x, y in found])
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype(object), "base_spans": base_col, "spans": span_col})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "base_spans": base_col, "spans": span_col})
 
     text_bytes_conf(docs.sparkSession)
-    return d.mapInPandas(run, schema).withColumnRenamed("doc_id", id_col)
+    kind = docs.schema[id_col].dataType
+    return d.mapInPandas(run, schema).select(F.col("doc_id").cast(kind).alias(id_col), "base_spans", "spans")
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tablelearn.sources.tables import read_table
 
-from . import decontaminate, htmltree, linededup, mixing, pii, quality, toxicity, warc
+from . import brown, decontaminate, htmltree, linededup, mixing, pii, quality, simjoin, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,12 @@ def op1_pii_semi_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(read_table(spark, sf_dir, "documents")))
 
 
+def op2_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model, vocab = brown.train(docs)
+    return brown.score(docs, model, vocab)
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"),
                                     read_table(spark, sf_dir, "benchmark"))
@@ -43,6 +50,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_boilerplate(docs, count_col="n_dropped")
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simjoin.join_components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_html_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltree.extract(read_table(spark, sf_dir, "pages"))
 
@@ -53,16 +64,20 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline": corpus_pipeline.run,
     "op1_pii_semi_markov": op1_pii_semi_markov,
+    "op2_brown_lm": op2_brown_lm,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_warc_normaliser": op5_warc_normaliser,
     "op6_mixing_weights": op6_mixing_weights,
     "op7_line_dedup": op7_line_dedup,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_html_style_tree": op9_html_style_tree,
     "op10_toxicity_fm": op10_toxicity_fm,
 }
-ORACLES: dict[str, str] = {
+ORACLES: dict[str, str | None] = {
+    "pipeline": corpus_pipeline.ORACLE_SQL,
     "op4_quality_rules": quality.SQL,
     "op6_mixing_weights": mixing.SQL,
     "op7_line_dedup": linededup.SQL,

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, crc_mod, pick, text_bytes_conf
+from .common import Shared, crc_mod, keyed, pick, text_bytes_conf
 
 _TERM = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
@@ -142,16 +142,17 @@ def score(docs: DataFrame, model: FactorizationMachine | None, id_col: str = "do
     """id, held_out, score, predicted for every row. Map-only."""
     spark = docs.sparkSession
     text_bytes_conf(spark)
-    d = pick(docs, doc_id=id_col, text=text_col)
+    d = keyed(docs, "doc_id", doc_id=id_col, text=text_col)
+    kind = docs.schema[id_col].dataType
     shared = Shared(spark, model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, fm = Hasher(), shared.value
         for b in batches:
             s = [fm.score(buckets(t, cache)) if fm else 0.0 for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype(object), "score": s})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "score": s})
 
-    out = d.mapInPandas(run, f"doc_id {dict(d.dtypes)['doc_id']}, score double")
+    out = d.mapInPandas(run, "doc_id string, score double").withColumn("doc_id", F.col("doc_id").cast(kind))
     return out.select(F.col("doc_id").alias(id_col),
                       F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
                       "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

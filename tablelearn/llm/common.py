@@ -31,6 +31,22 @@ def lower_az_col(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def words_col(text: Column) -> Column:
+    """The words of a non-null text as an array. Splitting at one plain character is the
+    fast path of ``split``; texts with rarer white space take the pattern."""
+    rare = text.contains("\t") | text.contains("\r") | text.contains("\x0b") | text.contains("\x0c")
+    plain = F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")
+    return F.array_remove(F.when(rare, F.split(text, WORD_BREAK_SQL)).otherwise(plain), "")
+
+
+def count_chars(text: Column, chars: str) -> Column:
+    """How many of ``chars`` a non-null text has (texts without any are not rewritten)."""
+    some = text.contains(chars[0])
+    for c in chars[1:]:
+        some = some | text.contains(c)
+    return F.when(some, F.length(text) - F.length(F.translate(text, chars, ""))).otherwise(F.lit(0))
+
+
 def crc_mod(doc_id: Column, m: int) -> Column:
     """crc32 of the id written as text, modulo m (null ids: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(m)

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BREAK_SQL, materialise
+from .common import count_chars, materialise, words_col
 
 MARGINS = ("source", "lang", "topic")
 #: Exponents of the default targets: share ** exponent, made to sum to 1.
@@ -31,15 +31,15 @@ MAX_LOCAL_CELLS = 100_000
 
 
 def n_tokens(text: Column) -> Column:
-    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_BREAK_SQL), "")).cast("bigint")
+    return F.size(words_col(F.coalesce(text, F.lit("")))).cast("bigint")
 
 
 def topic(text: Column) -> Column:
     """A coarse lexical topic: kind of content first, then length."""
     t = F.coalesce(text, F.lit(""))
     chars = F.length(t)
-    symbols = chars - F.length(F.translate(t, "#*$%&|<>", ""))
-    shouts = (chars - F.length(F.replace(t, F.lit("!!"), F.lit("")))) / 2
+    symbols = count_chars(t, "#*$%&|<>")
+    shouts = F.when(t.contains("!!"), (chars - F.length(F.replace(t, F.lit("!!"), F.lit("")))) / 2).otherwise(0.0)
     return (F.when(symbols * 20 > chars, "symbols").when(shouts >= 5, "shouting")
             .when(t.contains("@"), "contact").when(chars < 1000, "brief")
             .when(chars < 4000, "article").otherwise("longform"))
@@ -125,14 +125,16 @@ def draw(doc_id: Column, seed: int) -> Column:
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rate: float = 1.0,
         seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         lang_col: str = "lang", temper: dict = TEMPER, rounds: int = ROUNDS,
-        max_local: int = MAX_LOCAL_CELLS) -> DataFrame:
+        max_local: int = MAX_LOCAL_CELLS, topic_col: str | None = None,
+        tokens_col: str | None = None) -> DataFrame:
     """Every row with ``mix``: a struct of topic, tokens, weight (the raking factor),
     probability and sampled. ``targets`` gives shares per value of a margin; a margin
-    without targets is tempered."""
-    t = F.col(f"`{text_col}`")
+    without targets is tempered. Topic and tokens come from the text, or from columns
+    that hold them already (then no text is needed)."""
+    what = F.col(f"`{topic_col}`") if topic_col else topic(F.col(f"`{text_col}`"))
+    size = F.col(f"`{tokens_col}`") if tokens_col else n_tokens(F.col(f"`{text_col}`"))
     keys = F.struct(F.col(f"`{source_col}`").cast("string").alias("source"),
-                    F.col(f"`{lang_col}`").cast("string").alias("lang"), topic(t).alias("topic"),
-                    n_tokens(t).alias("tokens"))
+                    F.col(f"`{lang_col}`").cast("string").alias("lang"), what.alias("topic"), size.alias("tokens"))
     cells = docs.select(keys.alias("k")).select("k.*").groupBy(*MARGINS).agg(F.sum("tokens").alias("mass"))
     factors, small = cell_factors(cells, targets, temper, rounds, max_local)
     top = factors.agg(F.max("f")).first()[0] or 1.0

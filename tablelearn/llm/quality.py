@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BREAK_SQL, let, pick
+from .common import count_chars, let, pick, words_col
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -42,19 +42,31 @@ class LineRules:
     max_lost: float = 0.5
 
 
-def _words(text: Column) -> Column:
-    return F.array_remove(F.split(text, WORD_BREAK_SQL), "")
+def _any(text: Column, parts) -> Column:
+    found = F.lit(False)
+    for p in parts:
+        found = found | text.contains(p)
+    return found
 
 
-def line_fails(line: Column, rules: LineRules) -> Column:
-    """True when a line breaks a punctuation, navigation or boilerplate rule."""
-    bars = F.length(line) - F.length(F.replace(line, F.lit(" | "), F.lit("  ")))
-    phrases = F.lower(line).rlike("|".join(BOILERPLATE))
+def text_flags(text: Column) -> Column:
+    """Which rules any line of the text can break at all."""
+    return F.struct(text.contains(" | ").alias("bars"),
+                    let(F.lower(text), lambda x: _any(x, BOILERPLATE)).alias("phrases"),
+                    _any(text, (*"#*$%&<>", "!!", "??", "!?", "?!")).alias("marks"))
+
+
+def line_fails(line: Column, rules: LineRules, flags: Column) -> Column:
+    """True when a line breaks a punctuation, navigation or boilerplate rule; ``flags``
+    are its text's, so most lines need little more than the punctuation test."""
+    bars = flags["bars"] & (
+        F.length(line) - F.length(F.replace(line, F.lit(" | "), F.lit("  "))) >= rules.min_navigation_bars)
+    phrases = flags["phrases"] & let(F.lower(line), lambda x: _any(x, BOILERPLATE))
     odd = F.size(F.split(line, r"[#*$%&<>]\S*|[!?]{2,}")) - 1
-    n = F.size(_words(line))
-    symbols = odd > F.lit(rules.max_symbol_words) * n
-    unpunctuated = (n >= rules.terminal_min_words) & ~line.rlike(r"[.!?…。]")
-    return (bars >= rules.min_navigation_bars) | phrases | symbols | unpunctuated
+    symbols = flags["marks"] & line.rlike(r"[#*$%&<>]|[!?]{2}") & (
+        odd > F.lit(rules.max_symbol_words) * F.size(words_col(line)))
+    unpunctuated = ~line.rlike(r"[.!?…。]") & (F.size(words_col(line)) >= rules.terminal_min_words)
+    return bars | symbols | unpunctuated | phrases
 
 
 def _has_word(line: Column) -> Column:
@@ -82,23 +94,39 @@ def _repeat_words(w: Column) -> Column:
     return let(windows, covered)
 
 
-def quality_columns(text: Column, rules: LineRules) -> dict[str, Column]:
-    """The document's counts, base verdict and the method's verdict as expressions."""
-    text = F.coalesce(text, F.lit(""))
-    squeezed = F.translate(text, " \t\n\x0b\x0c\r", "")
-    counts = let(_words(text), lambda w: F.struct(F.size(w).cast("bigint").alias("n"),
-                                                  _repeat_words(w).alias("r")))
+def judge(text: Column, rules: LineRules, with_text: bool) -> Column:
+    """One struct per text: its counts, verdicts and (on request) the cleaned text. All
+    shared parts are bound to lambda variables, so each is computed once."""
+
+    def of_text(t: Column) -> Column:
+        counts = let(words_col(t), lambda w: F.struct(
+            F.size(w).cast("bigint").alias("n"), F.length(F.array_join(w, "")).cast("bigint").alias("chars"),
+            _repeat_words(w).alias("rep")))
+
+        def of_lines(lines: Column, c: Column, flags: Column) -> Column:
+            full = F.filter(lines, _has_word)
+            dup = (F.size(full) - F.size(F.array_distinct(full))).cast("bigint")
+            lost = F.filter(lines, lambda x: line_fails(x, rules, flags))
+            return let(lost, lambda bad: verdict(lines, c, dup, bad))
+
+        def verdict(lines: Column, c: Column, dup: Column, bad: Column) -> Column:
+            left = c["n"] - F.when(F.size(bad) == 0, F.lit(0)).otherwise(F.size(words_col(F.array_join(bad, "\n"))))
+            failed = (c["n"] < 50) | (F.lit(100) * c["rep"] > F.lit(50) * c["n"])
+            kept = ~failed & (left >= F.lit(1.0 - rules.max_lost) * c["n"])
+            out = [c["n"].alias("n_words"), c["chars"].alias("word_chars"),
+                   count_chars(t, SYMBOLS).cast("bigint").alias("n_symbols"), dup.alias("n_dup_lines"),
+                   c["rep"].alias("n_repeat_words"), failed.alias("base_failed"), kept.alias("kept"),
+                   left.cast("bigint").alias("n_kept_words")]
+            if with_text:
+                clean = F.when(F.size(bad) == 0, t).otherwise(
+                    F.array_join(F.filter(lines, lambda x: ~F.array_contains(bad, x)), "\n"))
+                out.append(F.when(kept, clean).alias("text"))
+            return F.struct(*out)
 
-    def line_stats(lines: Column) -> Column:
-        full = F.filter(lines, _has_word)
-        kept = F.filter(lines, lambda x: ~line_fails(x, rules))
-        return F.struct((F.size(full) - F.size(F.array_distinct(full))).cast("bigint").alias("dup"),
-                        F.size(_words(F.array_join(kept, "\n"))).cast("bigint").alias("left"))
+        return let(counts, lambda c: let(text_flags(t), lambda flags: let(
+            F.split(t, "\n"), lambda lines: of_lines(lines, c, flags))))
 
-    lines = let(F.split(text, "\n"), line_stats)
-    return {"counts": counts, "lines": lines,
-            "word_chars": F.length(squeezed).cast("bigint"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint")}
+    return let(F.coalesce(text, F.lit("")), of_text)
 
 
 def score_documents(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id",
@@ -106,33 +134,20 @@ def score_documents(docs: DataFrame, rules: LineRules = LineRules(), id_col: str
     """One row per input row: id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, n_kept_words. Map-only."""
     d = pick(docs, doc_id=id_col, text=text_col)
-    c = quality_columns(F.col("text"), rules)
-    d = d.select("doc_id", *[v.alias(k) for k, v in c.items()])
-    n, rep, left = F.col("counts.n"), F.col("counts.r"), F.col("lines.left")
-    failed = (n < 50) | (F.lit(100) * rep > F.lit(50) * n)
-    return d.select(
-        F.col("doc_id").alias(id_col), n.alias("n_words"), "word_chars", "n_symbols",
-        F.col("lines.dup").alias("n_dup_lines"), rep.alias("n_repeat_words"),
-        failed.alias("base_failed"),
-        (~failed & (left >= F.lit(1.0 - rules.max_lost) * n)).alias("kept"),
-        left.alias("n_kept_words"))
+    return (d.select(F.col("doc_id").alias(id_col), F.explode(F.array(judge(F.col("text"), rules, False))).alias("q"))
+            .select(id_col, "q.*"))
 
 
 def clean_documents(docs: DataFrame, rules: LineRules = LineRules(), text_col: str = "text") -> DataFrame:
     """The documents that pass, with their failing lines removed and all other columns
-    as they are (``n_chars`` follows the text where the table has it)."""
-    cols, tmp = docs.columns, "__quality"
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    c = quality_columns(F.col(f"`{text_col}`"), rules)
-    verdict = docs.withColumn(tmp, F.struct(c["counts"].alias("c"), c["lines"].alias("l")))
-    n, rep, left = F.col(f"{tmp}.c.n"), F.col(f"{tmp}.c.r"), F.col(f"{tmp}.l.left")
-    ok = verdict.where((n >= 50) & (F.lit(100) * rep <= F.lit(50) * n)
-                       & (left >= F.lit(1.0 - rules.max_lost) * n))
-    cleaned = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~line_fails(x, rules)), "\n")
-    out = ok.withColumn(text_col, cleaned)
-    if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.length(f"`{text_col}`").cast("bigint"))
-    return out.select(*[F.col(f"`{x}`") for x in cols])
+    as they are (``n_chars`` follows the text where the table has it). Map-only; the
+    verdict is generated once a row, which no filter can duplicate."""
+    cols = docs.columns
+    passed = F.filter(F.array(judge(F.col(f"`{text_col}`"), rules, True)), lambda q: q["kept"])
+    out = docs.select(*[F.col(f"`{c}`") for c in cols if c != text_col],
+                      F.explode(F.transform(passed, lambda q: q["text"])).alias(text_col))
+    return out.select(*[F.length(f"`{text_col}`").cast("bigint").alias(c) if c == "n_chars" else F.col(f"`{c}`")
+                        for c in cols])
 
 
 def _sql(max_symbol_words=0.3, bars=2, terminal=20, max_lost=0.5) -> str:

@@ -11,6 +11,7 @@ import corpus_pipeline
 from tablelearn.sources.tables import read_table
 
 from . import brown, decontaminate, htmltree, linededup, mixing, pii, quality, simjoin, toxicity, warc
+from .common import spill
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,7 +40,11 @@ def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = mixing.mix(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents")
+    text = docs["text"]
+    keys = spill(docs.select("doc_id", "source", "lang", mixing.topic(text).alias("topic"),
+                             mixing.n_tokens(text).alias("tokens")), "mixing-keys")
+    m = mixing.mix(keys, topic_col="topic", tokens_col="tokens")
     return m.select("doc_id", "source", "lang", "mix.topic", "mix.tokens",
                     F.round("mix.weight", 6).alias("weight"),
                     F.round("mix.probability", 6).alias("probability"), "mix.sampled")

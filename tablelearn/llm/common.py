@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,23 +11,13 @@ from pyspark.sql import functions as F
 
 from tablelearn.session import ensure_checkpoint_dir
 
-#: Word characters of the contracts: everything but space, \t, \n, \v, \f, \r.
-WORD = re.compile("[^\x20\x09-\x0d]+")
 WORD_BREAK_SQL = r"[\x20\x09-\x0D]+"
-_UPPER = {i: i + 32 for i in range(65, 91)}
 
 
-def words(text: str | None) -> list[str]:
-    return WORD.findall(text) if text else []
-
-
-def lower_az(text: str | None) -> str:
-    """Lower-case A-Z only; all other letters stay."""
-    return "" if not text else text.lower() if text.isascii() else text.translate(_UPPER)
-
-
-def lower_az_col(c: Column) -> Column:
-    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def byte_words(text: str | None) -> list[bytes]:
+    """The words ``[^\\x20\\x09-\\x0D]+`` of a text as UTF-8, A-Z lower-cased: on bytes,
+    ``lower`` and ``split`` mean ASCII letters and exactly these six white-space bytes."""
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
 def words_col(text: Column) -> Column:
@@ -131,16 +120,19 @@ def count_words(docs: DataFrame, text_col: str, limit: int = 400_000) -> DataFra
     first (at most ``limit`` at a time), so a frequent word is one row a task."""
     from collections import Counter
 
+    def table(seen: Counter) -> pd.DataFrame:
+        return pd.DataFrame({"word": [w.decode("utf-8", "surrogatepass") for w in seen], "n": list(seen.values())})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for b in batches:
             for t in b["text"]:
-                seen.update(words(lower_az(t)))
+                seen.update(byte_words(t))
                 if len(seen) >= limit:
-                    yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+                    yield table(seen)
                     seen.clear()
         if seen:
-            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+            yield table(seen)
 
     text_bytes_conf(docs.sparkSession)
     d = docs.select(F.col(f"`{text_col}`").alias("text"))

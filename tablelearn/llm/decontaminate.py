@@ -1,6 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Texts become lower-cased ``\\w+`` words. Of every item's distinct n-grams the rarest half
+Texts become words between white space, lower-cased and without the marks at their ends.
+Of every item's distinct n-grams the rarest half
 (by the number of documents that hold them, over the whole corpus; ties included) are
 its seeds, so an item keeps seeds however often it leaked. A document that holds two
 seeds of an item (one, if the item has fewer than four) is aligned against it around
@@ -26,16 +27,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, keyed, pick, text_bytes_conf
+from .common import Shared, WordCache, keyed, pick, text_bytes_conf
 
-_TOKEN = re.compile(r"\w+")
+_MARKS = re.compile(r"^[\W_]+|[\W_]+$")
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of items that one broadcast block may hold.
 BLOCK_WORDS = 2_000_000
 
 
+def norm(word: str) -> str:
+    return _MARKS.sub("", word.lower())
+
+
 def tokens(text: str | None) -> list[str]:
-    return _TOKEN.findall(text.lower()) if text else []
+    return [w for w in map(norm, text.split()) if w] if text else []
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
@@ -123,10 +128,16 @@ class Items:
         return {g: self.number[g] for g in keep}
 
 
-def _ids(items: Items, text: str | None) -> np.ndarray:
-    get = items.vocab.get
-    toks = tokens(text)
-    return np.fromiter((get(t, 0) for t in toks), np.int64, len(toks))
+def _reader(items: Items):
+    """text -> word numbers (0: a word of no item); words are normalised once a task."""
+    number = WordCache(lambda w: items.vocab.get(x, 0) if (x := norm(w)) else -1)
+
+    def ids(text: str | None) -> np.ndarray:
+        toks = text.split() if text else []
+        out = np.fromiter(map(number.__getitem__, toks), np.int64, len(toks))
+        return out[out >= 0] if len(out) and out.min() < 0 else out
+
+    return ids
 
 
 def _candidates(items: Items, places: dict[int, list], need: dict[int, int], ids: np.ndarray,
@@ -177,10 +188,11 @@ def _search(spark, d: DataFrame, items: Items, min_score: float, schema: str) ->
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
+        read = _reader(own)
         df: dict[int, int] = defaultdict(int)
         for batch in batches:
             for t in batch["text"]:
-                for g in {g for g, _ in own.hits(_ids(own, t), own.number)}:
+                for g in {g for g, _ in own.hits(read(t), own.number)}:
                     df[g] += 1
         yield pd.DataFrame({"g": list(df), "n": list(df.values())}, dtype="int64")
 
@@ -197,10 +209,11 @@ def _search(spark, d: DataFrame, items: Items, min_score: float, schema: str) ->
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, (seeds, places, need) = shared.value, plan.value
+        read = _reader(own)
         for batch in batches:
             got = []
             for doc_id, t in zip(batch["doc_id"], batch["text"]):
-                ids = _ids(own, t)
+                ids = read(t)
                 best: dict[int, tuple] = {}
                 for no, lo, hi in _candidates(own, places, need, ids, own.hits(ids, seeds)):
                     item_id, words = own.words[no]

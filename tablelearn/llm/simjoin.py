@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, WordCache, lower_az, materialise, mix64, pick, spill, text_bytes_conf, words
+from .common import Shared, WordCache, byte_words, materialise, mix64, pick, spill, text_bytes_conf
 
 #: Sets up to this size keep all elements beside the document, so any boundary up to it
 #: can be chosen.
@@ -52,7 +52,7 @@ BLOCK = 512
 ENTRY_COST = 4
 #: Word counts are kept in so many hash cells (4 MB) to order the elements; they never
 #: decide a result.
-CELL_BITS = 22
+CELL_BITS, CHUNK = 22, 1 << 12
 BROADCAST_IDS = 1_000_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 
@@ -79,23 +79,19 @@ class Threshold:
         return [b for b in range(lo, min(most, 100 * a // self.t) + 1) if self.need(a, b) <= min(a, b)]
 
 
-def _hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-
-
 class Shingler:
     """text -> sorted uint64 elements: 6 bits of order level, 58 bits of hash."""
 
     def __init__(self, n: int, levels: np.ndarray):
         self.n, self.levels = n, levels
-        self.hash = WordCache(_hash)
+        self.hash = WordCache(xxhash.xxh64_intdigest)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        toks = words(lower_az(text))
+        toks = byte_words(text)
         if not toks:
             return np.empty(0, np.uint64)
         h = self.hash
-        x = np.fromiter((h[t] for t in toks), np.uint64, len(toks))
+        x = np.fromiter(map(h.__getitem__, toks), np.uint64, len(toks))
         lv = self.levels[x >> np.uint64(64 - CELL_BITS)].astype(np.uint64)
         k = min(self.n, len(toks))
         m = len(toks) - k + 1
@@ -112,7 +108,7 @@ def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
     over all rows. It bounds the count of every word in the cell from above, so an
     n-gram of low level is rare for certain; words that share a cell only blur the order."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordCache(_hash)
+        cache = WordCache(xxhash.xxh64_intdigest)
         seen, buf, size = np.zeros(1 << CELL_BITS, np.int64), [], 0
 
         def add() -> None:
@@ -122,8 +118,8 @@ def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
 
         for b in batches:
             for t in b["text"]:
-                toks = words(lower_az(t))
-                buf.append(np.fromiter((cache[w] for w in toks), np.uint64, len(toks)))
+                toks = byte_words(t)
+                buf.append(np.fromiter(map(cache.__getitem__, toks), np.uint64, len(toks)))
                 size += len(toks)
                 if size > 4_000_000:
                     add()
@@ -133,11 +129,19 @@ def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
         yield pd.DataFrame({"cell": k.astype(np.int32), "n": seen[k]})
 
     text_bytes_conf(docs.sparkSession)
+    def pack(g: pd.DataFrame) -> pd.DataFrame:
+        level = np.zeros(CHUNK, np.uint8)
+        level[g["cell"].to_numpy() % CHUNK] = g["level"].to_numpy()
+        return pd.DataFrame({"chunk": g["chunk"].iloc[:1], "levels": [level.tobytes()]})
+
     cells = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInPandas(run, "cell int, n bigint")
              .groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1")
-             .select("cell", F.floor(F.log2("n")).cast("byte").alias("level")).toPandas())
+             .select("cell", (F.col("cell") / CHUNK).cast("int").alias("chunk"),
+                     F.least(F.floor(F.log2("n")), F.lit(63)).cast("int").alias("level")))
+    packed = cells.groupBy("chunk").applyInPandas(pack, "chunk int, levels binary").collect()  # 4 MB at most
     levels = np.zeros(1 << CELL_BITS, np.uint8)
-    levels[cells["cell"].to_numpy(np.int64)] = np.minimum(cells["level"].to_numpy(np.int64), 63)
+    for r in packed:
+        levels[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["levels"], np.uint8)
     return levels
 
 

@@ -3,8 +3,8 @@ learns a short vector per term, so that pairs of terms (an insult with the group
 aimed at) add their own, learned interaction.
 
 The model learns from labelled rows whose crc32(doc_id) mod 4 is not 2, of them at most
-``max_rows`` (those with the smallest id hashes). Terms are lower-cased words hashed to
-2^20 buckets; a term enters when its document counts by label, over all rows of that
+``max_rows`` (those with the smallest id hashes). Terms are lower-cased words (without
+marks at their ends) hashed to 2^20 buckets; a term enters when its document counts by label, over all rows of that
 sample, pass a chi-square test. Only the text is an input of a score.
 
 Defined results: null and empty texts get the score of the bias alone; a null id is never
@@ -24,29 +24,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, crc_mod, keyed, pick, text_bytes_conf
+from .common import Shared, WordCache, crc_mod, keyed, pick, text_bytes_conf
 
-_TERM = re.compile(r"[^\W\d_]+")
+_MARKS = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 BUCKETS = 1 << 20
 #: Chi-square above which a term is kept (p < 0.001), at least so many documents hold it,
 #: and the largest number of terms.
 MIN_CHI2, MIN_DOCS, MAX_TERMS = 10.83, 5, 8192
-#: Words remembered by a task between documents.
-_CACHE = 300_000
 
+def bucket(word: str) -> int:
+    """Bucket of a word, lower-cased and without digits and marks at its ends."""
+    term = _MARKS.sub("", word.lower())
+    return zlib.crc32(term.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
 
-class Hasher(dict):
-    """term -> bucket, remembering a bounded number of terms."""
 
-    def __missing__(self, term: str) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        v = self[term] = zlib.crc32(term.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
-        return v
-
-
-def buckets(text: str | None, cache: Hasher) -> set[int]:
-    return {cache[t] for t in set(_TERM.findall(text.lower()))} if text else set()
+def buckets(text: str | None, cache: WordCache) -> set[int]:
+    return set(map(cache.__getitem__, set(text.split()))) if text else set()
 
 
 class FactorizationMachine:
@@ -105,7 +98,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(sample), "doc_id").select("text", "y")
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, seen = Hasher(), np.zeros((2, BUCKETS), np.int32)
+        cache, seen = WordCache(bucket), np.zeros((2, BUCKETS), np.int32)
         for b in batches:
             for t, y in zip(b["text"], b["y"]):
                 seen[int(y > 0), list(buckets(t, cache))] += 1
@@ -128,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     shared = Shared(spark, model.index)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, index = Hasher(), shared.value
+        cache, index = WordCache(bucket), shared.value
         for b in batches:
             xs = [sorted(index[k] for k in buckets(t, cache) if k in index) for t in b["text"]]
             yield pd.DataFrame({"x": xs, "y": (b["y"] > 0).astype("int32")})
@@ -147,7 +140,7 @@ def score(docs: DataFrame, model: FactorizationMachine | None, id_col: str = "do
     shared = Shared(spark, model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, fm = Hasher(), shared.value
+        cache, fm = WordCache(bucket), shared.value
         for b in batches:
             s = [fm.score(buckets(t, cache)) if fm else 0.0 for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "score": s})

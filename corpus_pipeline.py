@@ -40,9 +40,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sampled documents with topic, tokens, weight and probability."""
-    mixed = mixing.mix(docs).where("mix.sampled")
+    mixed = mixing.mix(docs, out_col="__mix").where("__mix.sampled")
     return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], *[
-        F.col(f"mix.{c}").alias(f"mix_{c}") for c in ("topic", "tokens", "weight", "probability")])
+        F.col(f"__mix.{c}").alias(f"mix_{c}") for c in ("topic", "tokens", "weight", "probability")])
 
 
 STAGES = [

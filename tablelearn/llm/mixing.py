@@ -126,8 +126,8 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rat
         seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         lang_col: str = "lang", temper: dict = TEMPER, rounds: int = ROUNDS,
         max_local: int = MAX_LOCAL_CELLS, topic_col: str | None = None,
-        tokens_col: str | None = None) -> DataFrame:
-    """Every row with ``mix``: a struct of topic, tokens, weight (the raking factor),
+        tokens_col: str | None = None, out_col: str = "mix") -> DataFrame:
+    """Every row with ``out_col``: a struct of topic, tokens, weight (the raking factor),
     probability and sampled. ``targets`` gives shares per value of a margin; a margin
     without targets is tempered. Topic and tokens come from the text, or from columns
     that hold them already (then no text is needed)."""
@@ -144,7 +144,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rat
     p = F.least(F.lit(1.0), F.lit(rate) * F.col("__f") / F.lit(top))
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
         F.col("__k.topic").alias("topic"), F.col("__k.tokens").alias("tokens"), F.col("__f").alias("weight"),
-        p.alias("probability"), (draw(F.col(f"`{id_col}`"), seed) < p).alias("sampled")).alias("mix"))
+        p.alias("probability"), (draw(F.col(f"`{id_col}`"), seed) < p).alias("sampled")).alias(out_col))
 
 
 def _sql() -> str:

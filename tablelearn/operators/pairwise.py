@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..functions.linalg import argmin_index, euclidean, sq_dist
+from ..sources.validate import raise_if_invalid
 
 MAX_LITERAL_POINTS = 100_000  # rows x dims entered into the plan as literals
 
@@ -185,6 +186,18 @@ def _blocks(n: int, block_rows: int) -> int:
     return max(1, math.ceil(n / block_rows))
 
 
+def _count_valid(df: DataFrame, id_col: str, features: str, label: str | None = None) -> int:
+    """Row count; raises on NULL ids, vectors or labels and on NULL, NaN or infinite entries."""
+    f = F.col(features)
+    bad = F.col(id_col).isNull() | f.isNull() | F.exists(
+        f, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
+    if label:
+        bad = bad | F.col(label).isNull()
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad")).first()
+    raise_if_invalid(r["bad"], "neighbour search")
+    return r["n"]
+
+
 def knn_pairs(queries: DataFrame, train: DataFrame, qid: str, tid: str, features: str, k: int,
               exclude_self: bool = False, block_rows: int = 2048,
               carry: str | None = None) -> DataFrame:
@@ -198,22 +211,24 @@ def knn_pairs(queries: DataFrame, train: DataFrame, qid: str, tid: str, features
     """
     if k < 1:
         raise ValueError("k must be positive")
-    nq, nt = queries.count(), train.count()
+    nq, nt = _count_valid(queries, qid, features), _count_valid(train, tid, features, carry)
     bq, bt = _blocks(nq, block_rows), _blocks(nt, block_rows)
     q = queries.select(F.col(qid).alias("_q"), F.col(features).alias("_qv"),
                        F.pmod(F.xxhash64(qid), F.lit(bq)).alias("qb"))
     q = q.withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(bt - 1)).cast("array<bigint>")))
     t = train.select(F.col(tid).alias("_t"), F.col(features).alias("_tv"),
-                     (F.col(carry).cast("bigint") if carry else F.lit(0).cast("bigint")).alias("_c"),
+                     (F.col(carry) if carry else F.lit(0).cast("bigint")).alias("_c"),
                      F.pmod(F.xxhash64(tid), F.lit(bt)).alias("tb"))
     t = t.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)).cast("array<bigint>")))
 
+    def types(df: DataFrame, c: str) -> str:
+        return df.schema[c].dataType.simpleString()
+
     def block_topk(qpdf, tpdf):
         import pandas as pd
 
         if qpdf.empty or tpdf.empty:
-            return pd.DataFrame({"q": np.array([], np.int64), "t": np.array([], np.int64),
-                                 "d": np.array([], np.float64), "c": np.array([], np.int64)})
+            return pd.DataFrame({"q": [], "t": [], "d": [], "c": []}, dtype=object)
         qx = np.stack(qpdf["_qv"].to_numpy()).astype(np.float64)
         tx = np.stack(tpdf["_tv"].to_numpy()).astype(np.float64)
         qids = qpdf["_q"].to_numpy()
@@ -236,16 +251,14 @@ def knn_pairs(queries: DataFrame, train: DataFrame, qid: str, tid: str, features
                 # exact top k by (distance, id): lexsort on the candidates within the k-th distance
                 cut = np.partition(row, kk - 1)[kk - 1]
                 cand = np.nonzero(row <= cut)[0]
-                order = cand[np.lexsort((ids[cand], row[cand]))][:kk]
+                order = sorted(cand.tolist(), key=lambda i: (row[i], ids[i]))[:kk]
                 out_q.extend([qids[s + r]] * len(order))
                 out_t.extend(ids[order].tolist())
                 out_d.extend(row[order].tolist())
-        return pd.DataFrame({"q": np.array(out_q, dtype=np.int64), "t": np.array(out_t, dtype=np.int64),
-                             "d": np.array(out_d, dtype=np.float64),
-                             "c": np.array([tcar[x] for x in out_t], dtype=np.int64)})
+        return pd.DataFrame({"q": out_q, "t": out_t, "d": out_d, "c": [tcar[x] for x in out_t]})
 
     cand = (q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb"))
-            .applyInPandas(lambda a, b: block_topk(a, b), "q bigint, t bigint, d double, c bigint"))
+            .applyInPandas(lambda a, b: block_topk(a, b), f"q {types(q, '_q')}, t {types(t, '_t')}, d double, c {types(t, '_c')}"))
     # each query has at most k candidates per train block; keep the global k best
     w = Window.partitionBy("q").orderBy("d", "t")
     cand = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

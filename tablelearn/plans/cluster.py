@@ -185,10 +185,12 @@ class GaussianMixture:
                 old = weights
                 weights = sr / n
                 safe = np.where(sr > 0, sr, 1.0)
-                means = np.where(sr[:, None] > 0, srx / safe[:, None], means)
+                # the sums are taken about each component's current mean
+                delta = np.where(sr[:, None] > 0, srx / safe[:, None], 0.0)
+                means = means + delta
                 second = srxx / safe[:, None, None]
                 covs = np.where((sr > 0)[:, None, None],
-                                second - np.einsum("ki,kj->kij", means, means), covs)
+                                second - np.einsum("ki,kj->kij", delta, delta), covs)
                 covs = covs + self.reg * np.eye(p)[None]
                 self.log_likelihood_.append(ll)
                 self.n_iter_ += 1
@@ -206,9 +208,10 @@ class GaussianMixture:
         cols = self.features
         # factor every covariance once per iteration on the driver
         prec = np.linalg.inv(covs)
-        logdet = np.linalg.slogdet(covs)[1]
+        sign, logdet = np.linalg.slogdet(covs)
+        if (sign <= 0).any():
+            raise ValueError("a component's covariance is not positive definite; raise reg_covar")
         const = np.log(weights) - 0.5 * (p * np.log(2 * np.pi) + logdet)
-        shift = means.mean(axis=0)  # centre the second moments to limit cancellation
 
         def per_partition(batches):
             n = 0.0
@@ -228,12 +231,14 @@ class GaussianMixture:
                 mx = s.max(axis=1, keepdims=True)
                 lse = mx[:, 0] + np.log(np.exp(s - mx).sum(axis=1))
                 r = np.exp(s - lse[:, None])
-                xc = x - shift
                 n += x.shape[0]
                 ll += lse.sum()
                 sr += r.sum(axis=0)
-                srx += r.T @ xc
-                srxx += np.einsum("ik,ip,iq->kpq", r, xc, xc)
+                for j in range(k):
+                    d = x - means[j]
+                    rd = r[:, j, None] * d
+                    srx[j] += rd.sum(axis=0)
+                    srxx[j] += rd.T @ d
             vals = np.concatenate([[n, ll], sr, srx.reshape(-1), srxx.reshape(-1), [bad]])
             yield pa.RecordBatch.from_pydict({"comp": np.zeros(len(vals), np.int32),
                                               "slot": np.arange(len(vals), dtype=np.int32),
@@ -246,12 +251,8 @@ class GaussianMixture:
             v[r["slot"]] = r["value"]
         n, ll, bad = v[0], v[1], v[-1]
         sr = v[2:2 + k]
-        srx_c = v[2 + k:2 + k + k * p].reshape(k, p)
-        srxx_c = v[2 + k + k * p:-1].reshape(k, p, p)
-        # undo the shift: Σr x = Σr xc + sr·shift ; Σr x xᵀ = Σr xc xcᵀ + shift⊗Σr xc + Σr xc⊗shift + sr·shift shiftᵀ
-        srx = srx_c + sr[:, None] * shift
-        srxx = (srxx_c + np.einsum("kp,q->kpq", srx_c, shift) + np.einsum("p,kq->kpq", shift, srx_c)
-                + sr[:, None, None] * np.outer(shift, shift)[None])
+        srx = v[2 + k:2 + k + k * p].reshape(k, p)
+        srxx = v[2 + k + k * p:-1].reshape(k, p, p)
         return n, sr, srx, srxx, ll, bad
 
     def fit_predict(self, df: DataFrame, features: Sequence[str], id_col: str) -> DataFrame:

@@ -67,6 +67,11 @@ class LinearModel:
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str) -> "LinearModel":
         self.features = list(features)
+        closed = self.closed_form and self.penalty.l1_share == 0.0
+        centre = closed and self.fit_intercept and not self.penalize_intercept
+        shift = self._means(df, label) if centre else None
+        if centre:  # raw moments of far-from-zero columns lose every digit of the slope
+            df = df.select(*[(F.col(c) - F.lit(s)).alias(c) for c, s in zip([*self.features, label], shift)])
         m = moment_matrices(df, self.features, label)
         n = m["n"]
         if n == 0:
@@ -83,7 +88,7 @@ class LinearModel:
         if self.fit_intercept and not self.penalize_intercept:
             mask[0] = 0.0
         self.mask_ = mask
-        if self.closed_form and self.penalty.l1_share == 0.0:
+        if closed:
             a = g / n + self.penalty.alpha * self.penalty.l2_share * np.diag(mask)
             w = np.linalg.lstsq(a, xty / n, rcond=None)[0]
             self.n_iter_ = 0
@@ -98,9 +103,17 @@ class LinearModel:
                 w = new
                 if done:
                     break
+        self._w = w  # in the coordinates of gram_ (centred for closed forms)
+        if centre:
+            w = w.copy()
+            w[0] += shift[-1] - w[1:] @ shift[:-1]
         self.coef_ = w
         return self
 
+    def _means(self, df: DataFrame, label: str) -> np.ndarray:
+        row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate([*self.features, label])]).first()
+        return np.array([0.0 if v is None else float(v) for v in row])
+
     @property
     def intercept(self) -> float:
         return float(self.coef_[0]) if self.fit_intercept else 0.0
@@ -118,7 +131,7 @@ class LinearModel:
 
     def training_mse(self) -> float:
         """F1 on the training table from the collected moments (no extra pass)."""
-        w = self.coef_
+        w = self._w
         return float((w @ self.gram_ @ w - 2 * w @ self.xty_ + self.syy_) / self.n_)
 
     def objective(self) -> float:

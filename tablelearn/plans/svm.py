@@ -29,7 +29,7 @@ def _sql_value(v) -> str:
         return str(int(v))
     return sql_double(v)
 from ..operators.split import hinge_active
-from ..sources.validate import count_invalid, raise_if_invalid
+from ..sources.validate import assert_finite, count_invalid, raise_if_invalid
 
 
 class LinearSVM:
@@ -261,6 +261,7 @@ class OneVsRestSVM:
         from ..operators.features import dictionary
 
         self.features = list(features)
+        assert_finite(df, self.features, label)  # a NULL label would be a negative of every class
         self.classes = dictionary(df, label)
         k, p = len(self.classes), len(self.features) + 1
         data = df.select(*self.features, F.col(label).alias("_lab")).persist(StorageLevel.MEMORY_AND_DISK)

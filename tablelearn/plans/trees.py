@@ -143,7 +143,9 @@ class NewtonGain(Criterion):
         terms = []
         for j in range(self.k):
             g, h = j, self.k + j
-            terms.append(f"{l[g]} * {l[g]} / {l[h]} + {r[g]} * {r[g]} / {r[h]} - {t[g]} * {t[g]} / {t[h]}")
+            # a side without curvature (saturated probabilities) adds nothing, as its leaf is 0
+            side = [f"(CASE WHEN {x[h]} = 0D THEN 0D ELSE {x[g]} * {x[g]} / {x[h]} END)" for x in (l, r, t)]
+            terms.append(f"{side[0]} + {side[1]} - {side[2]}")
         return f"0.5D * {_sum(terms)}"
 
     def leaf(self, t):

@@ -14,7 +14,7 @@ c(a, b), the smallest integer that meets the threshold.
   by size and position), checked exactly on the whole sets. In a long list every set is
   first checked against one pivot; sets that stay outside the list's largest component
   are then compared with the rest block by block, each block pair by scanning in-memory
-  inverted lists, returning links only.
+  inverted lists of the listed elements; pairs these cannot rule out are checked exactly.
 
 The boundary is the one with the smallest estimated cost: subsets listed for sets up to
 it plus list entries beyond it. No step lists all pairs of a group, and no link between
@@ -291,10 +291,11 @@ def _check_pairs(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint")
 
 
-def _block_links(members: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """Links between sets of different components of a family: ``members`` has family,
-    rep, component, rest (outside the largest component). Every block of rest sets meets
-    every block of the family; a block pair returns one link for each set and component."""
+def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame:
+    """Pairs of different components of a family that their heads do not rule out:
+    ``members`` has family, rep, component, rest (outside the largest component). Every
+    block of rest sets meets every block of the family, by inverted lists over the heads
+    (elements common to two heads are all the common ones up to the smaller last one)."""
     blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
     sized = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.count_if("rest").alias("rests"))
     m = members.join(sized, "family")
@@ -305,28 +306,29 @@ def _block_links(members: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame
              .withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("rests") / BLOCK)).cast("int") - 1)))
              .withColumn("side", F.lit(1)))
     cols = ["family", "i", "j", "side", "rep", "component"]
-    dealt = left.select(*cols).union(right.select(*cols)).join(sets, "rep")
+    dealt = left.select(*cols).union(right.select(*cols)).join(reps.select("rep", "n", "head"), "rep")
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         lhs, rhs = g[g["side"] == 0], g[g["side"] == 1]
         if not len(lhs) or not len(rhs):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        arrays = [np.frombuffer(e, np.uint64) for e in rhs["els"]]
-        size = np.array([len(a) for a in arrays])
+        arrays = [np.asarray(e, np.int64).view(np.uint64) for e in rhs["head"]]
+        size, held = rhs["n"].to_numpy(np.int64), np.array([len(a) for a in arrays])
+        last = np.array([a[-1] for a in arrays], np.uint64)
         els = np.concatenate(arrays)
-        owner = np.repeat(np.arange(len(arrays)), size)
+        owner = np.repeat(np.arange(len(arrays)), held)
         order = np.argsort(els, kind="stable")
         els, owner = els[order], owner[order]
-        reps, comps = rhs["rep"].to_numpy(), rhs["component"].to_numpy()
+        reps_of, comps = rhs["rep"].to_numpy(), rhs["component"].to_numpy()
         out = []
-        for rep, comp, e in zip(lhs["rep"], lhs["component"], lhs["els"]):
-            x = np.frombuffer(e, np.uint64)
+        for rep, comp, n, e in zip(lhs["rep"], lhs["component"], lhs["n"], lhs["head"]):
+            x = np.asarray(e, np.int64).view(np.uint64)
             lo, hi = np.searchsorted(els, x, "left"), np.searchsorted(els, x, "right")
             hits = owner[np.repeat(lo, hi - lo) + _ramp(hi - lo)]
             common = np.bincount(hits, minlength=len(arrays))
-            k = np.nonzero((common >= t.need(len(x), size)) & (comps != comp))[0]
-            seen, first = np.unique(comps[k], return_index=True)
-            out += [(min(rep, reps[q]), max(rep, reps[q])) for q in k[first]]
+            beyond = np.where(x[-1] <= last, n - len(x), size - held)
+            k = np.nonzero((common > 0) & (common + beyond >= t.need(n, size)) & (comps != comp))[0]
+            out += [(min(rep, reps_of[q]), max(rep, reps_of[q])) for q in k]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("family", "i", "j").applyInPandas(run, "a bigint, b bigint").distinct()
@@ -400,7 +402,8 @@ def join_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
         members = (rest.groupBy("rep", "component").agg(F.max("rest").alias("rest"))
                    .join(fam, F.col("rep") == F.col("node")).select(fam["component"].alias("family"), "rep",
                                                                    rest["component"], "rest"))
-        more = spill(_block_links(spill(members, "join-members"), sets, t), "join-more")
+        close = spill(_head_filter(_block_pairs(spill(members, "join-members"), heavy, t), heavy, t), "join-close")
+        more = spill(_check_pairs(close, sets, t), "join-more")
         label = components(first.union(more))
 
     rep_of = docs_sets.where("n > 0").alias("d").join(

@@ -128,11 +128,14 @@ def _centred_arrow_cov(df, cols, by, ddof):
     means = {(r[by] if by else None): np.array([r[f"_m{k}"] for k in range(p)]) for r in mean_rows}
     counts = {(r[by] if by else None): r["_n"] for r in mean_rows}
     g = _arrow_gram(df, cols, by, centre=means)
-    scale = F.lit(1.0) / (F.lit(float(counts[None])) - F.lit(ddof)) if not by else None
+    left = counts[None] - ddof if not by else 0
+    scale = F.lit(1.0 / left if left > 0 else None).cast("double")
     if by:
         # per-group denominators enter as a literal map (bounded by the group count)
         denom = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(float(n - ddof)))])
-        return g.select(by, "i", "j", (F.col("value") / denom[F.col(by)]).alias("value"))
+        d = denom[F.col(by)]
+        # a group without degrees of freedom has an undefined (NULL) covariance at every width
+        return g.select(by, "i", "j", F.when(d > 0, F.col("value") / d).alias("value"))
     return g.select("i", "j", (F.col("value") * scale).alias("value"))
 
 

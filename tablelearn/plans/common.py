@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DIGITS = 6
+#: Width of the embeddings table.
+WIDE = 64
 
 
 def rnd(c: Column | str, digits: int = DIGITS) -> Column:

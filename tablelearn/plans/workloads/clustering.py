@@ -8,10 +8,11 @@ from ...sources.tables import embedding_view
 from ..cluster import GaussianMixture, KMeans
 from ..common import rnd, sql_emb, sql_rnd, xs
 from ..registry import query
-from .aggregates import wide_features
+from .aggregates import EMB_LONG_SQL, wide_features
 
 SEED = 42
-KM = dict(k=5, p=4, iters=5)
+#: Unrolled Lloyd steps of the oracles; the queries stop when no centroid moves.
+STEPS = 30
 GM = dict(k=2, p=2, iters=3)
 
 
@@ -22,77 +23,52 @@ def _seed_sql(p: int, k: int, name: str) -> str:
                 FROM emb ORDER BY md5(vec_id::VARCHAR || '#{SEED}'), vec_id LIMIT {k})"""
 
 
-def _kmeans_sql(tail: str) -> str:
-    p, k, iters = KM["p"], KM["k"], KM["iters"]
-    dist = " + ".join(f"(e.x{i} - c.x{i}) ^ 2" for i in range(1, p + 1))
-    ctes = [sql_emb(p), _seed_sql(p, k, "c0")]
-    for t in range(iters + 1):
-        ctes.append(f"""a{t} AS (SELECT vec_id, cid FROM (
-              SELECT e.vec_id, c.cid, row_number() OVER (PARTITION BY e.vec_id ORDER BY {dist}, c.cid) AS rn
-              FROM emb e CROSS JOIN c{t} c) WHERE rn = 1)""")
-        if t == iters:
-            break
-        avgs = ", ".join(f"avg(e.x{i}) AS x{i}" for i in range(1, p + 1))
-        keep = ", ".join(f"coalesce(n.x{i}, c.x{i}) AS x{i}" for i in range(1, p + 1))
-        ctes.append(f"n{t} AS (SELECT a.cid, {avgs} FROM a{t} a JOIN emb e USING (vec_id) GROUP BY a.cid)")
-        ctes.append(f"c{t + 1} AS (SELECT c.cid, {keep} FROM c{t} c LEFT JOIN n{t} n USING (cid))")
-    return "WITH " + ",\n".join(ctes) + "\n" + tail.format(a=f"a{iters}", c=f"c{iters}")
-
-
-def _kmeans(spark, sf_dir):
-    df = embedding_view(spark, sf_dir, KM["p"])
-    model = KMeans(KM["k"], max_iter=KM["iters"], tol=0.0, seed=SEED).fit(df, xs(KM["p"]), "vec_id")
-    return df, model
-
-
-@query("g17_kmeans", _kmeans_sql("SELECT vec_id, cid AS cluster FROM {a}"))
-def g17_kmeans(spark, sf_dir):
-    df, model = _kmeans(spark, sf_dir)
-    out = model.predict(df, "vec_id", out="cluster")
-    return out.select("vec_id", F.col("cluster").cast("bigint").alias("cluster"))
-
-
-@query("e11_centroid_update", _kmeans_sql(
-    "SELECT cid AS cluster, " + ", ".join(f"{sql_rnd(f'x{i}')} AS c{i}" for i in range(1, KM["p"] + 1))
-    + " FROM {c}"))
-def e11_centroid_update(spark, sf_dir):
-    _, model = _kmeans(spark, sf_dir)
-    rows = [(j, *map(float, c)) for j, c in enumerate(model.centroids_)]
-    schema = "cluster bigint, " + ", ".join(f"c{i} double" for i in range(1, KM["p"] + 1))
-    out = spark.createDataFrame(rows, schema)
-    return out.select("cluster", *[rnd(f"c{i}").alias(f"c{i}") for i in range(1, KM["p"] + 1)])
-
-
-KW = dict(k=10, iters=20)
-
-
-def _kmeans_wide_sql() -> str:
-    k, iters = KW["k"], KW["iters"]
-    ctes = ["e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)",
-            """ev AS (SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS i,
-                      unnest(embedding)::DOUBLE AS x FROM embeddings)""",
+def _kmeans_sql(k: int, tail: str) -> str:
+    """Lloyd steps over whole vectors, unrolled beyond the step at which they stop."""
+    ctes = ["e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)", EMB_LONG_SQL,
             f"""c0 AS (SELECT (row_number() OVER (ORDER BY md5(vec_id::VARCHAR || '#{SEED}'), vec_id) - 1)::BIGINT
                        AS cid, embedding::DOUBLE[] AS cv
                 FROM embeddings ORDER BY md5(vec_id::VARCHAR || '#{SEED}'), vec_id LIMIT {k})"""]
-    for t in range(iters + 1):
+    for t in range(STEPS + 1):
         ctes.append(f"""a{t} AS (SELECT vec_id, cid FROM (
               SELECT e.vec_id, c.cid, row_number() OVER (PARTITION BY e.vec_id
                 ORDER BY list_sum(list_transform(list_zip(e.v, c.cv), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c.cid) AS rn
               FROM e CROSS JOIN c{t} c) WHERE rn = 1)""")
-        if t == iters:
+        if t == STEPS:
             break
         ctes.append(f"""m{t} AS (SELECT a.cid, ev.i, avg(ev.x) AS m FROM a{t} a JOIN ev USING (vec_id)
                                  GROUP BY a.cid, ev.i)""")
         ctes.append(f"n{t} AS (SELECT cid, list(m ORDER BY i) AS cv FROM m{t} GROUP BY cid)")
         ctes.append(f"c{t + 1} AS (SELECT c.cid, coalesce(n.cv, c.cv) AS cv FROM c{t} c LEFT JOIN n{t} n USING (cid))")
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT vec_id, cid AS cluster FROM a{iters}"
+    return "WITH " + ",\n".join(ctes) + "\n" + tail.format(a=f"a{STEPS}", c=f"c{STEPS}")
 
 
-@query("g17_kmeans_wide", _kmeans_wide_sql())
-def g17_kmeans_wide(spark, sf_dir):
-    """k-means over all 64 dims (Arrow partial sums), 20 Lloyd steps at most."""
+def _kmeans(spark, sf_dir, k):
     df, cols = wide_features(spark, sf_dir)
-    model = KMeans(KW["k"], max_iter=KW["iters"], tol=1e-8, seed=SEED).fit(df, cols, "vec_id")
+    return df, KMeans(k, max_iter=100, tol=1e-8, seed=SEED).fit(df, cols, "vec_id")
+
+
+@query("g17_kmeans", _kmeans_sql(5, "SELECT vec_id, cid AS cluster FROM {a}"))
+def g17_kmeans(spark, sf_dir):
+    """k-means over whole vectors until the centroids stand still."""
+    df, model = _kmeans(spark, sf_dir, 5)
+    return model.predict(df, "vec_id", out="cluster").select("vec_id", F.col("cluster").cast("bigint").alias("cluster"))
+
+
+@query("e11_centroid_update", _kmeans_sql(5, f"""
+    SELECT cid AS cluster, i::BIGINT AS i, {sql_rnd('x')} AS centroid FROM (
+      SELECT cid, unnest(generate_series(0, len(cv) - 1)) AS i, unnest(cv) AS x FROM {{c}})"""))
+def e11_centroid_update(spark, sf_dir):
+    _, model = _kmeans(spark, sf_dir, 5)
+    rows = [(j, i, float(x)) for j, c in enumerate(model.centroids_) for i, x in enumerate(c)]
+    out = spark.createDataFrame(rows, "cluster bigint, i bigint, centroid double")
+    return out.select("cluster", "i", rnd("centroid").alias("centroid"))
+
+
+@query("g17_kmeans_wide", _kmeans_sql(10, "SELECT vec_id, cid AS cluster FROM {a}"))
+def g17_kmeans_wide(spark, sf_dir):
+    """Ten clusters over whole vectors (Arrow partial sums)."""
+    df, model = _kmeans(spark, sf_dir, 10)
     return model.predict(df, "vec_id").select("vec_id", F.col("cluster").cast("bigint").alias("cluster"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ...sources.tables import embedding_view
 from ..bayes import GaussianNB, LinearDiscriminantAnalysis
-from ..common import rnd, sql_emb, sql_rnd, xs
+from ..common import WIDE, rnd, sql_emb, sql_rnd, xs
 from ..registry import query
 
 
@@ -21,7 +21,7 @@ def softmax_pick_sql(scores_cte: str) -> str:
     FROM ranked r JOIN norm n USING (vec_id) WHERE r.rn = 1"""
 
 
-def _nb_sql(p: int = 4) -> str:
+def _nb_sql(p: int = WIDE) -> str:
     stats = ", ".join(f"avg(x{i}) AS t{i}, var_pop(x{i}) + 1e-9 AS v{i}" for i in range(1, p + 1))
     ll = " + ".join(f"ln(2 * pi() * v{i}) + (x{i} - t{i}) ^ 2 / v{i}" for i in range(1, p + 1))
     return f"""
@@ -35,8 +35,8 @@ def _nb_sql(p: int = 4) -> str:
 
 @query("g5_gaussian_nb", _nb_sql())
 def g5_gaussian_nb(spark, sf_dir):
-    df = embedding_view(spark, sf_dir, 4)
-    model = GaussianNB().fit(df, xs(4), "label")
+    df = embedding_view(spark, sf_dir, WIDE)
+    model = GaussianNB().fit(df, xs(WIDE), "label")
     return model.transform(df).select("vec_id", "label", "prediction",
                                       rnd("probability").alias("probability"))
 
@@ -77,8 +77,8 @@ def a5_model_roundtrip(spark, sf_dir):
     from ...session import scratch_path
     from ..base import ModelTable
 
-    df = embedding_view(spark, sf_dir, 4)
-    fitted = GaussianNB().fit(df, xs(4), "label")
+    df = embedding_view(spark, sf_dir, WIDE)
+    fitted = GaussianNB().fit(df, xs(WIDE), "label")
     path = scratch_path(spark, f"models/gaussian_nb-{uuid.uuid4().hex}")
     fitted.model_table().save(spark, path)
     loaded = ModelTable.load(spark, path)

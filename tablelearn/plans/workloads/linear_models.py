@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from ...operators import metrics
 from ...sources.tables import document_xy, embedding_view, lineitem_xy
-from ..common import rnd, sql_emb, sql_rnd, xs
+from ..common import WIDE, rnd, sql_emb, sql_rnd, xs
 from ..decompose import PCA
 from ..linear import ElasticNet, Lasso, LinearRegression, LogisticRegression, Ridge
 from ..registry import query
@@ -239,12 +239,12 @@ def e15_explained_variance(spark, sf_dir):
 
 
 @query("b8_center", f"""
-    WITH {sql_emb(2)}
-    SELECT vec_id, {sql_rnd('x1 - avg(x1) OVER ()')} AS c1, {sql_rnd('x2 - avg(x2) OVER ()')} AS c2 FROM emb""")
+    WITH {sql_emb(WIDE)}, m AS (SELECT {', '.join(f'avg({x}) AS m_{x}' for x in xs(WIDE))} FROM emb)
+    SELECT vec_id, {', '.join(f"{sql_rnd(f'{x} - m_{x}')} AS c{x[1:]}" for x in xs(WIDE))} FROM emb CROSS JOIN m""")
 def b8_center(spark, sf_dir):
-    df, model = _pca(spark, sf_dir)
-    c = model.center_cols()
-    return df.select("vec_id", rnd(c[0]).alias("c1"), rnd(c[1]).alias("c2"))
+    df = embedding_view(spark, sf_dir, WIDE)
+    model = PCA(n_components=1).fit(df, xs(WIDE))
+    return df.select("vec_id", *[rnd(c).alias(f"c{i + 1}") for i, c in enumerate(model.center_cols())])
 
 
 @query("b10_pca_project", f"""

@@ -9,30 +9,30 @@ from ...functions.activations import sigmoid, sigmoid_gradient
 from ...operators import features, impurity, sampling, split
 from ...sources.tables import embedding_view, read_table, standardize
 from ...sources.validate import validate_array_features
-from ..common import rnd, sql_emb, sql_rnd
+from ..common import WIDE, rnd, sql_emb, sql_rnd, xs
 from ..registry import query
 
 SEED = 42
 
 
 @query("a1_feature_view", f"""
-    WITH {sql_emb(4)}
-    SELECT vec_id, label, {', '.join(f"{sql_rnd(f'x{i}', 8)} AS x{i}" for i in range(1, 5))} FROM emb""")
+    WITH {sql_emb(WIDE)}
+    SELECT vec_id, label, {', '.join(f"{sql_rnd(x, 8)} AS {x}" for x in xs(WIDE))} FROM emb""")
 def a1_feature_view(spark, sf_dir):
     """A1: read the table and assemble DOUBLE feature columns (pruned scan)."""
-    df = embedding_view(spark, sf_dir, 4)
-    return df.select("vec_id", "label", *[rnd(f"x{i}", 8).alias(f"x{i}") for i in range(1, 5)])
+    df = embedding_view(spark, sf_dir, WIDE)
+    return df.select("vec_id", "label", *[rnd(x, 8).alias(x) for x in xs(WIDE)])
 
 
 @query("c2_class_rows", f"""
-    WITH {sql_emb(2)}
-    SELECT label, count(*) AS n, {sql_rnd('sum(x1)')} AS sum_x1, {sql_rnd('sum(x2)')} AS sum_x2
+    WITH {sql_emb(WIDE)}
+    SELECT label, count(*) AS n, {', '.join(f"{sql_rnd(f'sum({x})')} AS sum_{x}" for x in xs(WIDE))}
     FROM emb GROUP BY label""")
 def c2_class_rows(spark, sf_dir):
     """The rows of each class, as one grouped pass (never K filters)."""
-    df = embedding_view(spark, sf_dir, 2)
-    return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("x1")).alias("sum_x1"),
-                                   rnd(F.sum("x2")).alias("sum_x2"))
+    df = embedding_view(spark, sf_dir, WIDE)
+    return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"),
+                                   *[rnd(F.sum(x)).alias(f"sum_{x}") for x in xs(WIDE)])
 
 
 @query("a2_validate", """

@@ -27,7 +27,8 @@ def feature_names(p: int, prefix: str = "x") -> list[str]:
 
 
 def embedding_view(spark: SparkSession, sf_dir: str, p: int) -> DataFrame:
-    """emb_d{p}: vec_id, x1..xp = first p embedding dims as DOUBLE, label."""
+    """emb_d{p}: vec_id, x1..xp = embedding dims as DOUBLE, label. Registered queries over
+    whole vectors pass the table's width; a smaller p is a view of the first p dims."""
     emb = read_table(spark, sf_dir, "embeddings")
     cols = [F.col("embedding")[i].cast("double").alias(n)
             for i, n in enumerate(feature_names(p))]

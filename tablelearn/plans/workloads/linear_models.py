@@ -11,24 +11,24 @@ from ..decompose import PCA
 from ..linear import ElasticNet, Lasso, LinearRegression, LogisticRegression, Ridge
 from ..registry import query
 
-# Standardised lineitem view: y = extendedprice ~ x1 = quantity, x2 = discount.
-LI_SQL = """
-    raw AS (SELECT l_orderkey, l_linenumber, l_quantity AS x1, l_discount AS x2,
+# Standardised lineitem view: y = extendedprice ~ x1 = quantity, x2 = discount, x3 = tax.
+LI_FEATURES = ["x1", "x2", "x3"]
+_K = range(1, 4)
+_PAIRS = [(i, j) for i in _K for j in _K if i <= j]
+LI_SQL = f"""
+    raw AS (SELECT l_orderkey, l_linenumber, l_quantity AS x1, l_discount AS x2, l_tax AS x3,
                    l_extendedprice AS y FROM lineitem),
-    st AS (SELECT avg(x1) AS m1, stddev_pop(x1) AS s1, avg(x2) AS m2, stddev_pop(x2) AS s2,
+    st AS (SELECT {', '.join(f'avg(x{i}) AS m{i}, stddev_pop(x{i}) AS s{i}' for i in _K)},
                   avg(y) AS my, stddev_pop(y) AS sy FROM raw),
-    z AS (SELECT l_orderkey, l_linenumber, (x1 - m1) / s1 AS x1, (x2 - m2) / s2 AS x2,
+    z AS (SELECT l_orderkey, l_linenumber, {', '.join(f'(x{i} - m{i}) / s{i} AS x{i}' for i in _K)},
                  (y - my) / sy AS y FROM raw, st),
-    mom AS (SELECT avg(x1) AS a1, avg(x2) AS a2, avg(y) AS ay,
-                   avg(x1 * x1) AS g11, avg(x1 * x2) AS g12, avg(x2 * x2) AS g22,
-                   avg(x1 * y) AS v1, avg(x2 * y) AS v2,
-                   covar_pop(x1, x1) AS c11, covar_pop(x1, x2) AS c12, covar_pop(x2, x2) AS c22,
-                   covar_pop(x1, y) AS c1y, covar_pop(x2, y) AS c2y FROM z)"""
+    mom AS (SELECT avg(y) AS ay, {', '.join(f'avg(x{i}) AS a{i}, avg(x{i} * y) AS v{i}, covar_pop(x{i}, y) AS c{i}y' for i in _K)},
+                   {', '.join(f'avg(x{i} * x{j}) AS g{i}{j}, covar_pop(x{i}, x{j}) AS c{i}{j}' for i, j in _PAIRS)} FROM z)"""
 
 
 def li_z(spark, sf_dir):
     df = lineitem_xy(spark, sf_dir, standardized=True)
-    return df.select("l_orderkey", "l_linenumber", "x1", "x2", "y")
+    return df.select("l_orderkey", "l_linenumber", *LI_FEATURES, "y")
 
 
 def coef_frame(spark, coef):
@@ -36,82 +36,93 @@ def coef_frame(spark, coef):
                                  "term bigint, coef double").select("term", rnd("coef").alias("coef"))
 
 
-def _closed_form_sql(alpha: float) -> str:
+def _terms_sql(names: list[str], table: str) -> str:
+    return " UNION ALL ".join(f"SELECT {k}::BIGINT AS term, {sql_rnd(n)} AS coef FROM {table}"
+                              for k, n in enumerate(names))
+
+
+def _closed_form_ctes(alpha: float) -> str:
+    """Normal equations of three centred features by Cramer's rule."""
+    def det(col: int) -> str:
+        a = {(i, j): f"c{i}{j}" for i, j in _PAIRS}
+        m = [[f"({a[min(i, j), max(i, j)]}{f' + {alpha}' if i == j else ''})" if j != col else f"c{i}y"
+              for j in _K] for i in _K]
+        return " + ".join(f"{m[0][k]} * ({m[1][(k + 1) % 3]} * {m[2][(k + 2) % 3]}"
+                          f" - {m[1][(k + 2) % 3]} * {m[2][(k + 1) % 3]})" for k in range(3))
+
     return f"""
     WITH {LI_SQL},
-    sol AS (SELECT ((c22 + {alpha}) * c1y - c12 * c2y) / ((c11 + {alpha}) * (c22 + {alpha}) - c12 * c12) AS w1,
-                   ((c11 + {alpha}) * c2y - c12 * c1y) / ((c11 + {alpha}) * (c22 + {alpha}) - c12 * c12) AS w2,
-                   a1, a2, ay FROM mom),
-    coef AS (SELECT ay - a1 * w1 - a2 * w2 AS w0, w1, w2 FROM sol)
-    SELECT 0::BIGINT AS term, {sql_rnd('w0')} AS coef FROM coef UNION ALL
-    SELECT 1::BIGINT, {sql_rnd('w1')} FROM coef UNION ALL
-    SELECT 2::BIGINT, {sql_rnd('w2')} FROM coef"""
+    sol AS (SELECT {', '.join(f'({det(i)}) / ({det(0)}) AS w{i}' for i in _K)}, a1, a2, a3, ay FROM mom),
+    coef AS (SELECT ay - a1 * w1 - a2 * w2 - a3 * w3 AS w0, w1, w2, w3 FROM sol)"""
+
+
+def _closed_form_sql(alpha: float) -> str:
+    return f"{_closed_form_ctes(alpha)} {_terms_sql(['w0', 'w1', 'w2', 'w3'], 'coef')}"
 
 
 @query("g1_ols", _closed_form_sql(0.0))
 def g1_ols(spark, sf_dir):
-    model = LinearRegression().fit(li_z(spark, sf_dir), ["x1", "x2"], "y")
+    model = LinearRegression().fit(li_z(spark, sf_dir), LI_FEATURES, "y")
     return coef_frame(spark, model.coef_)
 
 
 @query("g2_ridge", _closed_form_sql(0.1))
 def g2_ridge(spark, sf_dir):
-    model = Ridge(alpha=0.1).fit(li_z(spark, sf_dir), ["x1", "x2"], "y")
+    model = Ridge(alpha=0.1).fit(li_z(spark, sf_dir), LI_FEATURES, "y")
     return coef_frame(spark, model.coef_)
 
 
 GD = dict(learning_rate=0.1, max_iter=20, tol=0.0)
 
 
-def _gd_sql(alpha: float, l2: float, l1: float, steps: int, lr: float) -> str:
+def _gd_ctes(alpha: float, l2: float, l1: float, steps: int, lr: float) -> str:
     """Unrolled gradient descent on the (standardised) moments, intercept unpenalised."""
-    ctes = ["w0 AS (SELECT 0.0::DOUBLE AS b, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2)"]
+    ctes = ["w0 AS (SELECT 0.0::DOUBLE AS b, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, 0.0::DOUBLE AS w3)"]
     for t in range(steps):
-        prev = f"w{t}"
+        moved = ", ".join(
+            f"w{i} - {lr} * (a{i} * b + " + " + ".join(f"g{min(i, j)}{max(i, j)} * w{j}" for j in _K)
+            + f" - v{i} + {alpha} * ({l2} * w{i} + {l1} * sign(w{i}))) AS w{i}" for i in _K)
         ctes.append(f"""w{t + 1} AS (SELECT
-          b - {lr} * (b + a1 * w1 + a2 * w2 - ay) AS b,
-          w1 - {lr} * (a1 * b + g11 * w1 + g12 * w2 - v1 + {alpha} * ({l2} * w1 + {l1} * sign(w1))) AS w1,
-          w2 - {lr} * (a2 * b + g12 * w1 + g22 * w2 - v2 + {alpha} * ({l2} * w2 + {l1} * sign(w2))) AS w2
-          FROM {prev}, mom)""")
-    last = f"w{steps}"
+          b - {lr} * (b + a1 * w1 + a2 * w2 + a3 * w3 - ay) AS b, {moved} FROM w{t}, mom)""")
     return f"""
-    WITH {LI_SQL}, {', '.join(ctes)}
-    SELECT 0::BIGINT AS term, {sql_rnd('b')} AS coef FROM {last} UNION ALL
-    SELECT 1::BIGINT, {sql_rnd('w1')} FROM {last} UNION ALL
-    SELECT 2::BIGINT, {sql_rnd('w2')} FROM {last}"""
+    WITH {LI_SQL}, {', '.join(ctes)}"""
+
+
+def _gd_sql(alpha: float, l2: float, l1: float, steps: int, lr: float) -> str:
+    return f"{_gd_ctes(alpha, l2, l1, steps, lr)} {_terms_sql(['b', 'w1', 'w2', 'w3'], f'w{steps}')}"
 
 
 @query("g3_lasso", _gd_sql(0.1, 0.0, 1.0, GD["max_iter"], GD["learning_rate"]))
 def g3_lasso(spark, sf_dir):
-    model = Lasso(alpha=0.1, **GD).fit(li_z(spark, sf_dir), ["x1", "x2"], "y")
+    model = Lasso(alpha=0.1, **GD).fit(li_z(spark, sf_dir), LI_FEATURES, "y")
     return coef_frame(spark, model.coef_)
 
 
 @query("g4_elastic_net", _gd_sql(0.1, 0.75, 0.25, GD["max_iter"], GD["learning_rate"]))
 def g4_elastic_net(spark, sf_dir):
-    model = ElasticNet(alpha=0.1, ratio=3.0, **GD).fit(li_z(spark, sf_dir), ["x1", "x2"], "y")
+    model = ElasticNet(alpha=0.1, ratio=3.0, **GD).fit(li_z(spark, sf_dir), LI_FEATURES, "y")
     return coef_frame(spark, model.coef_)
 
 
 @query("g2_ridge_gd", _gd_sql(0.1, 1.0, 0.0, GD["max_iter"], GD["learning_rate"]))
 def g2_ridge_gd(spark, sf_dir):
-    model = Ridge(alpha=0.1, closed_form=False, **GD).fit(li_z(spark, sf_dir), ["x1", "x2"], "y")
+    model = Ridge(alpha=0.1, closed_form=False, **GD).fit(li_z(spark, sf_dir), LI_FEATURES, "y")
     return coef_frame(spark, model.coef_)
 
 
-@query("b4_linear_score", _closed_form_sql(0.0).split("SELECT 0::BIGINT")[0] + f"""
-    SELECT z.l_orderkey, z.l_linenumber, {sql_rnd('c.w0 + c.w1 * z.x1 + c.w2 * z.x2')} AS prediction
+@query("b4_linear_score", _closed_form_ctes(0.0) + f"""
+    SELECT z.l_orderkey, z.l_linenumber, {sql_rnd('c.w0 + c.w1 * z.x1 + c.w2 * z.x2 + c.w3 * z.x3')} AS prediction
     FROM z CROSS JOIN coef c""")
 def b4_linear_score(spark, sf_dir):
     df = li_z(spark, sf_dir)
-    model = LinearRegression().fit(df, ["x1", "x2"], "y")
+    model = LinearRegression().fit(df, LI_FEATURES, "y")
     return df.select("l_orderkey", "l_linenumber", rnd(model.predict_col()).alias("prediction"))
 
 
 def _fitted_metrics_sql() -> str:
-    base = _closed_form_sql(0.0).split("SELECT 0::BIGINT")[0]
+    base = _closed_form_ctes(0.0)
     return f"""{base},
-    res AS (SELECT z.y, c.w0 + c.w1 * z.x1 + c.w2 * z.x2 AS yhat FROM z CROSS JOIN coef c)
+    res AS (SELECT z.y, c.w0 + c.w1 * z.x1 + c.w2 * z.x2 + c.w3 * z.x3 AS yhat FROM z CROSS JOIN coef c)
     SELECT {sql_rnd('avg((y - yhat) ^ 2)')} AS mse,
            {sql_rnd('1 - sum((y - yhat) ^ 2) / sum((y - (SELECT avg(y) FROM z)) ^ 2)')} AS r2
     FROM res"""
@@ -120,26 +131,26 @@ def _fitted_metrics_sql() -> str:
 @query("f1_f5_regression_metrics", _fitted_metrics_sql())
 def f1_f5_regression_metrics(spark, sf_dir):
     df = li_z(spark, sf_dir)
-    model = LinearRegression().fit(df, ["x1", "x2"], "y")
+    model = LinearRegression().fit(df, LI_FEATURES, "y")
     scored = df.select("y", model.predict_col().alias("yhat"))
     m = metrics.regression_metrics(scored, "y", "yhat")
     return m.select(rnd("mse").alias("mse"), rnd("r2").alias("r2"))
 
 
 def _objective_sql() -> str:
-    gd = _gd_sql(0.1, 0.0, 1.0, GD["max_iter"], GD["learning_rate"]).split("SELECT 0::BIGINT")[0]
+    gd = _gd_ctes(0.1, 0.0, 1.0, GD["max_iter"], GD["learning_rate"])
     last = f"w{GD['max_iter']}"
     return f"""{gd},
-    res AS (SELECT avg((z.y - (c.b + c.w1 * z.x1 + c.w2 * z.x2)) ^ 2) AS mse FROM z CROSS JOIN {last} c)
-    SELECT {sql_rnd('r.mse')} AS mse, {sql_rnd('0.1 * (abs(c.w1) + abs(c.w2))')} AS penalty,
-           {sql_rnd('0.5 * r.mse + 0.1 * (abs(c.w1) + abs(c.w2))')} AS objective
+    res AS (SELECT avg((z.y - (c.b + c.w1 * z.x1 + c.w2 * z.x2 + c.w3 * z.x3)) ^ 2) AS mse FROM z CROSS JOIN {last} c)
+    SELECT {sql_rnd('r.mse')} AS mse, {sql_rnd('0.1 * (abs(c.w1) + abs(c.w2) + abs(c.w3))')} AS penalty,
+           {sql_rnd('0.5 * r.mse + 0.1 * (abs(c.w1) + abs(c.w2) + abs(c.w3))')} AS objective
     FROM res r CROSS JOIN {last} c"""
 
 
 @query("f6_penalized_objective", _objective_sql())
 def f6_penalized_objective(spark, sf_dir):
     df = li_z(spark, sf_dir)
-    model = Lasso(alpha=0.1, **GD).fit(df, ["x1", "x2"], "y")
+    model = Lasso(alpha=0.1, **GD).fit(df, LI_FEATURES, "y")
     scored = df.select("y", model.predict_col().alias("yhat"))
     return metrics.penalized_objective(scored, "y", "yhat", model.weights, l1=0.1, l2=0.0).select(
         rnd("mse").alias("mse"), rnd("penalty").alias("penalty"), rnd("objective").alias("objective"))

@@ -22,6 +22,11 @@ def is_wide(n_features: int, n_outputs: int) -> bool:
     return n_features * n_outputs > MAX_GENERATED_TERMS
 
 
+def null_rows(batch, cols: Sequence[str]) -> np.ndarray:
+    """Rows with a NULL in any of the columns: their scores are NULL, as in the generated expressions."""
+    return np.logical_or.reduce([batch.column(c).is_null().to_numpy(zero_copy_only=False) for c in cols])
+
+
 def append_scores(df: DataFrame, features: Sequence[str], names: Sequence[str],
                   score_fn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """``df`` plus one DOUBLE column per name, ``score_fn(X) -> (rows, len(names))``."""
@@ -37,7 +42,8 @@ def append_scores(df: DataFrame, features: Sequence[str], names: Sequence[str],
             x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                                  for c in features])
             s = np.asarray(score_fn(x), dtype=np.float64).reshape(b.num_rows, len(names))
-            cols = list(b.columns) + [pa.array(s[:, j]) for j in range(len(names))]
+            null = null_rows(b, features)
+            cols = list(b.columns) + [pa.array(s[:, j], mask=null) for j in range(len(names))]
             yield pa.RecordBatch.from_arrays(cols, names=list(b.schema.names) + names)
 
     return df.mapInArrow(per_batch, schema)

@@ -93,5 +93,6 @@ def argmax_index(values: Sequence[Column]) -> Column:
 
 
 def pick(values: Sequence, index: Column) -> Column:
-    """values[index] for a literal list (e.g. class labels)."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
+    """values[index] for a literal list (e.g. class labels); NULL for a NULL index, which
+    ``element_at`` on a literal array would read as some entry."""
+    return F.when(index.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in values]), index + 1))

@@ -62,7 +62,7 @@ def point_values(cols: Sequence[str | Column], points: np.ndarray, fn: str = "di
 
 # above this many (dims x points) terms, generated expressions outgrow the JVM's
 # 64 KB method limit; the Arrow form computes the same values with NumPy.
-from ..functions.arrow_scores import MAX_GENERATED_TERMS  # noqa: E402
+from ..functions.arrow_scores import MAX_GENERATED_TERMS, null_rows  # noqa: E402
 
 
 def _np_point_values(x: np.ndarray, pts: np.ndarray, fn: str, degree: int, gamma: float) -> np.ndarray:
@@ -102,6 +102,7 @@ def _arrow_point_values(df: DataFrame, key: str, cols: Sequence[str], pts: np.nd
             x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                                  for c in cols])
             vals = _np_point_values(x, pts, fn, degree, gamma)
+            null = null_rows(b, cols)
             keys = b.column(key)
             if mode == "long":
                 m = pts.shape[0]
@@ -109,11 +110,11 @@ def _arrow_point_values(df: DataFrame, key: str, cols: Sequence[str], pts: np.nd
                 yield pa.RecordBatch.from_pydict({
                     key: keys.take(pa.array(idx)),
                     point_col: pa.array(np.tile(np.arange(m, dtype=np.int64), b.num_rows)),
-                    out: pa.array(vals.reshape(-1))})
+                    out: pa.array(vals.reshape(-1), mask=np.repeat(null, m))})
             else:
                 # first index of the minimum = lowest index wins ties
                 yield pa.RecordBatch.from_pydict({
-                    key: keys, out: pa.array(np.argmin(vals, axis=1).astype(np.int32))})
+                    key: keys, out: pa.array(np.argmin(vals, axis=1).astype(np.int32), mask=null)})
 
     return df.select(key, *cols).mapInArrow(per_batch, schema)
 
@@ -145,7 +146,8 @@ def wide_point_values(df: DataFrame, keep: Sequence[str], cols: Sequence[str], p
                                  for c in cols])
             vals = _np_point_values(x, pts, fn, degree, gamma)
             data = {c: b.column(c) for c in keep}
-            data.update({n: pa.array(vals[:, j]) for j, n in enumerate(names)})
+            null = null_rows(b, cols)
+            data.update({n: pa.array(vals[:, j], mask=null) for j, n in enumerate(names)})
             yield pa.RecordBatch.from_pydict(data)
 
     return df.select(*dict.fromkeys(keep + list(cols))).mapInArrow(per_batch, schema)

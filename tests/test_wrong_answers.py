@@ -51,3 +51,38 @@ def test_one_vs_rest_rejects_nulls(spark):
     df = spark.createDataFrame([(1.0, 0), (2.0, 1), (3.0, None)], "x double, y int")
     with pytest.raises(ValueError):
         OneVsRestSVM().fit(df, ["x"], "y")
+
+
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_null_nan_and_ties_at_every_width(spark, monkeypatch, limit):
+    from tablelearn.functions import arrow_scores
+    from tablelearn.operators import pairwise
+    from tablelearn.plans.bayes import GaussianNB
+
+    monkeypatch.setattr(arrow_scores, "MAX_GENERATED_TERMS", limit)
+    monkeypatch.setattr(pairwise, "MAX_GENERATED_TERMS", limit)
+    df = spark.createDataFrame([(0, 1.0, 0.0), (1, None, 0.0), (2, 0.0, 0.0), (3, float("nan"), 0.0)],
+                               "id bigint, x1 double, x2 double")
+    points = np.array([[-1.0, 0.0], [1.0, 0.0]])
+    near = {r.id: r.nearest for r in pairwise.nearest_point_frame(df, "id", ["x1", "x2"], points).collect()}
+    assert near == {0: 1, 1: None, 2: 0, 3: 0}
+    far = {(r.id, r.point): r.value for r in pairwise.long_point_values(df, "id", ["x1", "x2"], points).collect()}
+    assert len(far) == 8 and far[0, 0] == 2.0 and far[1, 0] is None and np.isnan(far[3, 1])
+    wide = {r.id: r.k1 for r in pairwise.wide_point_values(df, ["id"], ["x1", "x2"], points).collect()}
+    assert wide[0] == 0.0 and wide[1] is None and wide[2] == 1.0
+    train = spark.createDataFrame([(-1.0, 0.0, 0), (-2.0, 1.0, 0), (1.0, 0.0, 1), (2.0, 1.0, 1)],
+                                  "x1 double, x2 double, y int")
+    nb = GaussianNB().fit(train, ["x1", "x2"], "y")
+    got = {r.id: r.prediction for r in nb.transform(df.where("id < 3")).collect()}
+    assert got == {0: 1, 1: None, 2: 0}
+
+
+@pytest.mark.parametrize("width", [2, 14])
+def test_one_row_group_has_undefined_covariance(spark, width):
+    from tablelearn.operators import moments
+
+    cols = [f"c{i}" for i in range(width)]
+    rows = [(g, *[float(r * (i + 1)) for i in range(width)]) for r, g in enumerate([0, 0, 0, 1])]
+    df = spark.createDataFrame(rows, "g int, " + ", ".join(f"{c} double" for c in cols))
+    got = moments.covariance_table(df, cols, by="g").where("i = 0 and j = 1").collect()
+    assert {r.g: r.value for r in got} == {0: 2.0, 1: None}

@@ -14,7 +14,8 @@ c(a, b), the smallest integer that meets the threshold.
   by size and position), checked exactly on the whole sets. In a long list every set is
   first checked against one pivot; sets that stay outside the list's largest component
   are then compared with the rest block by block, each block pair by scanning in-memory
-  inverted lists of the listed elements; pairs these cannot rule out are checked exactly.
+  inverted lists of the listed elements; pairs that neither these nor counts of their
+  elements by hash bucket rule out are checked exactly.
 
 The boundary is the one with the smallest estimated cost: subsets listed for sets up to
 it plus list entries beyond it. No step lists all pairs of a group, and no link between
@@ -54,6 +55,8 @@ ENTRY_COST = 4
 #: decide a result.
 CELL_BITS, CHUNK = 22, 1 << 12
 BROADCAST_IDS = 1_000_000
+#: Buckets of a set's sketch; it spares unlike pairs the move of their whole sets.
+SKETCH = 256
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -276,8 +279,46 @@ def _head_filter(pairs: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint")
 
 
+def _ends(pairs: DataFrame, name: str) -> DataFrame:
+    """rep: the sets that stand in pairs (a, b)."""
+    return spill(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), name)
+
+
+def _only(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose rep is among ``ids``, so that only these move in the joins after it
+    (up to BROADCAST_IDS ids are broadcast, more are joined)."""
+    return table.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "rep", "left_semi")
+
+
+def sketch(els: np.ndarray) -> bytes:
+    """How many elements fall in each of SKETCH hash buckets, 255 standing for more."""
+    seen = np.bincount((els % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+    return np.minimum(seen, 255).astype(np.uint8).tobytes()
+
+
+def _sketch_filter(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
+    """Drop pairs whose sketches rule them out: two sets have at most the smaller count
+    of a bucket in common there. Buckets full on both sides decide nothing."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if not len(b):
+                continue
+            x, y = (np.frombuffer(b"".join(b[c]), np.uint8).reshape(-1, SKETCH) for c in ("x", "y"))
+            least = np.minimum(x, y)
+            need = t.need(b["n"].to_numpy(np.int64), b["m"].to_numpy(np.int64))
+            yield b.loc[(least == 255).any(axis=1) | (least.sum(axis=1, dtype=np.int64) >= need), ["a", "b"]]
+
+    x = sets.select(F.col("rep").alias("a"), "n", F.col("sketch").alias("x"))
+    y = sets.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    return pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint")
+
+
 def _check_pairs(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """The pairs whose whole sets meet the threshold."""
+    """The pairs whose whole sets meet the threshold; whole sets move only for pairs that
+    their sketches leave open."""
+    pairs = spill(_sketch_filter(pairs, sets, t), "join-near")
+    sets = _only(sets, _ends(pairs, "join-near-ends"))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ok = []
@@ -295,7 +336,8 @@ def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame
     """Pairs of different components of a family that their heads do not rule out:
     ``members`` has family, rep, component, rest (outside the largest component). Every
     block of rest sets meets every block of the family, by inverted lists over the heads
-    (elements common to two heads are all the common ones up to the smaller last one)."""
+    (elements common to two heads are all the common ones up to the smaller last one;
+    beyond it at most the smaller rest can be common)."""
     blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
     sized = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.count_if("rest").alias("rests"))
     m = members.join(sized, "family")
@@ -326,7 +368,8 @@ def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame
             lo, hi = np.searchsorted(els, x, "left"), np.searchsorted(els, x, "right")
             hits = owner[np.repeat(lo, hi - lo) + _ramp(hi - lo)]
             common = np.bincount(hits, minlength=len(arrays))
-            beyond = np.where(x[-1] <= last, n - len(x), size - held)
+            theirs = np.bincount(owner[:np.searchsorted(els, x[-1], "right")], minlength=len(arrays))
+            beyond = np.minimum(n - np.searchsorted(x, last, "right"), size - theirs)
             k = np.nonzero((common > 0) & (common + beyond >= t.need(n, size)) & (comps != comp))[0]
             out += [(min(rep, reps_of[q]), max(rep, reps_of[q])) for q in k]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -375,12 +418,13 @@ def join_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
     star = (long.join(pivot, "sid").where("rep <> p.rep")
             .where(_possible(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"), t))
             .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")))
-    pairs = spill(_head_filter(short.union(star).distinct(), heavy, t), "join-pairs")
+    near = spill(short.union(star).distinct(), "join-candidates")
+    pairs = spill(_head_filter(near, _only(heavy, _ends(near, "join-ends")), t), "join-pairs")
     wanted = spill(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(long.select("rep")).distinct(),
                    "join-wanted")
-    few = wanted.count() <= BROADCAST_IDS
-    texts = known.join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("rep"), "left_semi")
-    sets = spill(_sets(texts, shingler, "rep bigint, els binary", lambda i, e: (i, e.tobytes())), "join-sets")
+    texts = _only(known.withColumn("rep", F.col("doc_id")), wanted)
+    sets = spill(_sets(texts, shingler, "rep bigint, n int, sketch binary, els binary",
+                       lambda i, e: (i, len(e), sketch(e), e.tobytes())), "join-sets")
     links.append(_check_pairs(pairs, sets, t))
     first = spill(links[0].union(links[1]), "join-links")
     label = components(first)
@@ -402,7 +446,8 @@ def join_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
         members = (rest.groupBy("rep", "component").agg(F.max("rest").alias("rest"))
                    .join(fam, F.col("rep") == F.col("node")).select(fam["component"].alias("family"), "rep",
                                                                    rest["component"], "rest"))
-        close = spill(_head_filter(_block_pairs(spill(members, "join-members"), heavy, t), heavy, t), "join-close")
+        members = spill(members, "join-members")
+        close = spill(_block_pairs(members, _only(heavy, members.select("rep").distinct()), t), "join-close")
         more = spill(_check_pairs(close, sets, t), "join-more")
         label = components(first.union(more))
 

@@ -7,7 +7,7 @@ features and label, permuting "X and y together" is automatic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -36,21 +36,17 @@ def aligned_shuffle(df: DataFrame, id_col: str, seed: int = 0,
     add each partition's offset to the row's index within it.
     """
     key = perm_key(id_col, seed)
-    n_parts = max(1, df.rdd.getNumPartitions())
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (df.withColumn("_k", key)
                .repartitionByRange(n_parts, "_k", id_col)
                .sortWithinPartitions("_k", id_col)
                .checkpoint(eager=True))
     tagged = ordered.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_mid", F.monotonically_increasing_id())
-    counts = sorted((r["_pid"], r["n"]) for r in
-                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, run = {}, 0
-    for pid, n in counts:
-        offsets[pid] = run
-        run += n
-    if not offsets:
-        return df.withColumn(position, F.lit(None).cast("bigint")).limit(0)
-    off = F.create_map(*[x for pid, o in offsets.items() for x in (F.lit(pid), F.lit(o))])
+    # one row per partition, so a window over all of them and a broadcast stay small
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"))
+               .select("_pid", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before")))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return tagged.select(*df.columns, (off[F.col("_pid")] + local).alias(position))
+    return (tagged.join(F.broadcast(offsets), "_pid")
+            .select(*df.columns, (F.col("_before") + local).alias(position)))

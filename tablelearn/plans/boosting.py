@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.activations import log_softmax, logsumexp
+from ..functions.arrow_scores import append_scores
 from ..functions.linalg import argmax_index, pick
 from ..session import ensure_checkpoint_dir
 from .trees import NewtonGain, TreeGrower, TreeModel
@@ -33,6 +35,23 @@ def boosted_tree(df: DataFrame, features: Sequence[str], grads: Sequence[str], h
 TIE_DIGITS = 10
 
 
+def _node_arrays(tree: TreeModel, k: int) -> tuple:
+    """(feature, cutoff, left, right, leaf values, depth) over the tree's nodes, the root
+    first; a leaf is its own child, so all rows take the same number of steps."""
+    ids = sorted(tree.nodes)
+    at = {i: q for q, i in enumerate(ids)}
+    feature, cutoff, value = np.zeros(len(ids), np.int64), np.zeros(len(ids)), np.zeros((len(ids), k))
+    left, right = np.arange(len(ids)), np.arange(len(ids))
+    for i, q in at.items():
+        node = tree.nodes[i]
+        if "value" in node:
+            value[q] = node["value"]
+        else:
+            feature[q], cutoff[q] = node["feature"], node["cutoff"]
+            left[q], right[q] = at[2 * i], at[2 * i + 1]
+    return feature, cutoff, left, right, value, int(ids[-1]).bit_length() - 1
+
+
 class GradientBoostingClassifier:
     def __init__(self, n_estimators: int = 200, learning_rate: float = 1e-3, max_depth: int = 2,
                  min_samples_split: int = 2, min_impurity: float = 1e-7, checkpoint_interval: int = 5,
@@ -101,6 +120,33 @@ class GradientBoostingClassifier:
             out.append(z)
         return out
 
+    def with_logits(self, df: DataFrame, prefix: str = "_logit") -> DataFrame:
+        """``df`` plus one logit column per class (``{prefix}0`` ...), for any number of
+        trees: every tree is routed once per Arrow batch, map-only. A NULL feature gives
+        NULL logits, at every number of trees."""
+        tables = [_node_arrays(t, len(self.classes)) for t in self.trees]
+        lr, k = self.lr, len(self.classes)
+
+        def score(x: np.ndarray) -> np.ndarray:
+            z, rows = np.zeros((len(x), k)), np.arange(len(x))
+            for feature, cutoff, left, right, value, depth in tables:
+                at = np.zeros(len(x), np.int64)
+                for _ in range(depth):
+                    v = x[rows, feature[at]]
+                    # NaN is the largest value, as in Spark's comparisons
+                    at = np.where((v >= cutoff[at]) | np.isnan(v), left[at], right[at])
+                z -= lr * value[at]
+            return z
+
+        return append_scores(df, self.features, [f"{prefix}{j}" for j in range(k)], score)
+
+    def transform(self, df: DataFrame, out: str = "prediction", tie_digits: int = TIE_DIGITS) -> DataFrame:
+        """``df`` plus the predicted class, with the tie rule of ``predict_col``."""
+        names = [f"_logit{j}" for j in range(len(self.classes))]
+        best = argmax_index([F.round(F.col(c), tie_digits) for c in names])
+        known = F.when(F.col(names[0]).isNotNull(), best)
+        return self.with_logits(df).withColumn(out, pick(self.classes, known)).drop(*names)
+
     def predict_col(self, tie_digits: int = TIE_DIGITS) -> Column:
         """Softmax is monotone, so the class is the argmax of the logits.
 
@@ -115,7 +161,8 @@ class GradientBoostingClassifier:
 
     def log_loss(self, df: DataFrame, label: str) -> float:
         """Mean cross-entropy of the fitted ensemble on ``df``."""
-        logp = log_softmax(self.logit_cols())
+        df = self.with_logits(df.select(*dict.fromkeys([*self.features, label])))
+        logp = log_softmax([F.col(f"_logit{j}") for j in range(len(self.classes))])
         ce = F.lit(0.0)
         for j, c in enumerate(self.classes):
             ce = ce - F.when(F.col(label) == F.lit(c), logp[j]).otherwise(F.lit(0.0))

@@ -252,4 +252,4 @@ def g12_boosting(spark, sf_dir):
     df = embedding_view(spark, sf_dir, 2)
     model = GradientBoostingClassifier(n_estimators=BOOST_ROUNDS, learning_rate=BOOST_LR, max_depth=DEPTH).fit(
         df, xs(2), "label")
-    return df.select("vec_id", "label", model.predict_col().alias("prediction"))
+    return model.transform(df).select("vec_id", "label", "prediction")

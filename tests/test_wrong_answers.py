@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tablelearn.plans.boosting import GradientBoostingClassifier
 from tablelearn.plans.cluster import GaussianMixture
 from tablelearn.plans.linear import LinearRegression
 from tablelearn.plans.neighbors import KNNClassifier
@@ -86,3 +87,17 @@ def test_one_row_group_has_undefined_covariance(spark, width):
     df = spark.createDataFrame(rows, "g int, " + ", ".join(f"{c} double" for c in cols))
     got = moments.covariance_table(df, cols, by="g").where("i = 0 and j = 1").collect()
     assert {r.g: r.value for r in got} == {0: 2.0, 1: None}
+
+
+def test_boosting_scores_at_its_default_size(spark):
+    rows = [(i, float(i % 10) + (i % 3) * 0.1, float(i % 7), i % 10) for i in range(120)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, lab int")
+    m = GradientBoostingClassifier(n_estimators=2, learning_rate=0.01).fit(df, ["a", "b"], "lab")
+    few = {r.id: (r.x, r.p) for r in df.select("id", m.predict_col().alias("x"), m.logit_cols()[3].alias("p")).collect()}
+    short = {r.id: (r.prediction, r._logit3) for r in m.with_logits(m.transform(df)).collect()}
+    assert all(short[i][0] == few[i][0] and abs(short[i][1] - few[i][1]) < 1e-12 for i in few)
+    m.trees = m.trees * 100  # 200 rounds, 10 classes
+    null = spark.createDataFrame([(999, None, 1.0, 0)], df.schema)
+    got = {r.id: r for r in m.with_logits(m.transform(df.union(null))).collect()}
+    assert all(got[i].prediction == few[i][0] and abs(got[i]._logit3 - 100 * few[i][1]) < 1e-9 for i in few)
+    assert got[999].prediction is None and got[999]._logit0 is None

@@ -1,12 +1,14 @@
 """HTML main text with a site style tree.
 
-All pages of a host are merged into one tree of element paths. For every node the
-entropy of its presentation (which child sequences it shows) and of its content (on how
-many pages each text under it stands) give an importance between 0 and 1; branches whose
-importance is low are the site's template and are cut from each of its pages. What the
-markup itself declares as not content (navigation, forms, scripts, adverts, reader
-comments ...) is cut as well, and where a page names its article, that article is the
-main text and survives whatever its statistics.
+All pages of a host are merged into one tree of element paths with the texts as leaves.
+For every node the entropy of its presentation (which child sequences it shows) and of its
+content (on how many pages each text under it stands) give an importance between 0 and 1;
+branches and texts whose importance is low are the site's template and are cut from each
+of its pages, inside <article> and <main> as anywhere else. What the markup itself
+declares as not content (navigation, forms, scripts, adverts, reader comments ...) is cut
+as well. On a page that names its article or main element, the text beside it stays if its
+importance, averaged with one more page of importance 0, is not low: on a single page the
+element alone decides, on many its statistics do.
 
 Defined results: a null or empty html gives an empty text; a null url is a host of its
 own; a null page id stays null; repeated rows give equal rows and count once in the
@@ -156,16 +158,34 @@ def parse(text: str | None):
     return blocks, styles
 
 
-def main_text(text: str | None, cut: frozenset[str] = frozenset()) -> str:
-    """The page's main text, given the host's low-importance paths."""
+def _h64(s: str) -> int:
+    return xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def main_text(text: str | None, marks: frozenset[str] = frozenset()) -> str:
+    """The page's main text, given the host's marks: ``-path`` cuts a branch, ``+path``
+    keeps a node beside a named element, ``-path<tab>hash`` cuts a text everywhere and
+    ``~path<tab>hash`` beside a named element."""
     blocks, _ = parse(text)
     named = any(c for _, _, _, c in blocks)
+    leaves = {m[1:m.index("\t")] for m in marks if "\t" in m}
+    low: dict[str, bool] = {}
+
+    def cut(path: str) -> bool:
+        if path not in low:
+            up = path.rpartition(">")[0]
+            low[path] = "-" + path in marks or (bool(up) and cut(up))
+        return low[path]
+
     out = []
     for path, s, noise, content in blocks:
-        if noise or (named and not content):
-            continue
-        if not content and cut and any(path == c or path.startswith(c + ">") for c in cut):
+        beside = named and not content
+        if noise or (beside and "+" + path not in marks) or (marks and cut(path)):
             continue
+        if path in leaves:
+            leaf = f"{path}\t{_h64(s)}"
+            if "-" + leaf in marks or (beside and "~" + leaf in marks):
+                continue
         out.append(s)
     return "\n\n".join(out)
 
@@ -176,61 +196,101 @@ def host_of(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r":[0-9]*$", "")
 
 
-def node_importance(pages: DataFrame, gamma: float = GAMMA) -> DataFrame:
-    """host, path, pages, importance for every element path of a host's merged tree.
-
-    A text on k of the m pages that have its node has importance 1 - log_m k (all pages:
-    0, one page: 1); a node's content importance is their mean by length over everything
-    below it. Its presentation importance is the entropy, to base m, of its child
-    sequences. One-page nodes have importance 1."""
+def _counts(pages: DataFrame) -> DataFrame:
+    """host, path, kind, h, k, chars: the number of different pages that have, at a path,
+    a text (kind 0), a child sequence (1), the node at all (2), text beside a named
+    element (3)."""
     schema = "host string, path string, kind int, h bigint, page bigint, chars bigint"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def h64(s: str) -> int:
-            return xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass")) - (1 << 63)
-
         for b in batches:
             rows = []
             for host, t in zip(b["host"], b["html"]):
                 blocks, styles = parse(t)
-                page = h64(t or "")
-                rows += {(host, p, 0, h64(s), page, len(s)) for p, s, noise, content in blocks if not noise}
-                rows += {(host, p, 1, h64(s), page, 0) for p, s in styles}
+                page = _h64(t or "")
+                named = any(c for _, _, _, c in blocks)
+                rows += {(host, p, 0, _h64(s), page, len(s)) for p, s, noise, content in blocks if not noise}
+                rows += {(host, p, 1, _h64(s), page, 0) for p, s in styles}
+                rows += {(host, p, 2, 0, page, 0) for p in {"", *(p for p, _ in styles)}}
+                rows += {(host, p, 3, 0, page, 0) for p, _, noise, content in blocks if named and not (noise or content)}
             if rows:
                 yield pd.DataFrame(rows, columns=["host", "path", "kind", "h", "page", "chars"])
 
     text_bytes_conf(pages.sparkSession)
     once = pages.mapInPandas(run, schema).groupBy("host", "path", "kind", "h", "page").agg(F.max("chars").alias("chars"))
     seen = once.groupBy("host", "path", "kind", "h").agg(F.count(F.lit(1)).alias("k"), F.max("chars").alias("chars"))
-    seen = materialise(seen)
-    style = (seen.where("kind = 1").groupBy("host", "path")
-             .agg(F.sum("k").alias("m"), F.sum(F.col("k") * F.log("k")).alias("klogk")))
-    m, lnm = F.col("m"), F.log(F.col("m"))
-    style = style.select("host", "path", "m", F.when(m > 1, (lnm - F.col("klogk") / m) / lnm).otherwise(1.0).alias("show"))
-    texts = seen.where("kind = 0").alias("t").join(
-        style.alias("s"), F.col("t.host").eqNullSafe(F.col("s.host")) & (F.col("t.path") == F.col("s.path")))
-    leaf = texts.select("t.host", "t.path", (F.col("k") * F.col("chars")).alias("w"), F.when(
-        m > 1, F.greatest(F.lit(0.0), 1 - F.log("k") / lnm)).otherwise(1.0).alias("imp"))
-    leaf = leaf.groupBy("host", "path").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("imp")).alias("wi"))
+    return materialise(seen)
+
+
+def _same_node(a: str, b: str) -> Column:
+    return F.col(f"{a}.host").eqNullSafe(F.col(f"{b}.host")) & (F.col(f"{a}.path") == F.col(f"{b}.path"))
+
+
+def _texts(seen: DataFrame) -> DataFrame:
+    """host, path, h, k, chars, pages, importance of every text."""
+    have = seen.where("kind = 2").select("host", "path", F.col("k").alias("m"))
+    imp = F.when(F.col("m") > 1, F.greatest(F.lit(0.0), 1 - F.log("k") / F.log("m"))).otherwise(1.0)
+    return (seen.where("kind = 0").alias("t").join(have.alias("s"), _same_node("t", "s"))
+            .select("t.host", "t.path", "h", "k", "chars", F.col("m").alias("pages"), imp.alias("importance")))
+
+
+def node_importance(pages: DataFrame, gamma: float = GAMMA, seen: DataFrame | None = None) -> DataFrame:
+    """host, path, pages, importance for every element path of a host's merged tree.
+
+    A text on k of the m pages that have its node has importance 1 - log_m k (all pages:
+    0, one page: 1); a node's content importance is their mean by length over everything
+    below it. Its presentation importance is the entropy, to base m, of its child
+    sequences. One-page nodes have importance 1. The path "" stands for the text outside
+    every element only."""
+    seen = _counts(pages) if seen is None else seen
+    leaf = _texts(seen).select("host", "path", (F.col("k") * F.col("chars")).alias("w"), "importance")
+    leaf = leaf.groupBy("host", "path").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("importance")).alias("wi"))
     parts = F.split("path", ">")
-    above = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), ">"))
+    above = F.when(F.col("path") == "", F.array(F.lit(""))).otherwise(
+        F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size(parts))),
+                    lambda i: F.array_join(F.slice(parts, 1, i), ">")))
     branch = (leaf.select("host", F.explode(above).alias("path"), "w", "wi").groupBy("host", "path")
               .agg((F.sum("wi") / F.sum("w")).alias("content")))
-    return (branch.alias("b").join(style.alias("s"), F.col("b.host").eqNullSafe(F.col("s.host"))
-                                   & (F.col("b.path") == F.col("s.path")))
+    k, shown, lnm = F.col("k"), F.col("shown"), F.log(F.col("shown"))
+    style = (seen.where("kind in (1, 2)").groupBy("host", "path")
+             .agg(F.max(F.when(F.col("kind") == 2, k)).alias("m"), F.sum(F.when(F.col("kind") == 1, k)).alias("shown"),
+                  F.sum(F.when(F.col("kind") == 1, k * F.log("k"))).alias("klogk")))
+    style = style.select("host", "path", "m", F.when((F.col("m") > 1) & (shown > 1), (lnm - F.col("klogk") / shown) / lnm)
+                         .otherwise(1.0).alias("show"))
+    return (branch.alias("b").join(style.alias("s"), _same_node("b", "s"))
             .select("s.host", "s.path", F.col("m").alias("pages"),
                     (gamma * F.col("content") + (1 - gamma) * F.col("show")).alias("importance")))
 
 
+def _marks(seen: DataFrame, min_importance: float, min_pages: int) -> DataFrame:
+    """host, marks: what ``main_text`` takes, for the hosts that have any."""
+    nodes = node_importance(None, seen=seen)
+    low = (F.col("pages") >= min_pages) & (F.col("importance") < min_importance)
+    low_beside = F.col("importance") * (F.col("pages") - 1) / F.col("pages") < min_importance
+    beside = seen.where("kind = 3").select("host", "path")
+    texts = _texts(seen.where("kind <> 0 or k > 1"))  # a text on one page is never low
+    key = F.concat("path", F.lit("\t"), F.col("h").cast("string"))
+    here = beside.alias("b")
+    rows = [nodes.where(low).select("host", F.concat(F.lit("-"), "path").alias("mark")),
+            texts.where(low).select("host", F.concat(F.lit("-"), key).alias("mark")),
+            nodes.where(~low_beside).alias("n").join(here, _same_node("n", "b"), "left_semi")
+            .select("host", F.concat(F.lit("+"), "path").alias("mark")),
+            texts.where(low_beside & ~low).alias("n").join(here, _same_node("n", "b"), "left_semi")
+            .select("host", F.concat(F.lit("~"), key).alias("mark"))]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.groupBy("host").agg(F.sort_array(F.collect_set("mark")).alias("cut"))
+
+
 def extract(pages: DataFrame, min_importance: float = 0.2, min_pages: int = 8, id_col: str = "page_id",
             url_col: str = "url", html_col: str = "html") -> DataFrame:
     """id, url, text, n_chars for every row. Branches on fewer than ``min_pages``
-    different pages of a host are never cut by statistics."""
+    different pages of a host are never cut by statistics, except beside an article or
+    main element that the page names."""
     text_bytes_conf(pages.sparkSession)
     d = keyed(pages, "page_id", page_id=id_col, url=url_col, html=html_col).withColumn("host", host_of(F.col("url")))
-    low = node_importance(d.select("host", "html")).where(
-        (F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
-    cut = materialise(low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("cut")))
+    cut = materialise(_marks(_counts(d.select("host", "html")), min_importance, min_pages))
     size = cut.agg(F.sum(F.octet_length(F.array_join("cut", " ")) + 64)).first()[0] or 0
     side = cut.select(F.col("host").alias("__host"), "cut")
     d = d.join(F.broadcast(side) if size <= BROADCAST_BYTES else side,

@@ -260,6 +260,23 @@ def test_style_tree_cuts_templates(spark):
     assert (out[100], out[101], out[102]) == ("", "T\n\na b", "a < b c")
 
 
+def test_style_tree_decides_inside_and_beside_the_article(spark):
+    """Template inside <article>/<main> goes, as an element of its own and as one of many
+    paragraphs; body text beside the element stays, template beside it goes."""
+    def page(tag, i):
+        return (f"<body><div class='lead'>Top</div><{tag}><p>Story {i} is told here</p><div class='box'><p>Read our offers</p>"
+                f"</div><p>All rights kept by us</p><p>It ends with {i}</p><div><b>By us</b></div></{tag}>"
+                f"<div class='rest'><p>Part two of {i}</p><p>Call now</p></div></body>")
+    rows = [(i, "http://a.org/", page("article", i)) for i in range(20)]
+    rows += [(100 + i, "http://b.org/", page("main", i)) for i in range(3)] + [(200, "http://c.org/", page("main", 0))]
+    out = {r.page_id: r.text for r in htmltree.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(out[i] == f"Story {i} is told here\n\nIt ends with {i}\n\nPart two of {i}" for i in range(20))
+    # three pages: nothing inside the element is cut yet, beside it only the text that differs stays
+    assert out[101].startswith("Story 1 is told here\n\nRead our offers") and out[101].endswith("By us\n\nPart two of 1")
+    # one page: the element decides
+    assert "Part two" not in out[200] and "Read our offers" in out[200]
+
+
 def test_machine_learns_an_interaction():
     """Toxic only where an insult meets a group mention; no additive weight can do that."""
     rnd = random.Random(1)

@@ -1,12 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Texts become words between white space, lower-cased and without the marks at their ends.
-Of every item's distinct n-grams the rarest half
-(by the number of documents that hold them, over the whole corpus; ties included) are
-its seeds, so an item keeps seeds however often it leaked. A document that holds two
-seeds of an item (one, if the item has fewer than four) is aligned against it around
-the seeds: +2 for equal words, -1 for a changed, missing or added word. The score is the
-best local alignment over the perfect one; pairs at or above ``min_score`` are reported.
+Every n-gram of an item is a seed: which of them an edited copy still holds cannot be told
+from how often they occur. Around the seeds a document shares with an item, the words that
+the item has count +2 and all others -1; no alignment scores more than the best run of
+these, so stretches whose best run is too low (chance hits of common n-grams) are left
+out without loss. The others are aligned: +2 for equal words, -1 for a changed, missing or
+added word. The score is the best local alignment over the perfect one; pairs at or above
+``min_score`` are reported.
+
+Items so short that a copy with changed words could reach ``min_score`` without a common
+n-gram take shorter ones (``seed_length``). What no seed finds are copies with words added
+or removed so often that no n words in a row are left.
 
 Defined results: null or word-free texts and items match nothing; items shorter than the
 n-gram are matched as one n-gram of their own length; repeated rows are reported one by
@@ -72,61 +77,60 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     return best, lo, hi
 
 
+def seed_length(size: int, n: int, min_score: float) -> int:
+    """The longest n-gram, up to n, that every copy of an item of ``size`` words holds when
+    it reaches ``min_score`` with e words changed and others cut off its ends: e + 1 runs
+    of m equal words in all have at least m - (k - 1)(e + 1) k-grams."""
+    goal = 2 * min_score * size
+    for k in range(min(n, size), 1, -1):
+        kept = [(-(-(goal + e - 1e-9) // 2), e) for e in range(size)]
+        if all(m - (k - 1) * (e + 1) >= 1 for m, e in kept if m + e <= size):
+            return k
+    return 1
+
+
 class Items:
     """A block of benchmark items as word numbers, with their n-grams."""
 
-    def __init__(self, rows: list[tuple], n: int):
-        self.n = n
+    def __init__(self, rows: list[tuple], n: int, min_score: float):
+        self.n, self.min_score = n, min_score
         self.vocab: dict[str, int] = {}
         self.words: list[tuple[object, np.ndarray]] = []
+        self.has: list[np.ndarray] = []
         self.grams: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
         for item_id, text in rows:
             ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in tokens(text)]
             if not ids:
                 continue
-            k, no = min(n, len(ids)), len(self.words)
+            k, no = seed_length(len(ids), n, min_score), len(self.words)
             self.words.append((item_id, np.array(ids, np.int64)))
+            self.has.append(np.unique(self.words[-1][1]))
             for q in range(len(ids) - k + 1):
                 self.grams[tuple(ids[q:q + k])].append((no, q))
-        self.number = {g: i for i, g in enumerate(sorted(self.grams))}
-        self.short = sorted({len(g) for g in self.grams if len(g) < n})
+        self.grams = dict(self.grams)
+        self.sizes = sorted({len(g) for g in self.grams})
         #: Two-word starts of the n-grams, a quick test before the exact one.
         self.pairs = np.unique(np.array([self._pair(*g[:2]) for g in self.grams if len(g) > 1] or [0], np.int64))
 
     def _pair(self, x, y):
         return x * np.int64(len(self.vocab) + 1) + y
 
-    def hits(self, ids: np.ndarray, wanted: dict[tuple, int]) -> list[tuple[int, int]]:
-        """(n-gram number, position) of every wanted n-gram in a document."""
+    def hits(self, ids: np.ndarray) -> list[tuple[tuple, int]]:
+        """(n-gram, position) of every item n-gram in a document."""
         out = []
-        if len(ids) > 1:
+        if len(ids) > 1 and self.sizes[-1] > 1:
             p = self._pair(ids[:-1], ids[1:])
             at = np.searchsorted(self.pairs, p)
             at[at == len(self.pairs)] = 0
-            starts = np.nonzero((self.pairs[at] == p) & (ids[:-1] > 0))[0]
-            row = ids.tolist() if len(starts) else []
-            for k in [*[s for s in self.short if s > 1], self.n]:
-                for i in starts.tolist():
-                    g = wanted.get(tuple(row[i:i + k]))
-                    if g is not None and i + k <= len(row):
-                        out.append((g, i))
-        if 1 in self.short or self.n == 1:
-            out += [(g, i) for i, x in enumerate(ids.tolist()) if (g := wanted.get((x,))) is not None]
+            starts = np.nonzero((self.pairs[at] == p) & (ids[:-1] > 0))[0].tolist()
+            row = ids.tolist() if starts else []
+            for k in self.sizes:
+                if k > 1:
+                    out += [(g, i) for i in starts if (g := tuple(row[i:i + k])) in self.grams]
+        if self.sizes[0] == 1:
+            out += [((x,), i) for i, x in enumerate(ids.tolist()) if (x,) in self.grams]
         return out
 
-    def seeds(self, df: dict[int, int]) -> dict[tuple, int]:
-        """The rarest half of each item's n-grams, ties included."""
-        own: dict[int, set[tuple]] = defaultdict(set)
-        for g, places in self.grams.items():
-            for no, _ in places:
-                own[no].add(g)
-        keep: set[tuple] = set()
-        for grams in own.values():
-            counts = sorted(df.get(self.number[g], 0) for g in grams)
-            edge = counts[(len(counts) - 1) // 2]
-            keep |= {g for g in grams if df.get(self.number[g], 0) <= edge}
-        return {g: self.number[g] for g in keep}
-
 
 def _reader(items: Items):
     """text -> word numbers (0: a word of no item); words are normalised once a task."""
@@ -140,24 +144,38 @@ def _reader(items: Items):
     return ids
 
 
-def _candidates(items: Items, places: dict[int, list], need: dict[int, int], ids: np.ndarray,
-                hits: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+def _candidates(items: Items, ids: np.ndarray, hits: list[tuple[tuple, int]]) -> Iterator[tuple[int, int, int]]:
     """(item number, first, last word) of the stretches to align."""
-    by_item: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+    by_item: dict[int, list[int]] = defaultdict(list)
     for g, p in hits:
-        for no, q in places[g]:
-            by_item[no].append((p - q, g, p))
+        for no, q in items.grams[g]:
+            by_item[no].append(p - q)
     for no, found in by_item.items():
         size = len(items.words[no][1])
+        goal = MATCH * size * items.min_score - 1e-9
+        pad = int(MATCH * size - goal) + 1  # more gaps than this cost too much
         found.sort()
-        group: list[tuple[int, int, int]] = []
-        for x in [*found, (1 << 60, -1, 0)]:
-            if group and x[0] - group[-1][0] > size:
-                if len({g for _, g, _ in group}) >= need[no]:
-                    pad = size // 2 + 2
-                    yield no, max(0, group[0][0] - pad), min(len(ids), group[-1][0] + size + pad)
-                group = []
-            group.append(x)
+        lo = hi = found[0]
+        for x in [*found[1:], None]:
+            if x is not None and x - hi <= size + 2 * pad:
+                hi = x
+                continue
+            first, last = max(0, lo - pad), min(len(ids), hi + size + pad)
+            part = ids[first:last]
+            has = items.has[no]
+            at = np.searchsorted(has, part)
+            at[at == len(has)] = 0
+            run = np.concatenate(([0], np.cumsum(np.where(has[at] == part, MATCH, GAP))))
+            gain = run - np.minimum.accumulate(run)
+            # every alignment that scores enough ends where the run up to it does
+            good = np.nonzero(gain >= goal)[0]
+            if len(good):
+                span = size + pad
+                cuts = np.nonzero(np.diff(good) > span)[0]
+                for a, b in zip(good[np.r_[0, cuts + 1]].tolist(), good[np.r_[cuts, len(good) - 1]].tolist()):
+                    yield no, first + max(0, a - span), first + b
+            if x is not None:
+                lo = hi = x
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_score: float = 0.6,
@@ -177,49 +195,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_score: flo
     out = spark.createDataFrame([], schema)
     for k in range(blocks):
         rows = b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        items = Items(sorted(((r["item_id"], r["text"]) for r in rows), key=repr), n)
+        items = Items(sorted(((r["item_id"], r["text"]) for r in rows), key=repr), n, min_score)
         if items.words:
-            out = out.unionByName(_search(spark, d, items, min_score, schema))
+            out = out.unionByName(_search(spark, d, items, schema))
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
-def _search(spark, d: DataFrame, items: Items, min_score: float, schema: str) -> DataFrame:
+def _search(spark, d: DataFrame, items: Items, schema: str) -> DataFrame:
     shared = Shared(spark, items)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        read = _reader(own)
-        df: dict[int, int] = defaultdict(int)
-        for batch in batches:
-            for t in batch["text"]:
-                for g in {g for g, _ in own.hits(read(t), own.number)}:
-                    df[g] += 1
-        yield pd.DataFrame({"g": list(df), "n": list(df.values())}, dtype="int64")
-
-    counted = (d.select("text").mapInPandas(count, "g bigint, n bigint").groupBy("g")
-               .agg(F.sum("n").alias("n")).collect())  # one row per n-gram of the block at most
-    seeds = items.seeds({r["g"]: r["n"] for r in counted})
-    places = {items.number[g]: items.grams[g] for g in seeds}
-    own_seeds: dict[int, set[int]] = defaultdict(set)
-    for g, at in places.items():
-        for no, _ in at:
-            own_seeds[no].add(g)
-    need = {no: 2 if len(g) >= 4 else 1 for no, g in own_seeds.items()}
-    plan = Shared(spark, (seeds, places, need))
-
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, (seeds, places, need) = shared.value, plan.value
+        own = shared.value
         read = _reader(own)
         for batch in batches:
             got = []
             for doc_id, t in zip(batch["doc_id"], batch["text"]):
                 ids = read(t)
                 best: dict[int, tuple] = {}
-                for no, lo, hi in _candidates(own, places, need, ids, own.hits(ids, seeds)):
+                for no, lo, hi in _candidates(own, ids, own.hits(ids)):
                     item_id, words = own.words[no]
                     score, first, last = align(words, ids[lo:hi])
                     score /= MATCH * len(words)
-                    if score >= min_score and score > best.get(no, (0.0,))[0]:
+                    if score >= own.min_score and score > best.get(no, (0.0,))[0]:
                         best[no] = (score, lo + first, lo + last)
                 got += [(doc_id, own.words[no][0], round(s, 6), len(own.words[no][1]), x, y)
                         for no, (s, x, y) in best.items()]

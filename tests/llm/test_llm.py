@@ -157,6 +157,27 @@ def test_edited_leaks_are_found(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want
 
 
+def test_leaks_equal_brute_force_alignment(spark):
+    """Every 4th, 5th and 6th word changed, alone and beside exact copies, short items too."""
+    rnd = random.Random(3)
+    vocab = [f"{a}{b}{c}" for a in "bdkl" for b in "aeiou" for c in "mnrstvz"]
+    sizes = [40] * 12 + [3, 4, 5, 6, 8, 10, 12, 15]
+    items = [(i, " ".join(rnd.choices(vocab, k=n))) for i, n in enumerate(sizes)]
+    rows = []
+    for i, t in items:
+        for every in (4, 5, 6):
+            w = [f"new{k}" if k % every == every // 2 else x for k, x in enumerate(t.split())]
+            rows.append((1000 * every + i, " ".join(rnd.choices(vocab, k=50) + w + rnd.choices(vocab, k=50)), "s"))
+        rows += [(10000 + 100 * k + i, " ".join(rnd.choices(vocab, k=9)) + " " + t, "s") for k in range(3 * (i % 2))]
+    number = {}
+    ids = lambda t: np.array([number.setdefault(w, len(number)) for w in t.split()])
+    want = {(d, i): round(s, 6) for d, text, _ in rows for i, t in items
+            if (s := decontaminate.align(ids(t), ids(text))[0] / (2 * len(t.split()))) >= 0.6}
+    assert all((1000 * e + i, i) in want for e in (4, 5, 6) for i in range(12))
+    got = decontaminate.find_leaks(docs_of(spark, rows), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id): r.score for r in got.collect()} == want
+
+
 def test_simjoin_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(simjoin, "BLOCK", 8)  # several blocks a family
     rnd = random.Random(4)

@@ -2,7 +2,8 @@
 
 Documents fall into cells (source, language, topic) weighted by tokens. Raking scales
 the cells, one margin after the other, until the weighted token shares of every margin
-meet their targets. A document's factor over the largest factor, times ``rate``, is the
+are within ``TOLERANCE`` of their targets. Where they cannot get there (cells too sparse for
+the targets) it stops when they come no closer, and a warning gives what is left. A document's factor over the largest factor, times ``rate``, is the
 probability with which it is sampled, so the expected shares of the sample are the
 targets themselves.
 
@@ -17,6 +18,8 @@ memory and broadcast back; more are raked as a Spark table (same results).
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +29,10 @@ from .common import count_chars, materialise, words_col
 MARGINS = ("source", "lang", "topic")
 #: Exponents of the default targets: share ** exponent, made to sum to 1.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.8}
+#: Rounds of the SQL, and the least before raking gives up on margins that come no closer.
 ROUNDS = 30
+#: Distance of a share from its target that counts as met, and the most rounds.
+TOLERANCE, MAX_ROUNDS = 1e-10, 5000
 MAX_LOCAL_CELLS = 100_000
 
 
@@ -54,14 +60,47 @@ def _targets(mass: np.ndarray, code: np.ndarray, values: list, given: dict | Non
     return t / t.sum() if t.sum() else t
 
 
+class _Progress:
+    """Distances of the margins from their targets, round by round. Values without
+    tokens cannot move: they count in the warning, not for going on."""
+
+    def __init__(self):
+        self.no, self.last, self.left, self.worst, self.stuck = 0, np.inf, 0.0, 0.0, 0.0
+
+    def margin(self, off: float, stuck: float) -> None:
+        self.worst, self.stuck = max(self.worst, off), max(self.stuck, stuck)
+
+    def more(self) -> bool:
+        """Whether another round is worth it; after the last one, the warning."""
+        self.no += 1
+        met = self.worst <= TOLERANCE
+        go = not met and (self.no < ROUNDS or self.worst < self.last * (1 - 1e-6))
+        if go:
+            self.last, self.left, self.worst, self.stuck = self.worst, max(self.worst, self.stuck), 0.0, 0.0
+        elif max(self.worst, self.stuck) > TOLERANCE:
+            self.warn(max(self.worst, self.stuck))
+        return go
+
+    def warn(self, left: float) -> None:
+        warnings.warn(f"raking stopped after {self.no} rounds with a share {left:.3g} from its target", stacklevel=3)
+
+
 def rake_local(mass: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray],
-               rounds: int = ROUNDS) -> np.ndarray:
+               rounds: int = MAX_ROUNDS) -> np.ndarray:
     f = np.ones(len(mass))
     total = mass.sum()
+    if not total:
+        return f
+    progress = _Progress()
     for _ in range(rounds):
         for code, t in zip(codes, targets):
             now = np.bincount(code, mass * f, len(t))
+            off = np.abs(now / total - t)
+            progress.margin(off[now > 0].max(initial=0.0), off[now <= 0].max(initial=0.0))
             f = f * np.where(now > 0, t * total / np.where(now > 0, now, 1.0), 1.0)[code]
+        if not progress.more():
+            return f
+    progress.warn(progress.left)
     return f
 
 
@@ -82,19 +121,29 @@ def _rake_spark(cells: DataFrame, given: dict, temper: dict, rounds: int) -> Dat
         s = g.agg(F.sum("t")).first()[0] or 1.0
         goals[m] = g.select(F.col(m).alias(f"{m}_"), (F.col("t") / s * total).alias("t"))
     cur = cells.withColumn("f", F.lit(1.0))
+    if not total:
+        return cur.select(*MARGINS, "f")
+    progress = _Progress()
+    off = F.abs(F.col("now") - F.col("t")) / total
     for _ in range(rounds):
         for m in MARGINS:
             now = cur.groupBy(F.col(m).alias(f"{m}_")).agg(F.sum(F.col("mass") * F.col("f")).alias("now"))
             step = now.alias("n").join(goals[m].alias("g"), F.col(f"n.{m}_").eqNullSafe(F.col(f"g.{m}_")))
-            step = step.select(F.col(f"n.{m}_"), F.when(F.col("now") > 0, F.col("t") / F.col("now")).otherwise(1.0).alias("s"))
+            step = materialise(step.select(F.col(f"n.{m}_"), "now", "t"))
+            progress.margin(*[x or 0.0 for x in step.agg(F.max(F.when(F.col("now") > 0, off)),
+                                                         F.max(F.when(F.col("now") <= 0, off))).first()])
+            step = step.select(f"{m}_", F.when(F.col("now") > 0, F.col("t") / F.col("now")).otherwise(1.0).alias("s"))
             cur = (cur.join(step, F.col(m).eqNullSafe(F.col(f"{m}_")))
                    .select(*MARGINS, "mass", (F.col("f") * F.col("s")).alias("f")))
         cur = materialise(cur)
+        if not progress.more():
+            return cur.select(*MARGINS, "f")
+    progress.warn(progress.left)
     return cur.select(*MARGINS, "f")
 
 
 def cell_factors(cells: DataFrame, targets: dict | None = None, temper: dict = TEMPER,
-                 rounds: int = ROUNDS, max_local: int = MAX_LOCAL_CELLS) -> tuple[DataFrame, bool]:
+                 rounds: int = MAX_ROUNDS, max_local: int = MAX_LOCAL_CELLS) -> tuple[DataFrame, bool]:
     """(source, lang, topic, f) and whether the table is small enough to broadcast."""
     given = targets or {}
     cells = materialise(cells)
@@ -124,7 +173,7 @@ def draw(doc_id: Column, seed: int) -> Column:
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, rate: float = 1.0,
         seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        lang_col: str = "lang", temper: dict = TEMPER, rounds: int = ROUNDS,
+        lang_col: str = "lang", temper: dict = TEMPER, rounds: int = MAX_ROUNDS,
         max_local: int = MAX_LOCAL_CELLS, topic_col: str | None = None,
         tokens_col: str | None = None, out_col: str = "mix") -> DataFrame:
     """Every row with ``out_col``: a struct of topic, tokens, weight (the raking factor),

@@ -272,6 +272,23 @@ def test_raking_meets_targets_on_both_paths(spark):
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
 
 
+def test_raking_goes_on_until_the_targets_are_met(spark):
+    """One empty cell and targets close to what it allows: slow, but they can be met. Beyond
+    that they cannot, and the distance is reported."""
+    mass, codes = np.array([1000.0, 1000.0, 1000.0]), [np.array([0, 0, 1]), np.array([0, 1, 1])]
+    goals = [np.array([0.41, 0.59]), np.array([0.4, 0.6])]
+    f = mixing.rake_local(mass, codes, goals)
+    for code, t in zip(codes, goals):
+        assert np.abs(np.bincount(code, mass * f) / mass.sum() - t).max() < 1e-9
+    with pytest.warns(UserWarning, match="from its target"):
+        mixing.rake_local(mass, codes, [np.array([0.2, 0.8]), np.array([0.4, 0.6])])
+    cells = spark.createDataFrame([("a", "en", "x", 4), ("a", "fr", "x", 2), ("b", "en", "x", 6), ("b", "fr", "x", 3)],
+                                  "source string, lang string, topic string, mass bigint")
+    want = {"source": {"a": 0.6, "b": 0.4}, "lang": {"en": 0.5, "fr": 0.5}}
+    out = [{tuple(r)[:3]: r.f for r in mixing.cell_factors(cells, want, max_local=n)[0].collect()} for n in (0, 9)]
+    assert all(abs(out[0][k] - out[1][k]) < 1e-9 for k in out[1])
+
+
 def test_style_tree_cuts_templates(spark):
     html = "<body><div class='t{i}'>Welcome to our site</div><div>{body}</div><nav>menu</nav></body>"
     rows = [(i, "http://H.org:80/x", html.format(i=i, body=f"<p>Story {i} of the day&amp;night<br>goes on<p>End {i}")) for i in range(20)]

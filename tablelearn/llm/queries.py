@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tablelearn.sources.tables import read_table
 
-from . import brown, decontaminate, htmltree, linededup, mixing, pii, quality, simjoin, toxicity, warc
+from . import (brown, decontaminate, htmltree, linededup, mixing, packing, pii, quality, simjoin, toxicity,
+               warc)
 from .common import spill
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,11 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces(read_table(spark, sf_dir, "documents"))
+    return packing.place(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_pii_semi_markov": op1_pii_semi_markov,
@@ -80,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_html_style_tree": op9_html_style_tree,
     "op10_toxicity_fm": op10_toxicity_fm,
+    "op11_best_fit_packing": op11_best_fit_packing,
 }
 ORACLES: dict[str, str | None] = {
     "pipeline": corpus_pipeline.ORACLE_SQL,

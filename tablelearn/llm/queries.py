@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tablelearn.sources.tables import read_table
 
-from . import (brown, decontaminate, htmltree, linededup, mixing, packing, pii, quality, simjoin, toxicity,
-               warc)
-from .common import spill
+from . import (brown, decontaminate, htmltree, linededup, mixing, packing, pii, quality, repair, simjoin,
+               toxicity, trie, warc)
+from .common import crc_mod, spill
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,30 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op12_conversation_repair_of(conversations: DataFrame) -> DataFrame:
+    found = repair.digest(repair.repair(repair.damage(conversations)))
+    every = conversations.select(F.col("conv_id").alias("id")).distinct()
+    none = {c: F.lit(0).cast("bigint") for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    none |= {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    return every.join(found, F.col("id").eqNullSafe(found["conv_id"]), "left").select(
+        F.col("id").alias("conv_id"), *[F.coalesce(F.col(c), v).alias(c) for c, v in none.items()])
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_conversation_repair_of(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_conversation_trie_of(conversations: DataFrame) -> DataFrame:
+    """The first crc32(c) % 6 turns of conversation c come from conversation c - c % 100."""
+    c = F.col("conv_id")
+    seqs = spill(trie.turns(conversations), "trie-turns")
+    return trie.trie(trie.share_heads(seqs, c - c % 100, crc_mod(c, 6), 5))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_conversation_trie_of(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_pii_semi_markov": op1_pii_semi_markov,
@@ -87,6 +111,8 @@ QUERIES: dict[str, Query] = {
     "op9_html_style_tree": op9_html_style_tree,
     "op10_toxicity_fm": op10_toxicity_fm,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 ORACLES: dict[str, str | None] = {
     "pipeline": corpus_pipeline.ORACLE_SQL,

@@ -101,6 +101,18 @@ def spill(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def per_worker(key: tuple, make: Callable):
+    """An object made once for each Python worker process. Library functions reach tasks
+    pickled by value, with new module globals every time, so those would not last."""
+    import sys
+    import types
+
+    store = sys.modules.setdefault("tablelearn_worker_store", types.ModuleType("tablelearn_worker_store")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 class WordCache(dict):
     """word -> value of ``fn``, remembering a bounded number of words."""
 

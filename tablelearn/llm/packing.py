@@ -31,7 +31,7 @@ import os
 import re
 import struct
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,55 +39,79 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Shared, WordCache, per_worker, pick, spill, text_bytes_conf
+from .common import Shared, per_worker, pick, spill, text_bytes_conf
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
 #: The plan has some ten rows for each possible length; beyond this it would not be small.
 MAX_CAPACITY = 1 << 20
 
-#: Characters that the byte-level step maps to themselves; other pieces take the full tokenizer.
-_PLAIN = re.compile(rb"[!-~]+")
-_PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+_PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+_PRINTABLE = re.compile(r"[!-~]+")
+#: Latin letters that NFC leaves alone and whose lower case is one letter by itself.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+#: The byte-level step writes a byte as the character of its number, and bytes without a
+#: visible one as the characters from 256 on.
+_HIDDEN = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b != 173))}
 
 
-class Coder(WordCache):
+class Recent(dict):
+    """word -> value of ``fn``; keeps the words asked for most lately, twice ``limit`` at most."""
+
+    def __init__(self, fn: Callable, limit: int):
+        super().__init__()
+        self.fn, self.limit, self.before = fn, limit, {}
+
+    def __missing__(self, word):
+        value = self.before.get(word)
+        if value is None:
+            value = self.fn(word)
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        self[word] = value
+        return value
+
+
+class Coder(Recent):
     """word (UTF-8) -> its ids as little-endian 32-bit integers.
 
     The tokenizer drops white space, and nothing it does reaches over it, so the ids of a
     text are those of its words one after the other. It also lower-cases and cuts words into
-    runs of letters, single digits and runs of marks, each coded by itself: words of ASCII
-    characters are cut here and their pieces remembered too, and marks are cut off the end of
-    other Latin words (tested against whole texts). Words with an apostrophe, of other
-    scripts or with a special token go to the tokenizer as they are."""
+    runs of letters, single digits and runs of marks, each coded by itself: Latin words with
+    marks behind them and other ASCII words are cut here, and their pieces go to the model
+    alone (tested against whole texts). Other words, those with an apostrophe inside and
+    special tokens go to the tokenizer as they are."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 120_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         model = tokenizer.model
 
-        def whole(w: bytes) -> bytes:
-            return _pack(tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids)
+        def whole(w: str) -> bytes:
+            return _pack(tokenizer.encode(w, add_special_tokens=False).ids)
 
-        def piece(w: bytes) -> bytes:
-            return _pack([t.id for t in model.tokenize(w.decode())]) if _PLAIN.fullmatch(w) else whole(w)
+        def piece(w: str) -> bytes:
+            if not w.isascii():
+                w = w.encode("utf-8").decode("latin-1").translate(_HIDDEN)
+            elif not _PRINTABLE.fullmatch(w):
+                return whole(w)
+            return _pack([t.id for t in model.tokenize(w)])
 
         def word(w: bytes) -> bytes:
-            if b"<|" in w:
-                return whole(w)
-            if w.isascii():
-                return whole(w) if b"'" in w else b"".join([pieces[p] for p in _PIECES.findall(w.lower())])
             core = w.rstrip(_MARKS)
-            if len(core) < len(w) and core:
-                last = core[-2:].decode("utf-8", "ignore")[-1:]
-                if last.isalpha() and last < "\u0250":
-                    return self[core] + pieces[w[len(core):]]
-            return whole(w)
-
-        pieces = WordCache(piece, limit)
+            s = core.decode("utf-8")
+            if _LETTERS.fullmatch(s):
+                letters = pieces[s.lower()]
+                return letters if len(core) == len(w) else letters + pieces[w[len(core):].decode()]
+            if w.isascii() and b"'" not in w and b"<|" not in w:
+                return b"".join([pieces[p] for p in _PIECES.findall(w.decode().lower())])
+            return whole(w.decode("utf-8"))
+
+        pieces = Recent(piece, limit)
         super().__init__(word, limit)
 
 

@@ -71,7 +71,8 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(read_table(spark, sf_dir, "documents"))
-    return packing.place(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.place(spill(digest, "packing-pieces"))
 
 
 def op12_conversation_repair_of(conversations: DataFrame) -> DataFrame:

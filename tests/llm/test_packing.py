@@ -92,7 +92,9 @@ def test_whole_table(spark):
 
 def test_words_alone_give_the_ids_of_the_text(spark):
     texts = ["I'm here, you'll  see\u00a0it's\u2003a\ttest\x1fof\x0bwhite\u3000space", "caf\u0065\u0301 \u0301x ΑΣ ΣΑΣ.",
-             "a <|endoftext|> b<|startoftext|>c", "日本語 текст \U0001f600\U0001f600 !!!...'s 't", "x" * 5000, "1234 5 6\r\n7", "\ufeff \x00 \x85 z"]
+             "a <|endoftext|> b<|startoftext|>c", "日本語 текст \U0001f600\U0001f600 !!!...'s 't", "x" * 5000, "1234 5 6\r\n7", "\ufeff \x00 \x85 z",
+             "\u0130stanbul. \u0130 \u01c4 \u01c5 \u00df \u1e9e \u017f E\u0301 e\u0301' eau'. d'Eau, h\u0331 H\u0331 \u00b5 x\u00d7 \u00f7y",
+             " ".join(chr(c) for c in range(33, 0x250)), " ".join(f"a{chr(c)}b {chr(c)}. {chr(c)}'s" for c in range(33, 0x400))]
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in packing.pieces(d, capacity=1 << 19).collect()}
     assert got == {i: encode(t) for i, t in enumerate(texts)}

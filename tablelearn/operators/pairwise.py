@@ -3,25 +3,24 @@
 * Row-vs-small-set operators (landmarks, centroids, support vectors) take the
   small side as literals (its size is a model parameter, checked), so they
   are projections: no join, no shuffle.
-* Row-vs-row neighbours (D7) never materialise pairs as rows: both sides are
-  hashed into blocks of bounded size, each (query block, train block) pair is
-  co-grouped into one task that computes its distances in NumPy and emits only
-  its k best per query row, and a final ``row_number() <= k`` keeps the global
-  top k (planned with a partial ``WindowGroupLimit`` before the shuffle).
+* Row-vs-row neighbours (D7) never materialise pairs as rows: the train table
+  is partitioned by pivots, queries visit only blocks that their bound cannot
+  exclude (:mod:`.metric_search`), each visit emits only its k best, and a final
+  ``row_number() <= k`` keeps the global top k (planned with a partial
+  ``WindowGroupLimit`` before the shuffle).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels as K
 from ..functions.linalg import argmin_index, euclidean, sq_dist
-from ..sources.validate import raise_if_invalid
+from .metric_search import NeighborSearch
 
 MAX_LITERAL_POINTS = 100_000  # rows x dims entered into the plan as literals
 
@@ -184,91 +183,20 @@ def nearest_point(cols: Sequence[str | Column], points: np.ndarray) -> Column:
 
 
 # --------------------------------------------------------------------- D7
-def _blocks(n: int, block_rows: int) -> int:
-    return max(1, math.ceil(n / block_rows))
-
-
-def _count_valid(df: DataFrame, id_col: str, features: str, label: str | None = None) -> int:
-    """Row count; raises on NULL ids, vectors or labels and on NULL, NaN or infinite entries."""
-    f = F.col(features)
-    bad = F.col(id_col).isNull() | f.isNull() | F.exists(
-        f, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    if label:
-        bad = bad | F.col(label).isNull()
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad")).first()
-    raise_if_invalid(r["bad"], "neighbour search")
-    return r["n"]
-
-
 def knn_pairs(queries: DataFrame, train: DataFrame, qid: str, tid: str, features: str, k: int,
-              exclude_self: bool = False, block_rows: int = 2048,
+              exclude_self: bool = False, block_rows: int | None = None,
               carry: str | None = None) -> DataFrame:
-    """Exact k nearest train rows for every query row.
+    """Exact k nearest train rows for every query row (see :mod:`.metric_search`).
 
     ``features`` is an ARRAY<DOUBLE> column on both sides. Returns
     ``(qid, rank, neighbor, distance[, carry])``, ranks 1..k ordered by
-    (distance, neighbor id). Work per task is bounded by block_rows²
-    distances. ``carry`` (e.g. the train label, integral) travels with the
+    (distance, neighbor id). ``carry`` (e.g. the train label) travels with the
     train rows so that consumers need no join back to the train table.
     """
     if k < 1:
         raise ValueError("k must be positive")
-    nq, nt = _count_valid(queries, qid, features), _count_valid(train, tid, features, carry)
-    bq, bt = _blocks(nq, block_rows), _blocks(nt, block_rows)
-    q = queries.select(F.col(qid).alias("_q"), F.col(features).alias("_qv"),
-                       F.pmod(F.xxhash64(qid), F.lit(bq)).alias("qb"))
-    q = q.withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(bt - 1)).cast("array<bigint>")))
-    t = train.select(F.col(tid).alias("_t"), F.col(features).alias("_tv"),
-                     (F.col(carry) if carry else F.lit(0).cast("bigint")).alias("_c"),
-                     F.pmod(F.xxhash64(tid), F.lit(bt)).alias("tb"))
-    t = t.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)).cast("array<bigint>")))
-
-    def types(df: DataFrame, c: str) -> str:
-        return df.schema[c].dataType.simpleString()
-
-    def block_topk(qpdf, tpdf):
-        import pandas as pd
-
-        if qpdf.empty or tpdf.empty:
-            return pd.DataFrame({"q": [], "t": [], "d": [], "c": []}, dtype=object)
-        qx = np.stack(qpdf["_qv"].to_numpy()).astype(np.float64)
-        tx = np.stack(tpdf["_tv"].to_numpy()).astype(np.float64)
-        qids = qpdf["_q"].to_numpy()
-        tids = tpdf["_t"].to_numpy()
-        tcar = dict(zip(tids.tolist(), tpdf["_c"].to_numpy().tolist()))
-        out_q, out_t, out_d = [], [], []
-        step = max(1, 4_000_000 // max(1, tx.shape[0] * tx.shape[1]))
-        for s in range(0, qx.shape[0], step):
-            diff = qx[s:s + step, None, :] - tx[None, :, :]
-            d = np.sqrt(np.einsum("qtp,qtp->qt", diff, diff))
-            for r in range(d.shape[0]):
-                row = d[r]
-                ids = tids
-                if exclude_self:
-                    keep = ids != qids[s + r]
-                    row, ids = row[keep], ids[keep]
-                if row.size == 0:
-                    continue
-                kk = min(k, row.size)
-                # exact top k by (distance, id): lexsort on the candidates within the k-th distance
-                cut = np.partition(row, kk - 1)[kk - 1]
-                cand = np.nonzero(row <= cut)[0]
-                order = sorted(cand.tolist(), key=lambda i: (row[i], ids[i]))[:kk]
-                out_q.extend([qids[s + r]] * len(order))
-                out_t.extend(ids[order].tolist())
-                out_d.extend(row[order].tolist())
-        return pd.DataFrame({"q": out_q, "t": out_t, "d": out_d, "c": [tcar[x] for x in out_t]})
-
-    cand = (q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb"))
-            .applyInPandas(lambda a, b: block_topk(a, b), f"q {types(q, '_q')}, t {types(t, '_t')}, d double, c {types(t, '_c')}"))
-    # each query has at most k candidates per train block; keep the global k best
-    w = Window.partitionBy("q").orderBy("d", "t")
-    cand = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    out = [F.col("q").alias(qid), F.col("rank").cast("bigint").alias("rank"),
-           F.col("t").alias("neighbor"), F.col("d").alias("distance")]
-    if carry:
-        out.append(F.col("c").cast(train.schema[carry].dataType).alias(carry))
-    return cand.select(*out)
+    search = NeighborSearch(train, tid, features, carry, block_rows)
+    return search.search(queries, qid, features, k, exclude_self)
 
 
 def knn_vote(pairs: DataFrame, qid: str, label: str) -> DataFrame:

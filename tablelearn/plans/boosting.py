@@ -35,28 +35,11 @@ def boosted_tree(df: DataFrame, features: Sequence[str], grads: Sequence[str], h
 TIE_DIGITS = 10
 
 
-def _node_arrays(tree: TreeModel, k: int) -> tuple:
-    """(feature, cutoff, left, right, leaf values, depth) over the tree's nodes, the root
-    first; a leaf is its own child, so all rows take the same number of steps."""
-    ids = sorted(tree.nodes)
-    at = {i: q for q, i in enumerate(ids)}
-    feature, cutoff, value = np.zeros(len(ids), np.int64), np.zeros(len(ids)), np.zeros((len(ids), k))
-    left, right = np.arange(len(ids)), np.arange(len(ids))
-    for i, q in at.items():
-        node = tree.nodes[i]
-        if "value" in node:
-            value[q] = node["value"]
-        else:
-            feature[q], cutoff[q] = node["feature"], node["cutoff"]
-            left[q], right[q] = at[2 * i], at[2 * i + 1]
-    return feature, cutoff, left, right, value, int(ids[-1]).bit_length() - 1
-
-
 class GradientBoostingClassifier:
     def __init__(self, n_estimators: int = 200, learning_rate: float = 1e-3, max_depth: int = 2,
                  min_samples_split: int = 2, min_impurity: float = 1e-7, checkpoint_interval: int = 5,
-                 max_bins: int | None = None):
-        self.max_bins = max_bins
+                 max_bins: int | None = None, small_rows: int | None = None):
+        self.max_bins, self.small_rows = max_bins, small_rows
         self.n_estimators, self.lr, self.max_depth = n_estimators, learning_rate, max_depth
         self.min_split, self.min_impurity = min_samples_split, min_impurity
         self.checkpoint_interval = checkpoint_interval
@@ -85,7 +68,8 @@ class GradientBoostingClassifier:
                                      for j in range(k)])
                 tree = boosted_tree(gh, self.features, [f"_g{j}" for j in range(k)],
                                     [f"_h{j}" for j in range(k)], self.max_depth, self.min_split,
-                                    self.min_impurity, checkpoint_interval=0, max_bins=self.max_bins)
+                                    self.min_impurity, checkpoint_interval=0, max_bins=self.max_bins,
+                                    small_rows=self.small_rows)
                 if getattr(self, "_pending", None) is not None:
                     self._pending.unpersist()  # the tree fit above materialised `data`
                     self._pending = None
@@ -124,18 +108,13 @@ class GradientBoostingClassifier:
         """``df`` plus one logit column per class (``{prefix}0`` ...), for any number of
         trees: every tree is routed once per Arrow batch, map-only. A NULL feature gives
         NULL logits, at every number of trees."""
-        tables = [_node_arrays(t, len(self.classes)) for t in self.trees]
         lr, k = self.lr, len(self.classes)
+        tables = [(a := t.arrays(), np.array([t.nodes[i].get("value", [0.0] * k) for i in a.ids])) for t in self.trees]
 
         def score(x: np.ndarray) -> np.ndarray:
-            z, rows = np.zeros((len(x), k)), np.arange(len(x))
-            for feature, cutoff, left, right, value, depth in tables:
-                at = np.zeros(len(x), np.int64)
-                for _ in range(depth):
-                    v = x[rows, feature[at]]
-                    # NaN is the largest value, as in Spark's comparisons
-                    at = np.where((v >= cutoff[at]) | np.isnan(v), left[at], right[at])
-                z -= lr * value[at]
+            z = np.zeros((len(x), k))
+            for tree, values in tables:
+                z -= lr * values[tree.walk(x)]
             return z
 
         return append_scores(df, self.features, [f"{prefix}{j}" for j in range(k)], score)

@@ -1,7 +1,7 @@
 """Exact k-nearest-neighbour classifier (lazy learner).
 
 ``fit`` keeps the training table (the model *is* the data); ``predict`` runs
-the blocked exact top-k join (D7) and the label vote (E13) as Spark jobs.
+the exact pruned top-k search (D7) and the label vote (E13) as Spark jobs.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from ..operators import pairwise
 
 
 class KNNClassifier:
-    def __init__(self, n_neighbors: int = 3, block_rows: int = 2048):
+    def __init__(self, n_neighbors: int = 3, block_rows: int | None = None):
         if n_neighbors < 1:
             raise ValueError("n_neighbors must be positive")
         self.k, self.block_rows = n_neighbors, block_rows

@@ -1,23 +1,27 @@
-"""Exact decision trees grown level by level, and boosting.
+"""Exact decision trees of any depth, and boosting.
 
 A node is split on the feature/cutoff with the largest impurity gain, over
 every distinct value of every feature, ``x >= cutoff`` going left (first
-maximum in feature, then cutoff order). Instead of re-scanning rows per
-candidate, one level costs one pass:
-
-1. rows -> (node, feature, value) with additive statistics (class counts;
-   n and Σy per target; or gradient/hessian sums and n), grouped:
-   ``groupBy(node, f, v)``;
-2. suffix sums over values (bounded windows, :mod:`..operators.prefix`) give
-   the left-side statistics of every candidate, node totals give the right;
-3. the gain is one generated SQL expression; ``max_by`` per node picks the
-   split and returns its left statistics, so the children's totals are known
-   without another pass (only the root needs a totals aggregate).
-
-Only one row per node reaches the driver. Rows move to children through a
-join with the level's split table, broadcast because its size is bounded by
-the number of nodes at that level (checked). Node ids are heap ids: children
-of i are 2i (left) and 2i+1 (right). Gains are compared after rounding to 12
+maximum in feature, then cutoff order). The frontier of open nodes has two
+kinds of members:
+
+* *Large* nodes (more than ``small_rows`` rows) share one pass a level: rows ->
+  (node, feature, value) with additive statistics, grouped (a dominant value is
+  one row a task); prefix sums over the values (:mod:`..operators.prefix`, one
+  range-partitioned sort where a node's values outgrow a task) give the left
+  side of every candidate, node totals the right; the gain is one generated SQL
+  expression and ``max_by`` per node picks the split with its left statistics,
+  so children's totals are known without another pass. Rows move to children
+  through a broadcast of the level's splits (one row a large node).
+* *Small* nodes are finished whole, to any depth, inside one grouped task that
+  holds their at most ``small_rows`` rows and returns the subtree as arrays.
+
+So the number of jobs grows with the logarithm of the table over ``small_rows``
+and not with the depth of the tree. Scoring walks all rows of an Arrow batch
+down the arrays together: one map-only pass at any depth. Trees beyond
+``MAX_DRIVER_NODES`` stay a table of subtrees and are scored by a co-grouped
+join on the small node a row falls into. Node ids are heap ids: children of i
+are 2i (left) and 2i+1 (right). Gains are compared after rounding to 12
 decimals so floating-point noise cannot pick between equal splits.
 """
 
@@ -27,15 +31,23 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrow_scores import null_rows
 from ..operators.prefix import suffix_sums
 from ..sources.validate import count_invalid, raise_if_invalid
 from ..session import ensure_checkpoint_dir
 
 MAX_BROADCAST_NODES = 1_000_000
+#: Nodes held by the driver and sent to every task; larger trees stay a table.
+MAX_DRIVER_NODES = 1_000_000
+#: Nodes of a tree that may become one CASE expression.
+MAX_CASE_NODES = 255
+#: rows x features x statistics held at once by the task that finishes a small node
+SMALL_CELLS = 4_000_000
 GAIN_DIGITS = 12
 
 
@@ -75,6 +87,14 @@ class Criterion:
     def gain(self, t: list[str], l: list[str], r: list[str]) -> str:
         raise NotImplementedError
 
+    def gains(self, t: np.ndarray, l: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """``gain`` over arrays whose last axis holds the statistics."""
+        raise NotImplementedError
+
+    def count(self, t):
+        """The rows behind statistics (list of SQL names or array, last axis)."""
+        raise NotImplementedError
+
     def leaf(self, t: np.ndarray):
         raise NotImplementedError
 
@@ -100,6 +120,19 @@ class Entropy(Criterion):
         nr, hr = self._h(r)
         return f"{ht} - {nl} / {nt} * {hl} - {nr} / {nt} * {hr}"
 
+    @staticmethod
+    def _hs(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = c.sum(axis=-1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return n, np.log(n) - np.where(c > 0, c * np.log(c), 0.0).sum(axis=-1) / n
+
+    def gains(self, t, l, r):
+        (nt, ht), (nl, hl), (nr, hr) = self._hs(t), self._hs(l), self._hs(r)
+        return ht - nl / nt * hl - nr / nt * hr
+
+    def count(self, t):
+        return t.sum(axis=-1) if isinstance(t, np.ndarray) else _sum(t)
+
     def leaf(self, t):
         return self.classes[int(np.argmax(t))]
 
@@ -123,6 +156,14 @@ class VarianceReduction(Criterion):
             terms.append(f"{w} * {d} * {d}")
         return _sum(terms)
 
+    def gains(self, t, l, r):
+        nl, nr = l[..., 0], r[..., 0]
+        d = l[..., 1:] / nl[..., None] - r[..., 1:] / nr[..., None]
+        return (nl * nr / ((nl + nr) * (nl + nr))) * (d * d).sum(axis=-1)
+
+    def count(self, t):
+        return t[..., 0] if isinstance(t, np.ndarray) else t[0]
+
     def leaf(self, t):
         vals = [float(t[k] / t[0]) for k in range(1, self.n_stats)]
         return vals[0] if len(vals) == 1 else vals
@@ -148,18 +189,77 @@ class NewtonGain(Criterion):
             terms.append(f"{side[0]} + {side[1]} - {side[2]}")
         return f"0.5D * {_sum(terms)}"
 
+    def gains(self, t, l, r):
+        def side(x):
+            g, h = x[..., :self.k], x[..., self.k:2 * self.k]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                return np.where(h == 0.0, 0.0, g * g / h)
+        return 0.5 * (side(l) + side(r) - side(t)).sum(axis=-1)
+
+    def count(self, t):
+        return t[..., -1] if isinstance(t, np.ndarray) else t[-1]
+
     def leaf(self, t):
         return [float(t[j] / t[self.k + j]) if t[self.k + j] != 0 else 0.0 for j in range(self.k)]
 
 
+@dataclass
+class NodeArrays:
+    """A tree as arrays, the root first; a leaf is its own child, so all rows of a batch can
+    take steps until none moves. ``leaf`` numbers the leaves in the order of the nodes."""
+
+    feature: np.ndarray
+    cutoff: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    ids: list  # heap ids
+
+    def walk(self, x: np.ndarray) -> np.ndarray:
+        """The leaf (an index into the arrays) of every row; NaN is the largest value, as in
+        Spark's comparisons."""
+        at = np.zeros(len(x), np.int64)
+        moving = np.arange(len(x)) if self.left[0] or self.right[0] else np.zeros(0, np.int64)
+        while len(moving):
+            here = at[moving]
+            v = x[moving, self.feature[here]]
+            nxt = np.where((v >= self.cutoff[here]) | np.isnan(v), self.left[here], self.right[here])
+            at[moving] = nxt
+            moving = moving[self.left[nxt] != nxt]
+        return at
+
+
+def node_arrays(nodes: dict[int, dict]) -> NodeArrays:
+    ids = sorted(nodes)
+    at = {i: q for q, i in enumerate(ids)}
+    feature, cutoff = np.zeros(len(ids), np.int32), np.zeros(len(ids))
+    left, right = np.arange(len(ids)), np.arange(len(ids))
+    for i, q in at.items():
+        if "cutoff" in nodes[i]:
+            feature[q], cutoff[q] = nodes[i]["feature"], nodes[i]["cutoff"]
+            left[q], right[q] = at[2 * i], at[2 * i + 1]
+    return NodeArrays(feature, cutoff, left, right, ids)
+
+
 @dataclass
 class TreeModel:
+    """``nodes``: heap id -> {feature, cutoff}, {value}, or {subtree} for a small node whose
+    subtree is a row of the table ``subtrees`` (trees beyond MAX_DRIVER_NODES only)."""
+
     features: list[str]
-    nodes: dict[int, dict] = field(default_factory=dict)  # id -> {feature, cutoff} or {value}
+    nodes: dict[int, dict] = field(default_factory=dict)
+    subtrees: DataFrame | None = None
 
     def is_leaf(self, i: int) -> bool:
         return "value" in self.nodes[i]
 
+    @property
+    def depth(self) -> int:
+        return max(int(i).bit_length() for i in self.nodes) - 1
+
+    def arrays(self) -> NodeArrays:
+        return node_arrays(self.nodes)
+
+    # ------------------------------------------------------ one CASE expression
     def _route_sql(self, i: int, leaf_sql) -> str:
         nd = self.nodes[i]
         if "value" in nd:
@@ -168,12 +268,18 @@ class TreeModel:
         return (f"CASE WHEN {x} >= {sql_double(nd['cutoff'])} THEN {self._route_sql(2 * i, leaf_sql)} "
                 f"ELSE {self._route_sql(2 * i + 1, leaf_sql)} END")
 
+    def _case(self, leaf_sql) -> Column:
+        if len(self.nodes) > MAX_CASE_NODES or self.subtrees is not None:
+            raise ValueError(f"a tree of {len(self.nodes)} nodes is no expression: use transform() or route()")
+        return F.expr(self._route_sql(1, leaf_sql))
+
     def leaf_id_col(self) -> Column:
-        """The heap id of the leaf each row falls into (nested CASE)."""
-        return F.expr(self._route_sql(1, lambda i, v: f"{int(i)}L"))
+        """The heap id of the leaf each row falls into, for trees small enough for a
+        nested CASE; ``route`` takes any tree."""
+        return self._case(lambda i, v: f"{int(i)}L")
 
     def value_col(self, index: int | None = None) -> Column:
-        """Leaf value (or its ``index``-th component for vector leaves)."""
+        """Leaf value (or its ``index``-th component for vector leaves) of a small tree."""
         def leaf(i, v):
             v = v if index is None else v[index]
             if isinstance(v, (bool, np.bool_)):
@@ -183,41 +289,79 @@ class TreeModel:
             if isinstance(v, str):
                 return "'" + v.replace("'", "''") + "'"
             return sql_double(v)
-        return F.expr(self._route_sql(1, leaf))
-
-    def route(self, df: DataFrame, out: str = "leaf", max_case_nodes: int = 4095) -> DataFrame:
-        """B12 for any tree size: ``df`` plus the leaf id of every row.
-
-        Up to ``max_case_nodes`` nodes this is the nested CASE projection. A
-        larger tree would make one enormous expression, so rows are instead
-        moved one level per step through a join with that level's split table
-        (broadcast, bounded by the nodes of one level) — the same step as in
-        training. The nested CASE and the joins give identical leaves.
-        """
-        if len(self.nodes) <= max_case_nodes:
-            return df.withColumn(out, self.leaf_id_col())
-        spark = df.sparkSession
-        arr = F.array(*[F.col(c).cast("double") for c in self.features])
-        cur = df.withColumn(out, F.lit(1).cast("bigint"))
-        depth = max(int(i).bit_length() for i in self.nodes)
-        for level in range(depth):
-            lo, hi = 2 ** level, 2 ** (level + 1)
-            splits = [(int(i), int(nd["feature"]), float(nd["cutoff"])) for i, nd in self.nodes.items()
-                      if lo <= i < hi and "value" not in nd]
-            if not splits:
-                break
-            if len(splits) > MAX_BROADCAST_NODES:
-                raise ValueError("too many nodes in one level to route by broadcast")
-            table = spark.createDataFrame(splits, f"{out} bigint, _sf int, _sc double")
-            cur = (cur.join(F.broadcast(table), out, "left")
-                   .withColumn(out, F.when(F.col("_sf").isNull(), F.col(out)).otherwise(
-                       F.col(out) * 2 + F.when(F.element_at(arr, F.col("_sf") + 1) >= F.col("_sc"),
-                                               F.lit(0)).otherwise(F.lit(1))))
-                   .drop("_sf", "_sc"))
-        return cur
+        return self._case(leaf)
+
+    # ------------------------------------------------------ any size, map-only
+    def route(self, df: DataFrame, out: str = "leaf", path: bool = False) -> DataFrame:
+        """``df`` plus the heap id of every row's leaf (bigint; trees deeper than 62
+        levels have no such id), or its path from the root in the letters L and R (string)."""
+        if not path and self.subtrees is None and self.depth > 62:
+            raise ValueError("heap ids of this tree exceed a bigint: ask for path=True")
+
+        def name(i: int):
+            return bin(i)[3:].replace("0", "L").replace("1", "R") if path else i
+
+        return self._walk(df, out, "string" if path else "bigint", lambda i, value: name(i))
+
+    def transform(self, df: DataFrame, out: str = "prediction", index: int | None = None,
+                  data_type: str = "double") -> DataFrame:
+        """``df`` plus every row's leaf value (or its ``index``-th component); a NULL feature
+        gives a NULL."""
+        return self._walk(df, out, data_type, lambda i, value: value if index is None else value[index])
+
+    def _walk(self, df: DataFrame, out: str, data_type: str, leaf_value) -> DataFrame:
+        features, names = self.features, list(df.columns)
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        if self.subtrees is not None:
+            return self._walk_table(df, out, data_type, leaf_value, schema)
+        tree = self.arrays()
+        leaves = [leaf_value(i, self.nodes[i].get("value")) if "value" in self.nodes[i] else None for i in tree.ids]
+        values = pa.array(leaves, pa.string()) if data_type == "string" else pa.array(leaves)
+
+        def per_batch(batches):
+            for b in batches:
+                if b.num_rows:
+                    at = pa.array(tree.walk(_features(b, features)), mask=null_rows(b, features))
+                    yield pa.RecordBatch.from_arrays([*b.columns, values.take(at)], [*names, out])
+
+        return df.mapInArrow(per_batch, f"{schema}, `{out}` {data_type}")
+
+    def _walk_table(self, df, out, data_type, leaf_value, schema: str, salts: int = 16) -> DataFrame:
+        """Rows go to the small node they fall into and meet its subtree there; a node's rows
+        are dealt over ``salts`` tasks."""
+        features, names = self.features, list(df.columns)
+        top = self.arrays()
+        direct = {i: leaf_value(i, nd["value"]) for i, nd in self.nodes.items() if "value" in nd}
+        ids = pa.array([str(i) for i in top.ids])
+
+        def per_batch(batches):
+            for b in batches:
+                if b.num_rows:
+                    at = pa.array(top.walk(_features(b, features)), mask=null_rows(b, features))
+                    yield pa.RecordBatch.from_arrays([*b.columns, ids.take(at)], [*names, "_node"])
+
+        arrow = {"string": pa.string(), "bigint": pa.int64(), "double": pa.float64(), "int": pa.int32()}[data_type]
+
+        def finish(rows: pa.Table, sub: pa.Table) -> pa.Table:
+            node = rows.column("_node")[0].as_py() if rows.num_rows else None
+            if node is None or not sub.num_rows:
+                value = None if node is None else direct.get(int(node))
+                found = pa.array([value] * rows.num_rows, arrow)
+            else:
+                r = {c: sub.column(c)[0].as_py() for c in ("feature", "cutoff", "left", "right", "value", "id")}
+                tree = NodeArrays(*(np.array(r[c]) for c in ("feature", "cutoff", "left", "right")), r["id"])
+                found = pa.array([leaf_value(int(i), v) for i, v in zip(r["id"], r["value"])], arrow).take(
+                    pa.array(tree.walk(_features(rows, features))))
+            return rows.select(names).append_column(out, found)
+
+        salt = F.pmod(F.xxhash64(*[F.col(_q(c)) for c in features]), F.lit(salts))
+        rows = df.mapInArrow(per_batch, f"{schema}, _node string").withColumn("_salt", salt)
+        subs = self.subtrees.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+        return rows.groupBy("_node", "_salt").cogroup(subs.groupBy("_node", "_salt")).applyInArrow(
+            finish, f"{schema}, `{out}` {data_type}")
 
     def leaf_value_table(self, spark, index: int | None = None) -> DataFrame:
-        """(leaf, value) for joining routed rows to leaf values (large trees)."""
+        """(leaf, value) for joining routed rows to leaf values."""
         rows = []
         for i, nd in self.nodes.items():
             if "value" in nd:
@@ -235,16 +379,76 @@ class TreeModel:
         return out
 
 
+def _features(batch, features: Sequence[str]) -> np.ndarray:
+    return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) if isinstance(
+        batch, pa.RecordBatch) else batch.column(c).to_numpy().astype(np.float64) for c in features])
+
+
+def grow_small(x: np.ndarray, s: np.ndarray, crit: Criterion, depth_left: float, min_split: int,
+               min_impurity: float) -> tuple[list, list, list, list, list]:
+    """The whole subtree over rows ``x`` with statistics ``s``: (feature, cutoff, left, right,
+    totals) of its nodes, the root first; a leaf is its own child."""
+    by = np.lexsort((*s.T[::-1], *x.T[::-1]))  # sums do not depend on the order of arrival
+    x, s = x[by], s[by]
+    feature, cutoff, left, right, totals = [], [], [], [], []
+
+    def node(rows: np.ndarray) -> int:
+        feature.append(0)
+        cutoff.append(0.0)
+        left.append(len(left))
+        right.append(len(right))
+        totals.append(s[rows].sum(axis=0))
+        return len(feature) - 1
+
+    stack = [(node(np.arange(len(x))), np.arange(len(x)), depth_left)]
+    while stack:
+        at, rows, depth = stack.pop()
+        if depth < 1 or crit.count(totals[at]) < min_split:
+            continue
+        best = _best_split(x[rows], s[rows], totals[at], crit)
+        if best is None or not best[0] > min_impurity:
+            continue
+        _, f, v = best
+        feature[at], cutoff[at] = f, v
+        goes_left = x[rows, f] >= v
+        for side, mask in ((left, goes_left), (right, ~goes_left)):
+            side[at] = node(rows[mask])
+            stack.append((side[at], rows[mask], depth - 1))
+    return feature, cutoff, left, right, totals
+
+
+def _best_split(x: np.ndarray, s: np.ndarray, t: np.ndarray, crit: Criterion) -> tuple[float, int, float] | None:
+    """(gain, feature, cutoff): the largest rounded gain, then the first feature, then the
+    least cutoff."""
+    n, p = x.shape
+    step, best = max(1, SMALL_CELLS // max(1, n * s.shape[1])), None
+    for lo in range(0, p, step):
+        part = x[:, lo:lo + step]
+        order = np.argsort(-part, axis=0, kind="stable")
+        v = np.take_along_axis(part, order, axis=0)
+        ends = v[:-1] != v[1:]  # the last row of a value, with rows to its right
+        if not ends.any():
+            continue
+        l = np.cumsum(s[order], axis=0)[:-1]
+        gain = np.where(ends, np.round(crit.gains(t, l, t - l), GAIN_DIGITS), -np.inf)
+        top = gain.max()
+        if best is None or top > best[0]:
+            f = int((gain == top).any(axis=0).argmax())
+            i = int(np.nonzero(gain[:, f] == top)[0][-1])
+            best = (float(top), lo + f, float(v[i, f]))
+    return best
+
+
 class TreeGrower:
-    def __init__(self, criterion: Criterion, max_depth: int = 10, min_samples_split: int = 2,
+    def __init__(self, criterion: Criterion, max_depth: float | None = None, min_samples_split: int = 2,
                  min_impurity: float = 1e-7, checkpoint_interval: int = 4,
-                 target_window_rows: int = 200_000, max_bins: int | None = None):
-        if max_depth is None or max_depth == float("inf"):
-            raise ValueError("max_depth must be finite: the tree is grown one job per level")
-        self.crit, self.max_depth = criterion, int(max_depth)
+                 target_window_rows: int = 200_000, max_bins: int | None = None, small_rows: int | None = None,
+                 max_driver_nodes: int = MAX_DRIVER_NODES):
+        self.crit = criterion
+        self.max_depth = float("inf") if max_depth is None else max_depth
         self.min_split, self.min_impurity = min_samples_split, min_impurity
         self.checkpoint_interval, self.target_rows = checkpoint_interval, target_window_rows
-        self.max_bins = max_bins
+        self.max_bins, self.small_rows, self.max_driver_nodes = max_bins, small_rows, max_driver_nodes
 
     def _binned(self, df: DataFrame, feats: list[str]) -> DataFrame:
         """Optional histogram mode: snap every value to the lower edge of its
@@ -274,15 +478,17 @@ class TreeGrower:
 
     def fit(self, df: DataFrame, features: Sequence[str]) -> TreeModel:
         feats = list(features)
-        m = self.crit.n_stats
-        stat_names = [f"_s{j}" for j in range(m)]
+        stat_names = [f"_s{j}" for j in range(self.crit.n_stats)]
         spark = df.sparkSession
         ensure_checkpoint_dir(spark)
-        data = df.select(*feats, *[c.alias(n) for c, n in zip(self.crit.row_stats(), stat_names)],
-                         F.lit(1).cast("bigint").alias("_node"))
+        small = self.small_rows or max(1000, min(200_000, SMALL_CELLS // max(1, len(feats) * self.crit.n_stats)))
+        data = df.select(*[F.col(c).cast("double").alias(c) for c in feats],
+                         *[c.cast("double").alias(n) for c, n in zip(self.crit.row_stats(), stat_names)],
+                         F.lit("1").alias("_node"))
         if self.max_bins:
             data = self._binned(data, feats)
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        self._distinct: int | None = None  # of the feature with the most values, about
         model = TreeModel(feats)
         stale: list[DataFrame] = []
         try:
@@ -291,130 +497,162 @@ class TreeGrower:
             root = data.agg(*[F.sum(s).alias(s) for s in stat_names],
                             count_invalid(feats + stat_names)).first()
             raise_if_invalid(root["_invalid"])
-            if root is None or root[stat_names[0]] is None:
+            if root[stat_names[0]] is None:
                 raise ValueError("cannot grow a tree on an empty table")
-            totals = {1: np.array([root[s] for s in stat_names], dtype=float)}
-            for depth in range(self.max_depth + 1):
-                lo, hi = 2 ** depth, 2 ** (depth + 1)
-                last = depth == self.max_depth
-                counts = {i: self._count(t) for i, t in totals.items()}
-                eligible = [i for i in totals if not last and counts[i] >= self.min_split]
-                best = {}
-                if eligible:
-                    level = data.filter((F.col("_node") >= lo) & (F.col("_node") < hi)
-                                        & F.col("_node").isin(eligible))
-                    long = level.select("_node", F.inline(F.array(*[
-                        F.struct(F.lit(k).alias("_f"), F.col(c).cast("double").alias("_v"))
-                        for k, c in enumerate(feats)])), *stat_names)
-                    stats = long.groupBy("_node", "_f", "_v").agg(*[F.sum(s).alias(s) for s in stat_names])
-                    # distinct values per (node, feature) are bounded by the node's row count
-                    bound = int(max(counts[i] for i in eligible))
-                    best = self._best_splits(stats, stat_names, totals, eligible, bound)
+            frontier = {1: np.array([root[s] for s in stat_names], dtype=float)}
+            unfinished: list[int] = []  # small nodes, at any depth
+            level = 0
+            while frontier:
+                large = {}
+                for i, t in frontier.items():
+                    n = float(self.crit.count(t))
+                    if level >= self.max_depth or n < self.min_split:
+                        model.nodes[i] = {"value": self.crit.leaf(t)}
+                    elif n <= small:
+                        unfinished.append(i)
+                    else:
+                        large[i] = t
+                best = self._level(data, feats, stat_names, large) if large else {}
                 for old in stale:
                     old.unpersist()
-                stale = []
-                splits, children = {}, {}
-                for i, t in totals.items():
+                stale, splits, frontier = [], {}, {}
+                for i, t in large.items():
                     b = best.get(i)
                     if b is not None and b[2] > self.min_impurity:
                         model.nodes[i] = {"feature": b[0], "cutoff": b[1]}
                         splits[i] = b
-                        children[2 * i] = b[3]
-                        children[2 * i + 1] = t - b[3]
+                        frontier[2 * i], frontier[2 * i + 1] = b[3], t - b[3]
                     else:
                         model.nodes[i] = {"value": self.crit.leaf(t)}
-                if not splits:
-                    break
-                if len(splits) > MAX_BROADCAST_NODES:
-                    raise ValueError("too many nodes in one level to route by broadcast")
-                totals = children
-                split_df = spark.createDataFrame(
-                    [(int(i), int(b[0]), float(b[1])) for i, b in splits.items()],
-                    "_node bigint, _sf int, _sc double")
-                arr = F.array(*[F.col(c).cast("double") for c in feats])
-                moved = (data.join(F.broadcast(split_df), "_node", "left")
-                         .withColumn("_node", F.when(
-                             F.col("_sf").isNull(), F.col("_node")).otherwise(
-                             F.col("_node") * 2 + F.when(F.element_at(arr, F.col("_sf") + 1) >= F.col("_sc"),
-                                                         F.lit(0)).otherwise(F.lit(1))))
-                         .drop("_sf", "_sc"))
-                if depth + 1 >= self.max_depth:
-                    # children at the last level are leaves: their totals are known already
-                    stale.append(data)
-                    data = moved
-                    continue
-                if self.checkpoint_interval and (depth + 1) % self.checkpoint_interval == 0:
+                level += 1
+                if not splits or level >= self.max_depth:
+                    continue  # children at the last level are leaves: their totals are known
+                _few(splits)
+                table = spark.createDataFrame([(str(i), int(b[0]), float(b[1]), str(2 * i), str(2 * i + 1))
+                                               for i, b in splits.items()],
+                                              "_node string, _sf int, _sc double, _l string, _r string")
+                arr = F.array(*[F.col(c) for c in feats])
+                side = F.when(F.element_at(arr, F.col("_sf") + 1) >= F.col("_sc"), F.col("_l")).otherwise(F.col("_r"))
+                moved = data.join(F.broadcast(table), "_node", "left").select(
+                    *feats, *stat_names, F.coalesce(side, F.col("_node")).alias("_node"))
+                if self.checkpoint_interval and level % self.checkpoint_interval == 0:
                     moved = moved.checkpoint(eager=True)
                 else:
-                    # materialised by the next level's job; the old copy is released
-                    # only after that, so nothing is recomputed
+                    # materialised by the next job; the old copy is released only after
+                    # that, so nothing is recomputed
                     moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
                 stale.append(data)
                 data = moved
+            if unfinished:
+                self._finish(model, data, feats, stat_names, unfinished)
         finally:
             for old in stale:
                 old.unpersist()
             data.unpersist()
         return model
 
-    def _count(self, t: np.ndarray) -> float:
-        if isinstance(self.crit, Entropy):
-            return float(t.sum())
-        if isinstance(self.crit, VarianceReduction):
-            return float(t[0])
-        return float(t[-1])
-
-    def _best_splits(self, stats: DataFrame, stat_names, totals, eligible, bound: int) -> dict:
-        spark = stats.sparkSession
-        cand = stats.filter(F.col("_node").isin(eligible))
-        two_level = bound > self.target_rows
-        if two_level:
-            # the ranged path reads the statistics three times (bounds, windows, range totals)
-            cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return self._search(cand, stat_names, totals, eligible, bound)
-        finally:
-            if two_level:
-                cand.unpersist()
-
-    def _search(self, cand: DataFrame, stat_names, totals, eligible, bound: int) -> dict:
-        spark = cand.sparkSession
-        left = suffix_sums(cand, ["_node", "_f"], "_v", stat_names, prefix="_l",
-                           target_rows=self.target_rows,
-                           max_group_rows=bound if bound <= self.target_rows else None)
-        tot_df = spark.createDataFrame(
-            [(int(i), *map(float, totals[i])) for i in eligible],
-            "_node bigint, " + ", ".join(f"_t{s} double" for s in stat_names))
-        if len(eligible) > MAX_BROADCAST_NODES:
-            raise ValueError("too many nodes in one level to broadcast their totals")
-        j = left.join(F.broadcast(tot_df), "_node")
+    # ------------------------------------------------------------ small nodes
+    def _finish(self, model: TreeModel, data: DataFrame, feats: list[str], stat_names: list[str],
+                unfinished: list[int]) -> None:
+        """Grow every small node to its end inside one task of a grouped job."""
+        crit, min_split, min_impurity, max_depth = self.crit, self.min_split, self.min_impurity, self.max_depth
+        if unfinished != [1]:
+            _few(unfinished)
+            table = data.sparkSession.createDataFrame([(str(i),) for i in unfinished], "_node string")
+            data = data.join(F.broadcast(table), "_node", "left_semi")
+
+        def grow(rows: pa.Table) -> pa.Table:
+            top = int(rows.column("_node")[0].as_py())
+            x = np.column_stack([rows.column(c).to_numpy() for c in feats])
+            s = np.column_stack([rows.column(c).to_numpy() for c in stat_names])
+            feature, cutoff, left, right, totals = grow_small(
+                x, s, crit, max_depth - (top.bit_length() - 1), min_split, min_impurity)
+            ids = [top] * len(feature)
+            for q in range(len(feature)):  # parents come before their children
+                if left[q] != q:
+                    ids[left[q]], ids[right[q]] = 2 * ids[q], 2 * ids[q] + 1
+            return pa.table({
+                "_node": [str(top)], "feature": pa.array([feature], pa.list_(pa.int32())),
+                "cutoff": pa.array([cutoff], pa.list_(pa.float64())), "left": pa.array([left], pa.list_(pa.int32())),
+                "right": pa.array([right], pa.list_(pa.int32())),
+                "totals": pa.array([[t.tolist() for t in totals]], pa.list_(pa.list_(pa.float64()))),
+                "id": pa.array([[str(i) for i in ids]], pa.list_(pa.string()))})
+
+        grown = data.groupBy("_node").applyInArrow(
+            grow, "_node string, feature array<int>, cutoff array<double>, left array<int>, right array<int>, "
+                  "totals array<array<double>>, id array<string>").checkpoint()
+        if (grown.agg(F.sum(F.size("feature")).alias("n")).first()["n"] or 0) > self.max_driver_nodes:
+            self._keep_table(model, grown, unfinished)
+            return
+        for r in grown.collect():
+            for q, i in enumerate(map(int, r["id"])):
+                model.nodes[i] = ({"feature": r["feature"][q], "cutoff": r["cutoff"][q]} if r["left"][q] != q
+                                  else {"value": crit.leaf(np.array(r["totals"][q]))})
+
+    def _keep_table(self, model: TreeModel, grown: DataFrame, unfinished: list[int]) -> None:
+        crit = self.crit
+        for i in unfinished:
+            model.nodes[i] = {"subtree": True}
+        sample = crit.leaf(np.ones(crit.n_stats))
+        kind = ("array<double>" if isinstance(sample, list) else "string" if isinstance(sample, str)
+                else "bigint" if isinstance(sample, (int, np.integer)) else "double")
+
+        def values(batches):
+            for b in batches:
+                vs = [[crit.leaf(np.array(t)) for t in ts] for ts in b.column("totals").to_pylist()]
+                names = ["_node", "feature", "cutoff", "left", "right", "id"]
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(vs)], [*names, "value"])
+
+        model.subtrees = grown.mapInArrow(
+            values, "_node string, feature array<int>, cutoff array<double>, left array<int>, right array<int>, "
+                    f"id array<string>, value array<{kind}>").checkpoint()
+
+    # ------------------------------------------------------------ large nodes
+    def _level(self, data: DataFrame, feats: list[str], stat_names: list[str], large: dict) -> dict:
+        """node -> (feature, cutoff, gain, left statistics) of its best split."""
+        _few(large)
+        spark = data.sparkSession
+        tot_df = F.broadcast(spark.createDataFrame(
+            [(str(i), *map(float, t)) for i, t in large.items()],
+            "_node string, " + ", ".join(f"_t{s} double" for s in stat_names)))
+        # distinct values per (node, feature): no more than the node's rows or the table's values
+        bound = int(max(float(self.crit.count(t)) for t in large.values()))
+        if bound > self.target_rows:
+            if self._distinct is None:
+                row = data.agg(*[F.approx_count_distinct(F.col(c)) for c in feats]).first()
+                self._distinct = int(1.25 * max(row))
+            bound = min(bound, self._distinct)
+        rows = data.join(tot_df.select("_node"), "_node", "left_semi")
+        long = rows.select("_node", F.inline(F.array(*[
+            F.struct(F.lit(k).alias("_f"), F.col(c).alias("_v")) for k, c in enumerate(feats)])), *stat_names)
+        stats = long.groupBy("_node", "_f", "_v").agg(*[F.sum(s).alias(s) for s in stat_names])
+        left = suffix_sums(stats, ["_node", "_f"], "_v", stat_names, prefix="_l",
+                           target_rows=self.target_rows, max_group_rows=bound)
+        j = left.join(tot_df, "_node")
         t = [_q(f"_t{s}") for s in stat_names]
         lft = [_q(f"_l{s}") for s in stat_names]
         rgt = [f"({tc} - {lc})" for tc, lc in zip(t, lft)]
         gain = F.expr(self.crit.gain(t, lft, rgt))
-        nonempty = F.expr(self._right_nonempty(t, lft))
+        nonempty = F.expr(f"{self.crit.count(t)} - {self.crit.count(lft)} > 0.5D")
         scored = j.filter(nonempty).select("_node", "_f", "_v", F.round(gain, GAIN_DIGITS).alias("_g"),
                                            *[F.col(f"_l{s}") for s in stat_names])
         key = F.struct(F.col("_g"), (-F.col("_f")).alias("nf"), (-F.col("_v")).alias("nv"))
         best = scored.groupBy("_node").agg(F.max_by(F.struct("_f", "_v", "_g", *[f"_l{s}" for s in stat_names]),
                                                     key).alias("b"))
-        return {r["_node"]: (r["b"]["_f"], r["b"]["_v"], r["b"]["_g"],
-                             np.array([r["b"][f"_l{s}"] for s in stat_names], dtype=float))
+        return {int(r["_node"]): (r["b"]["_f"], r["b"]["_v"], r["b"]["_g"],
+                                  np.array([r["b"][f"_l{s}"] for s in stat_names], dtype=float))
                 for r in best.collect()}
 
-    def _right_nonempty(self, t: list[str], lft: list[str]) -> str:
-        if isinstance(self.crit, Entropy):
-            return f"{_sum(t)} - {_sum(lft)} > 0.5D"
-        if isinstance(self.crit, VarianceReduction):
-            return f"{t[0]} - {lft[0]} > 0.5D"
-        # Newton: the last statistic counts rows
-        return f"{t[-1]} - {lft[-1]} > 0.5D"
+
+def _few(nodes) -> None:
+    if len(nodes) > MAX_BROADCAST_NODES:
+        raise ValueError("too many open nodes to broadcast: raise small_rows")
 
 
 class DecisionTreeClassifier:
-    """Exact information-gain tree; leaves hold the majority class."""
+    """Exact information-gain tree of any depth; leaves hold the majority class."""
 
-    def __init__(self, max_depth: int = 10, min_samples_split: int = 2, min_impurity: float = 1e-7,
+    def __init__(self, max_depth: float | None = None, min_samples_split: int = 2, min_impurity: float = 1e-7,
                  **grower_kw):
         self.kw = dict(max_depth=max_depth, min_samples_split=min_samples_split,
                        min_impurity=min_impurity, **grower_kw)
@@ -424,16 +662,23 @@ class DecisionTreeClassifier:
 
         self.classes = dictionary(df, label)
         self.tree = TreeGrower(Entropy(label, self.classes), **self.kw).fit(df, features)
+        self.label_type = df.schema[label].dataType.simpleString()
         return self
 
     def predict_col(self) -> Column:
+        """The class as an expression (small trees); ``transform`` takes any tree."""
         return self.tree.value_col()
 
+    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        whole = self.label_type in ("int", "bigint", "smallint", "tinyint")
+        scored = self.tree.transform(df, out, data_type="bigint" if whole else self.label_type)
+        return scored.withColumn(out, F.col(_q(out)).cast(self.label_type))
+
 
 class DecisionTreeRegressor:
-    """Exact variance-reduction tree; leaves hold the mean target."""
+    """Exact variance-reduction tree of any depth; leaves hold the mean target."""
 
-    def __init__(self, max_depth: int = 10, min_samples_split: int = 2, min_impurity: float = 1e-7,
+    def __init__(self, max_depth: float | None = None, min_samples_split: int = 2, min_impurity: float = 1e-7,
                  **grower_kw):
         self.kw = dict(max_depth=max_depth, min_samples_split=min_samples_split,
                        min_impurity=min_impurity, **grower_kw)
@@ -444,4 +689,8 @@ class DecisionTreeRegressor:
         return self
 
     def predict_col(self, index: int | None = None) -> Column:
+        """The mean as an expression (small trees); ``transform`` takes any tree."""
         return self.tree.value_col(index)
+
+    def transform(self, df: DataFrame, out: str = "prediction", index: int | None = None) -> DataFrame:
+        return self.tree.transform(df, out, index)

@@ -1,8 +1,9 @@
 """G9 classification tree, G10 regression tree, B12 routing, G11/G12 boosting.
 
-The oracle grows the same depth-2 tree in SQL: candidate cutoffs are the
-distinct values, left-side statistics come from a self-join on ``v' >= v``
-(quadratic, fine for the check scale), and the argmax is a window.
+The oracles grow the same trees in SQL: candidate cutoffs are the distinct
+values and the argmax is a window. G9, G10 and B12 are recursive SQL, a level a
+step, until no split is left; the depth-2 trees of boosting are unrolled, with
+left-side statistics from a self-join on ``v' >= v``.
 """
 
 from __future__ import annotations
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 
 from ...sources.tables import embedding_view, read_table
 from ..boosting import GradientBoostingClassifier
-from ..common import rnd, sql_emb, sql_rnd, xs
+from ..common import WIDE, rnd, sql_emb, sql_rnd, xs
 from ..registry import query
 from ..trees import DecisionTreeClassifier, DecisionTreeRegressor
+from .aggregates import wide_features
 
 DEPTH = 2
 MIN_SPLIT = 2
@@ -78,40 +80,69 @@ def _entropy_sql(k: int):
 CLASS_ROWS = "cls AS (SELECT DISTINCT label FROM embeddings)"
 
 
+def full_tree_sql(rows: str, feats: list[str], m: int, gain, count_expr, max_depth: int = 0) -> list[str]:
+    """CTEs growing a tree (0: without a depth limit) over ``rows(rid, feats.., s0..)``: one step of
+    the recursion is one level; rows of a node without an acceptable split drop out. The last
+    CTE is leaves(rid, path), the path in the letters L (``>=``) and R."""
+    s_sum = ", ".join(f"sum(r.s{j}) AS s{j}" for j in range(m))
+    cum = ", ".join(f"sum(s{j}) OVER (PARTITION BY path, f ORDER BY v DESC) AS l{j}" for j in range(m))
+    tot = ", ".join(f"sum(s{j}) OVER (PARTITION BY path, f) AS t{j}" for j in range(m))
+    t, l = [f"t{j}" for j in range(m)], [f"l{j}" for j in range(m)]
+    r = [f"({x} - {y})" for x, y in zip(t, l)]
+    return [
+        f"long AS (SELECT rid, unnest(range({len(feats)})) AS f, unnest([{', '.join(feats)}])::DOUBLE AS v FROM {rows})",
+        f"""lvl AS (
+        SELECT rid, ''::VARCHAR AS path FROM {rows}
+        UNION ALL
+        SELECT c.rid, c.path || CASE WHEN x.v >= b.v THEN 'L' ELSE 'R' END
+        FROM lvl c JOIN (
+            SELECT path, f, v FROM (
+                SELECT path, f, v, g, row_number() OVER (PARTITION BY path ORDER BY g DESC, f, v) AS rn FROM (
+                    SELECT path, f, v, round({gain(t, l, r)}, 12) AS g FROM (
+                        SELECT path, f, v, {cum}, {tot} FROM (
+                            SELECT k.path, x.f, x.v, {s_sum} FROM lvl k JOIN {rows} r USING (rid) JOIN long x USING (rid){f' WHERE length(k.path) < {max_depth}' if max_depth else ''}
+                            GROUP BY k.path, x.f, x.v))
+                    WHERE {count_expr(r)} > 0.5 AND {count_expr(t)} >= {MIN_SPLIT}))
+            WHERE rn = 1 AND g > {MIN_IMPURITY}) b ON b.path = c.path
+        JOIN long x ON x.rid = c.rid AND x.f = b.f)""",
+        "leaves AS (SELECT rid, arg_max(path, length(path)) AS path FROM lvl GROUP BY rid)"]
+
+
 def _classifier_sql(tail: str) -> str:
     k = 10
-    feats = xs(4)
+    feats = xs(WIDE)
     # class indicator statistics in label order; the class list is read from the table
     rows = (f"rows AS (SELECT vec_id AS rid, {', '.join(feats)}, label, "
             + ", ".join(f"(label = (SELECT label FROM (SELECT label, row_number() OVER (ORDER BY label) - 1 AS i "
                         f"FROM cls) WHERE i = {j}))::DOUBLE AS s{j}" for j in range(k)) + " FROM emb)")
     gain, count = _entropy_sql(k)
-    ctes = [sql_emb(4), CLASS_ROWS, rows] + tree_sql("rows", feats, [f"s{j}" for j in range(k)], gain, count)
-    ctes.append(f"""leaf AS (SELECT node, label AS value FROM (
-        SELECT n.node, r.label, count(*) AS c, row_number() OVER (PARTITION BY n.node ORDER BY count(*) DESC, r.label) AS rn
-        FROM nd{DEPTH} n JOIN rows r USING (rid) GROUP BY n.node, r.label) WHERE rn = 1)""")
-    return "WITH " + ",\n".join(ctes) + "\n" + tail
+    ctes = [sql_emb(WIDE), CLASS_ROWS, rows] + full_tree_sql("rows", feats, k, gain, count)
+    ctes.append("""leaf AS (SELECT path, label AS value FROM (
+        SELECT n.path, r.label, row_number() OVER (PARTITION BY n.path ORDER BY count(*) DESC, r.label) AS rn
+        FROM leaves n JOIN rows r USING (rid) GROUP BY n.path, r.label) WHERE rn = 1)""")
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + tail
 
 
 def _classifier(spark, sf_dir):
-    df = embedding_view(spark, sf_dir, 4)
-    return df, DecisionTreeClassifier(max_depth=DEPTH, min_samples_split=MIN_SPLIT,
-                                      min_impurity=MIN_IMPURITY).fit(df, xs(4), "label")
+    df, feats = wide_features(spark, sf_dir)
+    return df, DecisionTreeClassifier(min_samples_split=MIN_SPLIT, min_impurity=MIN_IMPURITY).fit(df, feats, "label")
 
 
-@query("g9_decision_tree", _classifier_sql(f"""
-    SELECT r.rid AS vec_id, r.label, l.value AS prediction FROM rows r JOIN nd{DEPTH} n USING (rid)
-    JOIN leaf l USING (node)"""))
+@query("g9_decision_tree", _classifier_sql("""
+    SELECT r.rid AS vec_id, r.label, l.value AS prediction FROM rows r JOIN leaves n USING (rid)
+    JOIN leaf l USING (path)"""))
 def g9_decision_tree(spark, sf_dir):
+    """Whole vectors, grown until no split is left."""
     df, model = _classifier(spark, sf_dir)
-    return df.select("vec_id", "label", model.predict_col().cast("int").alias("prediction"))
+    return model.transform(df).select("vec_id", "label", "prediction")
 
 
-@query("b12_route_tree", _classifier_sql(f"""
-    SELECT rid AS vec_id, node AS leaf FROM nd{DEPTH}"""))
+@query("b12_route_tree", _classifier_sql("""
+    SELECT rid AS vec_id, path AS leaf FROM leaves"""))
 def b12_route_tree(spark, sf_dir):
+    """Every row's path through the tree of ``g9_decision_tree``."""
     df, model = _classifier(spark, sf_dir)
-    return df.select("vec_id", model.tree.leaf_id_col().cast("bigint").alias("leaf"))
+    return model.tree.route(df, path=True).select("vec_id", "leaf")
 
 
 def _variance_sql():
@@ -124,27 +155,59 @@ def _variance_sql():
     return gain, count
 
 
+#: Means of whole cents lie exactly between two roundings now and then; both engines step past.
+HALF = 1e-8
+
+
 def _regressor_sql(tail: str) -> str:
-    feats = ["x1", "x2"]
+    feats = ["x1", "x2", "x3"]
     rows = ("rows AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS rid, l_orderkey, "
-            "l_linenumber, l_quantity AS x1, l_discount AS x2, l_extendedprice AS y, 1.0::DOUBLE AS s0, "
+            "l_linenumber, l_quantity AS x1, l_discount AS x2, l_tax AS x3, l_extendedprice AS y, 1.0::DOUBLE AS s0, "
             "l_extendedprice AS s1 FROM lineitem)")
     gain, count = _variance_sql()
-    ctes = [rows] + tree_sql("rows", feats, ["s0", "s1"], gain, count)
-    ctes.append(f"leaf AS (SELECT n.node, avg(r.y) AS value FROM nd{DEPTH} n JOIN rows r USING (rid) GROUP BY n.node)")
-    return "WITH " + ",\n".join(ctes) + "\n" + tail
+    ctes = [rows] + full_tree_sql("rows", feats, 2, gain, count)
+    ctes.append("leaf AS (SELECT n.path, avg(r.y) AS value FROM leaves n JOIN rows r USING (rid) GROUP BY n.path)")
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + tail
 
 
 @query("g10_regression_tree", _regressor_sql(f"""
-    SELECT r.l_orderkey, r.l_linenumber, {sql_rnd('l.value', 4)} AS prediction
-    FROM rows r JOIN nd{DEPTH} n USING (rid) JOIN leaf l USING (node)"""))
+    SELECT r.l_orderkey, r.l_linenumber, {sql_rnd(f'l.value + {HALF}')} AS prediction
+    FROM rows r JOIN leaves n USING (rid) JOIN leaf l USING (path)"""))
 def g10_regression_tree(spark, sf_dir):
+    """Quantity, discount and tax, grown until no split is left."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_quantity").alias("x1"), F.col("l_discount").alias("x2"),
-        F.col("l_extendedprice").alias("y"))
-    model = DecisionTreeRegressor(max_depth=DEPTH, min_samples_split=MIN_SPLIT,
-                                  min_impurity=MIN_IMPURITY).fit(li, ["x1", "x2"], "y")
-    return li.select("l_orderkey", "l_linenumber", rnd(model.predict_col(), 4).alias("prediction"))
+        F.col("l_tax").alias("x3"), F.col("l_extendedprice").alias("y"))
+    model = DecisionTreeRegressor(min_samples_split=MIN_SPLIT, min_impurity=MIN_IMPURITY).fit(li, ["x1", "x2", "x3"], "y")
+    return model.transform(li).select("l_orderkey", "l_linenumber", rnd(F.col("prediction") + HALF).alias("prediction"))
+
+
+#: Nodes beyond SEARCH_SMALL rows are searched by jobs, those with more values than SEARCH_RANGE by ranged prefix sums.
+SEARCH_DEPTH, SEARCH_SMALL, SEARCH_RANGE = 3, 500, 1_000
+
+
+def _search_sql() -> str:
+    feats = ["x1", "x2"]
+    rows = ("rows AS (SELECT o_orderkey AS rid, o_custkey::DOUBLE AS x1, epoch(o_orderdate) / 86400 AS x2, o_totalprice AS y, "
+            "1.0::DOUBLE AS s0, o_totalprice AS s1 FROM orders)")
+    gain, count = _variance_sql()
+    ctes = [rows] + full_tree_sql("rows", feats, 2, gain, count, SEARCH_DEPTH)
+    ctes.append("leaf AS (SELECT n.path, avg(r.y) AS value FROM leaves n JOIN rows r USING (rid) GROUP BY n.path)")
+    return "WITH RECURSIVE " + ",\n".join(ctes) + f"""
+    SELECT n.rid AS o_orderkey, n.path AS leaf, {sql_rnd('l.value', 4)} AS prediction FROM leaves n JOIN leaf l USING (path)"""
+
+
+@query("g10_ranged_split_search", _search_sql())
+def g10_ranged_split_search(spark, sf_dir):
+    """Total price by customer and day: features of many values, whose split search is one
+    range-partitioned sort by (node, feature, value) a level."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("double").alias("x1"),
+        (F.unix_timestamp("o_orderdate") / 86400).alias("x2"), F.col("o_totalprice").alias("y"))
+    model = DecisionTreeRegressor(max_depth=SEARCH_DEPTH, min_samples_split=MIN_SPLIT, min_impurity=MIN_IMPURITY,
+                                  small_rows=SEARCH_SMALL, target_window_rows=SEARCH_RANGE).fit(orders, ["x1", "x2"], "y")
+    routed = model.tree.route(orders.select("o_orderkey", "x1", "x2"), path=True)
+    return model.transform(routed).select("o_orderkey", "leaf", rnd("prediction", 4).alias("prediction"))
 
 
 # ------------------------------------------------------------------ G11 / G12

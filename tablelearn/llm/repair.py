@@ -86,9 +86,12 @@ def unmark(letter: str) -> tuple[int, int]:
     return divmod(ord(letter) - 65, len(KINDS))
 
 
-def search(marks: str, state: int = START, exit: int | None = None) -> str | None:
+def search(marks: str, state: int = START, exit: int | None = None,
+           needs: dict[tuple[int, int], int] | None = None) -> str | None:
     """The cheapest edits from ``state`` over all rows, the first in ASCII order of several:
-    to a finished conversation, or to the role ``exit`` right behind the last row read."""
+    to a finished conversation, or to the role ``exit`` right behind the last row read.
+    ``needs`` holds failed nodes with the cost to go known so far; searches of the same rows
+    and goal may share it."""
     rows, n = [unmark(m) for m in marks], len(marks)
     if exit is not None and not (exit >= USER or exit == state or exit == SYSTEM and state == START and any(
             fault < DUPLICATE and initial == 0 for fault, initial in rows)):
@@ -97,7 +100,7 @@ def search(marks: str, state: int = START, exit: int | None = None) -> str | Non
     for i in range(n - 1, -1, -1):
         fault, initial = rows[i]
         forced[i] = forced[i + 1] + (3 if fault >= DUPLICATE else fault + (2 if initial == OTHER else 0))
-    needs: dict[tuple[int, int], int] = {}  # failed nodes: the least cost to go, as far as known
+    needs = {} if needs is None else needs
     path: list[str] = []
 
     def walk(i: int, at: int, left: int) -> int:
@@ -246,12 +249,15 @@ def _search_chunks(marked: DataFrame, conv_type: str) -> DataFrame:
                     letters[i] = letter(max(fault, DUPLICATE), initial)
                 marks = "".join(letters)
                 all_marks.append(marks)
-                paths.append([search(marks, a, z) for a in range(4) for z in range(4)])
+                known: list[dict] = [{} for _ in range(4)]
+                paths.append([search(marks, a, z, known[z]) for a in range(4) for z in range(4)])
             yield pa.RecordBatch.from_arrays(
                 [b.column("conv_id"), b.column("part"), b.column("chunk"), pa.array(all_marks, pa.string()),
                  pa.array(paths, pa.list_(pa.string()))], ["conv_id", "part", "chunk", "marks", "paths"])
 
-    return marked.select("conv_id", "part", "chunk", "marks", "again").mapInArrow(
+    # few bytes and much work a row: not for the optimiser to put together into one task
+    tasks = int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return marked.select("conv_id", "part", "chunk", "marks", "again").repartition(tasks, "part", "chunk").mapInArrow(
         run, f"conv_id {conv_type}, part bigint, chunk bigint, marks string, paths array<string>")
 
 

@@ -37,12 +37,16 @@ def logistic_loss_col(y: str | Column, z: str | Column) -> Column:
     return F.log1p(F.exp(-F.abs(z))) + F.greatest(z, F.lit(0.0)) - _c(y) * z
 
 
+def logistic_terms(y: str | Column, z: str | Column) -> tuple[Column, Column, Column]:
+    """F2 per row: loss, gradient p - y and hessian p(1 - p) on a logit."""
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-_c(z)))
+    return logistic_loss_col(y, z), p - _c(y), p * (F.lit(1.0) - p)
+
+
 def logistic_loss(df: DataFrame, y: str, z: str) -> DataFrame:
     """mean loss, gradient (p - y) and hessian p(1 - p) over logits."""
-    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-_c(z)))
-    return df.agg(F.avg(logistic_loss_col(y, z)).alias("loss"),
-                  F.avg(p - _c(y)).alias("gradient"),
-                  F.avg(p * (F.lit(1.0) - p)).alias("hessian"))
+    loss, gradient, hessian = logistic_terms(y, z)
+    return df.agg(F.avg(loss).alias("loss"), F.avg(gradient).alias("gradient"), F.avg(hessian).alias("hessian"))
 
 
 def hinge_objective(df: DataFrame, y: str, score: str, weights: Sequence[float],
@@ -64,10 +68,21 @@ def accuracy(df: DataFrame, y: str, prediction: str, digits: int | None = None)
 
 
 def penalized_objective(df: DataFrame, y: str, yhat: str, weights: Sequence[float],
-                        l1: float = 0.0, l2: float = 0.0) -> DataFrame:
-    """½·MSE + l1·‖w‖₁ + l2·½‖w‖² for a fitted coefficient vector."""
+                        l1: float = 0.0, l2: float = 0.0, norm: float = 0.0) -> DataFrame:
+    """half the MSE + l1 x L1 norm + l2 x half the squared L2 norm + norm x the L2 norm
+    itself, for a fitted coefficient vector."""
+    return penalized_objectives(df, y, yhat, weights, {"": (l1, l2, norm)}).drop("penalty_kind")
+
+
+def penalized_objectives(df: DataFrame, y: str, yhat: str, weights: Sequence[float],
+                         penalties: dict[str, tuple[float, float, float]]) -> DataFrame:
+    """F6 for several named penalties (l1, l2, norm) in one pass: penalty_kind, mse, penalty,
+    objective."""
     w = np.asarray(weights, dtype=float)
-    pen = l1 * float(np.abs(w).sum()) + l2 * 0.5 * float(w @ w)
+    values = {k: l1 * float(np.abs(w).sum()) + l2 * 0.5 * float(w @ w) + norm * float(np.sqrt(w @ w))
+              for k, (l1, l2, norm) in penalties.items()}
     err = _c(y) - _c(yhat)
-    return df.agg(F.avg(err * err).alias("mse")).select(
-        "mse", F.lit(pen).alias("penalty"), (F.lit(0.5) * F.col("mse") + F.lit(pen)).alias("objective"))
+    rows = F.inline(F.array(*[F.struct(F.lit(k).alias("penalty_kind"), F.lit(v).alias("penalty"))
+                              for k, v in values.items()]))
+    out = df.agg(F.avg(err * err).alias("mse")).select("mse", rows)
+    return out.select("penalty_kind", "mse", "penalty", (F.lit(0.5) * F.col("mse") + F.col("penalty")).alias("objective"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 
 from ...operators import metrics
-from ...sources.tables import document_xy, embedding_view, lineitem_xy
+from ...sources.tables import LANGS, document_xy, embedding_view, lineitem_xy
 from ..common import WIDE, rnd, sql_emb, sql_rnd, xs
 from ..decompose import PCA
 from ..linear import ElasticNet, Lasso, LinearRegression, LogisticRegression, Ridge
@@ -72,41 +72,97 @@ def g2_ridge(spark, sf_dir):
     return coef_frame(spark, model.coef_)
 
 
-GD = dict(learning_rate=0.1, max_iter=20, tol=0.0)
+ALPHAS = (0.1, 0.01, 0.002, 0.0005)
+EN_RATIO = 3.0
 
 
-def _gd_ctes(alpha: float, l2: float, l1: float, steps: int, lr: float) -> str:
-    """Unrolled gradient descent on the (standardised) moments, intercept unpenalised."""
-    ctes = ["w0 AS (SELECT 0.0::DOUBLE AS b, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, 0.0::DOUBLE AS w3)"]
-    for t in range(steps):
-        moved = ", ".join(
-            f"w{i} - {lr} * (a{i} * b + " + " + ".join(f"g{min(i, j)}{max(i, j)} * w{j}" for j in _K)
-            + f" - v{i} + {alpha} * ({l2} * w{i} + {l1} * sign(w{i}))) AS w{i}" for i in _K)
-        ctes.append(f"""w{t + 1} AS (SELECT
-          b - {lr} * (b + a1 * w1 + a2 * w2 + a3 * w3 - ay) AS b, {moved} FROM w{t}, mom)""")
+def _cd_ctes(l2: float, l1: float) -> str:
+    """Cyclic coordinate descent with soft thresholding on the centred moments, one sweep a step
+    of the recursion, until a sweep changes nothing: paths(alpha, w0, w1, w2, w3)."""
+    def c(i: int, j: int) -> str:
+        return f"c{min(i, j)}{max(i, j)}"
+
+    def update(i: int, now: dict) -> str:
+        rest = " ".join(f"- {c(i, j)} * ({now[j]})" for j in _K if j != i)
+        corr = f"(c{i}y {rest})"
+        return (f"sign({corr}) * greatest(abs({corr}) - alpha * {l1}, 0) / ({c(i, i)} + alpha * {l2})")
+
     return f"""
-    WITH {LI_SQL}, {', '.join(ctes)}"""
+    WITH RECURSIVE {LI_SQL},
+    cd AS (
+        SELECT unnest([{', '.join(map(str, ALPHAS))}])::DOUBLE AS alpha, 0 AS step, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2,
+               0.0::DOUBLE AS w3, 1.0::DOUBLE AS moved
+        UNION ALL
+        SELECT alpha, step + 1, n1, n2, n3, abs(n1 - w1) + abs(n2 - w2) + abs(n3 - w3) FROM (
+            SELECT *, {update(3, {1: 'n1', 2: 'n2'})} AS n3 FROM (
+                SELECT *, {update(2, {1: 'n1', 3: 'w3'})} AS n2 FROM (
+                    SELECT *, {update(1, {2: 'w2', 3: 'w3'})} AS n1 FROM cd CROSS JOIN mom WHERE moved > 1e-15 AND step < 1000))))
+    ,
+    paths AS (SELECT alpha, ay - a1 * w1 - a2 * w2 - a3 * w3 AS w0, w1, w2, w3 FROM (
+        SELECT *, row_number() OVER (PARTITION BY alpha ORDER BY step DESC) AS rn FROM cd) CROSS JOIN mom WHERE rn = 1)"""
+
+
+def _path_sql(l2: float, l1: float) -> str:
+    return _cd_ctes(l2, l1) + " UNION ALL ".join(
+        f" SELECT alpha, {k}::BIGINT AS term, {sql_rnd(f'w{k}')} AS coef, {'false' if k == 0 else f'w{k} = 0'} AS zero FROM paths"
+        for k in range(4))
+
+
+def _path_frame(spark, sf_dir, model):
+    """Coefficients along ALPHAS, all from one pass over the table."""
+    model = model.fit(li_z(spark, sf_dir), LI_FEATURES, "y")
+    rows = [(a, k, float(c), bool(k and c == 0)) for a in ALPHAS for k, c in enumerate(model.refit(a).coef_)]
+    return spark.createDataFrame(rows, "alpha double, term bigint, coef double, zero boolean").select(
+        "alpha", "term", rnd("coef").alias("coef"), "zero")
+
+
+@query("g3_lasso", _path_sql(0.0, 1.0))
+def g3_lasso(spark, sf_dir):
+    return _path_frame(spark, sf_dir, Lasso(alpha=ALPHAS[0]))
 
 
-def _gd_sql(alpha: float, l2: float, l1: float, steps: int, lr: float) -> str:
-    return f"{_gd_ctes(alpha, l2, l1, steps, lr)} {_terms_sql(['b', 'w1', 'w2', 'w3'], f'w{steps}')}"
+@query("g4_elastic_net", _path_sql(0.75, 0.25))
+def g4_elastic_net(spark, sf_dir):
+    return _path_frame(spark, sf_dir, ElasticNet(alpha=ALPHAS[0], ratio=EN_RATIO))
 
 
-@query("g3_lasso", _gd_sql(0.1, 0.0, 1.0, GD["max_iter"], GD["learning_rate"]))
-def g3_lasso(spark, sf_dir):
-    model = Lasso(alpha=0.1, **GD).fit(li_z(spark, sf_dir), LI_FEATURES, "y")
+@query("g2_ridge_gd", _closed_form_sql(0.1))
+def g2_ridge_gd(spark, sf_dir):
+    """Gradient descent to its fixed point, the closed form's solution."""
+    model = Ridge(alpha=0.1, closed_form=False, learning_rate=0.5, tol=1e-13).fit(li_z(spark, sf_dir), LI_FEATURES, "y")
     return coef_frame(spark, model.coef_)
 
 
-@query("g4_elastic_net", _gd_sql(0.1, 0.75, 0.25, GD["max_iter"], GD["learning_rate"]))
-def g4_elastic_net(spark, sf_dir):
-    model = ElasticNet(alpha=0.1, ratio=3.0, **GD).fit(li_z(spark, sf_dir), LI_FEATURES, "y")
-    return coef_frame(spark, model.coef_)
+NORM_ALPHA = 0.001
 
 
-@query("g2_ridge_gd", _gd_sql(0.1, 1.0, 0.0, GD["max_iter"], GD["learning_rate"]))
-def g2_ridge_gd(spark, sf_dir):
-    model = Ridge(alpha=0.1, closed_form=False, **GD).fit(li_z(spark, sf_dir), LI_FEATURES, "y")
+def _norm_sql() -> str:
+    """w = (C + alpha/|w|)^-1 c by fixed-point steps on the norm, Cramer's rule a step."""
+    def det(col: int) -> str:
+        m = [[f"(c{min(i, j)}{max(i, j)}{' + shift' if i == j else ''})" if j != col else f"c{i}y" for j in _K] for i in _K]
+        return " + ".join(f"{m[0][k]} * ({m[1][(k + 1) % 3]} * {m[2][(k + 2) % 3]}"
+                          f" - {m[1][(k + 2) % 3]} * {m[2][(k + 1) % 3]})" for k in range(3))
+
+    return f"""
+    WITH RECURSIVE {LI_SQL},
+    fp AS (
+        SELECT 0 AS step, sqrt(c1y * c1y + c2y * c2y + c3y * c3y) AS t, 1.0::DOUBLE AS moved FROM mom
+        UNION ALL
+        SELECT step + 1, new, abs(new - t) FROM (
+            SELECT step, t, sqrt(w1 * w1 + w2 * w2 + w3 * w3) AS new FROM (
+                SELECT step, t, {', '.join(f'({det(i)}) / ({det(0)}) AS w{i}' for i in _K)} FROM (
+                    SELECT *, {NORM_ALPHA} / t AS shift FROM fp CROSS JOIN mom WHERE moved > 1e-16 AND t > 1e-300 AND step < 5000)))),
+    sol AS (SELECT {', '.join(f'CASE WHEN big THEN ({det(i)}) / ({det(0)}) ELSE 0 END AS w{i}' for i in _K)}, a1, a2, a3, ay FROM (
+        SELECT mom.*, {NORM_ALPHA} / greatest(t, 1e-300) AS shift, sqrt(c1y * c1y + c2y * c2y + c3y * c3y) > {NORM_ALPHA} AS big
+        FROM (SELECT t FROM fp ORDER BY step DESC LIMIT 1) CROSS JOIN mom)),
+    coef AS (SELECT ay - a1 * w1 - a2 * w2 - a3 * w3 AS w0, w1, w2, w3 FROM sol)
+    {_terms_sql(['w0', 'w1', 'w2', 'w3'], 'coef')}"""
+
+
+@query("g2_ridge_norm", _norm_sql())
+def g2_ridge_norm(spark, sf_dir):
+    """The unsquared norm as penalty."""
+    model = Ridge(alpha=NORM_ALPHA, squared=False).fit(li_z(spark, sf_dir), LI_FEATURES, "y")
     return coef_frame(spark, model.coef_)
 
 
@@ -137,62 +193,96 @@ def f1_f5_regression_metrics(spark, sf_dir):
     return m.select(rnd("mse").alias("mse"), rnd("r2").alias("r2"))
 
 
+OBJECTIVE_ALPHA = 0.002
+#: l1, half squared l2, unsquared l2 parts of each penalty
+PENALTIES = {"l1": (0.1, 0.0, 0.0), "l2": (0.0, 0.0, 0.1), "l2_squared": (0.0, 0.1, 0.0), "elastic_net": (0.025, 0.075, 0.0)}
+
+
 def _objective_sql() -> str:
-    gd = _gd_ctes(0.1, 0.0, 1.0, GD["max_iter"], GD["learning_rate"])
-    last = f"w{GD['max_iter']}"
-    return f"""{gd},
-    res AS (SELECT avg((z.y - (c.b + c.w1 * z.x1 + c.w2 * z.x2 + c.w3 * z.x3)) ^ 2) AS mse FROM z CROSS JOIN {last} c)
-    SELECT {sql_rnd('r.mse')} AS mse, {sql_rnd('0.1 * (abs(c.w1) + abs(c.w2) + abs(c.w3))')} AS penalty,
-           {sql_rnd('0.5 * r.mse + 0.1 * (abs(c.w1) + abs(c.w2) + abs(c.w3))')} AS objective
-    FROM res r CROSS JOIN {last} c"""
+    value = {k: f"{l1} * (abs(w1) + abs(w2) + abs(w3)) + {l2} * 0.5 * (w1 * w1 + w2 * w2 + w3 * w3)"
+                f" + {norm} * sqrt(w1 * w1 + w2 * w2 + w3 * w3)" for k, (l1, l2, norm) in PENALTIES.items()}
+    rows = " UNION ALL ".join(
+        f"SELECT '{k}' AS penalty_kind, {sql_rnd('r.mse')} AS mse, {sql_rnd(v, 9)} AS penalty, {sql_rnd(f'0.5 * r.mse + {v}')} AS objective"
+        f" FROM res r CROSS JOIN lasso" for k, v in value.items())
+    return f"""{_cd_ctes(0.0, 1.0)},
+    lasso AS (SELECT * FROM paths WHERE alpha = {OBJECTIVE_ALPHA}),
+    res AS (SELECT avg((z.y - (c.w0 + c.w1 * z.x1 + c.w2 * z.x2 + c.w3 * z.x3)) ^ 2) AS mse FROM z CROSS JOIN lasso c)
+    {rows}"""
 
 
 @query("f6_penalized_objective", _objective_sql())
 def f6_penalized_objective(spark, sf_dir):
+    """L1, L2 (unsquared and squared) and elastic net of a lasso model, in one pass."""
     df = li_z(spark, sf_dir)
-    model = Lasso(alpha=0.1, **GD).fit(df, LI_FEATURES, "y")
+    model = Lasso(alpha=OBJECTIVE_ALPHA).fit(df, LI_FEATURES, "y")
     scored = df.select("y", model.predict_col().alias("yhat"))
-    return metrics.penalized_objective(scored, "y", "yhat", model.weights, l1=0.1, l2=0.0).select(
-        rnd("mse").alias("mse"), rnd("penalty").alias("penalty"), rnd("objective").alias("objective"))
+    return metrics.penalized_objectives(scored, "y", "yhat", model.weights, PENALTIES).select(
+        "penalty_kind", rnd("mse").alias("mse"), rnd("penalty", 9).alias("penalty"), rnd("objective").alias("objective"))
 
 
 # ------------------------------------------------------------------ G7 / F2
-LOGIT = dict(learning_rate=1e-3, max_iter=5, tol=0.0)
-DOC_SQL = """
-    dj AS (SELECT d.doc_id, d.n_chars::DOUBLE AS x, l.quality AS y
+DOC_FEATURES = [f"x{i + 1}" for i in range(1 + len(LANGS))]
+DOC_SQL = f"""
+    dj AS (SELECT d.doc_id, d.n_chars::DOUBLE AS x, l.quality AS y,
+                  {', '.join(f"coalesce(d.lang = '{c}', false)::INTEGER::DOUBLE AS x{i + 2}" for i, c in enumerate(LANGS))}
            FROM documents d JOIN labels l USING (doc_id)),
     ds AS (SELECT avg(x) AS m, stddev_pop(x) AS s FROM dj),
-    dz AS (SELECT doc_id, (x - m) / s AS x1, y::DOUBLE AS y FROM dj, ds)"""
+    dz AS (SELECT doc_id, (x - m) / s AS x1, {', '.join(DOC_FEATURES[1:])}, y::DOUBLE AS y FROM dj, ds)"""
+NEWTON_STEPS = 12
+
+
+def sql_solve(n: int, rhs: str, table: str, out: str) -> list[str]:
+    """CTEs solving the symmetric system h{i}_{j} w = {rhs}{i} of ``table`` by elimination; the
+    last one is {out}(w0, w1, ...)."""
+    m = {(i, j): f"h{min(i, j)}_{max(i, j)}" for i in range(n) for j in range(n)}
+    cols = ", ".join([f"{m[i, j]} AS e{i}_{j}" for i in range(n) for j in range(n)] + [f"{rhs}{i} AS e{i}_{n}" for i in range(n)])
+    ctes = [f"{out}_0 AS (SELECT {cols} FROM {table})"]
+    for k in range(n):  # positive definite: no pivoting
+        cells = [f"e{i}_{j} - e{i}_{k} / e{k}_{k} * e{k}_{j} AS e{i}_{j}" if i != k else f"e{i}_{j}"
+                 for i in range(n) for j in range(n + 1)]
+        ctes.append(f"{out}_{k + 1} AS (SELECT {', '.join(cells)} FROM {out}_{k})")
+    ctes.append(f"{out} AS (SELECT {', '.join(f'e{i}_{n} / e{i}_{i} AS w{i}' for i in range(n))} FROM {out}_{n})")
+    return ctes
 
 
 def _logit_sql(tail: str) -> str:
-    ctes = ["w0 AS (SELECT 0.0::DOUBLE AS b, 0.0::DOUBLE AS w)"]
-    for t in range(LOGIT["max_iter"]):
-        ctes.append(f"""w{t + 1} AS (SELECT any_value(p.b) + {LOGIT['learning_rate']} * sum(dz.y - 1 / (1 + exp(-(p.b + p.w * dz.x1)))) AS b,
-                    any_value(p.w) + {LOGIT['learning_rate']} * sum((dz.y - 1 / (1 + exp(-(p.b + p.w * dz.x1)))) * dz.x1) AS w
-                    FROM dz CROSS JOIN w{t} p)""")
-    return f"WITH {DOC_SQL}, {', '.join(ctes)}, fin AS (SELECT * FROM w{LOGIT['max_iter']}) {tail}"
+    """Newton's method, unrolled well past convergence."""
+    p = len(DOC_FEATURES) + 1
+    x = ["1"] + [f"dz.{c}" for c in DOC_FEATURES]
+    ctes = ["v0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS w{i}" for i in range(p)) + ")"]
+    for t in range(NEWTON_STEPS):
+        z = " + ".join(f"v.w{i} * {x[i]}" for i in range(p))
+        ctes.append(f"p{t} AS (SELECT dz.*, 1 / (1 + exp(-({z}))) AS p FROM dz CROSS JOIN v{t} v)")
+        xs_ = ["1"] + DOC_FEATURES
+        sums = [f"sum((y - p) * {xs_[i]}) AS g{i}" for i in range(p)]
+        sums += [f"sum(p * (1 - p) * {xs_[i]} * {xs_[j]}) AS h{i}_{j}" for i in range(p) for j in range(i, p)]
+        ctes.append(f"m{t} AS (SELECT {', '.join(sums)} FROM p{t})")
+        ctes += sql_solve(p, "g", f"m{t}", f"d{t}")
+        ctes.append(f"v{t + 1} AS (SELECT {', '.join(f'v.w{i} + d.w{i} AS w{i}' for i in range(p))} FROM v{t} v CROSS JOIN d{t} d)")
+    z = " + ".join(f"v.w{i} * {x[i]}" for i in range(p))
+    ctes.append(f"sc AS (SELECT dz.doc_id, dz.y, {z} AS z FROM dz CROSS JOIN v{NEWTON_STEPS} v)")
+    return f"WITH {DOC_SQL}, {', '.join(ctes)} {tail}"
 
 
 def _logit_fit(spark, sf_dir):
     df = document_xy(spark, sf_dir, "quality")
-    return df, LogisticRegression(**LOGIT).fit(df, ["x1"], "y")
+    return df, LogisticRegression().fit(df, DOC_FEATURES, "y")
 
 
 @query("g7_logistic_regression", _logit_sql(f"""
-    SELECT dz.doc_id, dz.y::INTEGER AS y, {sql_rnd('1 / (1 + exp(-(f.b + f.w * dz.x1)))')} AS probability
-    FROM dz CROSS JOIN fin f"""))
+    SELECT doc_id, y::INTEGER AS y, {sql_rnd('1 / (1 + exp(-z))')} AS probability FROM sc"""))
 def g7_logistic_regression(spark, sf_dir):
     df, model = _logit_fit(spark, sf_dir)
     return df.select("doc_id", "y", rnd(model.predict_proba_col()).alias("probability"))
 
 
+_F2_SQL = ("ln(1 + exp(-abs(z))) + greatest(z, 0) - y * z", "1 / (1 + exp(-z)) - y",
+           "(1 / (1 + exp(-z))) * (1 - 1 / (1 + exp(-z)))")
+
+
 @query("f2_logistic_loss", _logit_sql(f"""
-    , sc AS (SELECT dz.y, f.b + f.w * dz.x1 AS z FROM dz CROSS JOIN fin f)
-    SELECT {sql_rnd('avg(ln(1 + exp(-abs(z))) + greatest(z, 0) - y * z)')} AS loss,
-           {sql_rnd('avg(1 / (1 + exp(-z)) - y)')} AS gradient,
-           {sql_rnd('avg((1 / (1 + exp(-z))) * (1 - 1 / (1 + exp(-z))))')} AS hessian
-    FROM sc"""))
+    SELECT {sql_rnd(f'avg({_F2_SQL[0]})')} AS loss, {sql_rnd(f'avg({_F2_SQL[1]})')} AS gradient,
+           {sql_rnd(f'avg({_F2_SQL[2]})')} AS hessian FROM sc"""))
 def f2_logistic_loss(spark, sf_dir):
     df, model = _logit_fit(spark, sf_dir)
     scored = df.select("y", model.decision_col().alias("z"))
@@ -201,6 +291,16 @@ def f2_logistic_loss(spark, sf_dir):
                     rnd("hessian").alias("hessian"))
 
 
+@query("f2_logistic_loss_rows", _logit_sql(f"""
+    SELECT doc_id, {sql_rnd(_F2_SQL[0])} AS loss, {sql_rnd(_F2_SQL[1])} AS gradient, {sql_rnd(_F2_SQL[2])} AS hessian FROM sc"""))
+def f2_logistic_loss_rows(spark, sf_dir):
+    """Per document: a projection of the scored table."""
+    df, model = _logit_fit(spark, sf_dir)
+    scored = df.select("doc_id", "y", model.decision_col().alias("z"))
+    loss, gradient, hessian = metrics.logistic_terms("y", "z")
+    return scored.select("doc_id", rnd(loss).alias("loss"), rnd(gradient).alias("gradient"), rnd(hessian).alias("hessian"))
+
+
 # ------------------------------------------------------------------ G18 PCA
 PCA_SQL = f"""
     {sql_emb(2)},

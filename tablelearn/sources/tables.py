@@ -73,17 +73,22 @@ def lineitem_xy(spark: SparkSession, sf_dir: str, standardized: bool = False) ->
     return df
 
 
+LANGS = ("fr", "de", "es")  # beside en
+
+
 def document_xy(spark: SparkSession, sf_dir: str, target: str = "quality") -> DataFrame:
-    """doc_xy: documents joined to labels; x1 = standardised n_chars.
+    """doc_xy: documents joined to labels; x1 = standardised n_chars, x2..x4 = whether the
+    language is fr, de, es.
 
     ``target='quality'`` gives y in {0,1}; ``target='toxic'`` gives y in {-1,+1}.
     Both sides are keyed on doc_id; Spark picks the join strategy from sizes
     (labels covers only some documents).
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     df = docs.join(labels, "doc_id").select(
         "doc_id", F.col("n_chars").cast("double").alias("x1"),
+        *[F.coalesce(F.col("lang") == c, F.lit(False)).cast("double").alias(f"x{i + 2}") for i, c in enumerate(LANGS)],
         (F.col(target) if target == "quality"
          else F.when(F.col(target) == 1, 1).otherwise(-1)).cast("int").alias("y"))
     return standardize(df, ["x1"])

@@ -91,16 +91,36 @@ class Shared:
         return cloudpickle.loads(self._bytes.value)
 
 
-def spill(df: DataFrame, name: str) -> DataFrame:
+def spill(df: DataFrame, name: str, scratch: "Scratch | None" = None) -> DataFrame:
     """Write a table to the shared checkpoint folder as Parquet and read it back: a
-    lineage cut that stays column-pruned and compressed."""
+    lineage cut that stays column-pruned and compressed. ``scratch`` notes the place."""
     import uuid
 
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if scratch is not None:
+        scratch.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables written on the way to a result. ``drop`` deletes them once the result stands in
+    a table of its own."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def spill(self, df: DataFrame, name: str) -> DataFrame:
+        return spill(df, name, self)
+
+    def drop(self) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for p in self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+        self.paths.clear()
+
+
 def per_worker(key: tuple, make: Callable):
     """An object made once for each Python worker process. Library functions reach tasks
     pickled by value, with new module globals every time, so those would not last."""
@@ -113,6 +133,16 @@ def per_worker(key: tuple, make: Callable):
     return store[key]
 
 
+def strip_ends(word: str, keep: Callable[[str], bool]) -> str:
+    """``word`` without the characters at its ends that ``keep`` rejects, in linear time."""
+    a, b = 0, len(word)
+    while a < b and not keep(word[a]):
+        a += 1
+    while a < b and not keep(word[b - 1]):
+        b -= 1
+    return word[a:b]
+
+
 class WordCache(dict):
     """word -> value of ``fn``, remembering a bounded number of words."""
 

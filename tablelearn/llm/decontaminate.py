@@ -32,16 +32,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, WordCache, keyed, pick, text_bytes_conf
+from .common import Shared, WordCache, keyed, pick, spill, strip_ends, text_bytes_conf
 
-_MARKS = re.compile(r"^[\W_]+|[\W_]+$")
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of items that one broadcast block may hold.
 BLOCK_WORDS = 2_000_000
+#: Leaked ids that may be broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 def norm(word: str) -> str:
-    return _MARKS.sub("", word.lower())
+    return strip_ends(word.lower(), str.isalnum)
 
 
 def tokens(text: str | None) -> list[str]:
@@ -229,5 +230,10 @@ def _search(spark, d: DataFrame, items: Items, schema: str) -> DataFrame:
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     """The documents without a leaked pair (null ids are kept)."""
-    leaked = find_leaks(docs, benchmark, id_col=id_col, **kw).select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(leaked, F.col(f"`{id_col}`") == F.col("__leaked"), "left_anti")
+    name = "leaked"
+    while name in docs.columns:
+        name += "_"
+    leaked = find_leaks(docs, benchmark, id_col=id_col, **kw).select(F.col("doc_id").alias(name)).distinct()
+    leaked = spill(leaked.where(F.col(name).isNotNull()), "leaked")  # ids only, before any text could move
+    few = leaked.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(leaked) if few else leaked, F.col(f"`{id_col}`") == F.col(name), "left_anti")

@@ -13,7 +13,9 @@ element alone decides, on many its statistics do.
 Defined results: a null or empty html gives an empty text; a null url is a host of its
 own; a null page id stays null; repeated rows give equal rows and count once in the
 statistics (pages with equal html do); an empty table gives an empty result; extra
-columns are ignored. Unclosed or stray tags never lose text.
+columns are ignored. Unclosed or stray tags never lose text, except that an open script or
+style ends with the page, an open title or textarea with the next tag, and a tag that the
+page's end cuts off is dropped. Very long pages are parsed whole, in linear time.
 
 Scale: pages are parsed twice and never shuffled unless the cut branches outgrow the
 broadcast bound; the statistics are partial counts per (host, path, value hash).
@@ -33,7 +35,9 @@ from pyspark.sql import functions as F
 from .common import keyed, materialise, text_bytes_conf
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math select object canvas title".split())
+RAW = frozenset("script style noscript template textarea iframe svg select object canvas title".split())
+#: Raw elements that, left open, end only with the page, and those that end with the next tag.
+RAW_TO_END, RAW_TO_TAG = frozenset(("script", "style")), frozenset(("title", "textarea"))
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -50,7 +54,8 @@ CONTENT_TAGS = frozenset(("article", "main"))
 _ENDS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("table ul ol dl body html article section div td th select".split())
-_TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"<]*"|'[^'<]*'|["'])*?)(/?)>""")
+_OPEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_STOP, _VALUE = re.compile("[>\"']"), {"\"": re.compile("[\"<]"), "'": re.compile("['<]")}
 _ATTR = re.compile(r"""(?:^|[\s/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 #: Depth to which paths are told apart in the statistics.
 MAX_DEPTH = 12
@@ -67,6 +72,20 @@ class _Node:
         self.children: list[str] = []
 
 
+def _tag_end(text: str, at: int) -> int:
+    """Where the tag whose name ends at ``at`` ends (its ``>``), or -1. A quoted value may
+    hold ``>`` but no ``<``; other quotes are characters. Linear: a quote is looked at again
+    only if no other of its kind stands before the next ``<``."""
+    while m := _STOP.search(text, at):
+        at = m.end()
+        if m[0] == ">":
+            return m.start()
+        end = _VALUE[m[0]].search(text, at)
+        if end and end[0] == m[0]:
+            at = end.end()
+    return -1
+
+
 def parse(text: str | None):
     """Blocks as (path, text, declared noise, in the article), and every element's
     (path, child sequence)."""
@@ -74,6 +93,7 @@ def parse(text: str | None):
     styles: list[tuple[str, str]] = []
     stack = [_Node("", "", False, False)]
     buf: list[str] = []
+    open_ended: set[str] = set()  # raw elements with no end tag further on
 
     def flush() -> None:
         if buf:
@@ -112,13 +132,17 @@ def parse(text: str | None):
             end = text.find(">", lt)
             pos = n if end < 0 else end + 1
             continue
-        m = _TAG.match(text, lt)
+        m = _OPEN.match(text, lt)
         if not m:
             buf.append("<")
             pos = lt + 1
             continue
-        pos = m.end()
-        closing, tag, attrs = m[1], m[2].lower(), m[3]
+        end_at = _tag_end(text, m.end())
+        if end_at < 0:  # the page was cut off inside a tag
+            break
+        pos = end_at + 1
+        attrs = text[m.end():end_at]
+        closing, tag, empty = m[1], m[2].lower(), attrs.endswith("/")
         if tag == "br":
             buf.append(" ")
         elif closing:
@@ -129,9 +153,16 @@ def parse(text: str | None):
                         close_to(k)
                         break
         elif tag in RAW:
-            if not m[4] or tag in ("script", "style"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(text, pos)
-                pos = end.end() if end else n
+            if not empty or tag in RAW_TO_END:
+                end = None if tag in open_ended else re.compile(rf"</{tag}\b[^>]*>", re.I).search(text, pos)
+                if end:
+                    pos = end.end()
+                else:  # looked for once a page
+                    open_ended.add(tag)
+                    if tag in RAW_TO_END:
+                        pos = n
+                    elif tag in RAW_TO_TAG:
+                        pos = at if (at := text.find("<", pos)) >= 0 else n
         elif tag in BLOCK:
             flush()
             if tag not in ("html", "body"):

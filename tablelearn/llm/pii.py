@@ -94,7 +94,9 @@ def render(spans: list[Span]) -> str:
 #: Longest entity in atoms (digit runs, letter runs, single other characters).
 MAX_ATOMS = 24
 _NUMBERS = re.compile(r"[+(]?[0-9][0-9 ().+/-]*")
-_ADDRESS = re.compile(r"\S*(?:@|[\[(]at[\])])\S*")
+_RUN, _AT = re.compile(r"\S+"), re.compile(r"@|[\[(]at[\])]")
+#: Characters before and after an at-sign between which the field looks for an address.
+MAX_SIDE = 4096
 _ATOM = re.compile(r"[0-9]+|[^\W\d_]+|.", re.S)
 Window = tuple[int, int]
 
@@ -108,7 +110,9 @@ def windows(text: str) -> list[Window]:
         if len(s) >= 7 and (s.count(".") >= 3 or len(_digits(s)) >= 7):
             found.append((m.start(), m.start() + len(s)))
     if "@" in text or "[at]" in text or "(at)" in text:
-        found += [(m.start(), m.end()) for m in _ADDRESS.finditer(text)]
+        for run in _RUN.finditer(text):
+            found += [(max(run.start(), m.start() - MAX_SIDE), min(run.end(), m.end() + MAX_SIDE))
+                      for m in _AT.finditer(text, run.start(), run.end())]
     found.sort()
     out: list[Window] = []
     for a, b in found:
@@ -171,6 +175,8 @@ class SemiMarkov:
                     continue
                 s = text[cut[i]:cut[j]]
                 address = "@" in s or "at]" in s or "at)" in s
+                if address and len(_AT.findall(s)) > 1:
+                    continue  # no address holds two
                 if address or (not any(c.isalpha() for c in s) and len(s) >= 7 and (
                         len(_digits(s)) >= 7 or s.count(".") == 3)):
                     ends[j].append((i, span_features(text, cut[i], cut[j])))

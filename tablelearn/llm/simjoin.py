@@ -12,20 +12,22 @@ c(a, b), the smallest integer that meets the threshold.
   count bounds its n-grams' counts), and only the first a - ceil(t a) + 1 elements of a
   set are listed: linked sets share one of these. Short lists give their pairs (filtered
   by size and position), checked exactly on the whole sets. In a long list every set is
-  first checked against one pivot; sets that stay outside the list's largest component
-  are then compared with the rest block by block, each block pair by scanning in-memory
-  inverted lists of the listed elements; pairs that neither these nor counts of their
-  elements by hash bucket rule out are checked exactly.
+  first checked against one pivot, the set of least number, which is the same in most lists
+  of a family; sets that stay outside the list's largest component are then compared with
+  the rest block by block, each block pair by scanning in-memory inverted lists of the
+  listed elements; pairs that neither these nor counts of their elements by hash bucket
+  rule out are checked exactly. Links found there join components found before.
 
 The boundary is the one with the smallest estimated cost: subsets listed for sets up to
 it plus list entries beyond it. No step lists all pairs of a group, and no link between
 different texts is lost.
 
 Defined results: null texts, and texts without words, have an empty set, link with
-nothing and are components of their own; rows that share an id are one document with the
-greatest of their texts; rows with a null id are left out of links and returned as
-they are; ties do not arise (a component is named by its smallest id); an empty table
-gives an empty result; extra columns are ignored.
+nothing and are components of their own; rows that share an id are documents of their own
+that bear the same number, linked only where their texts are alike; rows with a null id are
+left out of links and returned as they are; ties do not arise (a component is named by its
+smallest id); very long texts are read whole (one set in memory); an empty table gives an
+empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, WordCache, byte_words, materialise, mix64, pick, spill, text_bytes_conf
+from .common import Scratch, Shared, WordCache, byte_words, mix64, pick, spill, text_bytes_conf
 
 #: Sets up to this size keep all elements beside the document, so any boundary up to it
 #: can be chosen.
@@ -152,30 +154,37 @@ def _sets(docs: DataFrame, shingler: Shared, schema: str, row) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         make = shingler.value
         for b in batches:
-            yield pd.DataFrame([row(i, make(t)) for i, t in zip(b["doc_id"], b["text"])],
+            yield pd.DataFrame([row(r, make(t)) for r, t in zip(zip(b["doc_id"], b["row"], b["text_key"]), b["text"])],
                                columns=[c.split()[0] for c in schema.split(", ")])
 
-    return docs.mapInPandas(run, schema)
-
-
-def components(links: DataFrame) -> DataFrame:
-    """node, component (smallest node reachable) of the nodes in links (a, b). Minimum
-    labels spread over the links and along the labels themselves, so long chains close
-    in few rounds; each round is checkpointed."""
-    both = materialise(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b").distinct())
-    label = materialise(both.groupBy("a").agg(F.min("b").alias("near"))
-                        .select(F.col("a").alias("node"), F.least("a", "near").alias("component")))
-    while True:
-        near = (both.join(label.withColumnRenamed("node", "b"), "b").groupBy("a")
-                .agg(F.min("component").alias("near")).withColumnRenamed("a", "node"))
-        step = label.join(near, "node").select("node", "component", F.least("component", "near").alias("next"))
-        jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        new = materialise(step.join(jump, "next").select(
-            "node", "component", F.least("next", "far").alias("next")))
-        changed = new.where("next <> component").limit(1).count()
-        label = new.select("node", F.col("next").alias("component"))
-        if not changed:
-            return label
+    return docs.select("doc_id", "row", "text_key", "text").mapInPandas(run, schema)
+
+
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """node, component (smallest node reachable) of the nodes in links (a, b). Every node
+    joins the neighbour of least hash (hashes, so that no order of numbers makes long
+    chains), joined nodes become one and the links between what is left are written anew:
+    the graph shrinks by a constant share each round."""
+    edges = scratch.spill(links.select("a", "b").where("a <> b").distinct(), "join-edges")
+    maps: list[DataFrame] = []
+    while edges.limit(1).count():
+        both = edges.union(edges.select(F.col("b"), F.col("a")))
+        near = both.groupBy(F.col("a").alias("node")).agg(F.min(F.struct(F.xxhash64("b").alias("h"), "b")).alias("near"))
+        mine = F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("b"))
+        up = scratch.spill(near.select("node", F.least(mine, F.col("near"))["b"].alias("up")), "join-up")
+        maps.append(up)
+        x, y = (up.select(F.col("node").alias(c), F.col("up").alias(f"u{c}")) for c in "ab")
+        edges = edges.join(x, "a").join(y, "b").select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b"))
+        edges = scratch.spill(edges.where("a <> b").distinct(), "join-edges")
+    if not maps:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    root = maps[0].select("node", F.col("up").alias("root"))
+    for up in maps[1:]:
+        root = root.join(up.select(F.col("node").alias("root"), "up"), "root", "left").select(
+            "node", F.coalesce("up", "root").alias("root"))
+    root = scratch.spill(root, "join-roots")
+    least = root.groupBy("root").agg(F.min("node").alias("component"))
+    return scratch.spill(root.join(least, "root").select("node", "component"), "join-component")
 
 
 def choose_boundary(sizes: dict[int, int], t: Threshold) -> int:
@@ -187,7 +196,7 @@ def choose_boundary(sizes: dict[int, int], t: Threshold) -> int:
     return min(range(1, MAX_LIGHT + 1), key=lambda b: (cost(b), b))
 
 
-def _light_links(reps: DataFrame, boundary: int, t: Threshold) -> DataFrame:
+def _light_links(reps: DataFrame, boundary: int, t: Threshold, scratch: Scratch) -> DataFrame:
     """Links among sets of at most ``boundary`` elements, by common subsets."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -204,7 +213,7 @@ def _light_links(reps: DataFrame, boundary: int, t: Threshold) -> DataFrame:
 
     keys = (reps.where(F.col("n").between(1, boundary)).select("rep", "n", "head")
             .mapInPandas(run, "key binary, lo boolean, hi boolean, rep bigint"))
-    keys = spill(keys, "join-subsets")
+    keys = scratch.spill(keys, "join-subsets")
     hub = (keys.groupBy("key").agg(F.min("rep").alias("a"), F.max("lo").alias("lo"), F.max("hi").alias("hi"),
                                    F.count(F.lit(1)).alias("k")).where("lo and hi and k > 1").select("key", "a"))
     return hub.join(keys.select("key", F.col("rep").alias("b")), "key").where("a < b").select("a", "b").distinct()
@@ -279,9 +288,9 @@ def _head_filter(pairs: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint")
 
 
-def _ends(pairs: DataFrame, name: str) -> DataFrame:
+def _ends(pairs: DataFrame, name: str, scratch: Scratch) -> DataFrame:
     """rep: the sets that stand in pairs (a, b)."""
-    return spill(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), name)
+    return scratch.spill(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), name)
 
 
 def _only(table: DataFrame, ids: DataFrame) -> DataFrame:
@@ -313,11 +322,11 @@ def _sketch_filter(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame
     return pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint")
 
 
-def _check_pairs(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
+def _check_pairs(pairs: DataFrame, sets: DataFrame, t: Threshold, scratch: Scratch) -> DataFrame:
     """The pairs whose whole sets meet the threshold; whole sets move only for pairs that
     their sketches leave open."""
-    pairs = spill(_sketch_filter(pairs, sets, t), "join-near")
-    sets = _only(sets, _ends(pairs, "join-near-ends"))
+    pairs = scratch.spill(_sketch_filter(pairs, sets, t), "join-near")
+    sets = _only(sets, _ends(pairs, "join-near-ends", scratch))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -384,94 +393,128 @@ def _ramp(lengths: np.ndarray) -> np.ndarray:
 
 
 def join_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id for every document."""
+                    text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row; with ``key_col`` also that column, a
+    hash of the row's text."""
+    scratch = Scratch(docs.sparkSession)
+    found = spill(_join(docs, n, percent, id_col, text_col, scratch), "join-result")
+    scratch.drop()
+    found = found.withColumnRenamed("doc_id", id_col)
+    return found.withColumnRenamed("text_key", key_col) if key_col else found.drop("text_key")
+
+
+def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
     spark = docs.sparkSession
     text_bytes_conf(spark)
     t = Threshold(percent)
     d = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    d = _merge_repeated(d)
     shingler = Shared(spark, Shingler(n, word_levels(d, "text")))
+    d = _row_keys(d, scratch)
 
-    def head(i, els):
+    def head(row, els):
         k = len(els) if len(els) <= MAX_LIGHT else t.prefix(len(els))
-        return i, len(els), xxhash.xxh128_digest(els.tobytes()), els[:k].view(np.int64)
+        return *row, len(els), xxhash.xxh128_digest(els.tobytes()), els[:k].view(np.int64)
 
     known = d.where("doc_id is not null")
-    docs_sets = spill(_sets(known, shingler, "doc_id bigint, n int, fp binary, head array<bigint>", head), "join-docs")
+    docs_sets = scratch.spill(_sets(known, shingler, "doc_id bigint, row bigint, text_key bigint, n int, fp binary, "
+                                    "head array<bigint>", head), "join-docs")
     classes = (docs_sets.where("n > 0").groupBy("fp", "n")
-               .agg(F.min("doc_id").alias("rep"), F.first("head").alias("head")))
-    reps = spill(classes, "join-classes")
+               .agg(F.min("row").alias("rep"), F.first("head").alias("head")))
+    reps = scratch.spill(classes, "join-classes")
     sizes = {r["n"]: r["count"] for r in reps.where(F.col("n") <= 2 * MAX_LIGHT).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, t)
-    links = [_light_links(reps, boundary, t)]
+    links = [_light_links(reps, boundary, t, scratch)]
 
     heavy = reps.where(F.col("n") >= t.smallest(boundary + 1))
     keep = F.col("n") - F.ceil(F.col("n") * t.t / 100).cast("int") + 1
     entries = heavy.select("rep", "n", F.posexplode(F.slice("head", F.lit(1), keep)).alias("pos", "sid"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = spill(_list_pairs(entries.select("sid", "rep", "n", "pos").repartition(parts, "sid")
-                              .sortWithinPartitions("sid"), t), "join-lists")
+    found = scratch.spill(_list_pairs(entries.select("sid", "rep", "n", "pos").repartition(parts, "sid")
+                                      .sortWithinPartitions("sid"), t), "join-lists")
     short = found.where("sid is null").select("a", "b")
     long = found.where("sid is not null").select("sid", F.col("a").alias("rep"), "n", "pos")
-    pivot = long.groupBy("sid").agg(F.min(F.struct("pos", "rep", "n")).alias("p"))
+    pivot = long.groupBy("sid").agg(F.min(F.struct("rep", "pos", "n")).alias("p"))
     star = (long.join(pivot, "sid").where("rep <> p.rep")
             .where(_possible(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"), t))
             .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")))
-    near = spill(short.union(star).distinct(), "join-candidates")
-    pairs = spill(_head_filter(near, _only(heavy, _ends(near, "join-ends")), t), "join-pairs")
-    wanted = spill(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(long.select("rep")).distinct(),
-                   "join-wanted")
-    texts = _only(known.withColumn("rep", F.col("doc_id")), wanted)
-    sets = spill(_sets(texts, shingler, "rep bigint, n int, sketch binary, els binary",
-                       lambda i, e: (i, len(e), sketch(e), e.tobytes())), "join-sets")
-    links.append(_check_pairs(pairs, sets, t))
-    first = spill(links[0].union(links[1]), "join-links")
-    label = components(first)
+    near = scratch.spill(short.union(star).distinct(), "join-candidates")
+    pairs = scratch.spill(_head_filter(near, _only(heavy, _ends(near, "join-ends", scratch)), t), "join-pairs")
+    wanted = scratch.spill(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(long.select("rep")).distinct(),
+                           "join-wanted")
+    texts = _only(known.withColumn("rep", F.col("row")), wanted)
+    sets = scratch.spill(_sets(texts, shingler, "rep bigint, n int, sketch binary, els binary",
+                               lambda row, e: (row[1], len(e), sketch(e), e.tobytes())).dropDuplicates(["rep"]), "join-sets")
+    links.append(_check_pairs(pairs, sets, t, scratch))
+    label = components(links[0].union(links[1]), scratch)
 
     # long lists whose sets are not in one component yet
     parted = (long.select("sid", "rep").distinct().join(label, F.col("rep") == F.col("node"), "left")
               .select("sid", "rep", F.coalesce("component", "rep").alias("component")))
-    parted = spill(parted, "join-parted")
+    parted = scratch.spill(parted, "join-parted")
     tally = parted.groupBy("sid", "component").agg(F.count(F.lit(1)).alias("k"))
     open_ = (tally.groupBy("sid").agg(F.count(F.lit(1)).alias("parts"),
                                       F.max(F.struct("k", F.col("component").alias("c"))).alias("top"))
              .where("parts > 1").select("sid", F.col("top.c").alias("largest")))
-    rest = spill(parted.join(open_, "sid").select("sid", "rep", "component", (F.col("component") != F.col("largest")).alias("rest")),
-                 "join-open")
+    rest = scratch.spill(parted.join(open_, "sid").select("sid", "rep", "component", (F.col("component") != F.col("largest")).alias("rest")),
+                         "join-open")
     if rest.limit(1).count():
-        # families: sets connected by open lists (list numbers below all ids keep apart)
+        # families: sets connected by open lists
         hub = rest.groupBy("sid").agg(F.min("rep").alias("hub"))
-        fam = components(rest.join(hub, "sid").select(F.col("hub").alias("a"), F.col("rep").alias("b")))
+        fam = components(rest.join(hub, "sid").select(F.col("hub").alias("a"), F.col("rep").alias("b")), scratch)
         members = (rest.groupBy("rep", "component").agg(F.max("rest").alias("rest"))
                    .join(fam, F.col("rep") == F.col("node")).select(fam["component"].alias("family"), "rep",
                                                                    rest["component"], "rest"))
-        members = spill(members, "join-members")
-        close = spill(_block_pairs(members, _only(heavy, members.select("rep").distinct()), t), "join-close")
-        more = spill(_check_pairs(close, sets, t), "join-more")
-        label = components(first.union(more))
+        members = scratch.spill(members, "join-members")
+        close = scratch.spill(_block_pairs(members, _only(heavy, members.select("rep").distinct()), t), "join-close")
+        more = _check_pairs(close, sets, t, scratch)
+        # these links join whole components: only what they touch is labelled anew
+        name = members.select(F.col("rep"), "component").distinct()
+        x, y = (name.select(F.col("rep").alias(c), F.col("component").alias(f"u{c}")) for c in "ab")
+        joined = components(more.join(x, "a").join(y, "b").select(F.col("ua").alias("a"), F.col("ub").alias("b")), scratch)
+        joined = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+        alone = name.where("rep = component").select(F.col("rep").alias("node"), "component")
+        label = (label.unionByName(alone).distinct().join(joined, "component", "left")
+                 .select("node", F.coalesce("whole", "component").alias("component")))
+        label = scratch.spill(label, "join-labels")
 
     rep_of = docs_sets.where("n > 0").alias("d").join(
         reps.select("fp", "n", "rep").alias("r"), (F.col("d.fp") == F.col("r.fp")) & (F.col("d.n") == F.col("r.n")))
-    rep_of = rep_of.select("d.doc_id", "d.n", "r.rep")
+    rep_of = rep_of.select("d.doc_id", "d.row", "d.text_key", "d.n", "r.rep")
     whole = (rep_of.join(label, F.col("rep") == F.col("node"), "left")
-             .select("doc_id", F.col("n").cast("bigint").alias("n_shingles"),
-                     F.coalesce("component", "rep").alias("component_id")))
-    empty = docs_sets.where("n = 0").select("doc_id", F.lit(0).cast("bigint").alias("n_shingles"),
-                                            F.col("doc_id").alias("component_id"))
-    nameless = _sets(d.where("doc_id is null"), shingler, "doc_id bigint, n_shingles bigint",
-                     lambda i, e: (None, len(e))).withColumn("component_id", F.lit(None).cast("bigint"))
-    return whole.unionByName(empty).unionByName(nameless).withColumnRenamed("doc_id", id_col)
+             .select("doc_id", "row", "text_key", F.col("n").cast("bigint").alias("n_shingles"),
+                     F.coalesce("component", "rep").alias("component")))
+    empty = docs_sets.where("n = 0").select("doc_id", "row", "text_key", F.lit(0).cast("bigint").alias("n_shingles"),
+                                            F.col("row").alias("component"))
+    whole = whole.unionByName(empty)
+    # rows of repeated ids have numbers of their own: their components get the smallest id
+    odd = scratch.spill(whole.where("component < 0 or row < 0").select("component").distinct(), "join-odd")
+    if odd.limit(1).count():
+        named = whole.join(odd, "component", "left_semi").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        whole = whole.join(named, "component", "left")
+        whole = whole.withColumn("component_id", F.coalesce("component_id", "component"))
+    else:
+        whole = whole.withColumn("component_id", F.col("component"))
+    cols = ["doc_id", "n_shingles", "component_id", "text_key"]
+    nameless = _sets(d.where("doc_id is null"), shingler, "doc_id bigint, n_shingles bigint, text_key bigint",
+                     lambda row, e: (None, len(e), row[2])).withColumn("component_id", F.lit(None).cast("bigint"))
+    return whole.select(*cols).unionByName(nameless.select(*cols))
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """The documents without those that have a smaller id in their component (rows with
-    a null id stay)."""
-    found = join_components(docs, n, percent, id_col, text_col)
-    gone = spill(found.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("__gone")), "join-gone")
-    few = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    a null id stay). Of rows that share an id, only those whose text has one go."""
+    key = "text_key"
+    while key in docs.columns:
+        key += "_"
+    gone = "gone"
+    while gone in docs.columns:
+        gone += "_"
+    found = join_components(docs, n, percent, id_col, text_col, key_col=key)
+    lost = spill(found.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias(gone), key).distinct(), "join-gone")
+    few = lost.count() <= BROADCAST_IDS
+    same = (F.col(f"`{id_col}`").cast("bigint") == F.col(gone)) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(key))
+    return docs.join(F.broadcast(lost) if few else lost, same, "left_anti")
 
 
 def _possible(n, m, p, q, t: Threshold):
@@ -480,13 +523,16 @@ def _possible(n, m, p, q, t: Threshold):
     return (need <= F.least(n, m)) & (F.least(n - p, m - q) >= need)
 
 
-def _merge_repeated(d: DataFrame) -> DataFrame:
-    """One row per id, with the greatest text of the id's rows. Ids that stand once, all
-    of them in a sound table, are found by a count that reads no text, and their rows do
-    not move."""
-    again = d.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = materialise(again)
+def _row_keys(d: DataFrame, scratch: Scratch) -> DataFrame:
+    """``d`` with ``text_key``, a hash of the text, and ``row``: the id, or for rows whose id
+    stands more than once a negative number from id and text (repeated rows share it). Ids
+    that stand once, all of them in a sound table, are found by a count that reads no text."""
+    d = d.withColumn("text_key", F.xxhash64("text"))
+    again = scratch.spill(d.where("doc_id is not null").groupBy("doc_id").count().where("count > 1 or doc_id < 0")
+                          .select(F.col("doc_id").alias("again")), "join-again")
     if not again.limit(1).count():
-        return d
-    one = d.join(again, "doc_id", "left_anti")
-    return one.union(d.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")))
+        return d.select("doc_id", F.col("doc_id").alias("row"), "text_key", "text")
+    few = again.count() <= BROADCAST_IDS
+    own = -F.shiftrightunsigned(F.xxhash64("doc_id", "text_key", F.length("text")), 1) - 1
+    return d.join(F.broadcast(again) if few else again, F.col("doc_id") == F.col("again"), "left").select(
+        "doc_id", F.when(F.col("again").isNull(), F.col("doc_id")).otherwise(own).alias("row"), "text_key", "text")

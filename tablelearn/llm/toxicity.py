@@ -24,17 +24,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, WordCache, crc_mod, keyed, pick, text_bytes_conf
+from .common import Shared, WordCache, crc_mod, keyed, pick, strip_ends, text_bytes_conf
 
-_MARKS = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 BUCKETS = 1 << 20
 #: Chi-square above which a term is kept (p < 0.001), at least so many documents hold it,
 #: and the largest number of terms.
 MIN_CHI2, MIN_DOCS, MAX_TERMS = 10.83, 5, 8192
 
+def _letter(ch: str) -> bool:
+    return ch.isalnum() and not ch.isdecimal()
+
+
 def bucket(word: str) -> int:
     """Bucket of a word, lower-cased and without digits and marks at its ends."""
-    term = _MARKS.sub("", word.lower())
+    term = strip_ends(word.lower(), _letter)
     return zlib.crc32(term.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
 
 

@@ -350,3 +350,29 @@ def test_pipeline_stages(spark):
         assert docs.count() <= before and docs.columns[:len(cols)] == cols, name
     kept = {r.doc_id for r in quality.score_documents(spark.read.parquet(f"{SF001}/documents.parquet")).where("kept").collect()}
     assert {r.doc_id for r in docs.collect()} <= kept
+
+
+def test_simjoin_rows_that_share_an_id(spark):
+    """Rows of one id with different texts are documents of their own; no link of any of them
+    is lost, and only the rows that have an earlier match go."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(7, a, "s"), (7, b, "s"), (3, a, "s"), (9, b, "s"), (9, c, "s"), (11, c, "s"), (12, c, "s"), (12, c, "s"), (5, None, "s"), (5, "", "s")]
+    out = simjoin.join_components(docs_of(spark, rows))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in out.collect())
+    assert got == sorted([(7, 37, 3), (7, 37, 7), (3, 37, 3), (9, 37, 7), (9, 37, 9), (11, 37, 9), (12, 37, 9), (12, 37, 9), (5, 0, 5), (5, 0, 5)])
+    docs = docs_of(spark, rows).withColumn("gone", F.lit(1)).withColumn("text_key", F.lit("k"))
+    kept = simjoin.keep_one(docs, n=4, percent=85)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(7, b), (3, a), (9, c), (5, ""), (5, "")])
+
+
+def test_components_of_chains_and_stars(spark):
+    from tablelearn.llm.common import Scratch
+
+    links = [(i, i + 1) for i in range(200)] + [(1000, 1001 + i) for i in range(50)] + [(-5, 7000), (7000, 6999), (3, 3)]
+    scratch = Scratch(spark)
+    df = spark.createDataFrame(links, "a bigint, b bigint")
+    got = {r.node: r.component for r in simjoin.components(df, scratch).collect()}
+    assert got == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1051)}, **{i: -5 for i in (-5, 7000, 6999)}}
+    assert simjoin.components(df.limit(0), scratch).count() == 0
+    scratch.drop()

@@ -297,13 +297,12 @@ class LogisticRegression:
             while True:
                 _, new_loss, new_grad, new_hess = at(w + size * step)
                 self.n_iter_ += 1
-                if new_loss <= loss or self.n_iter_ >= self.max_iter:
-                    break
-                if new_loss - loss <= 1e-12 * abs(loss):  # rounding, at the optimum
+                lower = new_loss <= loss + 1e-12 * abs(loss)  # but for rounding, at the optimum
+                if lower or self.n_iter_ >= self.max_iter:
                     break
                 size *= 0.5
             stalled = new_loss >= loss - 1e-15 * abs(loss)
-            if new_loss <= loss:
+            if lower:
                 w, grad, hess = w + size * step, new_grad, new_hess
                 loss = new_loss
                 self.loss_.append(loss)

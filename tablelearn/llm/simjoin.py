@@ -12,8 +12,10 @@ c(a, b), the smallest integer that meets the threshold.
   count bounds its n-grams' counts), and only the first a - ceil(t a) + 1 elements of a
   set are listed: linked sets share one of these. Short lists give their pairs (filtered
   by size and position), checked exactly on the whole sets. In a long list every set is
-  first checked against one pivot, the set of least number, which is the same in most lists
-  of a family; sets that stay outside the list's largest component are then compared with
+  first checked against one pivot, the set that stands in the most long lists: it is the
+  most central one and the same in most lists of a family. What stays outside the list's
+  largest component gets a pivot of its own in the same way; sets that are still outside are
+  then compared with
   the rest block by block, each block pair by scanning in-memory inverted lists of the
   listed elements; pairs that neither these nor counts of their elements by hash bucket
   rule out are checked exactly. Links found there join components found before.
@@ -346,7 +348,8 @@ def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame
     ``members`` has family, rep, component, rest (outside the largest component). Every
     block of rest sets meets every block of the family, by inverted lists over the heads
     (elements common to two heads are all the common ones up to the smaller last one;
-    beyond it at most the smaller rest can be common)."""
+    beyond it at most the smaller rest can be common), then by sketches, so that few pairs
+    leave the task."""
     blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
     sized = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.count_if("rest").alias("rests"))
     m = members.join(sized, "family")
@@ -357,7 +360,7 @@ def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame
              .withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("rests") / BLOCK)).cast("int") - 1)))
              .withColumn("side", F.lit(1)))
     cols = ["family", "i", "j", "side", "rep", "component"]
-    dealt = left.select(*cols).union(right.select(*cols)).join(reps.select("rep", "n", "head"), "rep")
+    dealt = left.select(*cols).union(right.select(*cols)).join(reps, "rep")
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         lhs, rhs = g[g["side"] == 0], g[g["side"] == 1]
@@ -372,7 +375,9 @@ def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame
         els, owner = els[order], owner[order]
         reps_of, comps = rhs["rep"].to_numpy(), rhs["component"].to_numpy()
         out = []
-        for rep, comp, n, e in zip(lhs["rep"], lhs["component"], lhs["n"], lhs["head"]):
+        sketches = np.frombuffer(b"".join(rhs["sketch"]), np.uint8).reshape(-1, SKETCH)
+        for rep, comp, n, e, s in zip(lhs["rep"], lhs["component"], lhs["n"], lhs["head"], lhs["sketch"]):
+            own = np.frombuffer(s, np.uint8)
             x = np.asarray(e, np.int64).view(np.uint64)
             lo, hi = np.searchsorted(els, x, "left"), np.searchsorted(els, x, "right")
             hits = owner[np.repeat(lo, hi - lo) + _ramp(hi - lo)]
@@ -380,6 +385,8 @@ def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame
             theirs = np.bincount(owner[:np.searchsorted(els, x[-1], "right")], minlength=len(arrays))
             beyond = np.minimum(n - np.searchsorted(x, last, "right"), size - theirs)
             k = np.nonzero((common > 0) & (common + beyond >= t.need(n, size)) & (comps != comp))[0]
+            least = np.minimum(sketches[k], own)
+            k = k[(least == 255).any(axis=1) | (least.sum(axis=1, dtype=np.int64) >= t.need(n, size[k]))]
             out += [(min(rep, reps_of[q]), max(rep, reps_of[q])) for q in k]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
@@ -418,9 +425,11 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, scr
     known = d.where("doc_id is not null")
     docs_sets = scratch.spill(_sets(known, shingler, "doc_id bigint, row bigint, text_key bigint, n int, fp binary, "
                                     "head array<bigint>", head), "join-docs")
-    classes = (docs_sets.where("n > 0").groupBy("fp", "n")
-               .agg(F.min("row").alias("rep"), F.first("head").alias("head")))
-    reps = scratch.spill(classes, "join-classes")
+    classes = scratch.spill(docs_sets.where("n > 0").groupBy("fp", "n").agg(F.min("row").alias("rep")), "join-classes")
+    # one row of each class; rows that repeat one another share their number
+    firsts = docs_sets.where("n > 0").join(_few(classes.select(F.col("rep").alias("row"))), "row", "left_semi")
+    firsts = firsts.select(F.col("row").alias("rep"), "fp", "n", "head")
+    reps = scratch.spill(firsts.where("rep >= 0").unionByName(firsts.where("rep < 0").dropDuplicates(["rep"])), "join-reps")
     sizes = {r["n"]: r["count"] for r in reps.where(F.col("n") <= 2 * MAX_LIGHT).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, t)
     links = [_light_links(reps, boundary, t, scratch)]
@@ -433,30 +442,25 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, scr
                                       .sortWithinPartitions("sid"), t), "join-lists")
     short = found.where("sid is null").select("a", "b")
     long = found.where("sid is not null").select("sid", F.col("a").alias("rep"), "n", "pos")
-    pivot = long.groupBy("sid").agg(F.min(F.struct("rep", "pos", "n")).alias("p"))
-    star = (long.join(pivot, "sid").where("rep <> p.rep")
-            .where(_possible(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"), t))
-            .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")))
-    near = scratch.spill(short.union(star).distinct(), "join-candidates")
+    near = scratch.spill(short.union(_star(long, t, scratch)).distinct(), "join-candidates")
     pairs = scratch.spill(_head_filter(near, _only(heavy, _ends(near, "join-ends", scratch)), t), "join-pairs")
     wanted = scratch.spill(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(long.select("rep")).distinct(),
                            "join-wanted")
-    texts = _only(known.withColumn("rep", F.col("row")), wanted)
+    texts = known.where("row >= 0").unionByName(known.where("row < 0").dropDuplicates(["row"]))
+    texts = _only(texts.withColumn("rep", F.col("row")), wanted)
     sets = scratch.spill(_sets(texts, shingler, "rep bigint, n int, sketch binary, els binary",
-                               lambda row, e: (row[1], len(e), sketch(e), e.tobytes())).dropDuplicates(["rep"]), "join-sets")
+                               lambda row, e: (row[1], len(e), sketch(e), e.tobytes())), "join-sets")
     links.append(_check_pairs(pairs, sets, t, scratch))
     label = components(links[0].union(links[1]), scratch)
 
-    # long lists whose sets are not in one component yet
-    parted = (long.select("sid", "rep").distinct().join(label, F.col("rep") == F.col("node"), "left")
-              .select("sid", "rep", F.coalesce("component", "rep").alias("component")))
-    parted = scratch.spill(parted, "join-parted")
-    tally = parted.groupBy("sid", "component").agg(F.count(F.lit(1)).alias("k"))
-    open_ = (tally.groupBy("sid").agg(F.count(F.lit(1)).alias("parts"),
-                                      F.max(F.struct("k", F.col("component").alias("c"))).alias("top"))
-             .where("parts > 1").select("sid", F.col("top.c").alias("largest")))
-    rest = scratch.spill(parted.join(open_, "sid").select("sid", "rep", "component", (F.col("component") != F.col("largest")).alias("rest")),
-                         "join-open")
+    rest = _open_lists(long, label, scratch)
+    if rest.limit(1).count():
+        # a pivot for what is outside the largest component of its list
+        outside = long.join(rest.where("rest").select("sid", "rep"), ["sid", "rep"], "left_semi")
+        again = scratch.spill(_star(outside, t, scratch).distinct(), "join-candidates")
+        again = scratch.spill(_head_filter(again, _only(heavy, _ends(again, "join-ends", scratch)), t), "join-pairs")
+        label = _merge(label, _check_pairs(again, sets, t, scratch), scratch)
+        rest = _open_lists(long, label, scratch)
     if rest.limit(1).count():
         # families: sets connected by open lists
         hub = rest.groupBy("sid").agg(F.min("rep").alias("hub"))
@@ -465,17 +469,10 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, scr
                    .join(fam, F.col("rep") == F.col("node")).select(fam["component"].alias("family"), "rep",
                                                                    rest["component"], "rest"))
         members = scratch.spill(members, "join-members")
-        close = scratch.spill(_block_pairs(members, _only(heavy, members.select("rep").distinct()), t), "join-close")
-        more = _check_pairs(close, sets, t, scratch)
-        # these links join whole components: only what they touch is labelled anew
-        name = members.select(F.col("rep"), "component").distinct()
-        x, y = (name.select(F.col("rep").alias(c), F.col("component").alias(f"u{c}")) for c in "ab")
-        joined = components(more.join(x, "a").join(y, "b").select(F.col("ua").alias("a"), F.col("ub").alias("b")), scratch)
-        joined = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
-        alone = name.where("rep = component").select(F.col("rep").alias("node"), "component")
-        label = (label.unionByName(alone).distinct().join(joined, "component", "left")
-                 .select("node", F.coalesce("whole", "component").alias("component")))
-        label = scratch.spill(label, "join-labels")
+        ids = members.select("rep").distinct()
+        known_of = _only(heavy, ids).select("rep", "n", "head").join(_only(sets, ids).select("rep", "sketch"), "rep")
+        close = scratch.spill(_block_pairs(members, known_of, t), "join-close")
+        label = _merge(label, _check_pairs(close, sets, t, scratch), scratch)
 
     rep_of = docs_sets.where("n > 0").alias("d").join(
         reps.select("fp", "n", "rep").alias("r"), (F.col("d.fp") == F.col("r.fp")) & (F.col("d.n") == F.col("r.n")))
@@ -500,6 +497,50 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, scr
     return whole.select(*cols).unionByName(nameless.select(*cols))
 
 
+def _few(table: DataFrame) -> DataFrame:
+    """The (written) table, broadcast if it has at most BROADCAST_IDS rows."""
+    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
+
+def _star(long: DataFrame, t: Threshold, scratch: Scratch) -> DataFrame:
+    """Every set of a long list with the list's pivot, if size and position allow a link."""
+    often = long.groupBy("rep").agg(F.count(F.lit(1)).alias("often"))
+    pivot = (long.join(often, "rep").groupBy("sid")
+             .agg(F.max(F.struct("often", (-F.col("rep")).alias("least"), "rep", "pos", "n")).alias("p")))
+    pivot = scratch.spill(pivot, "join-pivots")
+    return (long.join(_few(pivot), "sid").where("rep <> p.rep")
+            .where(_possible(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"), t))
+            .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")))
+
+
+def _open_lists(long: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
+    """sid, rep, component, rest of the long lists whose sets are not in one component yet;
+    ``rest`` marks the sets outside the list's largest one."""
+    parted = (long.select("sid", "rep").distinct().join(label, F.col("rep") == F.col("node"), "left")
+              .select("sid", "rep", F.coalesce("component", "rep").alias("component")))
+    parted = scratch.spill(parted, "join-parted")
+    tally = parted.groupBy("sid", "component").agg(F.count(F.lit(1)).alias("k"))
+    opened = (tally.groupBy("sid").agg(F.count(F.lit(1)).alias("parts"),
+                                       F.max(F.struct("k", F.col("component").alias("c"))).alias("top"))
+              .where("parts > 1").select("sid", F.col("top.c").alias("largest")))
+    opened = scratch.spill(opened, "join-open-lists")
+    return scratch.spill(parted.join(_few(opened), "sid").select(
+        "sid", "rep", "component", (F.col("component") != F.col("largest")).alias("rest")), "join-open")
+
+
+def _merge(label: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``label`` with new links, which join whole components: only these are worked on."""
+    links = scratch.spill(links, "join-new-links")
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    alone = ends.join(label, "node", "left_anti").select("node", F.col("node").alias("component"))
+    label = scratch.spill(label.unionByName(alone), "join-labels")
+    x, y = (label.select(F.col("node").alias(c), F.col("component").alias(f"u{c}")) for c in "ab")
+    joined = components(links.join(x, "a").join(y, "b").select(F.col("ua").alias("a"), F.col("ub").alias("b")), scratch)
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    return scratch.spill(label.join(joined, "component", "left").select(
+        "node", F.coalesce("whole", "component").alias("component")), "join-labels")
+
+
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """The documents without those that have a smaller id in their component (rows with

@@ -10,6 +10,12 @@ Two physical forms of the Gram matrix:
   codegen, no Python);
 * larger p: ``mapInArrow`` computes X^T X per Arrow batch with NumPy, emits
   p(p+1)/2 partial rows per partition, and ``groupBy(i, j).sum`` merges them.
+
+Covariances of wide tables are one scan too: a task keeps (n, mean, co-moments about that
+mean) per group and merges batches into it pairwise (Chan, Golub and LeVeque 1983), so means
+far from zero cost no digits; each task emits one block a group, and blocks are merged by
+``groupBy(group, shard).applyInArrow`` in two levels, so no task holds more than
+MERGE_BLOCKS blocks however many tasks there are.
 """
 
 from __future__ import annotations
@@ -101,13 +107,16 @@ def covariance_table(df: DataFrame, cols: Sequence[str], by: str | None = None,
     keys = [by] if by else []
     if centered:
         # row counts per group are model-sized: they enter as literals, no join
-        counts = {(r[by] if by else None): r["_n"] for r in
-                  _bounded(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "covariance groups").collect()}
+        rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).limit(MAX_GROUPS + 1).collect()
+        if len(rows) > MAX_GROUPS:
+            raise ValueError(f"covariance groups: more than the bound of {MAX_GROUPS}")
+        counts = {(r[by] if by else None): r["_n"] for r in rows}
         g = gram_table(df, cols, by)
         if by:
-            denom = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(float(n - ddof)))])
-            return g.select(by, "i", "j", (F.col("value") / denom[F.col(by)]).alias("value"))
-        return g.select("i", "j", (F.col("value") / F.lit(float(counts.get(None, 0) - ddof))).alias("value"))
+            denom = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(float(n - ddof)))])[F.col(by)]
+            return g.select(by, "i", "j", F.when(denom > 0, F.col("value") / denom).alias("value"))
+        left = counts.get(None, 0) - ddof
+        return g.select("i", "j", (F.col("value") / F.lit(float(left) if left > 0 else None)).cast("double").alias("value"))
     if p > SCALAR_MAX_P:
         return _centred_arrow_cov(df, cols, by, ddof)
     aggs = [fn(cols[i], cols[j]).alias(f"c_{i}_{j}") for i, j in _pairs(p)]
@@ -117,26 +126,110 @@ def covariance_table(df: DataFrame, cols: Sequence[str], by: str | None = None,
     return wide.select(*keys, _inline(structs))
 
 
+#: Partial blocks that one merging task holds.
+MERGE_BLOCKS = 64
+BLOCK_SCHEMA = "n bigint, bad bigint, mean array<double>, co array<double>"
+
+
+def merge_blocks(a: tuple, b: tuple) -> tuple:
+    """(n, mean, co-moments) of two row sets together."""
+    n = a[0] + b[0]
+    if not a[0] or not b[0]:
+        return a if a[0] else b
+    delta = b[1] - a[1]
+    return n, a[1] + delta * (b[0] / n), a[2] + b[2] + np.outer(delta, delta) * (a[0] * b[0] / n)
+
+
+def co_moments(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
+    """One row per group, one scan: ([by,] n, bad rows, mean, p x p co-moments about the mean).
+    Rows with a NULL, NaN or infinite entry (or a NULL group) count as bad and nowhere else."""
+    import pyarrow as pa
+
+    cols, p = list(cols), len(cols)
+    key_type = df.schema[by].dataType.simpleString() if by else "int"
+    group = F.col(by) if by else F.lit(0)
+    rows = df.select(group.alias("g"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    tasks = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def record(parts: dict, bad: dict, arrow_key) -> pa.RecordBatch:
+        keys = list(parts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, arrow_key), pa.array([parts[k][0] for k in keys], pa.int64()),
+             pa.array([bad.get(k, 0) for k in keys], pa.int64()),
+             pa.array([parts[k][1] for k in keys], pa.list_(pa.float64())),
+             pa.array([parts[k][2].reshape(-1) for k in keys], pa.list_(pa.float64()))], ["g", "n", "bad", "mean", "co"])
+
+    empty = (0, np.zeros(p), np.zeros((p, p)))
+
+    def per_partition(batches):
+        parts: dict = {}
+        bad: dict = {}
+        arrow_key = None
+        for b in batches:
+            arrow_key = b.schema.field("g").type
+            if not b.num_rows:
+                continue
+            x = np.column_stack([b.column(f"x{i}").to_numpy(zero_copy_only=False).astype(np.float64) for i in range(p)])
+            ok = np.isfinite(x).all(axis=1)
+            codes = b.column("g").dictionary_encode()
+            at = codes.indices.to_numpy(zero_copy_only=False) if not codes.null_count else np.array(
+                [-1 if v is None else v for v in codes.indices.to_pylist()])
+            for c, key in enumerate([*codes.dictionary.to_pylist(), None]):
+                mine = at == (c if key is not None else -1)
+                if not mine.any():
+                    continue
+                good = mine & ok & (key is not None)
+                parts.setdefault(key, empty)
+                bad[key] = bad.get(key, 0) + int(mine.sum() - good.sum())
+                if good.any():
+                    mean = x[good].mean(axis=0)
+                    d = x[good] - mean
+                    parts[key] = merge_blocks(parts[key], (int(good.sum()), mean, d.T @ d))
+        if parts:
+            yield record(parts, bad, arrow_key)
+
+    def merge(t: pa.Table) -> pa.Table:
+        block, bad = empty, 0
+        for n, b, mean, co in zip(*(t.column(c).to_pylist() for c in ("n", "bad", "mean", "co"))):
+            block, bad = merge_blocks(block, (n, np.array(mean), np.array(co).reshape(p, p))), bad + b
+        key = t.column("g")[0].as_py()
+        return pa.Table.from_batches([record({key: block}, {key: bad}, t.schema.field("g").type)])
+
+    schema = f"g {key_type}, {BLOCK_SCHEMA}"
+    parts = rows.mapInArrow(per_partition, schema)
+    shard = F.pmod(F.spark_partition_id(), F.lit(-(-tasks // MERGE_BLOCKS))).alias("shard")
+    first = parts.select("*", shard).groupBy("g", "shard").applyInArrow(merge, schema) if tasks > MERGE_BLOCKS else parts
+    out = first.groupBy("g").applyInArrow(merge, schema)
+    return out.withColumnRenamed("g", by) if by else out.drop("g")
+
+
+def _co_long(blocks: DataFrame, p: int, by: str | None) -> DataFrame:
+    """([by,] n, i, j, value) of co-moment blocks, i <= j."""
+    import pyarrow as pa
+
+    iu, ju = np.triu_indices(p)
+    keys = [by] if by else []
+    schema = ", ".join([f"`{k}` {blocks.schema[k].dataType.simpleString()}" for k in keys] + ["n bigint, i int, j int, value double"])
+
+    def run(batches):
+        for b in batches:
+            for r in range(b.num_rows):
+                at = pa.array(np.full(len(iu), r))
+                co = np.array(b.column("co")[r].as_py()).reshape(p, p)[iu, ju]
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(k).take(at) for k in keys], b.column("n").take(at), pa.array(iu.astype(np.int32)),
+                     pa.array(ju.astype(np.int32)), pa.array(co)], [*keys, "n", "i", "j", "value"])
+
+    return blocks.select(*keys, "n", "co").mapInArrow(run, schema)
+
+
 def _centred_arrow_cov(df, cols, by, ddof):
-    """Two scans: means per group (collected, bounded), then the Gram of the
-    centred rows, centring inside the Arrow task (no join)."""
+    """The covariance table of a wide input, from one scan."""
+    d = F.col("n") - ddof
     keys = [by] if by else []
-    mean_rows = _bounded(df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"_m{k}") for k, c in enumerate(cols)]),
-        "covariance groups").collect()
-    p = len(cols)
-    means = {(r[by] if by else None): np.array([r[f"_m{k}"] for k in range(p)]) for r in mean_rows}
-    counts = {(r[by] if by else None): r["_n"] for r in mean_rows}
-    g = _arrow_gram(df, cols, by, centre=means)
-    left = counts[None] - ddof if not by else 0
-    scale = F.lit(1.0 / left if left > 0 else None).cast("double")
-    if by:
-        # per-group denominators enter as a literal map (bounded by the group count)
-        denom = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(float(n - ddof)))])
-        d = denom[F.col(by)]
-        # a group without degrees of freedom has an undefined (NULL) covariance at every width
-        return g.select(by, "i", "j", F.when(d > 0, F.col("value") / d).alias("value"))
-    return g.select("i", "j", (F.col("value") * scale).alias("value"))
+    long = _co_long(co_moments(df, cols, by).where("n > 0"), len(cols), by)
+    # a group without degrees of freedom has an undefined (NULL) covariance at every width
+    return long.select(*keys, "i", "j", F.when(d > 0, F.col("value") / d).alias("value"))
 
 
 def covariance_matrix(df: DataFrame, cols: Sequence[str], ddof: int = 1) -> tuple[int, np.ndarray, np.ndarray]:
@@ -158,25 +251,15 @@ def covariance_matrix(df: DataFrame, cols: Sequence[str], ddof: int = 1) -> tupl
         for i, j in _pairs(p):
             cov[i, j] = cov[j, i] = row[f"c_{i}_{j}"] if row[f"c_{i}_{j}"] is not None else np.nan
         return row["n"], np.array([row[f"m{k}"] for k in range(p)], dtype=float), cov
-    from ..sources.validate import count_invalid, raise_if_invalid
+    from ..sources.validate import raise_if_invalid
 
-    stats = df.agg(F.count(F.lit(1)).alias("_n"), count_invalid(cols),
-                   *[F.avg(c).alias(f"_m{k}") for k, c in enumerate(cols)]).first()
-    raise_if_invalid(stats["_invalid"])
-    n = stats["_n"]
-    mean = np.array([stats[f"_m{k}"] for k in range(p)], dtype=float)
-    if n - ddof <= 0:
-        return n, mean, np.full((p, p), np.nan)
-    for r in _arrow_gram(df, cols, None, centre={None: mean}).collect():
-        cov[r["i"], r["j"]] = cov[r["j"], r["i"]] = r["value"] / (n - ddof)
-    return n, mean, cov
-
-
-def _bounded(df: DataFrame, what: str, limit: int = MAX_GROUPS) -> DataFrame:
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"{what}: {n} groups exceed the bound of {limit}")
-    return df
+    row = co_moments(df, cols).first()
+    if row is None:
+        return 0, np.full(p, np.nan), np.full((p, p), np.nan)
+    raise_if_invalid(row["bad"])
+    if row["n"] - ddof <= 0:
+        return row["n"], np.array(row["mean"]), np.full((p, p), np.nan)
+    return row["n"], np.array(row["mean"]), np.array(row["co"]).reshape(p, p) / (row["n"] - ddof)
 
 
 def moment_matrices(df: DataFrame, cols: Sequence[str], y: str | None = None) -> dict:
@@ -247,20 +330,16 @@ def class_means(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
 
 
 def pooled_covariance_table(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
-    """Σ_k prior_k · Cov_k with Cov_k the n_k-1 sample covariance.
+    """Σ_k prior_k · Cov_k with Cov_k the n_k-1 sample covariance, in one scan.
 
-    The per-class covariances form a K·p² table; the weighted sum is a second,
-    tiny aggregate. A class with one row has an undefined covariance: the
-    pooled value raises at evaluation (``raise_error``), so no extra job is
-    spent on the check.
+    A class with one row has an undefined covariance: the pooled value raises at
+    evaluation (``raise_error``), so no extra job is spent on the check.
     """
-    per_class = covariance_table(df, cols, by=label)
-    priors = class_priors(df, label)
-    joined = per_class.join(priors, label)
-    undefined = F.col("value").isNull() | F.isnan("value")
-    pooled = (joined.groupBy("i", "j")
-              .agg(F.sum(F.col("prior") * F.col("value")).alias("value"),
-                   F.count_if(undefined).alias("_undefined")))
+    p = len(cols)
+    long = _co_long(co_moments(df, cols, label), p, label)
+    n, d = F.col("n"), F.col("n") - 1
+    pooled = long.groupBy("i", "j").agg(
+        (F.sum(n * F.when(d > 0, F.col("value") / d)) / F.sum(n)).alias("value"), F.count_if(d < 1).alias("_undefined"))
     return pooled.select("i", "j", F.when(F.col("_undefined") > 0, F.raise_error(F.lit(
         "a class has fewer than two rows: its covariance is undefined"))).otherwise(F.col("value"))
         .cast("double").alias("value"))

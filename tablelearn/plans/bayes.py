@@ -129,26 +129,17 @@ class LinearDiscriminantAnalysis(_ClassScorer):
     def fit(self, df: DataFrame, features: Sequence[str], label: str) -> "LinearDiscriminantAnalysis":
         self.features = list(features)
         p = len(self.features)
-        means = collect_bounded(moments.class_means(df, self.features, label), "LDA classes")
-        raise_if_invalid(sum(r["_invalid"] for r in means))
-        means = sorted(means, key=lambda r: r[label])
+        blocks = collect_bounded(moments.co_moments(df, self.features, label), "LDA classes")  # the only scan
+        raise_if_invalid(sum(r["bad"] for r in blocks))
+        means = sorted(blocks, key=lambda r: r[label])
         if not means:
             raise ValueError("cannot fit on an empty table")
         self.classes = [r[label] for r in means]
         counts = np.array([r["n"] for r in means], dtype=float)
         if (counts < 2).any():
             raise ValueError("every class needs at least two rows for its covariance")
-        mu = np.array([[r[f"mean_{i}"] for i in range(p)] for r in means])
-        cov = np.zeros((p, p))
-        try:
-            pooled = collect_bounded(moments.pooled_covariance_table(df, self.features, label),
-                                     "pooled covariance", limit=p * p)
-        except Exception as e:  # raise_error surfaces as a JVM exception
-            if "fewer than two rows" in str(e):
-                raise ValueError("every class needs at least two rows for its covariance") from None
-            raise
-        for r in pooled:
-            cov[r["i"], r["j"]] = cov[r["j"], r["i"]] = r["value"]
+        mu = np.array([r["mean"] for r in means])
+        cov = sum(r["n"] / counts.sum() * np.array(r["co"]).reshape(p, p) / (r["n"] - 1) for r in means)
         self.class_prior = (counts / counts.sum() if self.priors is None
                             else _check_priors(self.priors, len(means)))
         inv = np.linalg.pinv(cov, rcond=self.tol)

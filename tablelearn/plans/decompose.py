@@ -53,7 +53,7 @@ class PCA:
         return self.fit(df, features).transform(df, prefix)
 
     def inverse_transform(self, df: DataFrame, zcols: Sequence[str], prefix: str = "r") -> DataFrame:
-        return df.select("*", *self.reconstruct_cols(zcols, prefix))
+        return self.reconstruct(df, zcols, prefix)
 
     def center_cols(self) -> list[Column]:
         """X - mean."""
@@ -74,6 +74,25 @@ class PCA:
                                  lambda x: (x - mean) @ comps.T)
         return df.select("*", *self.project_cols(prefix))
 
+    def reconstruct(self, df: DataFrame, zcols: Sequence[str], prefix: str = "r") -> DataFrame:
+        """B11 at any width: ``df`` plus the columns r1..rp."""
+        if len(zcols) != len(self.components_):
+            raise ValueError("need one score column per component")
+        p, mean, comps = len(self.features), self.mean_, self.components_
+        if is_wide(len(zcols), p):
+            return append_scores(df, list(zcols), [f"{prefix}{j + 1}" for j in range(p)], lambda z: z @ comps + mean)
+        return df.select("*", *self.reconstruct_cols(zcols, prefix))
+
+    def residuals(self, df: DataFrame, out: str = "residual") -> DataFrame:
+        """``df`` plus the squared distance of every row to the components' subspace."""
+        mean, comps = self.mean_, self.components_
+
+        def left(x: np.ndarray) -> np.ndarray:
+            d = x - mean
+            return ((d - (d @ comps.T) @ comps) ** 2).sum(axis=1, keepdims=True)
+
+        return append_scores(df, self.features, [out], left)
+
     def reconstruct_cols(self, zcols: Sequence[str], prefix: str = "r") -> list[Column]:
         """Z·V + mean."""
         if len(zcols) != len(self.components_):

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from ...sources.tables import embedding_view
 from ..bayes import GaussianNB, LinearDiscriminantAnalysis
-from ..common import WIDE, rnd, sql_emb, sql_rnd, xs
+from ..common import WIDE, rnd, sql_emb, sql_inverse, sql_rnd, xs
 from ..registry import query
+from .aggregates import EMB_LONG_SQL
 
 
 def softmax_pick_sql(scores_cte: str) -> str:
@@ -42,26 +43,26 @@ def g5_gaussian_nb(spark, sf_dir):
 
 
 LDA_SQL = f"""
-    WITH {sql_emb(2)},
-    cls AS (SELECT label AS cls, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2,
-                   covar_samp(x1, x1) AS c11, covar_samp(x1, x2) AS c12,
-                   covar_samp(x2, x2) AS c22 FROM emb GROUP BY label),
-    pri AS (SELECT *, n / sum(n) OVER () AS prior FROM cls),
-    pooled AS (SELECT sum(prior * c11) AS a, sum(prior * c12) AS b, sum(prior * c22) AS d FROM pri),
-    inv AS (SELECT d / (a * d - b * b) AS i11, -b / (a * d - b * b) AS i12,
-                   a / (a * d - b * b) AS i22 FROM pooled),
-    coef AS (SELECT cls, prior, i11 * m1 + i12 * m2 AS w1, i12 * m1 + i22 * m2 AS w2, m1, m2
-             FROM pri CROSS JOIN inv),
-    model AS (SELECT cls, w1, w2, -0.5 * (w1 * m1 + w2 * m2) + ln(prior) AS b FROM coef),
-    scores AS (SELECT e.vec_id, e.label, m.cls, e.x1 * m.w1 + e.x2 * m.w2 + m.b AS s
-               FROM emb e CROSS JOIN model m),
+    WITH RECURSIVE {EMB_LONG_SQL},
+    pri AS (SELECT label AS cls, count(*) AS n, count(*) / sum(count(*)) OVER () AS prior FROM embeddings GROUP BY label),
+    per AS (SELECT a.label AS cls, a.i, b.i AS j, covar_samp(a.x, b.x) AS c
+            FROM ev a JOIN ev b ON a.vec_id = b.vec_id GROUP BY a.label, a.i, b.i),
+    pooled AS (SELECT 0 AS grp, i::INTEGER AS i, j::INTEGER AS j, sum(prior * c) AS v FROM per JOIN pri USING (cls) GROUP BY i, j),
+    {', '.join(sql_inverse('inv', 'pooled', WIDE))},
+    mu AS (SELECT label AS cls, i, avg(x) AS m FROM ev GROUP BY label, i),
+    coef AS (SELECT mu.cls, inv.i, sum(inv.v * mu.m) AS w FROM inv JOIN mu ON mu.i = inv.j GROUP BY mu.cls, inv.i),
+    bias AS (SELECT c.cls, -0.5 * sum(c.w * mu.m) + ln(any_value(p.prior)) AS b
+             FROM coef c JOIN mu ON mu.cls = c.cls AND mu.i = c.i JOIN pri p ON p.cls = c.cls GROUP BY c.cls),
+    scores AS (SELECT ev.vec_id, any_value(ev.label) AS label, c.cls, sum(ev.x * c.w) + any_value(b.b) AS s
+               FROM ev JOIN coef c USING (i) JOIN bias b ON b.cls = c.cls GROUP BY ev.vec_id, c.cls),
     {softmax_pick_sql('scores')}"""
 
 
 @query("g6_lda", LDA_SQL)
 def g6_lda(spark, sf_dir):
-    df = embedding_view(spark, sf_dir, 2)
-    model = LinearDiscriminantAnalysis().fit(df, xs(2), "label")
+    """Whole vectors; one scan fits, one scores."""
+    df = embedding_view(spark, sf_dir, WIDE)
+    model = LinearDiscriminantAnalysis().fit(df, xs(WIDE), "label")
     return model.transform(df).select("vec_id", "label", "prediction",
                                       rnd("probability").alias("probability"))
 

@@ -4,12 +4,18 @@ G18 PCA with B8/B10/B11/E15."""
 from __future__ import annotations
 
 
+import numpy as np
+from pyspark.sql import functions as F
+
+from ...functions.linalg import total
 from ...operators import metrics
+from ...operators.moments import covariance_matrix
 from ...sources.tables import LANGS, document_xy, embedding_view, lineitem_xy
 from ..common import WIDE, rnd, sql_emb, sql_rnd, xs
 from ..decompose import PCA
 from ..linear import ElasticNet, Lasso, LinearRegression, LogisticRegression, Ridge
 from ..registry import query
+from .aggregates import EMB_LONG_SQL
 
 # Standardised lineitem view: y = extendedprice ~ x1 = quantity, x2 = discount, x3 = tax.
 LI_FEATURES = ["x1", "x2", "x3"]
@@ -302,51 +308,45 @@ def f2_logistic_loss_rows(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ G18 PCA
-PCA_SQL = f"""
-    {sql_emb(2)},
-    cov AS (SELECT avg(x1) AS m1, avg(x2) AS m2, covar_samp(x1, x1) AS a,
-                   covar_samp(x1, x2) AS b, covar_samp(x2, x2) AS d FROM emb),
-    eig AS (SELECT *, (a + d) / 2 + sqrt(((a - d) / 2) ^ 2 + b * b) AS l1,
-                      (a + d) / 2 - sqrt(((a - d) / 2) ^ 2 + b * b) AS l2 FROM cov),
-    vec AS (SELECT *, b / sqrt(b * b + (l1 - a) ^ 2) AS u1, (l1 - a) / sqrt(b * b + (l1 - a) ^ 2) AS u2
-            FROM eig),
-    pc AS (SELECT *,
-             CASE WHEN abs(u1) >= abs(u2) THEN sign(u1) ELSE sign(u2) END * u1 AS v11,
-             CASE WHEN abs(u1) >= abs(u2) THEN sign(u1) ELSE sign(u2) END * u2 AS v12,
-             CASE WHEN abs(u2) >= abs(u1) THEN sign(-u2) ELSE sign(u1) END * -u2 AS v21,
-             CASE WHEN abs(u2) >= abs(u1) THEN sign(-u2) ELSE sign(u1) END * u1 AS v22
-           FROM vec)"""
-
-
-def _pca(spark, sf_dir, k=2):
-    df = embedding_view(spark, sf_dir, 2)
-    return df, PCA(n_components=k).fit(df, xs(2))
+# SQL has no eigen-decomposition, but it can state what one over all 64 components must give
+# back: the covariance itself, the spectrum's moments, and quadratic forms of every row.
+COV_SQL = f"""{EMB_LONG_SQL},
+    c AS (SELECT a.i::BIGINT AS i, b.i::BIGINT AS j, covar_samp(a.x, b.x) AS v
+          FROM ev a JOIN ev b ON a.vec_id = b.vec_id GROUP BY a.i, b.i),
+    dv AS (SELECT vec_id, i, x - avg(x) OVER (PARTITION BY i) AS d FROM ev)"""
+
+
+def _pca(spark, sf_dir, k=None):
+    df = embedding_view(spark, sf_dir, WIDE)
+    return df, PCA(n_components=k).fit(df, xs(WIDE))
 
 
 @query("g18_pca_components", f"""
-    WITH {PCA_SQL}
-    SELECT 0::BIGINT AS component, 0::BIGINT AS feature, {sql_rnd('v11')} AS loading FROM pc UNION ALL
-    SELECT 0, 1, {sql_rnd('v12')} FROM pc UNION ALL
-    SELECT 1, 0, {sql_rnd('v21')} FROM pc UNION ALL
-    SELECT 1, 1, {sql_rnd('v22')} FROM pc""")
+    WITH {COV_SQL} SELECT i, j, {sql_rnd('v', 9)} AS value FROM c WHERE i <= j""")
 def g18_pca_components(spark, sf_dir):
+    """All components put together: sum of lambda_k v_ki v_kj is the covariance of i and j."""
     _, model = _pca(spark, sf_dir)
-    rows = [(k, j, float(model.components_[k, j])) for k in range(2) for j in range(2)]
-    return spark.createDataFrame(rows, "component bigint, feature bigint, loading double").select(
-        "component", "feature", rnd("loading").alias("loading"))
+    whole = (model.components_.T * model.explained_variance_) @ model.components_
+    rows = [(i, j, float(whole[i, j])) for i in range(WIDE) for j in range(i, WIDE)]
+    return spark.createDataFrame(rows, "i bigint, j bigint, value double").select("i", "j", rnd("value", 9).alias("value"))
 
 
 @query("e15_explained_variance", f"""
-    WITH {PCA_SQL}
-    SELECT 0::BIGINT AS component, {sql_rnd('l1', 9)} AS explained_variance,
-           {sql_rnd('l1 / (l1 + l2)')} AS ratio FROM pc UNION ALL
-    SELECT 1, {sql_rnd('l2', 9)}, {sql_rnd('l2 / (l1 + l2)')} FROM pc""")
+    WITH {COV_SQL},
+    c2 AS (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM c a JOIN c b ON a.j = b.i GROUP BY a.i, b.j),
+    tr AS (SELECT 1::BIGINT AS moment, sum(v) AS t FROM c WHERE i = j
+           UNION ALL SELECT 2, sum(v) FROM c2 WHERE i = j
+           UNION ALL SELECT 3, sum(a.v * b.v) FROM c2 a JOIN c b ON a.i = b.j AND a.j = b.i
+           UNION ALL SELECT 4, sum(a.v * b.v) FROM c2 a JOIN c2 b ON a.i = b.j AND a.j = b.i)
+    SELECT moment, {sql_rnd('t', 12)} AS total, {sql_rnd('t / (SELECT t FROM tr WHERE moment = 1) ^ moment', 9)} AS ratio FROM tr""")
 def e15_explained_variance(spark, sf_dir):
+    """Moments of the explained variances and of their ratios over all components: the traces
+    of the covariance's powers."""
     _, model = _pca(spark, sf_dir)
-    rows = [(k, float(model.explained_variance_[k]), float(model.explained_variance_ratio_[k]))
-            for k in range(2)]
-    return spark.createDataFrame(rows, "component bigint, explained_variance double, ratio double").select(
-        "component", rnd("explained_variance", 9).alias("explained_variance"), rnd("ratio").alias("ratio"))
+    rows = [(m, float((model.explained_variance_ ** m).sum()), float((model.explained_variance_ratio_ ** m).sum()))
+            for m in range(1, 5)]
+    return spark.createDataFrame(rows, "moment bigint, total double, ratio double").select(
+        "moment", rnd("total", 12).alias("total"), rnd("ratio", 9).alias("ratio"))
 
 
 @query("b8_center", f"""
@@ -359,30 +359,44 @@ def b8_center(spark, sf_dir):
 
 
 @query("b10_pca_project", f"""
-    WITH {PCA_SQL}
-    SELECT e.vec_id, {sql_rnd('(e.x1 - m1) * v11 + (e.x2 - m2) * v12')} AS z1,
-           {sql_rnd('(e.x1 - m1) * v21 + (e.x2 - m2) * v22')} AS z2
-    FROM emb e CROSS JOIN pc""")
+    WITH {COV_SQL},
+    q AS (SELECT a.vec_id, sum(a.d * s.d) AS q FROM dv a JOIN (
+              SELECT b.vec_id, c.i, sum(c.v * b.d) AS d FROM dv b JOIN c ON c.j = b.i GROUP BY b.vec_id, c.i) s
+              ON s.vec_id = a.vec_id AND s.i = a.i GROUP BY a.vec_id)
+    SELECT vec_id, {sql_rnd('any_value(l)')} AS length, {sql_rnd('any_value(q)', 9)} AS spread
+    FROM (SELECT vec_id, sum(d * d) AS l FROM dv GROUP BY vec_id) JOIN q USING (vec_id) GROUP BY vec_id""")
 def b10_pca_project(spark, sf_dir):
+    """All 64 scores of every row: their squares add up to the row's squared length, and
+    weighted by the explained variances to its quadratic form in the covariance."""
     df, model = _pca(spark, sf_dir)
-    return model.transform(df).select("vec_id", rnd("z1").alias("z1"), rnd("z2").alias("z2"))
+    z = model.transform(df.select("vec_id", *xs(WIDE)))
+    square = [F.col(f"z{k + 1}") * F.col(f"z{k + 1}") for k in range(WIDE)]
+    weighted = [s * F.lit(float(v)) for s, v in zip(square, model.explained_variance_)]
+    return z.select("vec_id", rnd(total(square)).alias("length"), rnd(total(weighted), 9).alias("spread"))
 
 
 @query("b11_pca_reconstruct", f"""
-    WITH {PCA_SQL}, z AS (SELECT e.vec_id, (e.x1 - m1) * v11 + (e.x2 - m2) * v12 AS z1 FROM emb e CROSS JOIN pc)
-    SELECT z.vec_id, {sql_rnd('z1 * v11 + m1')} AS r1, {sql_rnd('z1 * v12 + m2')} AS r2
-    FROM z CROSS JOIN pc""")
+    WITH {sql_emb(WIDE)} SELECT vec_id, {', '.join(f"{sql_rnd(x)} AS r{x[1:]}" for x in xs(WIDE))} FROM emb""")
 def b11_pca_reconstruct(spark, sf_dir):
-    df, model = _pca(spark, sf_dir, k=1)
-    rec = model.transform(df).select("vec_id", *model.reconstruct_cols(["z1"]))
-    return rec.select("vec_id", rnd("r1").alias("r1"), rnd("r2").alias("r2"))
+    """From all components a row comes back as it was."""
+    df, model = _pca(spark, sf_dir)
+    z = model.transform(df.select("vec_id", *xs(WIDE)))
+    rec = model.reconstruct(z, [f"z{k + 1}" for k in range(WIDE)])
+    return rec.select("vec_id", *[rnd(f"r{j + 1}").alias(f"r{j + 1}") for j in range(WIDE)])
 
 
-@query("g18_pca_wide")
+@query("g18_pca_wide", f"""
+    WITH {COV_SQL} SELECT 8::BIGINT AS kept, (SELECT count(*) FROM embeddings) AS n, true AS uncorrelated,
+           {sql_rnd('sum(v)', 9)} AS total FROM c WHERE i = j""")
 def g18_pca_wide(spark, sf_dir):
-    """PCA over all 64 embedding dims (Arrow Gram path); rows-only check."""
-    from .aggregates import wide_features
-
-    df, cols = wide_features(spark, sf_dir)
-    model = PCA(n_components=8).fit(df, cols)
-    return model.transform(df).select("vec_id", *[rnd(f"z{i + 1}").alias(f"z{i + 1}") for i in range(8)])
+    """Eight components over whole vectors, measured on the scored rows: the scores are
+    uncorrelated, their variances are the explained ones, and what is left of the rows has the
+    rest of the total variance."""
+    df, model = _pca(spark, sf_dir, 8)
+    names = [f"z{k + 1}" for k in range(8)]
+    n, _, cov = covariance_matrix(model.transform(df.select(*xs(WIDE))).select(*names), names)
+    held = bool(np.allclose(cov, np.diag(model.explained_variance_[:8]), atol=1e-12))
+    left = model.residuals(df.select(*xs(WIDE)))
+    whole = float(np.trace(cov)) + left.agg(F.sum("residual")).first()[0] / (n - 1)
+    return spark.createDataFrame([(8, int(n), held, whole)], "kept bigint, n bigint, uncorrelated boolean, total double").select(
+        "kept", "n", "uncorrelated", rnd("total", 9).alias("total"))

@@ -6,12 +6,13 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ...functions.activations import logsumexp
-from ...functions.gaussian import gaussian_logpdf
+from ...functions.arrow_scores import append_scores
 from ...functions.linalg import argmax_index, pick
 from ...operators import metrics, moments, pairwise, sampling
-from ...sources.tables import embedding_array_view, embedding_view
+from ...sources.tables import embedding_array_view
 from ..base import collect_bounded
-from ..common import rnd, sql_emb, sql_rnd, xs
+from ..cluster import GaussianMixture
+from ..common import WIDE, rnd, sql_inverse, sql_rnd
 from ..registry import query
 from .aggregates import EMB_LONG_SQL, wide_features
 
@@ -144,77 +145,80 @@ def f4_accuracy(spark, sf_dir):
         rnd("accuracy").alias("accuracy"), "n")
 
 
-# ---------------------------------------------------------- D8 / E14 (2 dims)
+# ---------------------------------------------------------- D8 / E14
+#: Added to the diagonal of a class covariance: a class has fewer rows than dims.
+RIDGE = 0.01
 GAUSS_SQL = f"""
-    {sql_emb(2)},
-    comp AS (SELECT label AS component, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2,
-                    covar_samp(x1, x1) AS a, covar_samp(x1, x2) AS b, covar_samp(x2, x2) AS d
-             FROM emb GROUP BY label),
-    cp AS (SELECT *, n / sum(n) OVER () AS w, a * d - b * b AS det FROM comp),
-    dens AS (SELECT e.vec_id, c.component, c.w,
-                    -0.5 * (2 * ln(2 * pi()) + ln(c.det)
-                            + (c.d * (e.x1 - c.m1) ^ 2 - 2 * c.b * (e.x1 - c.m1) * (e.x2 - c.m2)
-                               + c.a * (e.x2 - c.m2) ^ 2) / c.det) AS ld
-             FROM emb e CROSS JOIN cp c)"""
+    {EMB_LONG_SQL},
+    pri AS (SELECT label AS grp, count(*) / sum(count(*)) OVER () AS w FROM embeddings GROUP BY label),
+    mu AS (SELECT label AS grp, i, avg(x) AS m FROM ev GROUP BY label, i),
+    cov AS (SELECT a.label AS grp, a.i::INTEGER AS i, b.i::INTEGER AS j,
+                   covar_samp(a.x, b.x) + CASE WHEN a.i = b.i THEN {RIDGE} ELSE 0 END AS v
+            FROM ev a JOIN ev b ON a.vec_id = b.vec_id GROUP BY a.label, a.i, b.i),
+    {', '.join(sql_inverse('inv', 'cov', WIDE))},
+    dev AS (SELECT ev.vec_id, mu.grp, ev.i, ev.x - mu.m AS d FROM ev JOIN mu USING (i)),
+    quad AS (SELECT a.vec_id, a.grp, sum(a.d * q.d) AS q FROM dev a JOIN (
+                 SELECT b.vec_id, b.grp, inv.i, sum(inv.v * b.d) AS d FROM dev b JOIN inv ON inv.grp = b.grp AND inv.j = b.i
+                 GROUP BY b.vec_id, b.grp, inv.i) q ON q.vec_id = a.vec_id AND q.grp = a.grp AND q.i = a.i
+             GROUP BY a.vec_id, a.grp),
+    dens AS (SELECT vec_id, quad.grp AS component, w, -0.5 * ({WIDE} * ln(2 * pi()) + logdet + q) AS ld
+             FROM quad JOIN inv_det USING (grp) JOIN pri USING (grp))"""
 
 
 def _components(spark, sf_dir):
-    df = embedding_view(spark, sf_dir, 2)
-    cols = xs(2)
-    means = {r["label"]: (r["n"], [r["mean_0"], r["mean_1"]])
-             for r in collect_bounded(moments.class_means(df, cols, "label"), "components")}
-    covs: dict = {}
-    for r in collect_bounded(moments.covariance_table(df, cols, by="label"), "covariances"):
-        c = covs.setdefault(r["label"], np.zeros((2, 2)))
-        c[r["i"], r["j"]] = c[r["j"], r["i"]] = r["value"]
-    labels = sorted(means)
-    n = sum(means[k][0] for k in labels)
-    comps = [(k, means[k][0] / n, means[k][1], covs[k]) for k in labels]
-    return df, cols, comps
+    """Each class as a Gaussian over whole vectors: log prior and log density a row, from one
+    scan for the parameters and one map-only pass."""
+    df, cols = wide_features(spark, sf_dir)
+    p = len(cols)
+    blocks = sorted(collect_bounded(moments.co_moments(df, cols, "label"), "components"), key=lambda r: r["label"])
+    n = sum(r["n"] for r in blocks)
+    mixture = GaussianMixture(len(blocks))
+    mixture.features = cols
+    mixture.weights_ = np.array([r["n"] / n for r in blocks])
+    mixture.means_ = np.array([r["mean"] for r in blocks])
+    mixture.covariances_ = np.stack([np.array(r["co"]).reshape(p, p) / (r["n"] - 1) + RIDGE * np.eye(p) for r in blocks])
+    names = [f"_j{j}" for j in range(len(blocks))]
+    scored = append_scores(df, cols, names, mixture.np_joint_log_likelihood)
+    return scored, names, [r["label"] for r in blocks], np.log(mixture.weights_)
 
 
 @query("d8_gaussian_density", f"""
-    WITH {GAUSS_SQL}
+    WITH RECURSIVE {GAUSS_SQL}
     SELECT vec_id, component, {sql_rnd('ld')} AS log_density FROM dens""")
 def d8_gaussian_density(spark, sf_dir):
-    df, cols, comps = _components(spark, sf_dir)
-    structs = [F.struct(F.lit(k).alias("component"), gaussian_logpdf(cols, mu, cov).alias("ld"))
-               for k, _, mu, cov in comps]
-    out = df.select("vec_id", F.inline(F.array(*structs)))
+    scored, names, labels, logw = _components(spark, sf_dir)
+    structs = [F.struct(F.lit(k).alias("component"), (F.col(c) - F.lit(float(w))).alias("ld"))
+               for k, c, w in zip(labels, names, logw)]
+    out = scored.select("vec_id", F.inline(F.array(*structs)))
     return out.select("vec_id", "component", rnd("ld").alias("log_density"))
 
 
-@query("e14_mixture_likelihood", f"""
-    WITH {GAUSS_SQL},
+LL_SQL = """
     j AS (SELECT vec_id, component, ln(w) + ld AS s FROM dens),
     m AS (SELECT vec_id, max(s) AS mx FROM j GROUP BY vec_id),
     ll AS (SELECT j.vec_id, any_value(m.mx) + ln(sum(exp(j.s - m.mx))) AS ll FROM j JOIN m USING (vec_id)
-           GROUP BY j.vec_id),
+           GROUP BY j.vec_id)"""
+
+
+@query("e14_mixture_likelihood", f"""
+    WITH RECURSIVE {GAUSS_SQL}, {LL_SQL},
     best AS (SELECT vec_id, component FROM (
                SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, component) AS rn FROM j)
              WHERE rn = 1)
     SELECT ll.vec_id, {sql_rnd('ll.ll')} AS log_likelihood, best.component AS best_component
     FROM ll JOIN best USING (vec_id)""")
 def e14_mixture_likelihood(spark, sf_dir):
-    df, cols, comps = _components(spark, sf_dir)
-    joint = [F.lit(float(np.log(w))) + gaussian_logpdf(cols, mu, cov) for _, w, mu, cov in comps]
-    labels = [k for k, *_ in comps]
-    return df.select("vec_id", rnd(logsumexp(joint)).alias("log_likelihood"),
-                     pick(labels, argmax_index(joint)).alias("best_component"))
+    scored, names, labels, _ = _components(spark, sf_dir)
+    joint = [F.col(c) for c in names]
+    return scored.select("vec_id", rnd(logsumexp(joint)).alias("log_likelihood"),
+                         pick(labels, argmax_index(joint)).alias("best_component"))
 
 
 @query("e14_total_log_likelihood", f"""
-    WITH {GAUSS_SQL},
-    j AS (SELECT vec_id, ln(w) + ld AS s FROM dens),
-    m AS (SELECT vec_id, max(s) AS mx FROM j GROUP BY vec_id),
-    ll AS (SELECT j.vec_id, any_value(m.mx) + ln(sum(exp(j.s - m.mx))) AS ll FROM j JOIN m USING (vec_id)
-           GROUP BY j.vec_id)
+    WITH RECURSIVE {GAUSS_SQL}, {LL_SQL}
     SELECT count(*) AS n, {sql_rnd('sum(ll)', 4)} AS total_log_likelihood FROM ll""")
 def e14_total_log_likelihood(spark, sf_dir):
     """E14 reduction: Σ_rows log Σ_k π_k N(x; μ_k, Σ_k), one aggregate over the scored rows."""
-    df, cols, comps = _components(spark, sf_dir)
-    joint = [F.lit(float(np.log(w))) + gaussian_logpdf(cols, mu, cov) for _, w, mu, cov in comps]
-    names = [f"_j{i}" for i in range(len(joint))]
-    staged = df.select(*[c.alias(n) for c, n in zip(joint, names)])
-    ll = staged.select(logsumexp([F.col(n) for n in names]).alias("ll"))
+    scored, names, _, _ = _components(spark, sf_dir)
+    ll = scored.select(logsumexp([F.col(c) for c in names]).alias("ll"))
     return ll.agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("ll"), 4).alias("total_log_likelihood"))

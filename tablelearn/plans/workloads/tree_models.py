@@ -2,15 +2,14 @@
 
 The oracles grow the same trees in SQL: candidate cutoffs are the distinct
 values and the argmax is a window. G9, G10 and B12 are recursive SQL, a level a
-step, until no split is left; the depth-2 trees of boosting are unrolled, with
-left-side statistics from a self-join on ``v' >= v``.
+step, until no split is left; the depth-2 trees of boosting are unrolled.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ...sources.tables import embedding_view, read_table
+from ...sources.tables import read_table
 from ..boosting import GradientBoostingClassifier
 from ..common import WIDE, rnd, sql_emb, sql_rnd, xs
 from ..registry import query
@@ -47,9 +46,9 @@ def tree_sql(rows: str, feats: list[str], stats: list[str], gain, count_expr, de
             f"{prefix}st{lv} AS (SELECT node, f, v, {s_sum} FROM {prefix}lg{lv} GROUP BY node, f, v)",
             f"{prefix}tt{lv} AS (SELECT node, {', '.join(f'sum(s{j}) AS t{j}' for j in range(m))} FROM {prefix}lv{lv} GROUP BY node)",
             f"{prefix}el{lv} AS (SELECT node FROM {prefix}tt{lv} t WHERE {count_expr(t)} >= {MIN_SPLIT})",
-            f"{prefix}lf{lv} AS (SELECT c.node, c.f, c.v, {', '.join(f'sum(k.s{j}) AS l{j}' for j in range(m))} "
-            f"FROM {prefix}st{lv} c JOIN {prefix}st{lv} k ON k.node = c.node AND k.f = c.f AND k.v >= c.v "
-            f"WHERE c.node IN (SELECT node FROM {prefix}el{lv}) GROUP BY c.node, c.f, c.v)",
+            f"{prefix}lf{lv} AS (SELECT node, f, v, "
+            f"{', '.join(f'sum(s{j}) OVER (PARTITION BY node, f ORDER BY v DESC) AS l{j}' for j in range(m))} "
+            f"FROM {prefix}st{lv} WHERE node IN (SELECT node FROM {prefix}el{lv}))",
             f"{prefix}gn{lv} AS (SELECT lf.node, lf.f, lf.v, round({gain(t, lcols, r)}, 12) AS g "
             f"FROM {prefix}lf{lv} lf JOIN {prefix}tt{lv} t USING (node) WHERE {count_expr(r)} > 0.5)",
             f"{prefix}bs{lv} AS (SELECT node, f, v, g FROM (SELECT *, row_number() OVER "
@@ -227,7 +226,7 @@ def _newton_sql(k: int):
 
 def _boost_sql(tail: str) -> str:
     k = 10
-    feats = xs(2)
+    feats = xs(WIDE)
     ranked = "(SELECT label, row_number() OVER (ORDER BY label) - 1 AS i FROM cls)"
     ind = [f"(label = (SELECT label FROM {ranked} WHERE i = {j}))::DOUBLE" for j in range(k)]
     # z = 0 -> p = 1/K for every class: G = 1/K - y, H = (1/K)(1 - 1/K)
@@ -235,7 +234,7 @@ def _boost_sql(tail: str) -> str:
              + [f"{(1.0 / k) * (1.0 - 1.0 / k)} AS s{k + j}" for j in range(k)] + [f"1.0::DOUBLE AS s{2 * k}"])
     rows = f"rows AS (SELECT vec_id AS rid, {', '.join(feats)}, label, {', '.join(stats)} FROM emb)"
     gain, count = _newton_sql(k)
-    ctes = [sql_emb(2), CLASS_ROWS, rows] + tree_sql("rows", feats, [f"s{j}" for j in range(2 * k + 1)],
+    ctes = [sql_emb(WIDE), CLASS_ROWS, rows] + tree_sql("rows", feats, [f"s{j}" for j in range(2 * k + 1)],
                                                      gain, count)
     zs = ", ".join(f"-{BOOST_LR} * sum(r.s{j}) / sum(r.s{k + j}) AS z{j}" for j in range(k))
     ctes.append(f"leaf AS (SELECT n.node, {zs} FROM nd{DEPTH} n JOIN rows r USING (rid) GROUP BY n.node)")
@@ -250,10 +249,10 @@ def _boost_sql(tail: str) -> str:
       SELECT *, row_number() OVER (PARTITION BY rid ORDER BY round(z, 10) DESC, j) AS rn FROM zl) zl
     JOIN {ranked} c ON c.i = zl.j WHERE zl.rn = 1"""))
 def g12_boosting_one_round(spark, sf_dir):
-    df = embedding_view(spark, sf_dir, 2)
+    df, feats = wide_features(spark, sf_dir)
     model = GradientBoostingClassifier(n_estimators=1, learning_rate=BOOST_LR, max_depth=DEPTH).fit(
-        df, xs(2), "label")
-    return df.select("vec_id", model.predict_col().alias("prediction"))
+        df, feats, "label")
+    return model.transform(df).select("vec_id", "prediction")
 
 
 @query("g11_boosted_tree_leaves", _boost_sql("""
@@ -261,9 +260,9 @@ def g12_boosting_one_round(spark, sf_dir):
     FROM (SELECT DISTINCT node, j, z FROM zl)"""))
 def g11_boosted_tree_leaves(spark, sf_dir):
     """The single Newton tree of round one: per leaf, the -lr·G/H vector."""
-    df = embedding_view(spark, sf_dir, 2)
+    df, feats = wide_features(spark, sf_dir)
     model = GradientBoostingClassifier(n_estimators=1, learning_rate=BOOST_LR, max_depth=DEPTH).fit(
-        df, xs(2), "label")
+        df, feats, "label")
     tree = model.trees[0]
     rows = [(i, j, float(-BOOST_LR * v)) for i, nd in tree.nodes.items() if "value" in nd
             for j, v in enumerate(nd["value"])]
@@ -281,25 +280,25 @@ def _boost_rounds_sql(rounds: int = BOOST_ROUNDS) -> str:
     prefix per round) and the logit update; prediction = argmax of the rounded
     logits, lowest class on ties."""
     k = 10
-    feats = xs(2)
+    feats = xs(WIDE)
     ranked = "(SELECT label, row_number() OVER (ORDER BY label) - 1 AS i FROM cls)"
     ind = [f"(label = (SELECT label FROM {ranked} WHERE i = {j}))::DOUBLE" for j in range(k)]
     zs = [f"z{j}" for j in range(k)]
     gain, count = _newton_sql(k)
-    ctes = [sql_emb(2), CLASS_ROWS,
-            f"zr0 AS (SELECT vec_id AS rid, x1, x2, label, {', '.join(f'0.0::DOUBLE AS {z}' for z in zs)} FROM emb)"]
+    ctes = [sql_emb(WIDE), CLASS_ROWS,
+            f"zr0 AS (SELECT vec_id AS rid, {', '.join(feats)}, label, {', '.join(f'0.0::DOUBLE AS {z}' for z in zs)} FROM emb)"]
     for r in range(rounds):
         mx = f"greatest({', '.join(zs)})"
         ctes.append(f"ls{r} AS (SELECT *, {mx} + ln({' + '.join(f'exp({z} - {mx})' for z in zs)}) AS lse FROM zr{r})")
         ps = [f"exp(z{j} - lse)" for j in range(k)]
         stats = ([f"{ps[j]} - {ind[j]} AS s{j}" for j in range(k)]
                  + [f"{ps[j]} * (1 - {ps[j]}) AS s{k + j}" for j in range(k)] + [f"1.0::DOUBLE AS s{2 * k}"])
-        ctes.append(f"rw{r} AS (SELECT rid, x1, x2, label, {', '.join(stats)} FROM ls{r})")
+        ctes.append(f"rw{r} AS (SELECT rid, {', '.join(feats)}, label, {', '.join(stats)} FROM ls{r})")
         ctes += tree_sql(f"rw{r}", feats, [f"s{j}" for j in range(2 * k + 1)], gain, count, prefix=f"r{r}_")
         leaf = ", ".join(f"sum(w.s{j}) / sum(w.s{k + j}) AS g{j}" for j in range(k))
         ctes.append(f"lv{r} AS (SELECT n.node, {leaf} FROM r{r}_nd{DEPTH} n JOIN rw{r} w USING (rid) GROUP BY n.node)")
         upd = ", ".join(f"z.z{j} - {BOOST_LR} * l.g{j} AS z{j}" for j in range(k))
-        ctes.append(f"zr{r + 1} AS (SELECT z.rid, z.x1, z.x2, z.label, {upd} FROM zr{r} z "
+        ctes.append(f"zr{r + 1} AS (SELECT z.rid, {', '.join('z.' + f for f in feats)}, z.label, {upd} FROM zr{r} z "
                     f"JOIN r{r}_nd{DEPTH} n USING (rid) JOIN lv{r} l USING (node))")
     last = f"zr{rounds}"
     ctes.append(f"zl AS (SELECT rid, label, unnest(range({k})) AS j, unnest([{', '.join(zs)}]) AS z FROM {last})")
@@ -311,8 +310,8 @@ def _boost_rounds_sql(rounds: int = BOOST_ROUNDS) -> str:
 
 @query("g12_boosting", _boost_rounds_sql())
 def g12_boosting(spark, sf_dir):
-    """20 rounds on 2 dims, every round a depth-2 Newton tree."""
-    df = embedding_view(spark, sf_dir, 2)
+    """20 rounds on whole vectors, every round a depth-2 Newton tree."""
+    df, feats = wide_features(spark, sf_dir)
     model = GradientBoostingClassifier(n_estimators=BOOST_ROUNDS, learning_rate=BOOST_LR, max_depth=DEPTH).fit(
-        df, xs(2), "label")
+        df, feats, "label")
     return model.transform(df).select("vec_id", "label", "prediction")

@@ -143,3 +143,32 @@ def test_boosting_large_and_small_nodes_agree(spark):
                 assert t.nodes[i]["value"] == pytest.approx(u.nodes[i]["value"])
             else:
                 assert t.nodes[i] == u.nodes[i]
+
+
+def test_two_hundred_rounds_and_probabilities(spark):
+    """The default size: rounds without row state, logits written now and then, probabilities of
+    all classes in one pass."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(80, 2))
+    ys = [int(v) for v in (x[:, 0] > 0).astype(int) + (x[:, 1] > 0.5)]
+    df, feats = table(spark, x.tolist(), ys, "int")
+    m = GradientBoostingClassifier(n_estimators=200, learning_rate=0.05, state_every=80).fit(df, feats, "y")
+    assert len(m.trees) == 200
+    got = {r.id: [r.probability_0, r.probability_1, r.probability_2] for r in m.predict_proba(df).collect()}
+    z = np.zeros((80, 3))
+    for t in m.trees:
+        for i in range(80):
+            node = 1
+            while "value" not in t.nodes[node]:
+                node = 2 * node + (x[i, t.nodes[node]["feature"]] < t.nodes[node]["cutoff"])
+            z[i] -= 0.05 * np.array(t.nodes[node]["value"])
+    p = np.exp(z - z.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    assert all(got[i] == pytest.approx(p[i], abs=1e-9) for i in range(80))
+    assert np.mean([np.argmax(got[i]) == ys[i] for i in range(80)]) == 1.0
+    once = GradientBoostingClassifier(n_estimators=12, learning_rate=0.05, state_every=5).fit(df, feats, "y")
+    assert [t.nodes for t in once.trees] == [t.nodes for t in m.trees[:12]] or all(
+        sorted(a.nodes) == sorted(b.nodes) for a, b in zip(once.trees, m.trees))
+    bad = df.withColumn("y", F.when(F.col("id") > 0, F.col("y")))
+    with pytest.raises(ValueError, match="NULL"):
+        GradientBoostingClassifier(n_estimators=1).fit(bad, feats, "y")

@@ -52,7 +52,9 @@ MAX_LIGHT = 20
 #: Lists up to this length give all their pairs; longer ones go by pivot and blocks.
 SHORT_LIST = 8
 #: Sets in one block of the block comparison.
-BLOCK = 512
+BLOCK = 2048
+#: Bytes of whole sets that may be broadcast to the pairs they stand in.
+BROADCAST_BYTES = 64 << 20
 #: Cost of a list entry, in subsets (it is shuffled, sorted and may need a check).
 ENTRY_COST = 4
 #: Word counts are kept in so many hash cells (4 MB) to order the elements; they never
@@ -326,9 +328,17 @@ def _sketch_filter(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame
 
 def _check_pairs(pairs: DataFrame, sets: DataFrame, t: Threshold, scratch: Scratch) -> DataFrame:
     """The pairs whose whole sets meet the threshold; whole sets move only for pairs that
-    their sketches leave open."""
+    their sketches leave open. The end that stands in more pairs, a pivot mostly, is the hub:
+    the other ends' sets move once, hubs' sets are broadcast if they are few."""
     pairs = scratch.spill(_sketch_filter(pairs, sets, t), "join-near")
-    sets = _only(sets, _ends(pairs, "join-near-ends", scratch))
+    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
+    ends = _few(scratch.spill(ends.groupBy("rep").agg(F.count(F.lit(1)).alias("k")), "join-near-ends"))
+    of = {c: ends.select(F.col("rep").alias(c), F.struct("k", F.col("rep").alias("r")).alias(f"{c}k")) for c in "ab"}
+    turned = pairs.join(of["a"], "a").join(of["b"], "b").select(
+        F.greatest("ak", "bk")["r"].alias("hub"), F.least("ak", "bk")["r"].alias("leaf"))
+    turned = scratch.spill(turned, "join-turned")
+    held = {c: _only(sets, scratch.spill(turned.select(F.col(c).alias("rep")).distinct(), f"join-{c}s")) for c in ("hub", "leaf")}
+    size = held["hub"].agg(F.sum("n")).first()[0] or 0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -336,11 +346,13 @@ def _check_pairs(pairs: DataFrame, sets: DataFrame, t: Threshold, scratch: Scrat
             for x, y in zip(b["x"], b["y"]):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 ok.append(len(np.intersect1d(p, q, assume_unique=True)) >= t.need(len(p), len(q)))
-            yield b.loc[ok, ["a", "b"]]
+            yield b.loc[ok, ["hub", "leaf"]]
 
-    x = sets.select(F.col("rep").alias("a"), F.col("els").alias("x"))
-    y = sets.select(F.col("rep").alias("b"), F.col("els").alias("y"))
-    return pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint")
+    x = held["hub"].select(F.col("rep").alias("hub"), F.col("els").alias("x"))
+    y = held["leaf"].select(F.col("rep").alias("leaf"), F.col("els").alias("y"))
+    x = F.broadcast(x) if 8 * size <= BROADCAST_BYTES else x
+    good = turned.join(y, "leaf").join(x, "hub").mapInPandas(run, "hub bigint, leaf bigint")
+    return good.select(F.least("hub", "leaf").alias("a"), F.greatest("hub", "leaf").alias("b"))
 
 
 def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame:

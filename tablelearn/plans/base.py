@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_CLASSES = 10_000
+#: Numbers that a model table may hold.
+MAX_MODEL_CELLS = 10_000_000
 
 
 def collect_bounded(df: DataFrame, what: str, limit: int = MAX_CLASSES) -> list:
@@ -26,7 +28,7 @@ def collect_bounded(df: DataFrame, what: str, limit: int = MAX_CLASSES) -> list:
 
 @dataclass
 class ModelTable:
-    """A fitted model as named parameter arrays plus metadata.
+    """A fitted model as named parameter arrays plus metadata (names, classes of any JSON type).
 
     ``to_frame`` gives the long table ``(param, index, value)``; ``save`` /
     ``load`` write it as Parquet so fitted models outlive the session.
@@ -45,15 +47,14 @@ class ModelTable:
         return spark.createDataFrame(rows, "param string, index array<int>, value double")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        df = self.to_frame(spark).withColumn(
+        self.to_frame(spark).withColumn(
             "meta", F.lit(json.dumps({"kind": self.kind, **self.meta,
                                       "shapes": {k: list(np.shape(v))
-                                                 for k, v in self.params.items()}})))
-        df.coalesce(1).write.mode("overwrite").parquet(path)
+                                                 for k, v in self.params.items()}}))).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "ModelTable":
-        rows = spark.read.parquet(path).collect()
+        rows = collect_bounded(spark.read.parquet(path), "model table", MAX_MODEL_CELLS)
         if not rows:
             raise ValueError(f"empty model table at {path}")
         meta = json.loads(rows[0]["meta"])

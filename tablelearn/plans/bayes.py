@@ -33,6 +33,11 @@ def _check_priors(priors, k: int) -> np.ndarray:
     return pr
 
 
+def _plain(classes: list) -> list:
+    """Class labels as JSON holds them: integers, strings, floats."""
+    return [c.item() if isinstance(c, np.generic) else c for c in classes]
+
+
 class _ClassScorer:
     classes: list
     features: list[str]
@@ -109,9 +114,15 @@ class GaussianNB(_ClassScorer):
 
     def model_table(self) -> ModelTable:
         return ModelTable("gaussian_nb", {"theta": self.theta, "var": self.var,
-                                          "prior": self.class_prior,
-                                          "classes": np.array(self.classes, dtype=float)},
-                          {"features": self.features})
+                                          "prior": self.class_prior},
+                          {"features": self.features, "classes": _plain(self.classes)})
+
+    @classmethod
+    def from_table(cls, table: ModelTable) -> "GaussianNB":
+        model = cls()
+        model.features, model.classes = table.meta["features"], table.meta["classes"]
+        model.theta, model.var, model.class_prior = (table.params[k] for k in ("theta", "var", "prior"))
+        return model
 
 
 class LinearDiscriminantAnalysis(_ClassScorer):
@@ -158,6 +169,12 @@ class LinearDiscriminantAnalysis(_ClassScorer):
         return x @ self.coef.T + self.intercept
 
     def model_table(self) -> ModelTable:
-        return ModelTable("lda", {"coef": self.coef, "intercept": self.intercept,
-                                  "classes": np.array(self.classes, dtype=float)},
-                          {"features": self.features})
+        return ModelTable("lda", {"coef": self.coef, "intercept": self.intercept},
+                          {"features": self.features, "classes": _plain(self.classes)})
+
+    @classmethod
+    def from_table(cls, table: ModelTable) -> "LinearDiscriminantAnalysis":
+        model = cls()
+        model.features, model.classes = table.meta["features"], table.meta["classes"]
+        model.coef, model.intercept = table.params["coef"], table.params["intercept"]
+        return model

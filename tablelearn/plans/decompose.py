@@ -1,7 +1,8 @@
 """G18 PCA (with B8 centring, B10 projection, B11 reconstruction, E15 variance).
 
-Fit = one covariance aggregate (E2; Arrow block Gram for wide inputs), then a
-p x p symmetric eigen-decomposition on the driver. Components are flipped so
+Fit = one tree QR of the rows beside a column of ones, which leaves the triangle of the
+centred rows in its lower right; its SVD on the driver gives components and variances without
+forming a covariance, whose condition number would be squared. Components are flipped so
 that the largest-magnitude loading of each is positive. Transform centres
 (unlike the reference's ``transform``, which forgot to) and is a projection
 with the components as literals.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrow_scores import append_scores, is_wide
 from ..functions.linalg import dot
-from ..operators.moments import covariance_matrix
+from ..operators.tree_qr import tree_qr
 
 
 class PCA:
@@ -30,15 +31,14 @@ class PCA:
         k = p if self.n_components is None else self.n_components
         if not 0 < k <= p:
             raise ValueError(f"n_components={k} must be between 1 and {p}")
-        n, mean, cov = covariance_matrix(df, self.features)
+        n, r = tree_qr(df, self.features)
         if n < 2:
             raise ValueError("PCA needs at least two rows")
         if k > n:
             raise ValueError(f"n_components={k} exceeds the row count {n}")
-        self.mean_ = mean
-        vals, vecs = np.linalg.eigh(cov)
-        order = np.argsort(vals)[::-1]
-        vals, vecs = np.clip(vals[order], 0.0, None), vecs[:, order].T
+        self.mean_ = r[0, 1:] / r[0, 0]
+        _, sizes, vecs = np.linalg.svd(r[1:, 1:])
+        vals = sizes ** 2 / (n - 1)
         signs = np.sign(vecs[np.arange(p), np.argmax(np.abs(vecs), axis=1)])
         signs[signs == 0] = 1.0
         vecs = vecs * signs[:, None]
@@ -46,7 +46,7 @@ class PCA:
         total = vals.sum()
         self.explained_variance_ratio_ = vals / total if total > 0 else np.zeros(p)
         self.components_ = vecs[:k]
-        self.covariance_ = cov
+        self.covariance_ = r[1:, 1:].T @ r[1:, 1:] / (n - 1)
         return self
 
     def fit_transform(self, df: DataFrame, features: Sequence[str], prefix: str = "z") -> DataFrame:

@@ -1,8 +1,9 @@
 """G1-G4 linear regression family and G7 logistic regression.
 
-Squared loss runs on the sufficient statistics of one aggregate pass (E1), centred on
-the means of the columns: after it, every iteration is p-dimensional driver arithmetic
-and never touches the table again. Least squares and squared L2 are solved in closed form,
+Least squares comes from the triangle of a tree QR (one scan, the condition number not
+squared). Penalised squared loss runs on the sufficient statistics of one aggregate pass (E1),
+centred on the means of the columns: after it, every iteration is p-dimensional driver
+arithmetic and never touches the table again. Squared L2 is solved in closed form,
 L1 and elastic net by coordinate descent with soft thresholding (exact zeros, stopped by the
 violation of the optimality conditions), the unsquared L2 norm by a one-dimensional root.
 
@@ -25,6 +26,7 @@ from ..operators.metrics import logistic_loss_col
 from ..functions.arrow_scores import arrow_sums, too_many_aggregates
 from ..functions.linalg import dot
 from ..operators.moments import moment_matrices
+from ..operators.tree_qr import tree_qr
 
 
 class _Penalty:
@@ -117,6 +119,9 @@ class LinearModel:
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str) -> "LinearModel":
         self.features = list(features)
+        pen = self.penalty
+        if self.closed_form and not (pen.alpha and (pen.l1_share or pen.l2_share or pen.norm_share)):
+            return self._least_squares(df, label)
         centre = self.fit_intercept and not self.penalize_intercept
         shift = self._means(df, label) if centre else None
         if centre:  # raw moments of far-from-zero columns lose every digit of the slope
@@ -139,6 +144,21 @@ class LinearModel:
         self.mask_ = mask
         return self._solve()
 
+    def _least_squares(self, df: DataFrame, label: str) -> "LinearModel":
+        """No penalty: from the triangle of a tree QR, one scan, as NumPy's lstsq on all rows
+        (the least solution if columns are collinear)."""
+        n, r = tree_qr(df, [*self.features, label], ones=self.fit_intercept)
+        if n == 0:
+            raise ValueError("cannot fit on an empty table")
+        a, b = r[:, :-1], r[:, -1]
+        self.n_, self.gram_, self.xty_, self.syy_, self._shift = n, a.T @ a, a.T @ b, float(b @ b), None
+        self.mask_, self.n_iter_, self.violation_ = np.ones(a.shape[1]), 0, 0.0
+        if self.fit_intercept and not self.penalize_intercept:
+            self.mask_[0] = 0.0
+        self._w = self.coef_ = np.linalg.lstsq(a, b, rcond=max(n, a.shape[1]) * np.finfo(float).eps)[0]
+        self._residual = float(np.sum((a @ self._w - b) ** 2))
+        return self
+
     def refit(self, alpha: float) -> "LinearModel":
         """The model of another ``alpha`` from the same moments, starting at this one's
         coefficients: a regularisation path costs one pass over the table."""
@@ -206,6 +226,8 @@ class LinearModel:
     def training_mse(self) -> float:
         """F1 on the training table from the collected moments (no extra pass)."""
         w = self._w
+        if getattr(self, "_residual", None) is not None:
+            return self._residual / self.n_
         return float((w @ self.gram_ @ w - 2 * w @ self.xty_ + self.syy_) / self.n_)
 
     def objective(self) -> float:

@@ -73,8 +73,6 @@ def a5_model_roundtrip(spark, sf_dir):
     read it back and score with the loaded parameters."""
     import uuid
 
-    import numpy as np
-
     from ...session import scratch_path
     from ..base import ModelTable
 
@@ -83,10 +81,6 @@ def a5_model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, f"models/gaussian_nb-{uuid.uuid4().hex}")
     fitted.model_table().save(spark, path)
     loaded = ModelTable.load(spark, path)
-    model = GaussianNB()
-    model.features = loaded.meta["features"]
-    model.theta, model.var = loaded.params["theta"], loaded.params["var"]
-    model.class_prior = loaded.params["prior"]
-    model.classes = [int(c) for c in np.asarray(loaded.params["classes"])]
+    model = GaussianNB.from_table(loaded)
     return model.transform(df).select("vec_id", "label", "prediction",
                                       rnd("probability").alias("probability"))

@@ -4,13 +4,17 @@ aimed at) add their own, learned interaction.
 
 The model learns from labelled rows whose crc32(doc_id) mod 4 is not 2, of them at most
 ``max_rows`` (those with the smallest id hashes). Terms are lower-cased words (without
-marks at their ends) hashed to 2^20 buckets; a term enters when its document counts by label, over all rows of that
-sample, pass a chi-square test. Only the text is an input of a score.
+marks at their ends) hashed to 2^20 buckets. A term enters in one of two ways, both over all rows
+of that sample: its own document counts by label pass a chi-square test, or it stands in a pair
+whose label rates differ from what its two terms would give one by one (p11 - p10 - p01 + p00,
+in standard errors), so that words harmless alone are learned where only their meeting is
+toxic. Pairs are tested among the ``PAIR_TERMS`` most frequent terms that are not in three quarters of all
+rows. Only the text is an input of a score.
 
 Defined results: null and empty texts get the score of the bias alone; a null id is never
 held out and never trained on; repeated rows are scored one by one, a repeated label row
 counts as often as it stands; without labelled rows every score is 0; extra columns are
-ignored.
+ignored. Very long texts are read whole; ties between terms go by bucket number.
 """
 
 from __future__ import annotations
@@ -30,6 +34,11 @@ BUCKETS = 1 << 20
 #: Chi-square above which a term is kept (p < 0.001), at least so many documents hold it,
 #: and the largest number of terms.
 MIN_CHI2, MIN_DOCS, MAX_TERMS = 10.83, 5, 8192
+#: Terms whose pairs are tested, the largest share of rows that holds such a term, standard
+#: errors from which a pair interacts (some two million pairs are tested), and the most pairs.
+PAIR_TERMS, PAIR_SHARE, MIN_Z, MAX_PAIRS = 2048, 0.75, 6.5, 1024
+
+
 
 def _letter(ch: str) -> bool:
     return ch.isalnum() and not ch.isdecimal()
@@ -45,6 +54,32 @@ def buckets(text: str | None, cache: WordCache) -> set[int]:
     return set(map(cache.__getitem__, set(text.split()))) if text else set()
 
 
+def interacting(rows: list[np.ndarray], y: np.ndarray, n_terms: int) -> list[tuple[int, int]]:
+    """The pairs of terms (numbers below ``n_terms``) that interact, the strongest first.
+    ``rows`` are bounded by the training sample; counts are matrix products of row blocks."""
+    both, hit = np.zeros((n_terms, n_terms), np.float32), np.zeros((n_terms, n_terms), np.float32)
+    for at in range(0, len(rows), 2000):
+        x = np.zeros((len(rows[at:at + 2000]), n_terms), np.float32)
+        for i, r in enumerate(rows[at:at + 2000]):
+            x[i, r] = 1.0
+        both += x.T @ x
+        x = x[y[at:at + 2000] > 0]
+        hit += x.T @ x
+    n, k, total, toxic = np.diag(both).copy(), np.diag(hit).copy(), float(len(rows)), float((y > 0).sum())
+    contrast, error = np.zeros_like(both), np.zeros_like(both)
+    cells = ((1, both, hit), (-1, n[:, None] - both, k[:, None] - hit), (-1, n[None, :] - both, k[None, :] - hit),
+             (1, total - n[:, None] - n[None, :] + both, toxic - k[:, None] - k[None, :] + hit))
+    for sign, m, t in cells:
+        p = (t + 0.5) / (m + 1.0)
+        contrast += sign * p
+        error += p * (1.0 - p) / (m + 1.0)
+    z = np.abs(contrast) / np.sqrt(error)
+    z[(both < MIN_DOCS) | (n[:, None] - both < 1) | (n[None, :] - both < 1)] = 0.0
+    i, j = np.nonzero(np.triu(z, 1) >= MIN_Z)
+    order = np.lexsort((j, i, -z[i, j]))[:MAX_PAIRS]
+    return list(zip(i[order].tolist(), j[order].tolist()))
+
+
 class FactorizationMachine:
     """Logistic FM on sets of term numbers: w0 + sum w_i + sum_{i<j} <v_i, v_j>."""
 
@@ -118,19 +153,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     a, c, total = F.col("a"), F.col("c"), float(n0 + n1)
     margin = F.greatest((a + c) * (F.lit(total) - a - c) * F.lit(float(n0)) * F.lit(float(n1)), F.lit(1.0))
     chi = F.lit(total) * F.pow(a * F.lit(float(n0)) - c * F.lit(float(n1)), 2) / margin
-    terms = sorted(r["b"] for r in per.where((a + c >= MIN_DOCS) & (chi >= MIN_CHI2))
-                   .orderBy(chi.desc(), "b").limit(MAX_TERMS).collect())
-    model = FactorizationMachine(terms)
-    shared = Shared(spark, model.index)
+    per = per.where(a + c >= MIN_DOCS).persist()
+    own = [r["b"] for r in per.where(chi >= MIN_CHI2).orderBy(chi.desc(), "b").limit(MAX_TERMS).collect()]
+    often = [r["b"] for r in per.where(a + c <= PAIR_SHARE * total).orderBy((a + c).desc(), "b").limit(PAIR_TERMS).collect()]
+    per.unpersist()
+    asked = often + sorted(set(own) - set(often))  # at most PAIR_TERMS + MAX_TERMS numbers
+    shared = Shared(spark, {t: i for i, t in enumerate(asked)})
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, index = WordCache(bucket), shared.value
         for b in batches:
-            xs = [sorted(index[k] for k in buckets(t, cache) if k in index) for t in b["text"]]
+            xs = [np.array(sorted(index[k] for k in buckets(t, cache) if k in index), "<u2").tobytes() for t in b["text"]]
             yield pd.DataFrame({"x": xs, "y": (b["y"] > 0).astype("int32")})
 
-    got = sorted((list(r["x"]), r["y"]) for r in rows.mapInPandas(encode, "x array<int>, y int").collect())
-    return model.fit([x for x, _ in got], [y for _, y in got])
+    got = sorted((bytes(r["x"]), r["y"]) for r in rows.mapInPandas(encode, "x binary, y int").collect())
+    xs, ys = [np.frombuffer(x, "<u2") for x, _ in got], np.array([y for _, y in got])
+    pairs = interacting([x[x < len(often)] for x in xs], ys, len(often))
+    terms = sorted(set(own) | {often[t] for pair in pairs for t in pair})
+    model = FactorizationMachine(terms)
+    number = np.array([model.index.get(t, -1) for t in asked])
+    return model.fit([[i for i in number[x].tolist() if i >= 0] for x in xs], ys.tolist())
 
 
 def score(docs: DataFrame, model: FactorizationMachine | None, id_col: str = "doc_id",

@@ -12,11 +12,11 @@ c(a, b), the smallest integer that meets the threshold.
   count bounds its n-grams' counts), and only the first a - ceil(t a) + 1 elements of a
   set are listed: linked sets share one of these. Short lists give their pairs (filtered
   by size and position), checked exactly on the whole sets. In a long list every set is
-  first checked against one pivot, the set that stands in the most long lists: it is the
-  most central one and the same in most lists of a family. What stays outside the list's
-  largest component gets a pivot of its own in the same way; sets that are still outside are
-  then compared with
-  the rest block by block, each block pair by scanning in-memory inverted lists of the
+  first checked against one pivot, the set of least number, which is the same in most lists
+  of a family; lists are then forgotten, and what is kept is which sets have which pivots.
+  Of two sets of a list in different components one is outside its pivot's: such sets are
+  compared with all sets that share a pivot with them, directly or over others,
+  block by block, each block pair by scanning in-memory inverted lists of the
   listed elements; pairs that neither these nor counts of their elements by hash bucket
   rule out are checked exactly. Links found there join components found before.
 
@@ -61,6 +61,8 @@ ENTRY_COST = 4
 #: decide a result.
 CELL_BITS, CHUNK = 22, 1 << 12
 BROADCAST_IDS = 1_000_000
+#: What _list_pairs finds.
+PAIR, STAR, MEMBER = 0, 1, 2
 #: Buckets of a set's sketch; it spares unlike pairs the move of their whole sets.
 SKETCH = 256
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -224,16 +226,19 @@ def _light_links(reps: DataFrame, boundary: int, t: Threshold, scratch: Scratch)
 
 
 def _list_pairs(entries: DataFrame, t: Threshold) -> DataFrame:
-    """From entries (sid, rep, n, pos), sorted by list within each partition: the
-    filtered pairs of short lists (a < b, sid null) and the entries of long ones."""
+    """From entries (sid, rep, n, pos), sorted by (sid, rep) within each partition: the
+    filtered pairs of short lists (a < b, kind PAIR), and of long lists every member with the
+    list's first one, its pivot (a the member, b the pivot; STAR if size and position allow a
+    link, else MEMBER)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
-        long_sid = None
+        long_sid, long_pivot = None, None  # the long list that goes on
 
         def emit(x: pd.DataFrame) -> pd.DataFrame:
-            nonlocal long_sid
+            nonlocal long_pivot
             sid, rep, n, pos = (x[c].to_numpy(np.int64) for c in ("sid", "rep", "n", "pos"))
             edge = np.r_[0, np.nonzero(np.diff(sid))[0] + 1, len(sid)]
+            start = np.repeat(edge[:-1], np.diff(edge))
             size = np.repeat(np.diff(edge), np.diff(edge))
             if long_sid is not None:
                 size = np.where(sid == long_sid, SHORT_LIST + 1, size)
@@ -243,15 +248,21 @@ def _list_pairs(entries: DataFrame, t: Threshold) -> DataFrame:
                     break
                 i = np.nonzero((sid[d:] == sid[:-d]) & (size[:-d] <= SHORT_LIST))[0]
                 j = i + d
-                need = t.need(n[i], n[j])
-                ok = (1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1 >= need) & (need <= np.minimum(n[i], n[j]))
+                ok = _may_link(n[i], n[j], pos[i], pos[j], t)
                 i, j = i[ok], j[ok]
-                pairs.append(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])], 1))
-            p = np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), np.int64)
+                pairs.append(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j]), np.full(len(i), PAIR)], 1))
             k = np.nonzero(size > SHORT_LIST)[0]
-            return pd.concat([
-                pd.DataFrame({"a": p[:, 0], "b": p[:, 1], "sid": pd.array([None] * len(p), "Int64"), "n": 0, "pos": 0}),
-                pd.DataFrame({"a": rep[k], "b": 0, "sid": pd.array(sid[k], "Int64"), "n": n[k], "pos": pos[k]})])
+            hub = np.stack([rep[start[k]], n[start[k]], pos[start[k]]])
+            if long_sid is not None:
+                mine = sid[k] == long_sid
+                if mine.any():
+                    if long_pivot is None:
+                        long_pivot = hub[:, mine][:, 0]
+                    hub[:, mine] = long_pivot[:, None]
+            kind = np.where(_may_link(n[k], hub[1], pos[k], hub[2], t), STAR, MEMBER)
+            pairs.append(np.stack([rep[k], hub[0], kind], 1))
+            p = np.unique(np.concatenate(pairs), axis=0)
+            return pd.DataFrame(p, columns=["a", "b", "kind"])
 
         for b in batches:
             x = b if held is None else pd.concat([held, b], ignore_index=True)
@@ -263,13 +274,20 @@ def _list_pairs(entries: DataFrame, t: Threshold) -> DataFrame:
                 yield emit(x.iloc[:at])
             held = x.iloc[at:]
             if len(held) > SHORT_LIST:  # a long list streams through, however long
-                long_sid = last
+                if long_sid != last:
+                    long_sid, long_pivot = last, None
                 yield emit(held)
                 held = None
         if held is not None and len(held):
             yield emit(held)
 
-    return entries.mapInPandas(run, "a bigint, b bigint, sid bigint, n int, pos int")
+    return entries.mapInPandas(run, "a bigint, b bigint, kind int")
+
+
+def _may_link(n, m, p, q, t: Threshold) -> np.ndarray:
+    """The size and position filters."""
+    need = t.need(n, m)
+    return (need <= np.minimum(n, m)) & (np.minimum(n - p, m - q) >= need)
 
 
 def _head_filter(pairs: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame:
@@ -451,12 +469,16 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, scr
     entries = heavy.select("rep", "n", F.posexplode(F.slice("head", F.lit(1), keep)).alias("pos", "sid"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = scratch.spill(_list_pairs(entries.select("sid", "rep", "n", "pos").repartition(parts, "sid")
-                                      .sortWithinPartitions("sid"), t), "join-lists")
-    short = found.where("sid is null").select("a", "b")
-    long = found.where("sid is not null").select("sid", F.col("a").alias("rep"), "n", "pos")
-    near = scratch.spill(short.union(_star(long, t, scratch)).distinct(), "join-candidates")
+                                      .sortWithinPartitions("sid", "rep"), t), "join-lists")
+    short = found.where(F.col("kind") == PAIR).select("a", "b")
+    # members of long lists with their pivots; from here on lists are forgotten
+    stars = scratch.spill(found.where(F.col("kind") != PAIR).groupBy(F.col("a").alias("rep"), F.col("b").alias("pivot"))
+                          .agg(F.min("kind").alias("kind")), "join-stars")
+    star = stars.where((F.col("kind") == STAR) & (F.col("rep") != F.col("pivot"))).select(
+        F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
+    near = scratch.spill(short.union(star).distinct(), "join-candidates")
     pairs = scratch.spill(_head_filter(near, _only(heavy, _ends(near, "join-ends", scratch)), t), "join-pairs")
-    wanted = scratch.spill(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(long.select("rep")).distinct(),
+    wanted = scratch.spill(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(stars.select("rep")).distinct(),
                            "join-wanted")
     texts = known.where("row >= 0").unionByName(known.where("row < 0").dropDuplicates(["row"]))
     texts = _only(texts.withColumn("rep", F.col("row")), wanted)
@@ -465,21 +487,20 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, scr
     links.append(_check_pairs(pairs, sets, t, scratch))
     label = components(links[0].union(links[1]), scratch)
 
-    rest = _open_lists(long, label, scratch)
-    if rest.limit(1).count():
-        # a pivot for what is outside the largest component of its list
-        outside = long.join(rest.where("rest").select("sid", "rep"), ["sid", "rep"], "left_semi")
-        again = scratch.spill(_star(outside, t, scratch).distinct(), "join-candidates")
-        again = scratch.spill(_head_filter(again, _only(heavy, _ends(again, "join-ends", scratch)), t), "join-pairs")
-        label = _merge(label, _check_pairs(again, sets, t, scratch), scratch)
-        rest = _open_lists(long, label, scratch)
-    if rest.limit(1).count():
-        # families: sets connected by open lists
-        hub = rest.groupBy("sid").agg(F.min("rep").alias("hub"))
-        fam = components(rest.join(hub, "sid").select(F.col("hub").alias("a"), F.col("rep").alias("b")), scratch)
-        members = (rest.groupBy("rep", "component").agg(F.max("rest").alias("rest"))
-                   .join(fam, F.col("rep") == F.col("node")).select(fam["component"].alias("family"), "rep",
-                                                                   rest["component"], "rest"))
+    # members of a long list that are not in its pivot's component yet
+    parted = _components_of(stars, label, "rep", "component").select("rep", "pivot", "component")
+    parted = _components_of(parted, label, "pivot", "theirs")
+    parted = scratch.spill(parted, "join-parted")
+    opened = parted.where("component <> theirs")
+    if opened.limit(1).count():
+        # families: sets connected by pivots that have such a member
+        hubs = _few(scratch.spill(opened.select("pivot").distinct(), "join-open-pivots"))
+        rest = _few(scratch.spill(opened.select("rep").distinct().withColumn("outside", F.lit(True)), "join-rest"))
+        inside = parted.join(hubs, "pivot", "left_semi")
+        fam = components(inside.select(F.col("pivot").alias("a"), F.col("rep").alias("b")), scratch)
+        members = inside.select("rep", "component").distinct().join(rest, "rep", "left").join(fam, F.col("rep") == F.col("node"))
+        members = members.select(fam["component"].alias("family"), "rep", inside["component"],
+                                 F.coalesce("outside", F.lit(False)).alias("rest"))
         members = scratch.spill(members, "join-members")
         ids = members.select("rep").distinct()
         known_of = _only(heavy, ids).select("rep", "n", "head").join(_only(sets, ids).select("rep", "sketch"), "rep")
@@ -514,30 +535,10 @@ def _few(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
 
 
-def _star(long: DataFrame, t: Threshold, scratch: Scratch) -> DataFrame:
-    """Every set of a long list with the list's pivot, if size and position allow a link."""
-    often = long.groupBy("rep").agg(F.count(F.lit(1)).alias("often"))
-    pivot = (long.join(often, "rep").groupBy("sid")
-             .agg(F.max(F.struct("often", (-F.col("rep")).alias("least"), "rep", "pos", "n")).alias("p")))
-    pivot = scratch.spill(pivot, "join-pivots")
-    return (long.join(_few(pivot), "sid").where("rep <> p.rep")
-            .where(_possible(F.col("n"), F.col("p.n"), F.col("pos"), F.col("p.pos"), t))
-            .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")))
-
-
-def _open_lists(long: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
-    """sid, rep, component, rest of the long lists whose sets are not in one component yet;
-    ``rest`` marks the sets outside the list's largest one."""
-    parted = (long.select("sid", "rep").distinct().join(label, F.col("rep") == F.col("node"), "left")
-              .select("sid", "rep", F.coalesce("component", "rep").alias("component")))
-    parted = scratch.spill(parted, "join-parted")
-    tally = parted.groupBy("sid", "component").agg(F.count(F.lit(1)).alias("k"))
-    opened = (tally.groupBy("sid").agg(F.count(F.lit(1)).alias("parts"),
-                                       F.max(F.struct("k", F.col("component").alias("c"))).alias("top"))
-              .where("parts > 1").select("sid", F.col("top.c").alias("largest")))
-    opened = scratch.spill(opened, "join-open-lists")
-    return scratch.spill(parted.join(_few(opened), "sid").select(
-        "sid", "rep", "component", (F.col("component") != F.col("largest")).alias("rest")), "join-open")
+def _components_of(table: DataFrame, label: DataFrame, node: str, out: str) -> DataFrame:
+    """``table`` with the component of its column ``node`` (itself if it has no link)."""
+    named = label.select(F.col("node").alias(node), F.col("component").alias("named"))
+    return table.join(named, node, "left").withColumn(out, F.coalesce("named", node)).drop("named")
 
 
 def _merge(label: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -570,12 +571,6 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_
     return docs.join(F.broadcast(lost) if few else lost, same, "left_anti")
 
 
-def _possible(n, m, p, q, t: Threshold):
-    """The size and position filters on columns."""
-    need = F.ceil((F.lit(t.t) * (n + m)) / F.lit(100 + t.t))
-    return (need <= F.least(n, m)) & (F.least(n - p, m - q) >= need)
-
-
 def _row_keys(d: DataFrame, scratch: Scratch) -> DataFrame:
     """``d`` with ``text_key``, a hash of the text, and ``row``: the id, or for rows whose id
     stands more than once a negative number from id and text (repeated rows share it). Ids

@@ -103,9 +103,16 @@ def search(marks: str, state: int = START, exit: int | None = None,
     needs = {} if needs is None else needs
     path: list[str] = []
 
+    def floor(i: int, at: int) -> int:
+        """What the goal costs at least from here: the forced costs; to leave no user or
+        assistant behind, every row but one system row must go."""
+        if exit is None or exit >= USER:
+            return forced[i]
+        return NEVER if at > exit or at < exit and i == n else 3 * (n - i - (at < exit))
+
     def walk(i: int, at: int, left: int) -> int:
         """0 if ``path`` now leads to the goal at a cost of at most ``left``, else the least excess."""
-        need = needs.get((i, at), forced[i])
+        need = needs.get((i, at), floor(i, at))
         if need > left:
             return need - left
         if i == n and (at == exit or exit is None and not TAIL[at]):
@@ -113,7 +120,7 @@ def search(marks: str, state: int = START, exit: int | None = None,
         least = NEVER
         for edit, cost, j, to in steps(i, at):
             path.append(edit)
-            over = walk(j, to, left - cost) if cost <= left else cost - left + needs.get((j, to), forced[j])
+            over = walk(j, to, left - cost) if cost <= left else cost - left + needs.get((j, to), floor(j, to))
             if not over:
                 return 0
             path.pop()
@@ -134,7 +141,7 @@ def search(marks: str, state: int = START, exit: int | None = None,
                 yield "K", fault, i + 1, KEEP[at][initial]
             yield "R", 2 + fault, i + 1, MADE[at]
 
-    bound = forced[0]
+    bound = floor(0, state)
     while over := walk(0, state, bound):
         bound += over
     return "".join(path)

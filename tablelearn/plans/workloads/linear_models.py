@@ -252,7 +252,8 @@ def sql_solve(n: int, rhs: str, table: str, out: str) -> list[str]:
 
 
 def _logit_sql(tail: str) -> str:
-    """Newton's method, unrolled well past convergence."""
+    """Newton's method with C = 1 (small tables separate a language), the intercept free,
+    unrolled well past convergence."""
     p = len(DOC_FEATURES) + 1
     x = ["1"] + [f"dz.{c}" for c in DOC_FEATURES]
     ctes = ["v0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS w{i}" for i in range(p)) + ")"]
@@ -260,9 +261,10 @@ def _logit_sql(tail: str) -> str:
         z = " + ".join(f"v.w{i} * {x[i]}" for i in range(p))
         ctes.append(f"p{t} AS (SELECT dz.*, 1 / (1 + exp(-({z}))) AS p FROM dz CROSS JOIN v{t} v)")
         xs_ = ["1"] + DOC_FEATURES
-        sums = [f"sum((y - p) * {xs_[i]}) AS g{i}" for i in range(p)]
-        sums += [f"sum(p * (1 - p) * {xs_[i]} * {xs_[j]}) AS h{i}_{j}" for i in range(p) for j in range(i, p)]
-        ctes.append(f"m{t} AS (SELECT {', '.join(sums)} FROM p{t})")
+        sums = [f"sum((y - p) * {xs_[i]}){f' - any_value(v.w{i})' if i else ''} AS g{i}" for i in range(p)]
+        sums += [f"sum(p * (1 - p) * {xs_[i]} * {xs_[j]}){' + 1' if i == j and i else ''} AS h{i}_{j}"
+                 for i in range(p) for j in range(i, p)]
+        ctes.append(f"m{t} AS (SELECT {', '.join(sums)} FROM p{t} CROSS JOIN v{t} v)")
         ctes += sql_solve(p, "g", f"m{t}", f"d{t}")
         ctes.append(f"v{t + 1} AS (SELECT {', '.join(f'v.w{i} + d.w{i} AS w{i}' for i in range(p))} FROM v{t} v CROSS JOIN d{t} d)")
     z = " + ".join(f"v.w{i} * {x[i]}" for i in range(p))
@@ -272,7 +274,7 @@ def _logit_sql(tail: str) -> str:
 
 def _logit_fit(spark, sf_dir):
     df = document_xy(spark, sf_dir, "quality")
-    return df, LogisticRegression().fit(df, DOC_FEATURES, "y")
+    return df, LogisticRegression(penalty="l2", C=1.0).fit(df, DOC_FEATURES, "y")
 
 
 @query("g7_logistic_regression", _logit_sql(f"""

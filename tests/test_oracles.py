@@ -13,7 +13,7 @@ from tablelearn.plans.registry import ORACLES as CORE_ORACLES, QUERIES as CORE_Q
 
 QUERIES = {k: v for k, v in entry.queries().items() if k in CORE_QUERIES}
 ORACLES = {k: v for k, v in entry.oracle_sql().items() if k in CORE_ORACLES}
-ROWS_ONLY = {"g18_pca_wide", "g15_linear_svc"}
+ROWS_ONLY = {"g19_gmm_wide", "g15_linear_svc"}
 
 
 @pytest.fixture(scope="module")

@@ -66,7 +66,7 @@ def materialise(df: DataFrame) -> DataFrame:
 
 def text_bytes_conf(spark: SparkSession) -> None:
     """Arrow batches limited by bytes as well as rows, so very long texts stay bounded."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

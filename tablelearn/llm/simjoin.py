@@ -54,7 +54,9 @@ SHORT_LIST = 8
 #: Sets in one block of the block comparison.
 BLOCK = 2048
 #: Bytes of whole sets that may be broadcast to the pairs they stand in.
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 16 << 20
+#: Words whose hashes a task remembers.
+CACHED_WORDS = 100_000
 #: Cost of a list entry, in subsets (it is shuffled, sorted and may need a check).
 ENTRY_COST = 4
 #: Word counts are kept in so many hash cells (4 MB) to order the elements; they never
@@ -95,7 +97,7 @@ class Shingler:
 
     def __init__(self, n: int, levels: np.ndarray):
         self.n, self.levels = n, levels
-        self.hash = WordCache(xxhash.xxh64_intdigest)
+        self.hash = WordCache(xxhash.xxh64_intdigest, CACHED_WORDS)
 
     def __call__(self, text: str | None) -> np.ndarray:
         toks = byte_words(text)
@@ -119,12 +121,13 @@ def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
     over all rows. It bounds the count of every word in the cell from above, so an
     n-gram of low level is rare for certain; words that share a cell only blur the order."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordCache(xxhash.xxh64_intdigest)
-        seen, buf, size = np.zeros(1 << CELL_BITS, np.int64), [], 0
+        cache = WordCache(xxhash.xxh64_intdigest, CACHED_WORDS)
+        seen, buf, size = np.zeros(1 << CELL_BITS, np.int32), [], 0
 
         def add() -> None:
             if buf:
-                seen[:] += np.bincount(np.concatenate(buf) >> np.uint64(64 - CELL_BITS), minlength=1 << CELL_BITS)
+                cells, n = np.unique(np.concatenate(buf) >> np.uint64(64 - CELL_BITS), return_counts=True)
+                seen[cells.astype(np.int64)] += n.astype(np.int32)
                 buf.clear()
 
         for b in batches:
@@ -132,7 +135,7 @@ def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
                 toks = byte_words(t)
                 buf.append(np.fromiter(map(cache.__getitem__, toks), np.uint64, len(toks)))
                 size += len(toks)
-                if size > 4_000_000:
+                if size > 1_000_000:
                     add()
                     size = 0
         add()

@@ -156,7 +156,8 @@ def span_features(text: str, a: int, b: int) -> list[str]:
 
 
 class SemiMarkov:
-    """Weights by (kind, feature) and (previous kind, kind); background scores 0."""
+    """Weights by (kind, feature) and, for what stands right before, by (previous kind, kind) or
+    ("", kind) after background; background scores 0."""
 
     def __init__(self, weights: dict[tuple[str, str], float] | None = None):
         self.w = weights or {}
@@ -197,9 +198,9 @@ class SemiMarkov:
             cell = {"O": (top[1][0], (j - 1, top[0], None))}
             for i, feats in ends[j]:
                 for k in KINDS:
-                    own = self.score(k, feats, "")
+                    own = sum(self.w.get((k, f), 0.0) for f in feats)
                     for p, (v, _) in best[i].items():
-                        s = v + own + (self.w.get((p, k), 0.0) if p != "O" else 0.0)
+                        s = v + own + self.w.get(("" if p == "O" else p, k), 0.0)
                         if s > cell.get(k, (-math.inf, None))[0]:
                             cell[k] = (s, (i, p, k))
             best.append(cell)
@@ -213,33 +214,54 @@ class SemiMarkov:
         return out[::-1]
 
     def gradient(self, text: str, win: Window, gold: set[Span]) -> tuple[float, dict]:
-        """Log-likelihood of the gold segmentation and its gradient, by forward-backward
-        over segments (transition weights between touching entities are left out here;
-        touching entities are as rare in training as in use)."""
+        """Log-likelihood of the gold segmentation and its gradient, by forward-backward over
+        (atom, what stands right before it): background or an entity of some kind."""
         cut, ends = self.lattice(text, win)
-        m = len(cut)
-        items = [(i, j, k, f, sum(self.w.get((k, x), 0.0) for x in f))
-                 for j in range(m) for i, f in ends[j] for k in KINDS]
+        m, n = len(cut), len(KINDS)
+        before = ("", *KINDS)
+        step = np.array([[self.w.get((p, k), 0.0) for k in KINDS] for p in before])
+        items = [(i, j, f, np.array([sum(self.w.get((k, x), 0.0) for x in f) for k in KINDS]))
+                 for j in range(m) for i, f in ends[j]]
         by_end: list[list] = [[] for _ in cut]
         by_start: list[list] = [[] for _ in cut]
         for it in items:
             by_end[it[1]].append(it)
             by_start[it[0]].append(it)
-        fwd = [0.0] * m
+        fwd, bwd = np.full((m, n + 1), -np.inf), np.full((m, n + 1), -np.inf)
+        fwd[0, 0] = 0.0
         for j in range(1, m):
-            fwd[j] = float(np.logaddexp.reduce([fwd[j - 1]] + [fwd[i] + s for i, _, _, _, s in by_end[j]]))
-        bwd = [0.0] * m
+            fwd[j, 0] = np.logaddexp.reduce(fwd[j - 1])
+            for i, _, _, s in by_end[j]:
+                fwd[j, 1:] = np.logaddexp(fwd[j, 1:], s + np.logaddexp.reduce(fwd[i][:, None] + step, axis=0))
+        bwd[m - 1] = 0.0
         for i in range(m - 2, -1, -1):
-            bwd[i] = float(np.logaddexp.reduce([bwd[i + 1]] + [bwd[j] + s for _, j, _, _, s in by_start[i]]))
+            bwd[i] = bwd[i + 1, 0]
+            for _, j, _, s in by_start[i]:
+                bwd[i] = np.logaddexp(bwd[i], np.logaddexp.reduce(step + s + bwd[j, 1:], axis=1))
+        total = float(np.logaddexp.reduce(fwd[-1]))
         grad: dict[tuple[str, str], float] = {}
-        ll = -fwd[-1]
-        for i, j, k, f, s in items:
-            g = -math.exp(min(0.0, fwd[i] + s + bwd[j] - fwd[-1]))
-            if (k, cut[i], cut[j]) in gold:
-                g, ll = g + 1.0, ll + s
+
+        def add(key: tuple[str, str], g: float) -> None:
             if abs(g) > 1e-6:
-                for x in f:
-                    grad[k, x] = grad.get((k, x), 0.0) + g
+                grad[key] = grad.get(key, 0.0) + g
+
+        ll, moves = -total, np.zeros((n + 1, n))
+        ending = {b: KINDS.index(k) + 1 for k, _, b in gold}
+        for i, j, f, s in items:
+            odds = np.exp(np.minimum(0.0, fwd[i][:, None] + step + s + bwd[j, 1:] - total))
+            moves -= odds
+            for c, k in enumerate(KINDS):
+                g = -float(odds[:, c].sum())
+                if (k, cut[i], cut[j]) in gold:
+                    prior = ending.get(cut[i], 0)
+                    moves[prior, c] += 1.0
+                    g, ll = g + 1.0, ll + float(s[c] + step[prior, c])
+                if abs(g) > 1e-6:
+                    for x in f:
+                        add((k, x), g)
+        for a, p in enumerate(before):
+            for c, k in enumerate(KINDS):
+                add((p, k), float(moves[a, c]))
         return ll, grad
 
     def fit(self, samples: list[tuple[str, Window, set[Span]]], epochs: int = 4, rate: float = 0.5,

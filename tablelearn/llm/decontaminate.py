@@ -15,7 +15,8 @@ or removed so often that no n words in a row are left.
 
 Defined results: null or word-free texts and items match nothing; items shorter than the
 n-gram are matched as one n-gram of their own length; repeated rows are reported one by
-one; empty tables give an empty result; extra columns are ignored.
+one; of equally good stretches of a document the first is reported; very long texts are searched
+whole, around their seeds; empty tables give an empty result; extra columns are ignored.
 
 Scale: no shuffle of texts. The items are searched in blocks of bounded size (each block
 is broadcast), every block against all documents.

@@ -7,7 +7,8 @@ and on more than ``max_ratio`` of them.
 
 Defined results: null hosts form one host of their own; a null text has no lines and
 stays null; every input row is a page (repeated rows count each); an empty table gives
-an empty result; other columns pass through unchanged.
+an empty result; other columns pass through unchanged. Very long texts are split into all
+their lines; a line exactly at the ratio stays.
 
 Scale: the first pass counts 8-byte line hashes per host (partial sums in each task, so
 a hot host or line is no hot key), the second counts the exact text of only those lines

@@ -10,7 +10,8 @@ targets themselves.
 Defined results: null margins are values of their own; a null text has no tokens and
 takes part with its cell's factor (cells without tokens keep factor 1); the draw depends
 on the id and the seed only, so repeated ids are drawn together and a null id is one id;
-an empty table gives an empty result; other columns pass through unchanged.
+an empty table gives an empty result; other columns pass through unchanged. Very long texts
+count with all their tokens; cells of equal mass need no order.
 
 Scale: one partial aggregation to cells. Up to ``MAX_LOCAL_CELLS`` cells are raked in
 memory and broadcast back; more are raked as a Spark table (same results).

@@ -11,7 +11,9 @@ Defined results: a null text is an empty text (no spans); a null id stays null;
 rows are scanned one by one; an empty table gives an empty result and, with no window to
 learn from, a field that adds nothing; extra columns are ignored. Texts of any length are
 scanned whole in time linear in their length: segments never leave a window (a maximal
-run of number or address characters) and never exceed ``MAX_ATOMS`` atoms.
+run of number characters, or of address characters up to ``MAX_SIDE`` from an at-sign) and never
+exceed ``MAX_ATOMS`` atoms. Of equally good segmentations the one with background, then with the
+first kind, wins.
 """
 
 from __future__ import annotations

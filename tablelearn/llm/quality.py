@@ -3,7 +3,8 @@ documents that lose too much text. DataFrame functions only.
 
 Defined results: a null text counts as empty (no words, base_failed, not kept); a null
 id stays null; repeated rows are judged one by one; an empty table gives an empty
-result; columns that the rules do not use are ignored (``clean_lines`` passes them on).
+result; columns that the rules do not use are ignored (``clean_lines`` passes them on). Very
+long texts are judged whole, one row in memory; no rule has ties to break.
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ become revisits of the one with the smallest page id.
 
 Defined results: a null html is an empty payload; a null url is written as an empty URI;
 a null page id comes after every other id and is written without an id header; of
-repeated rows the first written is the response; an empty table gives no archives and an
-empty result; extra columns are ignored.
+repeated rows the first written is the response; ties between equal payloads go to the smallest
+page id; very long pages are records of their own, one in memory at a time; an empty table gives
+no archives and an empty result; extra columns are ignored.
 
 Scale and recovery: every task streams its own archive (memory: one record). File names
 are new in each attempt and reach the next step only through the rows of attempts that

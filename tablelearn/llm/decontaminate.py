@@ -1,8 +1,10 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Texts become words between white space, lower-cased and without the marks at their ends.
-Every n-gram of an item is a seed: which of them an edited copy still holds cannot be told
-from how often they occur. Around the seeds a document shares with an item, the words that
+The rare n-grams of an item are its seeds. Which n-grams an edited copy still holds cannot be
+told from how often they occur, but how many it holds at least can: an item leaves out as many of
+its most common n-grams (those it shares with the most items) less one, so whatever copy reaches
+``min_score`` still holds a seed, and stems that many items begin with find nothing. Around the seeds a document shares with an item, the words that
 the item has count +2 and all others -1; no alignment scores more than the best run of
 these, so stretches whose best run is too low (chance hits of common n-grams) are left
 out without loss. The others are aligned: +2 for equal words, -1 for a changed, missing or
@@ -79,16 +81,18 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     return best, lo, hi
 
 
-def seed_length(size: int, n: int, min_score: float) -> int:
-    """The longest n-gram, up to n, that every copy of an item of ``size`` words holds when
-    it reaches ``min_score`` with e words changed and others cut off its ends: e + 1 runs
-    of m equal words in all have at least m - (k - 1)(e + 1) k-grams."""
+def survivors(size: int, k: int, min_score: float) -> int:
+    """How many of its k-grams every copy of an item of ``size`` words holds at least when it
+    reaches ``min_score`` with e words changed and others cut off its ends: e + 1 runs of m
+    equal words in all have at least m - (k - 1)(e + 1) k-grams."""
     goal = 2 * min_score * size
-    for k in range(min(n, size), 1, -1):
-        kept = [(-(-(goal + e - 1e-9) // 2), e) for e in range(size)]
-        if all(m - (k - 1) * (e + 1) >= 1 for m, e in kept if m + e <= size):
-            return k
-    return 1
+    kept = [(-(-(goal + e - 1e-9) // 2), e) for e in range(size)]
+    return int(min((m - (k - 1) * (e + 1) for m, e in kept if m + e <= size), default=0))
+
+
+def seed_length(size: int, n: int, min_score: float) -> int:
+    """The longest n-gram, up to n, of which every such copy holds one."""
+    return next((k for k in range(min(n, size), 1, -1) if survivors(size, k, min_score) >= 1), 1)
 
 
 class Items:
@@ -109,11 +113,28 @@ class Items:
             self.has.append(np.unique(self.words[-1][1]))
             for q in range(len(ids) - k + 1):
                 self.grams[tuple(ids[q:q + k])].append((no, q))
-        self.grams = dict(self.grams)
+        self._leave_out_common()
+        self.grams = {g: found for g, found in self.grams.items() if found}
         self.sizes = sorted({len(g) for g in self.grams})
         #: Two-word starts of the n-grams, a quick test before the exact one.
         self.pairs = np.unique(np.array([self._pair(*g[:2]) for g in self.grams if len(g) > 1] or [0], np.int64))
 
+    def _leave_out_common(self) -> None:
+        """Drop of each item its most shared n-grams, as many as a copy can spare."""
+        shared: dict[int, list[tuple[int, int, tuple]]] = defaultdict(list)
+        for g, found in self.grams.items():
+            items = len({no for no, _ in found})
+            if items > 1:
+                for no, q in found:
+                    shared[no].append((-items, q, g))
+        gone: dict[tuple, set] = defaultdict(set)
+        for no, found in shared.items():
+            spare = survivors(len(self.words[no][1]), len(found[0][2]), self.min_score) - 1
+            for _, q, g in sorted(found)[:max(0, spare)]:
+                gone[g].add((no, q))
+        for g, out in gone.items():
+            self.grams[g] = [x for x in self.grams[g] if x not in out]
+
     def _pair(self, x, y):
         return x * np.int64(len(self.vocab) + 1) + y
 

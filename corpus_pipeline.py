@@ -8,7 +8,9 @@ and read again as the next one's documents.
 
 Defined results are those of the operators: null texts count as empty and are rejected by
 the first stage, null ids are never duplicates and never leaks, repeated rows stay or go
-together, an empty table gives an empty result, and extra columns pass through.
+together (of rows that share an id the join drops only those whose text has an earlier match),
+of a group of near duplicates the smallest id stays, very long texts go through whole, an empty
+table gives an empty result, and extra columns pass through.
 """
 
 from __future__ import annotations

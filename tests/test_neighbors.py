@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablelearn.operators.metric_search import NeighborSearch
 from tablelearn.operators.pairwise import knn_pairs
@@ -73,3 +74,30 @@ def test_hot_block_of_queries(spark):
     out = KNNClassifier(n_neighbors=3, block_rows=16).fit(frame(spark, x, labels=np.arange(330) % 2), "id", "f", "label")
     got = sorted((r.id, r.rank, r.neighbor) for r in out.kneighbors(frame(spark, x), "id", exclude_self=True).collect())
     assert got == sorted(brute(x, x, 3, True))
+
+
+def test_routed_queries_leave_in_bounded_batches(spark):
+    """Every query visits every block here: the vectors of one batch must not grow with the blocks."""
+    import pyarrow as pa
+
+    from tablelearn.operators import metric_search as M
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2000, 64))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "id bigint, v array<double>").repartition(4)
+    found = M.NeighborSearch(df, "id", "v", block_rows=20)
+    blocks = len(found.cells.rows)
+    assert blocks > 50
+
+    class Queries:
+        schema = df.select(F.col("id").alias("q")).schema
+
+        def mapInArrow(self, fn, schema):
+            return fn
+
+    route = found._routes(Queries(), 3, False, home=False)
+    batch = pa.RecordBatch.from_pydict({"q": pa.array(range(2000)), "qv": pa.array(x.tolist()), "tau": pa.array([1e9] * 2000),
+                                        "home": pa.array(found.cells.assign(x)[2])})
+    sizes = [b.num_rows for b in route([batch])]
+    assert max(sizes) * 64 <= 1_000_000
+    assert 50 * 2000 < sum(sizes) <= blocks * 2000

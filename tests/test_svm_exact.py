@@ -111,3 +111,28 @@ def test_kernel_sums_without_support(spark):
     for limit in (1 << 20, -1):
         out = kernel_sums(df.select("id", "v"), "id", "v", none, 0, 2, 2, broadcast_bytes=limit)
         assert [list(r.sums) for r in out.collect()] == [[0.0, 0.0]] * 3
+
+
+@pytest.mark.parametrize("interval", [0, 3])
+def test_kernel_pegasos_releases_what_its_steps_sent(spark, monkeypatch, interval):
+    sc, sent, real = spark.sparkContext, [], spark.sparkContext.broadcast
+    monkeypatch.setattr(sc, "broadcast", lambda v: sent.append(real(v)) or sent[-1])
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 2))
+    df, _ = table(spark, x, (x[:, 0] > 0).astype(int))
+    m = KernelPegasos(lam=0.05, max_iter=5, tol=0.0, checkpoint_interval=interval).fit(df, "id", "v", "y")
+    assert m.n_iter_ == 5 and len(sent) >= 5
+    assert not any(b._jbroadcast.isValid() for b in sent)
+    assert m.decision(df, "id", "v").count() == 60
+
+
+def test_kernel_grid_cuts_its_blocks(spark):
+    rng = np.random.default_rng(4)
+    x, w = rng.normal(size=(130, 3)), rng.normal(size=(130, 2))
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(x.tolist(), w.tolist()))],
+                               "id bigint, v array<double>, sw array<double>")
+    out = kernel_sums(df.select("id", "v"), "id", "v", df.select(F.col("v").alias("sv"), "sw"), None, 3, 2,
+                      broadcast_bytes=0, block_rows=7, grid_rows=50)
+    want = kernel_matrix(x, x, "rbf", 1.0, 2) @ w
+    got = {r["id"]: r["sums"] for r in out.collect()}
+    assert np.allclose([got[i] for i in range(130)], want)

@@ -89,7 +89,7 @@ class Coder(Recent):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        model = tokenizer.model
+        tokenize = tokenizer.model.tokenize
 
         def whole(w: str) -> bytes:
             return _pack(tokenizer.encode(w, add_special_tokens=False).ids)
@@ -97,14 +97,16 @@ class Coder(Recent):
         def piece(w: str) -> bytes:
             if not w.isascii():
                 w = w.encode("utf-8").decode("latin-1").translate(_HIDDEN)
-            elif not _PRINTABLE.fullmatch(w):
+            elif not w.isalnum() and not _PRINTABLE.fullmatch(w):
                 return whole(w)
-            return _pack([t.id for t in model.tokenize(w)])
+            return _pack([t.id for t in tokenize(w)])
 
         def word(w: bytes) -> bytes:
+            if w.isalpha():  # ASCII letters and nothing else
+                return pieces[w.lower().decode()]
             core = w.rstrip(_MARKS)
             s = core.decode("utf-8")
-            if _LETTERS.fullmatch(s):
+            if core.isalpha() or _LETTERS.fullmatch(s):
                 letters = pieces[s.lower()]
                 return letters if len(core) == len(w) else letters + pieces[w[len(core):].decode()]
             if w.isascii() and b"'" not in w and b"<|" not in w:
@@ -115,8 +117,12 @@ class Coder(Recent):
         super().__init__(word, limit)
 
 
+#: a word has few ids: their formats are parsed once
+_FEW = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+
 def _pack(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _FEW[len(ids)](*ids) if len(ids) < 16 else struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY,

@@ -90,6 +90,7 @@ class Coder(Recent):
 
         tokenizer = Tokenizer.from_file(path)
         tokenize = tokenizer.model.tokenize
+        few = [struct.Struct(f"<{n}I").pack for n in range(16)]  # the formats of most pieces, parsed once
 
         def whole(w: str) -> bytes:
             return _pack(tokenizer.encode(w, add_special_tokens=False).ids)
@@ -99,7 +100,8 @@ class Coder(Recent):
                 w = w.encode("utf-8").decode("latin-1").translate(_HIDDEN)
             elif not w.isalnum() and not _PRINTABLE.fullmatch(w):
                 return whole(w)
-            return _pack([t.id for t in tokenize(w)])
+            ids = [t.id for t in tokenize(w)]
+            return few[len(ids)](*ids) if len(ids) < len(few) else _pack(ids)
 
         def word(w: bytes) -> bytes:
             if w.isalpha():  # ASCII letters and nothing else
@@ -117,12 +119,8 @@ class Coder(Recent):
         super().__init__(word, limit)
 
 
-#: a word has few ids: their formats are parsed once
-_FEW = [struct.Struct(f"<{n}I").pack for n in range(16)]
-
-
 def _pack(ids: list[int]) -> bytes:
-    return _FEW[len(ids)](*ids) if len(ids) < 16 else struct.pack(f"<{len(ids)}I", *ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY,

@@ -62,13 +62,14 @@ class GradientBoostingClassifier:
                          F.when(F.col(label).isNotNull(), which).cast("int").alias("_y"),
                          F.array_repeat(F.lit(0.0), k).alias("_z")).persist(StorageLevel.MEMORY_AND_DISK)
         self.trees: list[TreeModel] = []
+        edges: dict = {}  # the features stay as they are from round to round
         since = 0  # trees that the rows' logits do not hold yet
         try:
             for _ in range(self.n_estimators):
                 names = [f"_g{j}" for j in range(k)], [f"_h{j}" for j in range(k)]
                 gh = self._gradients(data, self.trees[len(self.trees) - since:], *names)
                 tree = boosted_tree(gh, self.features, *names, self.max_depth, self.min_split, self.min_impurity,
-                                    max_bins=self.max_bins, small_rows=self.small_rows)
+                                    max_bins=self.max_bins, small_rows=self.small_rows, edges=edges)
                 self.trees.append(tree)
                 since += 1
                 if since == self.state_every and len(self.trees) < self.n_estimators:

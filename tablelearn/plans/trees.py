@@ -5,17 +5,21 @@ every distinct value of every feature, ``x >= cutoff`` going left (first
 maximum in feature, then cutoff order). The frontier of open nodes has two
 kinds of members:
 
-* *Large* nodes (more than ``small_rows`` rows) share one pass a level: rows ->
-  (node, feature, value) with additive statistics, grouped (a dominant value is
-  one row a task); prefix sums over the values (:mod:`..operators.prefix`, one
-  range-partitioned sort where a node's values outgrow a task) give the left
-  side of every candidate, node totals the right; the gain is one generated SQL
-  expression and ``max_by`` per node picks the split with its left statistics,
+* *Large* nodes (more than ``small_rows`` rows) share one pass a level: each feature's values
+  are cut into ranges of about ``target_window_rows`` rows (edges from a sample; they decide
+  where work is done, not what is found), and tasks send each (feature, range) its values and
+  additive statistics as arrays, equal values of a node added up (a dominant value is one row a
+  task). One task sorts a range; suffix sums over the ranges' totals
+  (:mod:`..operators.prefix`) say what lies to its left, node totals the rest, so every
+  distinct value's gain is exact. ``max_by`` per node picks the split with its left statistics,
   so children's totals are known without another pass. Rows move to children
   through a broadcast of the level's splits (one row a large node).
 * *Small* nodes are finished whole, to any depth, inside one grouped task that
   holds their at most ``small_rows`` rows and returns the subtree as arrays.
 
+Rows with equal features always travel together: where the table has at most half as many
+different feature rows as rows, their statistics are added up first.
+
 So the number of jobs grows with the logarithm of the table over ``small_rows``
 and not with the depth of the tree. Scoring walks all rows of an Arrow batch
 down the arrays together: one map-only pass at any depth. Trees beyond
@@ -32,6 +36,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,8 +51,12 @@ MAX_BROADCAST_NODES = 1_000_000
 MAX_DRIVER_NODES = 1_000_000
 #: Nodes of a tree that may become one CASE expression.
 MAX_CASE_NODES = 255
-#: rows x features x statistics held at once by the task that finishes a small node
+#: rows x (features + statistics) of the task that finishes a small node
 SMALL_CELLS = 4_000_000
+#: rows x features x statistics compared at once
+SPLIT_CELLS = 1_000_000
+#: rows of the sample that sets the ranges of the features' values
+EDGE_ROWS = 20_000
 GAIN_DIGITS = 12
 
 
@@ -421,7 +430,7 @@ def _best_split(x: np.ndarray, s: np.ndarray, t: np.ndarray, crit: Criterion) ->
     """(gain, feature, cutoff): the largest rounded gain, then the first feature, then the
     least cutoff."""
     n, p = x.shape
-    step, best = max(1, SMALL_CELLS // max(1, n * s.shape[1])), None
+    step, best = max(1, SPLIT_CELLS // max(1, n * s.shape[1])), None
     for lo in range(0, p, step):
         part = x[:, lo:lo + step]
         order = np.argsort(-part, axis=0, kind="stable")
@@ -442,8 +451,10 @@ def _best_split(x: np.ndarray, s: np.ndarray, t: np.ndarray, crit: Criterion) ->
 class TreeGrower:
     def __init__(self, criterion: Criterion, max_depth: float | None = None, min_samples_split: int = 2,
                  min_impurity: float = 1e-7, checkpoint_interval: int = 4,
-                 target_window_rows: int = 200_000, max_bins: int | None = None, small_rows: int | None = None,
-                 max_driver_nodes: int = MAX_DRIVER_NODES):
+                 target_window_rows: int = 65_536, max_bins: int | None = None, small_rows: int | None = None,
+                 max_driver_nodes: int = MAX_DRIVER_NODES, edges: dict | None = None):
+        #: features -> edges of their ranges; trees over the same rows may share it
+        self.edges = {} if edges is None else edges
         self.crit = criterion
         self.max_depth = float("inf") if max_depth is None else max_depth
         self.min_split, self.min_impurity = min_samples_split, min_impurity
@@ -481,24 +492,31 @@ class TreeGrower:
         stat_names = [f"_s{j}" for j in range(self.crit.n_stats)]
         spark = df.sparkSession
         ensure_checkpoint_dir(spark)
-        small = self.small_rows or max(1000, min(200_000, SMALL_CELLS // max(1, len(feats) * self.crit.n_stats)))
+        small = self.small_rows or max(1000, min(200_000, SMALL_CELLS // (len(feats) + self.crit.n_stats)))
         data = df.select(*[F.col(c).cast("double").alias(c) for c in feats],
                          *[c.cast("double").alias(n) for c, n in zip(self.crit.row_stats(), stat_names)],
                          F.lit("1").alias("_node"))
         if self.max_bins:
             data = self._binned(data, feats)
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
-        self._distinct: int | None = None  # of the feature with the most values, about
         model = TreeModel(feats)
         stale: list[DataFrame] = []
         try:
             # root totals: one aggregate (it also materialises the persisted rows);
             # every later node's totals come from its parent's winning split
             root = data.agg(*[F.sum(s).alias(s) for s in stat_names],
-                            count_invalid(feats + stat_names)).first()
+                            count_invalid(feats + stat_names), F.count(F.lit(1)).alias("_rows"),
+                            F.approx_count_distinct(F.xxhash64(*feats)).alias("_kinds")).first()
             raise_if_invalid(root["_invalid"])
             if root[stat_names[0]] is None:
                 raise ValueError("cannot grow a tree on an empty table")
+            self._rows = root["_rows"]
+            if self._rows > 1000 and 2 * root["_kinds"] <= self._rows:
+                merged = data.groupBy(*feats).agg(*[F.sum(s).alias(s) for s in stat_names]).select(
+                    *feats, *stat_names, F.lit("1").alias("_node")).persist(StorageLevel.MEMORY_AND_DISK)
+                self._rows = merged.count()
+                data.unpersist()
+                data = merged
             frontier = {1: np.array([root[s] for s in stat_names], dtype=float)}
             unfinished: list[int] = []  # small nodes, at any depth
             level = 0
@@ -508,7 +526,7 @@ class TreeGrower:
                     n = float(self.crit.count(t))
                     if level >= self.max_depth or n < self.min_split:
                         model.nodes[i] = {"value": self.crit.leaf(t)}
-                    elif n <= small:
+                    elif min(n, self._rows) <= small:
                         unfinished.append(i)
                     else:
                         large[i] = t
@@ -608,40 +626,123 @@ class TreeGrower:
                     f"id array<string>, value array<{kind}>").checkpoint()
 
     # ------------------------------------------------------------ large nodes
+    def _edges(self, data: DataFrame, feats: list[str]) -> list[np.ndarray]:
+        """Per feature, the least value of each range but the first."""
+        ranges, key = -(-self._rows // self.target_rows), (*feats, self.target_rows, self._rows)
+        if ranges > 1 and key not in self.edges:
+            part = data.select(*feats)
+            if self._rows > EDGE_ROWS:
+                part = part.sample(EDGE_ROWS / self._rows, seed=7)
+            x = _features(part.toArrow(), feats)
+            at = np.arange(1, ranges) / ranges
+            self.edges[key] = [np.unique(np.quantile(x[:, k], at, method="nearest")) if len(x) else np.zeros(0)
+                               for k in range(len(feats))]
+        return self.edges[key] if ranges > 1 else [np.zeros(0)] * len(feats)
+
     def _level(self, data: DataFrame, feats: list[str], stat_names: list[str], large: dict) -> dict:
         """node -> (feature, cutoff, gain, left statistics) of its best split."""
         _few(large)
-        spark = data.sparkSession
-        tot_df = F.broadcast(spark.createDataFrame(
-            [(str(i), *map(float, t)) for i, t in large.items()],
-            "_node string, " + ", ".join(f"_t{s} double" for s in stat_names)))
-        # distinct values per (node, feature): no more than the node's rows or the table's values
-        bound = int(max(float(self.crit.count(t)) for t in large.values()))
-        if bound > self.target_rows:
-            if self._distinct is None:
-                row = data.agg(*[F.approx_count_distinct(F.col(c)) for c in feats]).first()
-                self._distinct = int(1.25 * max(row))
-            bound = min(bound, self._distinct)
-        rows = data.join(tot_df.select("_node"), "_node", "left_semi")
-        long = rows.select("_node", F.inline(F.array(*[
-            F.struct(F.lit(k).alias("_f"), F.col(c).alias("_v")) for k, c in enumerate(feats)])), *stat_names)
-        stats = long.groupBy("_node", "_f", "_v").agg(*[F.sum(s).alias(s) for s in stat_names])
-        left = suffix_sums(stats, ["_node", "_f"], "_v", stat_names, prefix="_l",
-                           target_rows=self.target_rows, max_group_rows=bound)
-        j = left.join(tot_df, "_node")
-        t = [_q(f"_t{s}") for s in stat_names]
-        lft = [_q(f"_l{s}") for s in stat_names]
-        rgt = [f"({tc} - {lc})" for tc, lc in zip(t, lft)]
-        gain = F.expr(self.crit.gain(t, lft, rgt))
-        nonempty = F.expr(f"{self.crit.count(t)} - {self.crit.count(lft)} > 0.5D")
-        scored = j.filter(nonempty).select("_node", "_f", "_v", F.round(gain, GAIN_DIGITS).alias("_g"),
-                                           *[F.col(f"_l{s}") for s in stat_names])
+        crit, m, held = self.crit, len(stat_names), self.target_rows
+        names = pa.array([str(i) for i in large])
+        totals = np.array(list(large.values()), dtype=float)
+        edges = self._edges(data, feats)
+
+        def chunks(batches):
+            """(node number, features, statistics) of the rows in large nodes."""
+            have, kept = 0, []
+            for b in batches:
+                node = pc.index_in(b.column("_node"), value_set=names)
+                inside = node.is_valid()
+                b, node = b.filter(inside), node.filter(inside)
+                if b.num_rows:
+                    kept.append((node.to_numpy(zero_copy_only=False).astype(np.int32), _features(b, feats), _features(b, stat_names)))
+                    have += b.num_rows
+                if have * (len(feats) + m) >= SMALL_CELLS:
+                    yield tuple(np.concatenate(z) for z in zip(*kept))
+                    have, kept = 0, []
+            if kept:
+                yield tuple(np.concatenate(z) for z in zip(*kept))
+
+        def deal(batches):
+            for node, x, s in chunks(batches):
+                for f in range(len(feats)):
+                    n, v, a = _add_equal(node, x[:, f], s)
+                    at = np.searchsorted(edges[f], v, side="right")
+                    for r in np.unique(at):
+                        here = at == r
+                        yield pa.RecordBatch.from_pydict({
+                            "_f": pa.array([f], pa.int32()), "_b": pa.array([r], pa.int32()),
+                            "node": [n[here].tobytes()], "v": [v[here].tobytes()], "s": [a[here].tobytes()]})
+
+        def best(parts: pa.Table, before: dict) -> pa.Table:
+            found = []
+            if parts.num_rows:
+                f = parts.column("_f")[0].as_py()
+                node, v, s = (np.frombuffer(b"".join(parts.column(c).to_pylist()), t) for c, t in (
+                    ("node", np.int32), ("v", np.float64), ("s", np.float64)))
+                node, v, s = _add_equal(node, v, s.reshape(-1, m))
+                starts = np.nonzero(np.r_[True, node[1:] != node[:-1]])[0]
+                for lo, hi in zip(starts, [*starts[1:], len(node)]):
+                    i = int(node[lo])
+                    t, carry, top = totals[i], before.get(i, np.zeros(m)), None
+                    step = max(1, SPLIT_CELLS // m)
+                    for a in range(lo, hi, step):
+                        l = carry + np.cumsum(s[a:min(a + step, hi)], axis=0)
+                        carry = l[-1]
+                        ok = np.nonzero(crit.count(t) - crit.count(l) > 0.5)[0]
+                        if not len(ok):
+                            continue
+                        gain = np.round(crit.gains(t, l[ok], t - l[ok]), GAIN_DIGITS)
+                        q = len(gain) - 1 - int(np.argmax(gain[::-1]))  # the least of equal cutoffs
+                        if top is None or gain[q] >= top[3]:
+                            top = (names[i].as_py(), f, float(v[a + ok[q]]), float(gain[q]), l[ok[q]].tolist())
+                    if top is not None:
+                        found.append(top)
+            cols = list(zip(*found)) if found else [[]] * 5
+            return pa.table({c: pa.array(list(z), t) for c, z, t in zip(
+                ("_node", "_f", "_v", "_g", "l"), cols, (pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64())))})
+
+        out = "_node string, _f int, _v double, _g double, l array<double>"
+        dealt = data.mapInArrow(deal, "_f int, _b int, node binary, v binary, s binary")
+        if any(len(e) for e in edges):
+            def sums(batches):
+                """The totals of each (node, feature, range) in a chunk."""
+                for node, x, s in chunks(batches):
+                    for f in range(len(feats)):
+                        at = node.astype(np.int64) * (len(edges[f]) + 1) + np.searchsorted(edges[f], x[:, f], side="right")
+                        which, at = np.unique(at, return_inverse=True)
+                        n, r = np.divmod(which, len(edges[f]) + 1)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(n.astype(np.int32)), pa.array(np.full(len(n), f, np.int32)), pa.array(r.astype(np.int32)),
+                             *(pa.array(np.bincount(at, s[:, j], len(n))) for j in range(m))], ["_n", "_f", "_b", *stat_names])
+
+            ranges = data.mapInArrow(sums, "_n int, _f int, _b int, " + ", ".join(f"{c} double" for c in stat_names))
+            ranges = ranges.groupBy("_n", "_f", "_b").agg(*[F.sum(c).alias(c) for c in stat_names])
+            after = suffix_sums(ranges, ["_n", "_f"], "_b", stat_names, prefix="_l", target_rows=held,
+                                max_group_rows=1 + max(len(e) for e in edges))
+            after = after.select("_f", "_b", "_n", F.array(*[F.col(f"_l{c}") - F.col(c) for c in stat_names]).alias("l"))
+
+            def task(parts: pa.Table, before: pa.Table) -> pa.Table:
+                return best(parts, {n: np.array(l) for n, l in zip(before.column("_n").to_pylist(), before.column("l").to_pylist())})
+
+            scored = dealt.groupBy("_f", "_b").cogroup(after.groupBy("_f", "_b")).applyInArrow(task, out)
+        else:
+            scored = dealt.groupBy("_f", "_b").applyInArrow(lambda parts: best(parts, {}), out)
         key = F.struct(F.col("_g"), (-F.col("_f")).alias("nf"), (-F.col("_v")).alias("nv"))
-        best = scored.groupBy("_node").agg(F.max_by(F.struct("_f", "_v", "_g", *[f"_l{s}" for s in stat_names]),
-                                                    key).alias("b"))
-        return {int(r["_node"]): (r["b"]["_f"], r["b"]["_v"], r["b"]["_g"],
-                                  np.array([r["b"][f"_l{s}"] for s in stat_names], dtype=float))
-                for r in best.collect()}
+        picked = scored.groupBy("_node").agg(F.max_by(F.struct("_f", "_v", "_g", "l"), key).alias("b"))
+        return {int(r["_node"]): (r["b"]["_f"], r["b"]["_v"], r["b"]["_g"], np.array(r["b"]["l"], dtype=float))
+                for r in picked.collect()}
+
+
+def _add_equal(node: np.ndarray, v: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted by node and descending value, the statistics of equal ones added up."""
+    by = np.lexsort((-v, node))
+    node, v, s = node[by], v[by], s[by]
+    new = np.r_[True, (node[1:] != node[:-1]) | (v[1:] != v[:-1])] if len(v) else np.zeros(0, bool)
+    if new.all():
+        return node, v, s
+    at = np.nonzero(new)[0]
+    return node[at], v[at], np.add.reduceat(s, at, axis=0)
 
 
 def _few(nodes) -> None:

@@ -172,3 +172,37 @@ def test_two_hundred_rounds_and_probabilities(spark):
     bad = df.withColumn("y", F.when(F.col("id") > 0, F.col("y")))
     with pytest.raises(ValueError, match="NULL"):
         GradientBoostingClassifier(n_estimators=1).fit(bad, feats, "y")
+
+
+def test_equal_feature_rows_are_added_up_first(spark):
+    """3 x 4 different feature rows: the tree is one small node, however many rows stand behind it."""
+    from tablelearn.plans import trees
+
+    df = spark.range(40_000).select((F.col("id") % 3).cast("double").alias("a"), (F.col("id") % 4).cast("double").alias("b"))
+    df = df.withColumn("y", F.col("a") * 10 + F.col("b"))
+    levels, real = [], trees.TreeGrower._level
+    try:
+        trees.TreeGrower._level = lambda self, *a: levels.append(1) or real(self, *a)
+        m = trees.DecisionTreeRegressor(small_rows=1000).fit(df, ["a", "b"], "y")
+    finally:
+        trees.TreeGrower._level = real
+    assert not levels
+    assert m.transform(df).where("abs(prediction - y) > 1e-9").count() == 0
+
+
+@pytest.mark.parametrize("ranges", [65_536, 300])
+def test_large_nodes_send_arrays_not_rows(spark, ranges):
+    """The level search groups one row a (feature, range) and task, not one a row and feature."""
+    from tablelearn.plans import trees
+
+    rng = np.random.default_rng(9)
+    x, y = rng.normal(size=(3000, 5)), rng.integers(0, 3, 3000)
+    df = spark.createDataFrame([(*map(float, r), int(v)) for r, v in zip(x, y)], "a double, b double, c double, d double, e double, y int")
+    kw = dict(max_depth=3, small_rows=100, target_window_rows=ranges)
+    m = trees.DecisionTreeClassifier(**kw).fit(df, list("abcde"), "y")
+    whole = trees.DecisionTreeClassifier(max_depth=3, small_rows=10_000).fit(df, list("abcde"), "y")
+    pick = lambda t: {i: (n.get("feature"), n.get("cutoff"), n.get("value")) for i, n in t.tree.nodes.items()}
+    assert pick(m) == pick(whole)
+    g = trees.TreeGrower(trees.Entropy("y", [0, 1, 2]), target_window_rows=ranges)
+    g._rows = 3000
+    assert sum(len(e) for e in g._edges(df, list("abcde"))) == (0 if ranges > 3000 else 5 * 9)

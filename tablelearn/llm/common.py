@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,25 +158,28 @@ class WordCache(dict):
         return v
 
 
-def count_words(docs: DataFrame, text_col: str, limit: int = 400_000) -> DataFrame:
-    """word, n over the lower-cased (A-Z) words of all rows. Tasks add up their own words
-    first (at most ``limit`` at a time), so a frequent word is one row a task."""
-    from collections import Counter
+def arrow_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of a column of texts as ``byte_words`` has them: the distinct ones, the number
+    of each word in turn among these, and how many words each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    lens = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten()
+    some = pc.greater(pc.binary_length(flat), 0)  # white space at the ends leaves empty ones
+    lens = np.bincount(np.repeat(np.arange(len(lens)), lens)[some.to_numpy(zero_copy_only=False)], minlength=len(lens))
+    coded = flat.filter(some).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), lens
 
-    def table(seen: Counter) -> pd.DataFrame:
-        return pd.DataFrame({"word": [w.decode("utf-8", "surrogatepass") for w in seen], "n": list(seen.values())})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
+def count_words(docs: DataFrame, text_col: str) -> DataFrame:
+    """word, n over the lower-cased (A-Z) words of all rows. Tasks add up the words of a batch
+    first, so a frequent word is one row a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b["text"]:
-                seen.update(byte_words(t))
-                if len(seen) >= limit:
-                    yield table(seen)
-                    seen.clear()
-        if seen:
-            yield table(seen)
+            words, codes, _ = arrow_words(b.column("text"))
+            yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(codes, minlength=len(words)).astype(np.int64))],
+                                             ["word", "n"])
 
     text_bytes_conf(docs.sparkSession)
     d = docs.select(F.col(f"`{text_col}`").alias("text"))
-    return d.mapInPandas(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return d.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))

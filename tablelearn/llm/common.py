@@ -158,10 +158,11 @@ class WordCache(dict):
         return v
 
 
-def arrow_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The words of a column of texts as ``byte_words`` has them: the distinct ones, the number
-    of each word in turn among these, and how many words each text has."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+def arrow_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of a column of texts as ``byte_words`` has them (``lower``: lower-cased): the
+    distinct ones, the number of each word in turn among these, and how many words each text has."""
+    texts = pc.fill_null(texts, "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     lens = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = lists.flatten()
     some = pc.greater(pc.binary_length(flat), 0)  # white space at the ends leaves empty ones

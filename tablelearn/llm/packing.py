@@ -35,11 +35,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Shared, per_worker, pick, spill, text_bytes_conf
+from .common import Shared, arrow_words, per_worker, pick, spill, text_bytes_conf
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -118,6 +119,28 @@ class Coder(Recent):
         pieces = Recent(piece, limit)
         super().__init__(word, limit)
 
+    def texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text. Words of letters are cut from the marks behind them; a part is
+        asked for once, however often the column has it."""
+        words, codes, lens = arrow_words(texts, lower=False)
+        core = pc.ascii_rtrim(words, characters=_MARKS.decode())
+        letters = pc.match_substring_regex(core, f"^{_LETTERS.pattern}$")
+        # of letters alone, case never counts (elsewhere it does: special tokens, combining marks);
+        # the lower case has the same bytes to a word
+        words = pa.concat_arrays([pc.if_else(letters, pc.ascii_lower(words), words)])
+        letters = letters.to_numpy(zero_copy_only=False)
+        starts = np.frombuffer(words.buffers()[1], np.int32)[:len(words) + 1]
+        cut = np.where(letters, starts[:-1] + pc.binary_length(core).to_numpy(), starts[1:])
+        at = np.r_[np.stack([starts[:-1], cut], 1).ravel(), starts[-1]].astype(np.int32)
+        parts = pa.BinaryArray.from_buffers(pa.binary(), 2 * len(words), [None, pa.py_buffer(at), words.buffers()[2]])
+        parts = parts.dictionary_encode()
+        coded = pa.array([self[w] if w else b"" for w in parts.dictionary.to_pylist()], pa.large_binary())
+        # the parts' ids in the order of the texts, one text after the other
+        line = coded.take(pa.array(parts.indices.to_numpy().reshape(-1, 2)[codes].ravel()))
+        at = np.frombuffer(line.buffers()[1], np.int64)[:len(line) + 1] if len(line) else np.zeros(1, np.int64)
+        ids, ends = memoryview(line.buffers()[2] or b""), at[2 * np.cumsum(np.r_[0, lens])].tolist()
+        return (bytes(ids[a:z]) for a, z in zip(ends, ends[1:]))
+
 
 def _pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -139,9 +162,8 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
         coder = per_worker(("coder", tokenizer_path), lambda: Coder(tokenizer_path))
         for b in batches:
             row, piece, ids = [], [], []
-            for i, text in enumerate(b.column("text")):
-                words = (text.as_py() or "").encode("utf-8").split()
-                whole = b"".join([coder[w] for w in words]) + end
+            for i, whole in enumerate(coder.texts(b.column("text"))):
+                whole += end
                 for n, at in enumerate(range(0, len(whole), step)):
                     row.append(i)
                     piece.append(n)

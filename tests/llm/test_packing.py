@@ -120,3 +120,28 @@ def test_many_tasks_and_one_hot_length(spark):
     rows = packing.place(items.repartition(23), capacity=512).collect()
     assert len(rows) == 5000
     assert check(rows, 512) == fills([r.length for r in rows], 512)
+
+
+def test_a_column_asks_for_each_part_once_and_keeps_special_tokens(monkeypatch):
+    """Tokenising went word by word through Python, marks and case included."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    asked = collections.Counter()
+
+    class Counting(packing.Coder):
+        def __getitem__(self, word):
+            asked[word] += 1
+            return super().__getitem__(word)
+
+    rng = random.Random(3)
+    plain = [None, "", " \n\t", "Dog, dog. DOG! dogs' dog's it's, 'S", "Été, Été. İx \x00 ΣΣ.", "H\u0331 h\u0331 E\u0301X"] + [
+        "".join(rng.choice("aBc'.,É1ß# \nΣ-") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    special = ["A<|endoftext|>b <|ENDOFTEXT|> X.", "<|", *plain]
+    for texts in (plain, special):
+        coder = Counting(public_tokenizers.path(packing.TOKENIZER))
+        asked.clear()
+        got = list(coder.texts(pa.array(texts, pa.string())))
+        assert got == [np.array(encode(t)[:-1], "<u4").tobytes() for t in texts]
+        assert max(asked.values()) == 1
+    assert list(coder.texts(pa.array([], pa.string()))) == []

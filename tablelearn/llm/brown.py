@@ -11,7 +11,7 @@ of the corpus has a class of its own choosing, and every token counts. Then
 
 with class transitions interpolated with class frequencies and, in each class, the mass
 of its once-seen words kept for unknown ones. Unknown words have no neighbours to go by and
-take the class that keeps the largest mass for them. A text ends with one end token, which
+take the class with the most once-seen words. A text ends with one end token, which
 is a class of its own and the context of the first word.
 
 Defined results: a null text is empty (the end token only); a null id is not held out;
@@ -131,7 +131,7 @@ class ClassBigram:
         #: log10 P(word | class) = known[class] + log10(count)
         self.known = np.log10(1.0 - unk) - np.log10(np.maximum(total, 1.0))
         self.known[0] = -math.log10(max(total[0], 1.0))
-        self.unknown = int(np.argmax(unk))
+        self.unknown = 1 + int(np.argmax(once[1:]))
         self.unit = {w: i for i, w in enumerate(dictionary)}
         self.counts = [m for m, _ in dictionary.values()]
         #: classes of the dictionary's words, then that of unknown ones

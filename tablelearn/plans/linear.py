@@ -155,7 +155,20 @@ class LinearModel:
         self.mask_, self.n_iter_, self.violation_ = np.ones(a.shape[1]), 0, 0.0
         if self.fit_intercept and not self.penalize_intercept:
             self.mask_[0] = 0.0
-        self._w = self.coef_ = np.linalg.lstsq(a, b, rcond=max(n, a.shape[1]) * np.finfo(float).eps)[0]
+        tol = max(n, a.shape[1]) * np.finfo(float).eps
+        w, _, rank, _ = np.linalg.lstsq(a, b, rcond=tol)
+        if self.fit_intercept and 1 < a.shape[1] and rank < a.shape[1]:
+            # the least solution leaves out directions that the longest column's rounding hides; below
+            # its first row the triangle is that of the centred columns, which may tell them apart
+            # (slopes of columns far from zero). Taken if it leaves less than half of the rest.
+            size = np.linalg.norm(a[:, 1:], axis=0)
+            scaled = a[1:, 1:] / np.where(size > 0, size, 1.0)
+            if np.linalg.svd(scaled, compute_uv=False)[-1] > tol:
+                slopes = np.linalg.lstsq(scaled, b[1:], rcond=tol)[0] / size
+                centred = np.r_[(b[0] - a[0, 1:] @ slopes) / a[0, 0], slopes]
+                if 2 * np.sum((a @ centred - b) ** 2) < np.sum((a @ w - b) ** 2):
+                    w = centred
+        self._w = self.coef_ = w
         self._residual = float(np.sum((a @ self._w - b) ** 2))
         return self
 

@@ -119,7 +119,7 @@ def test_kernel_pegasos_releases_what_its_steps_sent(spark, monkeypatch, interva
     monkeypatch.setattr(sc, "broadcast", lambda v: sent.append(real(v)) or sent[-1])
     rng = np.random.default_rng(3)
     x = rng.normal(size=(60, 2))
-    df, _ = table(spark, x, (x[:, 0] > 0).astype(int))
+    df, _ = table(spark, x, (x[:, 0] > 0).astype(int).tolist())
     m = KernelPegasos(lam=0.05, max_iter=5, tol=0.0, checkpoint_interval=interval).fit(df, "id", "v", "y")
     assert m.n_iter_ == 5 and len(sent) >= 5
     assert not any(b._jbroadcast.isValid() for b in sent)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -104,9 +105,22 @@ def spill(df: DataFrame, name: str, scratch: "Scratch | None" = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_end_with_queries(spark: SparkSession):
+    """Inside, a query's shuffle files go as soon as it ends (Spark keeps them until the driver
+    collects its garbage). Meant for steps that write every table they read twice."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 class Scratch:
-    """Tables written on the way to a result. ``drop`` deletes them once the result stands in
-    a table of its own."""
+    """Tables written on the way to a result. ``free`` deletes those that no later step reads,
+    ``drop`` all of them once the result stands in a table of its own."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
@@ -114,12 +128,18 @@ class Scratch:
     def spill(self, df: DataFrame, name: str) -> DataFrame:
         return spill(df, name, self)
 
+    def free(self, *names: str) -> None:
+        self._delete([p for p in self.paths if p.rsplit("/", 1)[1].rsplit("-", 1)[0] in names])
+
     def drop(self) -> None:
+        self._delete(self.paths)
+
+    def _delete(self, paths: list[str]) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for p in self.paths:
+        for p in paths:
             path = jvm.org.apache.hadoop.fs.Path(p)
             path.getFileSystem(conf).delete(path, True)
-        self.paths.clear()
+        self.paths = [p for p in self.paths if p not in paths]
 
 
 def per_worker(key: tuple, make: Callable):

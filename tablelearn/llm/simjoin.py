@@ -15,10 +15,11 @@ c(a, b), the smallest integer that meets the threshold.
   first checked against one pivot, the set of least number, which is the same in most lists
   of a family; lists are then forgotten, and what is kept is which sets have which pivots.
   Of two sets of a list in different components one is outside its pivot's: such sets are
-  compared with all sets that share a pivot with them, directly or over others,
-  block by block, each block pair by scanning in-memory inverted lists of the
-  listed elements; pairs that neither these nor counts of their elements by hash bucket
-  rule out are checked exactly. Links found there join components found before.
+  compared with all sets that share a pivot with them (and where that moves less, also
+  those that do over others), block by block, each block pair by scanning in-memory inverted
+  lists of the listed elements; pairs that neither these nor counts of their elements by hash
+  bucket rule out are checked exactly, again block by block. Links found there join
+  components found before.
 
 The boundary is the one with the smallest estimated cost: subsets listed for sets up to
 it plus list entries beyond it. No step lists all pairs of a group, and no link between
@@ -41,18 +42,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, Shared, WordCache, byte_words, mix64, pick, spill, text_bytes_conf
+from .common import (Scratch, Shared, WordCache, byte_words, mix64, pick, shuffles_end_with_queries, spill,
+                     text_bytes_conf)
 
 #: Sets up to this size keep all elements beside the document, so any boundary up to it
 #: can be chosen.
 MAX_LIGHT = 20
 #: Lists up to this length give all their pairs; longer ones go by pivot and blocks.
 SHORT_LIST = 8
-#: Sets in one block of the block comparison.
-BLOCK = 2048
+#: Sets in one block of the block comparison, and the bytes of their elements.
+BLOCK, BLOCK_BYTES = 2048, 32 << 20
 #: Bytes of whole sets that may be broadcast to the pairs they stand in.
 BROADCAST_BYTES = 64 << 20
 #: Words whose hashes a task remembers.
@@ -63,6 +65,9 @@ ENTRY_COST = 4
 #: decide a result.
 CELL_BITS, CHUNK = 22, 1 << 12
 BROADCAST_IDS = 1_000_000
+#: More ids than that are marked in so many hash cells, a bit each (8 MB); a cell only spares
+#: rows a move and never decides a result.
+MARK_BITS, MARK_CHUNK = 26, 1 << 16
 #: What _list_pairs finds.
 PAIR, STAR, MEMBER = 0, 1, 2
 #: Buckets of a set's sketch; it spares unlike pairs the move of their whole sets.
@@ -159,14 +164,40 @@ def word_levels(docs: DataFrame, text_col: str) -> np.ndarray:
     return levels
 
 
-def _sets(docs: DataFrame, shingler: Shared, schema: str, row) -> DataFrame:
+def _sets(docs: DataFrame, shingler: Shared, schema: str, row, marked: Shared | None = None) -> DataFrame:
+    """``row`` of each document and its set; with ``marked`` of those whose row is marked."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make = shingler.value
+        make, bits = shingler.value, marked and marked.value
         for b in batches:
+            if marked:
+                b = b[_has(bits, b["cell"].to_numpy())]
             yield pd.DataFrame([row(r, make(t)) for r, t in zip(zip(b["doc_id"], b["row"], b["text_key"]), b["text"])],
                                columns=[c.split()[0] for c in schema.split(", ")])
 
-    return docs.select("doc_id", "row", "text_key", "text").mapInPandas(run, schema)
+    cell = [_cell("row").alias("cell")] if marked else []
+    return docs.select("doc_id", "row", "text_key", "text", *cell).mapInPandas(run, schema)
+
+
+def _cell(number: str | Column) -> Column:
+    return F.pmod(F.xxhash64(number), F.lit(1 << MARK_BITS)).cast("int")
+
+
+def _marks(ids: DataFrame, number: str) -> np.ndarray:
+    """A bit for each hash cell, packed: whether one of ``ids`` falls in it."""
+    def pack(g: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(MARK_CHUNK, bool)
+        bits[g["cell"].to_numpy() % MARK_CHUNK] = True
+        return pd.DataFrame({"chunk": g["chunk"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
+
+    cells = ids.select(_cell(number).alias("cell")).distinct().withColumn("chunk", (F.col("cell") / MARK_CHUNK).cast("int"))
+    marks, wide = np.zeros(1 << MARK_BITS - 3, np.uint8), MARK_CHUNK // 8
+    for r in cells.groupBy("chunk").applyInPandas(pack, "chunk int, bits binary").collect():  # 8 MB at most
+        marks[r["chunk"] * wide:(r["chunk"] + 1) * wide] = np.frombuffer(r["bits"], np.uint8)
+    return marks
+
+
+def _has(marks: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    return (marks[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1).astype(bool)
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -376,30 +407,66 @@ def _check_pairs(pairs: DataFrame, sets: DataFrame, t: Threshold, scratch: Scrat
     return good.select(F.least("hub", "leaf").alias("a"), F.greatest("hub", "leaf").alias("b"))
 
 
-def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame:
-    """Pairs of different components of a family that their heads do not rule out:
-    ``members`` has family, rep, component, rest (outside the largest component). Every
-    block of rest sets meets every block of the family, by inverted lists over the heads
-    (elements common to two heads are all the common ones up to the smaller last one;
-    beyond it at most the smaller rest can be common), then by sketches, so that few pairs
-    leave the task."""
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
-    sized = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.count_if("rest").alias("rests"))
-    m = members.join(sized, "family")
+def _blocks(rows: Column, elements: Column) -> Column:
+    """Number of blocks for so many sets with so many elements."""
+    most = F.greatest(F.ceil(rows / BLOCK), F.ceil(8 * F.coalesce(elements, F.lit(0)) / BLOCK_BYTES), F.lit(1))
+    return most.cast("bigint")
+
+
+def _sized(members: DataFrame) -> DataFrame:
+    """family, js and is (blocks of all and of rest), moves (sets dealt to block pairs)."""
+    rest = F.when(F.col("rest"), F.col("n"))
+    sized = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.count_if("rest").alias("rests"),
+                                          F.sum("n").alias("all"), F.sum(rest).alias("some"))
+    sized = sized.withColumn("js", _blocks(F.col("size"), F.col("all"))).withColumn("is", _blocks(F.col("rests"), F.col("some")))
+    return sized.select("family", "js", "is", (F.col("size") * F.col("is") + F.col("rests") * F.col("js")).alias("moves"))
+
+
+def _members(inside: DataFrame, scratch: Scratch) -> DataFrame:
+    """family, rep, n, component, rest (outside a component that all others are in, or all but
+    rest sets) from ``inside``: rep, n, component, pivot, theirs (the pivot's component). Sets
+    that share a list share a pivot. A family is what pivots connect, directly or over others,
+    or each pivot's sets are one of their own, whichever moves fewer sets: large tables connect
+    nearly all sets by chance."""
+    fam = components(inside.select(F.col("pivot").alias("a"), F.col("rep").alias("b")), scratch)
+    of = inside.join(fam.select(F.col("node").alias("pivot"), F.col("component").alias("whole")), "pivot")
+    outside = F.col("component") != F.col("theirs")
+    stars = of.select("whole", F.col("pivot").alias("family"), "rep", "n", "component", outside.alias("rest"))
+    whole = of.groupBy(F.col("whole").alias("family"), "rep").agg(
+        F.first("n").alias("n"), F.first("component").alias("component"), F.max(outside).alias("rest"))
+    stars, whole = scratch.spill(stars, "join-stars-of"), scratch.spill(whole, "join-whole")
+    apart = _sized(stars).join(stars.select("family", "whole").distinct(), "family").groupBy("whole").agg(F.sum("moves").alias("apart"))
+    fewer = _sized(whole).select("family", "moves").join(apart.withColumnRenamed("whole", "family"), "family")
+    fewer = scratch.spill(fewer.select("family", (F.col("moves") > F.col("apart")).alias("split")), "join-split")
+    cols = ["family", "rep", "n", "component", "rest"]
+    split = fewer.where("split").select(F.col("family").alias("whole"))
+    return scratch.spill(stars.join(split, "whole", "left_semi").select(*cols).unionByName(
+        whole.join(fewer.where("not split"), "family", "left_semi").select(*cols)), "join-members")
+
+
+def _block_pairs(members: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
+    """Pairs of different components of a family that their heads do not rule out: of each
+    rest set and block pair (family, i, j) the sets ``bs``, with components. Every block of rest
+    sets meets every block of the family, by inverted lists over the heads (elements common to
+    two heads are all the common ones up to the smaller last one; beyond it at most the
+    smaller rest can be common), then by sketches, so that few pairs leave the task."""
+    m = members.join(_sized(members), "family")
     key = F.xxhash64("rep")
-    left = (m.where("rest").withColumn("i", F.pmod(key, F.greatest(F.lit(1), F.ceil(F.col("rests") / BLOCK))).cast("int"))
-            .withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("side", F.lit(0)))
-    right = (m.withColumn("j", F.pmod(key, blocks).cast("int"))
-             .withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("rests") / BLOCK)).cast("int") - 1)))
-             .withColumn("side", F.lit(1)))
+    left = (m.where("rest").withColumn("i", F.pmod(key, "is"))
+            .withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("js") - 1))).withColumn("side", F.lit(0)))
+    right = (m.withColumn("j", F.pmod(key, "js"))
+             .withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("is") - 1))).withColumn("side", F.lit(1)))
     cols = ["family", "i", "j", "side", "rep", "component"]
-    dealt = left.select(*cols).union(right.select(*cols)).join(reps, "rep")
+    keep = F.when(F.col("n") <= MAX_LIGHT, F.col("n")).otherwise(F.col("n") - F.ceil(F.col("n") * t.t / 100) + 1).cast("int")
+    heads = sets.select("rep", "n", F.col("els").substr(F.lit(1), 8 * keep).alias("head"), "sketch")
+    dealt = left.select(*cols).union(right.select(*cols)).join(heads, "rep")
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         lhs, rhs = g[g["side"] == 0], g[g["side"] == 1]
+        names = ["family", "i", "j", "a", "component", "bs", "others"]
         if not len(lhs) or not len(rhs):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        arrays = [np.asarray(e, np.int64).view(np.uint64) for e in rhs["head"]]
+            return pd.DataFrame(columns=names)
+        arrays = [np.frombuffer(e, np.uint64) for e in rhs["head"]]
         size, held = rhs["n"].to_numpy(np.int64), np.array([len(a) for a in arrays])
         last = np.array([a[-1] for a in arrays], np.uint64)
         els = np.concatenate(arrays)
@@ -407,11 +474,11 @@ def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame
         order = np.argsort(els, kind="stable")
         els, owner = els[order], owner[order]
         reps_of, comps = rhs["rep"].to_numpy(), rhs["component"].to_numpy()
-        out = []
+        at, out = [g[c].iloc[0] for c in names[:3]], []
         sketches = np.frombuffer(b"".join(rhs["sketch"]), np.uint8).reshape(-1, SKETCH)
         for rep, comp, n, e, s in zip(lhs["rep"], lhs["component"], lhs["n"], lhs["head"], lhs["sketch"]):
             own = np.frombuffer(s, np.uint8)
-            x = np.asarray(e, np.int64).view(np.uint64)
+            x = np.frombuffer(e, np.uint64)
             lo, hi = np.searchsorted(els, x, "left"), np.searchsorted(els, x, "right")
             hits = owner[np.repeat(lo, hi - lo) + _ramp(hi - lo)]
             common = np.bincount(hits, minlength=len(arrays))
@@ -420,10 +487,40 @@ def _block_pairs(members: DataFrame, reps: DataFrame, t: Threshold) -> DataFrame
             k = np.nonzero((common > 0) & (common + beyond >= t.need(n, size)) & (comps != comp))[0]
             least = np.minimum(sketches[k], own)
             k = k[(least == 255).any(axis=1) | (least.sum(axis=1, dtype=np.int64) >= t.need(n, size[k]))]
-            out += [(min(rep, reps_of[q]), max(rep, reps_of[q])) for q in k]
+            if len(k):
+                out.append((*at, rep, comp, reps_of[k], comps[k]))
+        return pd.DataFrame(out, columns=names)
+
+    return dealt.groupBy("family", "i", "j").applyInPandas(
+        run, "family bigint, i bigint, j bigint, a bigint, component bigint, bs array<bigint>, others array<bigint>")
+
+
+def _block_links(close: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
+    """Links among the pairs of ``_block_pairs``, as many as join components. A whole set moves
+    once for each block pair that it stands in, however many sets are close to it there, and
+    sets that others have joined there are not compared."""
+    at = ["family", "i", "j"]
+    ends = close.select(*at, F.col("a").alias("rep")).union(close.select(*at, F.explode("bs"))).distinct()
+    whole = ends.toDF("f", "p", "q", "rep").join(sets.select("rep", "els"), "rep")
+
+    def run(pairs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        els = {r: np.frombuffer(e, np.uint64) for r, e in zip(held["rep"], held["els"])}
+        up, out = {}, []
+
+        def top(c: int) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
+        for a, c, bs, others in zip(pairs["a"], pairs["component"], pairs["bs"], pairs["others"]):
+            for b, d in zip(bs.tolist(), others.tolist()):
+                x, y = top(c), top(d)
+                if x != y and len(np.intersect1d(els[a], els[b], assume_unique=True)) >= t.need(len(els[a]), len(els[b])):
+                    up[y] = x
+                    out.append((min(a, b), max(a, b)))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return dealt.groupBy("family", "i", "j").applyInPandas(run, "a bigint, b bigint").distinct()
+    return close.groupBy(*at).cogroup(whole.groupBy("f", "p", "q")).applyInPandas(run, "a bigint, b bigint").distinct()
 
 
 def _ramp(lengths: np.ndarray) -> np.ndarray:
@@ -437,7 +534,8 @@ def join_components(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
     """doc_id, n_shingles, component_id for every row; with ``key_col`` also that column, a
     hash of the row's text."""
     scratch = Scratch(docs.sparkSession)
-    found = spill(_join(docs, n, percent, id_col, text_col, scratch), "join-result")
+    with shuffles_end_with_queries(docs.sparkSession):
+        found = spill(_join(docs, n, percent, id_col, text_col, scratch), "join-result")
     scratch.drop()
     found = found.withColumnRenamed("doc_id", id_col)
     return found.withColumnRenamed("text_key", key_col) if key_col else found.drop("text_key")
@@ -463,6 +561,8 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, scr
     firsts = docs_sets.where("n > 0").join(_few(classes.select(F.col("rep").alias("row"))), "row", "left_semi")
     firsts = firsts.select(F.col("row").alias("rep"), "fp", "n", "head")
     reps = scratch.spill(firsts.where("rep >= 0").unionByName(firsts.where("rep < 0").dropDuplicates(["rep"])), "join-reps")
+    docs_sets = scratch.spill(docs_sets.drop("head"), "join-rows")
+    scratch.free("join-docs")
     sizes = {r["n"]: r["count"] for r in reps.where(F.col("n") <= 2 * MAX_LIGHT).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, t)
     links = [_light_links(reps, boundary, t, scratch)]
@@ -480,13 +580,20 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, scr
     star = stars.where((F.col("kind") == STAR) & (F.col("rep") != F.col("pivot"))).select(
         F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
     near = scratch.spill(short.union(star).distinct(), "join-candidates")
+    scratch.free("join-lists")
     pairs = scratch.spill(_head_filter(near, _only(heavy, _ends(near, "join-ends", scratch)), t), "join-pairs")
     wanted = scratch.spill(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(stars.select("rep")).distinct(),
                            "join-wanted")
+    links[0] = scratch.spill(links[0], "join-light")
+    scratch.free("join-reps", "join-subsets", "join-candidates")  # from here on heads are cut from whole sets
     texts = known.where("row >= 0").unionByName(known.where("row < 0").dropDuplicates(["row"]))
-    texts = _only(texts.withColumn("rep", F.col("row")), wanted)
+    few, marked = wanted.count() <= BROADCAST_IDS, None
+    if few:
+        texts = _only(texts.withColumn("rep", F.col("row")), wanted)
+    else:  # texts stay where they are, and a set or two more are made
+        marked = Shared(spark, _marks(wanted, "rep"))
     sets = scratch.spill(_sets(texts, shingler, "rep bigint, n int, sketch binary, els binary",
-                               lambda row, e: (row[1], len(e), sketch(e), e.tobytes())), "join-sets")
+                               lambda row, e: (row[1], len(e), sketch(e), e.tobytes()), marked), "join-sets")
     links.append(_check_pairs(pairs, sets, t, scratch))
     label = components(links[0].union(links[1]), scratch)
 
@@ -496,22 +603,17 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, scr
     parted = scratch.spill(parted, "join-parted")
     opened = parted.where("component <> theirs")
     if opened.limit(1).count():
-        # families: sets connected by pivots that have such a member
+        # all sets of the pivots that have such a member
         hubs = _few(scratch.spill(opened.select("pivot").distinct(), "join-open-pivots"))
-        rest = _few(scratch.spill(opened.select("rep").distinct().withColumn("outside", F.lit(True)), "join-rest"))
-        inside = parted.join(hubs, "pivot", "left_semi")
-        fam = components(inside.select(F.col("pivot").alias("a"), F.col("rep").alias("b")), scratch)
-        members = inside.select("rep", "component").distinct().join(rest, "rep", "left").join(fam, F.col("rep") == F.col("node"))
-        members = members.select(fam["component"].alias("family"), "rep", inside["component"],
-                                 F.coalesce("outside", F.lit(False)).alias("rest"))
-        members = scratch.spill(members, "join-members")
-        ids = members.select("rep").distinct()
-        known_of = _only(heavy, ids).select("rep", "n", "head").join(_only(sets, ids).select("rep", "sketch"), "rep")
-        close = scratch.spill(_block_pairs(members, known_of, t), "join-close")
-        label = _merge(label, _check_pairs(close, sets, t, scratch), scratch)
+        inside = parted.join(hubs, "pivot", "left_semi").join(sets.select("rep", "n"), "rep")
+        members = _members(scratch.spill(inside, "join-inside"), scratch)
+        ids = scratch.spill(members.select("rep").distinct(), "join-rest")
+        close = scratch.spill(_block_pairs(members, _only(sets, ids), t), "join-close")
+        label = _merge(label, _block_links(close, sets, t), scratch)
+    scratch.free("join-sets")
 
     rep_of = docs_sets.where("n > 0").alias("d").join(
-        reps.select("fp", "n", "rep").alias("r"), (F.col("d.fp") == F.col("r.fp")) & (F.col("d.n") == F.col("r.n")))
+        classes.alias("r"), (F.col("d.fp") == F.col("r.fp")) & (F.col("d.n") == F.col("r.n")))
     rep_of = rep_of.select("d.doc_id", "d.row", "d.text_key", "d.n", "r.rep")
     whole = (rep_of.join(label, F.col("rep") == F.col("node"), "left")
              .select("doc_id", "row", "text_key", F.col("n").cast("bigint").alias("n_shingles"),
@@ -569,9 +671,20 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_
         gone += "_"
     found = join_components(docs, n, percent, id_col, text_col, key_col=key)
     lost = spill(found.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias(gone), key).distinct(), "join-gone")
-    few = lost.count() <= BROADCAST_IDS
     same = (F.col(f"`{id_col}`").cast("bigint") == F.col(gone)) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(key))
-    return docs.join(F.broadcast(lost) if few else lost, same, "left_anti")
+    if lost.count() <= BROADCAST_IDS:
+        return docs.join(F.broadcast(lost), same, "left_anti")
+    # only rows whose id falls in the cell of a lost one move
+    marks = Shared(docs.sparkSession, _marks(lost, gone))
+
+    @F.pandas_udf("boolean")
+    def marked(cells: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bits = marks.value
+        for c in cells:
+            yield pd.Series(_has(bits, c.to_numpy()))
+
+    maybe = marked(_cell(F.col(f"`{id_col}`").cast("bigint")))
+    return docs.where(~maybe).unionByName(docs.where(maybe).join(lost, same, "left_anti"))
 
 
 def _row_keys(d: DataFrame, scratch: Scratch) -> DataFrame:

@@ -136,3 +136,19 @@ def test_kernel_grid_cuts_its_blocks(spark):
     want = kernel_matrix(x, x, "rbf", 1.0, 2) @ w
     got = {r["id"]: r["sums"] for r in out.collect()}
     assert np.allclose([got[i] for i in range(130)], want)
+
+
+def test_kernel_support_is_gathered_in_pieces(spark, monkeypatch):
+    """The driver holds a piece of the support at a time, and the sums are those of all pieces."""
+    monkeypatch.setattr("tablelearn.plans.kernel_svm.PIECE_BYTES", 400, raising=False)
+    sc, sizes, real = spark.sparkContext, [], spark.sparkContext.broadcast
+    monkeypatch.setattr(sc, "broadcast", lambda v: sizes.append(sum(a.nbytes for a in v)) or real(v))
+    rng = np.random.default_rng(5)
+    x, w = rng.normal(size=(130, 3)), rng.normal(size=(130, 2))
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(x.tolist(), w.tolist()))],
+                               "id bigint, v array<double>, sw array<double>")
+    sent = []
+    out = kernel_sums(df.select("id", "v"), "id", "v", df.select(F.col("v").alias("sv"), "sw"), None, 3, 2, sent=sent)
+    got = {r["id"]: r["sums"] for r in out.collect()}
+    assert np.allclose([got[i] for i in range(130)], kernel_matrix(x, x, "rbf", 1.0, 2) @ w)
+    assert len(sent) == len(sizes) == 13 and sum(sizes) == 130 * 5 * 8 and max(sizes) < 1200
